@@ -22,6 +22,10 @@ BAR_SCHEMA = T.StructType(
     ]
 )
 
+SILVER_SCHEMA = T.StructType(
+    [*BAR_SCHEMA.fields, T.StructField("sma_20", T.DoubleType()), T.StructField("rsi_14", T.DoubleType())]
+)
+
 STOCK_SCHEMA = T.StructType(
     [
         T.StructField("symbol", T.StringType(), False),
