@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketlake.catalog import registry, windows  # noqa: F401
+from marketlake.catalog import layers, records, registry, windows  # noqa: F401
 
 
 def queries() -> dict[str, registry.Query]:

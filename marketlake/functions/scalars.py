@@ -60,4 +60,4 @@ def date_parts(timestamp: str) -> dict[str, Column]:
 
 def split_symbols(text: Column) -> Column:
     """Comma-separated symbols, trimmed; empty entries dropped."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, ","), lambda s: F.trim(s)), lambda s: s != "")

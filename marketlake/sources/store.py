@@ -19,12 +19,17 @@ from pyspark.sql import types as T
 from marketlake.functions.masking import mask_columns
 from marketlake.functions.scalars import date_parts
 from marketlake.operators.clean import keep_latest
-from marketlake.schema import BAR_SCHEMA, STOCK_SCHEMA, with_optional
+from marketlake.schema import BAR_SCHEMA, ENVELOPE_SCHEMA, STOCK_SCHEMA, with_optional
 
 MONTH_PARTITIONS = ["year", "month"]
 DAY_PARTITIONS = ["year", "month", "day"]
 BRONZE_PARTITIONS = ["data_type", *DAY_PARTITIONS]
 ENVELOPE_VERSION = "1.0"
+# Spark's JSON writer keeps milliseconds only unless told otherwise
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def _write(df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str], mode: str, kind: str = "parquet") -> None:
@@ -35,6 +40,7 @@ def _write(df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[s
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .format(kind)
+        .options(**(JSON_TIMES if kind == "json" else {}))
         .save(path)
     )
 
@@ -151,7 +157,7 @@ def read_readable(spark: SparkSession, paths: Sequence[str], schema: T.StructTyp
 
 def write_documents(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON document per line and symbol."""
-    documents.write.mode(mode).json(path)
+    documents.write.mode(mode).options(**JSON_TIMES).json(path)
 
 
 def write_gold(monthly: DataFrame, statistics: DataFrame, path: str) -> None:
@@ -195,7 +201,7 @@ def envelopes(
     """Wrap rows as (source, type, time, JSON payload, metadata), masking the named fields first."""
     keyed = data.withColumns({"envelope_source": source_id.cast("string"), "envelope_time": timestamp.cast("timestamp")})
     masked = mask_columns(keyed, sensitive)
-    payload = F.to_json(F.struct(*[c for c in data.columns]))
+    payload = F.to_json(F.struct(*data.columns), JSON_TIMES)
     at = processed_at if processed_at is not None else F.current_timestamp()
     return masked.select(
         F.col("envelope_source").alias("source_id"),
@@ -214,8 +220,6 @@ def write_envelopes(rows: DataFrame, path: str) -> None:
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    from marketlake.schema import ENVELOPE_SCHEMA
-
     return spark.read.schema(_typed(ENVELOPE_SCHEMA, BRONZE_PARTITIONS)).json(path)
 
 
