@@ -5,15 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.clean import clean
-from marketlake.operators.indicators import (
-    INPUTS,
-    Indicator,
-    compute,
-    indicators,
-    register_indicator,
-)
-from marketlake.operators.series import Series
+from marketlake.operators.clean import between, clean
+from marketlake.operators.indicators import Indicator, indicators, register_indicator
+from marketlake.operators.series import is_sliced
 from marketlake.schema import require_columns, with_optional
 
 # Bars a symbol needs before a result exists.
@@ -61,8 +55,6 @@ def indicators_wide(bars: DataFrame, warmup: str = "full", grain: str = "day") -
 
 def symbol_indicators(bars: DataFrame, symbol: str, start, end, **options) -> DataFrame:
     """All indicators of one symbol over a date range; no bars give no rows."""
-    from marketlake.operators.clean import between
-
     return indicators_wide(between(bars.where(F.col("symbol") == symbol), start, end), **options)
 
 
@@ -85,10 +77,13 @@ def batch_statistics(bars: DataFrame, grain: str = "day") -> DataFrame:
     """Range, price, volume and return statistics per symbol, in one aggregation."""
     require_columns(bars, "symbol", "timestamp", "close")
     bars = with_optional(bars, volume="bigint").select("symbol", "timestamp", "close", "volume")
-    rows = indicators(bars, ["daily_return"], grain=grain)
+    return indicators(bars, ["daily_return"], grain=grain).groupBy("symbol").agg(*_statistics_aggregates())
+
+
+def _statistics_aggregates() -> list[Column]:
     start, end = F.min("timestamp"), F.max("timestamp")
     first, last = F.min_by("close", "timestamp"), F.max_by("close", "timestamp")
-    return rows.groupBy("symbol").agg(
+    return [
         start.alias("start_date"),
         end.alias("end_date"),
         days_between(start, end).alias("days"),
@@ -101,7 +96,7 @@ def batch_statistics(bars: DataFrame, grain: str = "day") -> DataFrame:
         F.avg("daily_return").alias("avg_daily_return"),
         F.stddev_samp("daily_return").alias("std_daily_return"),
         F.when(F.count("*") > 1, total_return(first, last)).alias("total_return"),
-    )
+    ]
 
 
 def last_bars(bars: DataFrame, n: int) -> DataFrame:
@@ -114,24 +109,22 @@ def last_bars(bars: DataFrame, n: int) -> DataFrame:
     return bars.withColumn("age", F.row_number().over(newest)).where(F.col("age") <= n)
 
 
-def latest_atr(bars: DataFrame, n: int = 14) -> DataFrame:
-    """Average true range at the newest bar; NULL below ``n`` bars."""
-    tail = Series(last_bars(bars.select("symbol", "timestamp", "high", "low", "close"), n + 1))
-    ranged = tail.frame.withColumn("true_range", INPUTS["true_range"](tail, "full"))
-    inside = F.when(F.col("age") <= n, F.col("true_range"))
-    return ranged.groupBy("symbol").agg(F.when(F.count(inside) >= n, F.avg(inside)).alias(f"atr_{n}"))
+def volatility(bars: DataFrame, grain: str = "day") -> DataFrame:
+    """Daily and annualised volatility of returns and the newest ATR, in one pass."""
+    require_columns(bars, "symbol", "timestamp", "close")
+    ranged = {"high", "low"} <= set(bars.columns)
+    columns = ["symbol", "timestamp", "close", *(["high", "low"] if ranged else [])]
+    rows = indicators(bars.select(*columns), ["daily_return", *(["atr_14"] if ranged else [])], grain=grain)
+    return with_optional(rows, atr_14="double").groupBy("symbol").agg(*_volatility_aggregates())
 
 
-def volatility(bars: DataFrame, grain: str = "day") -> DataFrame:
-    """Daily and annualised volatility of returns and the newest ATR."""
-    rows = indicators(bars.select("symbol", "timestamp", "close"), ["daily_return"], grain=grain)
+def _volatility_aggregates() -> list[Column]:
     spread = F.stddev_samp("daily_return")
-    daily = rows.groupBy("symbol").agg(
-        spread.alias("daily"), (spread * F.sqrt(F.lit(float(TRADING_DAYS)))).alias("annualized")
-    )
-    if not {"high", "low"} <= set(bars.columns):
-        return daily.withColumn("atr_14", F.lit(None).cast("double"))
-    return daily.join(latest_atr(bars), "symbol", "left")
+    return [
+        spread.alias("daily"),
+        (spread * F.sqrt(F.lit(float(TRADING_DAYS)))).alias("annualized"),
+        F.max_by("atr_14", "timestamp").alias("atr_14"),
+    ]
 
 
 def trend(bars: DataFrame) -> DataFrame:
@@ -142,20 +135,20 @@ def trend(bars: DataFrame) -> DataFrame:
         close = F.when(F.col("age") <= n, F.col("close"))
         return F.when(F.count(close) >= n, F.avg(close)).alias(f"sma_{n}")
 
-    latest = (
-        recent.groupBy("symbol")
-        .agg(F.count("*").alias("bars"), F.max(F.when(F.col("age") == 1, F.col("close"))).alias("close"), average(20), average(50))
-        .where(F.col("bars") >= MIN_BARS["trends"])
-    )
+    newest = F.max(F.when(F.col("age") == 1, F.col("close"))).alias("close")
+    latest = recent.groupBy("symbol").agg(F.count("*").alias("bars"), newest, average(20), average(50))
+    return latest.where(F.col("bars") >= MIN_BARS["trends"]).select("symbol", *_trend_columns())
+
+
+def _trend_columns() -> list[Column]:
     close, short, long = F.col("close"), F.col("sma_20"), F.col("sma_50")
     above = F.when(long.isNotNull(), (close > short) & (short > long)).otherwise(close > short)
     below = F.when(long.isNotNull(), (close < short) & (short < long)).otherwise(close < short)
     base = F.coalesce(long, short)
-    return latest.select(
-        "symbol",
+    return [
         F.when(above, "bullish").when(below, "bearish").otherwise("sideways").alias("trend"),
         F.try_divide(F.abs(close - base), base).alias("strength"),
-    )
+    ]
 
 
 def pivot_points(bars: DataFrame, grain: str = "day") -> DataFrame:
@@ -192,76 +185,74 @@ def iso(timestamp) -> Column:
     return F.when(fraction == ".000000", plain).otherwise(F.concat(plain, fraction))
 
 
+DOCUMENT_COLUMNS = [*SERIES_COLUMNS, "bb_upper", "bb_middle", "bb_lower", "macd", "macd_signal", "macd_histogram"]
+STATISTICS = (
+    "start_date end_date days min_price max_price avg_price min_volume max_volume avg_volume "
+    "avg_daily_return std_daily_return total_return"
+).split()
+
+
 def indicator_document(bars: DataFrame, grain: str = "day", period: str | None = None) -> DataFrame:
     """One JSON document per symbol: indicator series, statistics, volatility, trends.
 
     Keys below their minimum history are left out. A document holds a whole history, which the calendar
     bounds from daily bars upward; finer grains must name a ``period`` (such as ``"month"``) and get one
-    document per symbol and period.
+    document per symbol and period. Everything comes from one pass over the indicator columns.
     """
-    if period is None and grain in ("second", "minute", "hour"):
+    if period is None and is_sliced(grain):
         raise ValueError("intraday documents need a period, so that no document grows with the history")
-    names = ["sma_5", "sma_20", "sma_50", "ema_5", "ema_20", "rsi_14", "bollinger", "macd", "history_bars"]
-    wide = compute(bars.select("symbol", "timestamp", "close"), names, grain=grain, gated=True).result()
-    wide = wide.withColumn("period", F.date_trunc(period, "timestamp") if period else F.lit(None).cast("timestamp"))
-    parts = ["bb_upper", "bb_middle", "bb_lower", "macd", "macd_signal", "macd_histogram"]
-    at = F.struct("timestamp", iso("timestamp").alias("iso"), *SERIES_COLUMNS, *parts)
-    grouped = wide.groupBy("symbol", "period").agg(
-        F.array_sort(F.collect_list(at)).alias("rows"), F.max("history_bars").alias("bars")
-    )
-
-    def series(name: str) -> Column:
-        return F.transform(
-            F.filter("rows", lambda r: r[name].isNotNull()),
-            lambda r: F.struct(r["iso"].alias("timestamp"), r[name].alias("value")),
-        )
+    require_columns(bars, "symbol", "timestamp", "high", "low", "close")
+    bars = with_optional(bars, volume="bigint").select("symbol", "timestamp", "high", "low", "close", "volume")
+    wide = indicators(bars, [*WIDE, "pivots", "history_bars"], grain=grain, gated=True)
+    at = F.struct("timestamp", iso("timestamp").alias("iso"), "close", "pivot_type", *DOCUMENT_COLUMNS)
+    rows = F.array_sort(F.collect_list(at)).alias("rows")
+    summary = [
+        *_statistics_aggregates(),
+        *_volatility_aggregates(),
+        *[F.max_by(c, "timestamp").alias(c) for c in ("close", "sma_20", "sma_50")],
+        F.max("history_bars").alias("bars"),
+    ]
+    if period is None:
+        joined = wide.groupBy("symbol").agg(rows, *summary)
+        levels = {f"{kind}_levels": _last_levels(kind) for kind in ("support", "resistance")}
+    else:
+        pages = wide.groupBy("symbol", F.date_trunc(period, "timestamp").alias("period")).agg(rows)
+        joined = pages.join(wide.groupBy("symbol").agg(*summary), "symbol")
+        joined = joined.join(support_resistance(bars, grain), "symbol", "left")
+        levels = {f"{kind}_levels": F.col(f"{kind}_levels") for kind in ("support", "resistance")}
+    keys = ["symbol"] if period is None else ["symbol", "period"]
+    current, strength = _trend_columns()
 
     def gate(name: str, value: Column) -> Column:
         return F.when(F.col("bars") >= MIN_BARS[name], value)
 
-    stats = batch_statistics(bars, grain).select(
-        "symbol",
-        F.struct(
-            iso("start_date").alias("start_date"),
-            iso("end_date").alias("end_date"),
-            *[
-                F.col(c)
-                for c in (
-                    "days min_price max_price avg_price min_volume max_volume avg_volume "
-                    "avg_daily_return std_daily_return total_return"
-                ).split()
-            ],
-        ).alias("statistics"),
-    )
-    spread = volatility(bars, grain).select("symbol", F.struct("daily", "annualized", "atr_14").alias("volatility"))
-    trends = (
-        trend(bars)
-        .join(support_resistance(bars, grain), "symbol", "left")
-        .select(
-            "symbol",
-            F.struct(F.col("trend").alias("current"), "strength", "support_levels", "resistance_levels").alias("trends"),
-        )
+    def grouped(gate_name: str, **columns: str) -> Column:
+        return gate(gate_name, F.struct(*[_points(c).alias(n) for n, c in columns.items()]))
+
+    statistics = [iso(c).alias(c) if c.endswith("_date") else F.col(c) for c in STATISTICS]
+    trends = F.struct(
+        current.alias("current"), strength, *[gate("levels", column).alias(name) for name, column in levels.items()]
     )
-    joined = grouped.join(stats, "symbol", "left").join(spread, "symbol", "left").join(trends, "symbol", "left")
     document = F.struct(
-        *[gate(n, series(n)).alias(n) for n in SERIES_COLUMNS],
-        gate(
-            "bollinger",
-            F.struct(
-                series("bb_upper").alias("upper"), series("bb_middle").alias("middle"), series("bb_lower").alias("lower")
-            ),
-        ).alias("bollinger_bands"),
-        gate(
-            "macd",
-            F.struct(
-                series("macd").alias("macd"),
-                series("macd_signal").alias("signal"),
-                series("macd_histogram").alias("histogram"),
-            ),
-        ).alias("macd"),
-        "statistics",
-        gate("volatility", F.col("volatility")).alias("volatility"),
-        "trends",
+        *[gate(n, _points(n)).alias(n) for n in SERIES_COLUMNS],
+        grouped("bollinger", upper="bb_upper", middle="bb_middle", lower="bb_lower").alias("bollinger_bands"),
+        grouped("macd", macd="macd", signal="macd_signal", histogram="macd_histogram").alias("macd"),
+        F.struct(*statistics).alias("statistics"),
+        gate("volatility", F.struct("daily", "annualized", "atr_14")).alias("volatility"),
+        gate("trends", trends).alias("trends"),
+    )
+    return joined.select(*keys, F.to_json(document).alias("document"))
+
+
+def _points(name: str) -> Column:
+    """The series of one indicator from the collected rows."""
+    return F.transform(
+        F.filter("rows", lambda r: r[name].isNotNull()),
+        lambda r: F.struct(r["iso"].alias("timestamp"), r[name].alias("value")),
     )
-    columns = ["symbol", *(["period"] if period else [])]
-    return joined.select(*columns, F.to_json(document).alias("document"))
+
+
+def _last_levels(kind: str, levels: int = 3) -> Column:
+    prices = F.transform(F.filter("rows", lambda r: r["pivot_type"] == kind), lambda r: r["close"])
+    size = F.size(prices)
+    return F.when(size > 0, F.slice(prices, F.greatest(size - levels + 1, F.lit(1)), levels))

@@ -49,17 +49,25 @@ def monthly(bars: DataFrame) -> DataFrame:
     )
 
 
+FIVE = ("min", "max", "mean", "std", "median")
+SHOWN = ("min", "max", "mean", "median", "std")
+
+
+def _basics(column: str) -> list[Column]:
+    return [F.min(column), F.max(column), F.avg(column), F.stddev_samp(column)]
+
+
+def _median(column: str) -> Column:
+    return F.median(column).cast("double")
+
+
 def five_numbers(bars: DataFrame, column: str, grain: str = "day") -> DataFrame:
     """min, max, mean, median and sample deviation of a column per symbol."""
-    basics = [
-        F.min(column).alias("min"),
-        F.max(column).alias("max"),
-        F.avg(column).alias("mean"),
-        F.stddev_samp(column).alias("std"),
-    ]
+    basics = [c.alias(n) for n, c in zip(FIVE, _basics(column))]
     if not is_sliced(grain):
-        return bars.groupBy("symbol").agg(*basics, F.median(column).cast("double").alias("median"))
-    return bars.groupBy("symbol").agg(*basics).join(bracketed_median(bars, column), "symbol", "left")
+        return bars.groupBy("symbol").agg(*basics, _median(column).alias("median")).select("symbol", *SHOWN)
+    rest = bars.groupBy("symbol").agg(*basics)
+    return rest.join(bracketed_median(bars, column), "symbol", "left").select("symbol", *SHOWN)
 
 
 def bracketed_median(bars: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
@@ -116,72 +124,99 @@ def volume_stats(bars: DataFrame, grain: str = "day") -> DataFrame:
 def return_stats(bars: DataFrame, grain: str = "day") -> DataFrame:
     """Daily returns in percent, their deviation, and the total return in percent; needs two bars."""
     rows = indicators(bars.select("symbol", "timestamp", "close"), ["daily_return"], grain=grain)
-    percent = F.col("daily_return") * 100
-    first, last = F.min_by("close", "timestamp"), F.max_by("close", "timestamp")
     return (
         rows.groupBy("symbol")
-        .agg(
-            F.min(percent).alias("min_daily_return"),
-            F.max(percent).alias("max_daily_return"),
-            F.avg(percent).alias("mean_daily_return"),
-            F.stddev_samp(percent).alias("volatility"),
-            (F.stddev_samp(percent) * F.sqrt(F.lit(float(TRADING_DAYS)))).alias("annualized_volatility"),
-            (total_return(first, last) * 100).alias("total_return_pct"),
-            F.count("*").alias("bars"),
-        )
+        .agg(*_return_aggregates(), _total_return().alias("total_return_pct"), F.count("*").alias("bars"))
         .where("bars > 1")
         .drop("bars")
     )
 
 
+def _return_aggregates() -> list[Column]:
+    percent = F.col("daily_return") * 100
+    spread = F.stddev_samp(percent)
+    return [
+        F.min(percent).alias("min_daily_return"),
+        F.max(percent).alias("max_daily_return"),
+        F.avg(percent).alias("mean_daily_return"),
+        spread.alias("volatility"),
+        (spread * F.sqrt(F.lit(float(TRADING_DAYS)))).alias("annualized_volatility"),
+    ]
+
+
+def _total_return() -> Column:
+    return total_return(F.min_by("close", "timestamp"), F.max_by("close", "timestamp")) * 100
+
+
 def time_range(bars: DataFrame) -> DataFrame:
+    return bars.groupBy("symbol").agg(*_time_aggregates())
+
+
+def _time_aggregates() -> list[Column]:
     start, end = F.min("timestamp"), F.max("timestamp")
-    return bars.groupBy("symbol").agg(
+    return [
         F.date_format(start, "yyyy-MM-dd").alias("start_date"),
         F.date_format(end, "yyyy-MM-dd").alias("end_date"),
         days_between(start, end).alias("days"),
         F.count("*").alias("trading_days"),
-    )
+    ]
 
 
 def current_trend(silver: DataFrame) -> DataFrame:
     """Newest close against its ``sma_20``; equality counts as bearish, no average means no row."""
     require_columns(silver, "symbol", "timestamp", "close", "sma_20")
-    newest = silver.groupBy("symbol").agg(
-        F.max_by("close", "timestamp").alias("close"), F.max_by("sma_20", "timestamp").alias("sma_20")
-    )
+    newest = silver.groupBy("symbol").agg(*[F.max_by(c, "timestamp").alias(c) for c in ("close", "sma_20")])
+    return newest.where("sma_20 IS NOT NULL").select("symbol", *_trend_columns())
+
+
+def _trend_columns() -> list[Column]:
     close, average = F.col("close"), F.col("sma_20")
-    return newest.where(average.isNotNull()).select(
-        "symbol",
+    return [
         F.when(close > average, "bullish").otherwise("bearish").alias("direction"),
         (F.abs(F.try_divide(close - average, average)) * 100).alias("strength"),
-    )
+    ]
 
 
 def statistics(silver: DataFrame, grain: str = "day") -> DataFrame:
-    """All gold statistics of a symbol as nested columns, ready for the JSON sink."""
+    """All gold statistics of a symbol as nested columns for the JSON sink, in one aggregation.
+
+    Only the exact medians of intraday series take passes of their own.
+    """
+    require_columns(silver, "symbol", "timestamp", "close")
+    optional = [c for c in ("volume", "sma_20") if c in silver.columns]
+    measured = ["close", *(["volume"] if "volume" in optional else [])]
+    rows = indicators(silver.select("symbol", "timestamp", "close", *optional), ["daily_return"], grain=grain)
+    exact = not is_sliced(grain)
+
+    def five(column: str) -> list[Column]:
+        named = _basics(column) + ([_median(column)] if exact else [])
+        return [c.alias(f"{column}_{n}") for n, c in zip(FIVE, named)]
+
+    flat = rows.groupBy("symbol").agg(
+        *[c for column in measured for c in five(column)],
+        *_return_aggregates(),
+        _total_return().alias("total_return_pct"),
+        *_time_aggregates(),
+        *[F.max_by(c, "timestamp").alias(c) for c in ("close", "sma_20") if c in silver.columns],
+    )
+    if not exact:
+        for column in measured:
+            median = bracketed_median(silver, column).withColumnRenamed("median", f"{column}_median")
+            flat = flat.join(median, "symbol", "left")
+    several = F.col("trading_days") > 1
+    returns = ["min_daily_return", "max_daily_return", "mean_daily_return", "volatility", "annualized_volatility"]
 
-    def nested(df: DataFrame, name: str, *columns: str) -> DataFrame:
-        return df.select("symbol", F.struct(*columns).alias(name))
+    def nested(column: str) -> Column:
+        return F.struct(*[F.col(f"{column}_{n}").alias(n) for n in SHOWN])
 
-    five = ("min", "max", "mean", "median", "std")
-    returns = return_stats(silver, grain)
     parts = [
-        nested(price_stats(silver, grain), "price_stats", *five),
-        returns.select(
-            "symbol",
-            F.struct(
-                "min_daily_return", "max_daily_return", "mean_daily_return", "volatility", "annualized_volatility"
-            ).alias("return_stats"),
-            "total_return_pct",
-        ),
-        nested(time_range(silver), "time_range", "start_date", "end_date", "days", "trading_days"),
+        nested("close").alias("price_stats"),
+        F.when(several, F.struct(*returns)).alias("return_stats"),
+        F.when(several, F.col("total_return_pct")).alias("total_return_pct"),
+        F.struct("start_date", "end_date", "days", "trading_days").alias("time_range"),
     ]
-    if "volume" in silver.columns:
-        parts.append(nested(volume_stats(silver, grain), "volume_stats", *five))
-    if "sma_20" in silver.columns:
-        parts.append(nested(current_trend(silver), "current_trend", "direction", "strength"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, "symbol", "left")
-    return out
+    if "volume" in optional:
+        parts.append(nested("volume").alias("volume_stats"))
+    if "sma_20" in optional:
+        parts.append(F.when(F.col("sma_20").isNotNull(), F.struct(*_trend_columns())).alias("current_trend"))
+    return flat.select("symbol", *parts)
