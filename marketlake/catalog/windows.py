@@ -43,14 +43,20 @@ def sma(spark, folder):
     return indicators(bars_daily(spark, folder), names).select(*KEY, *names)
 
 
+# A mean of 32 two-decimal prices can end exactly on half of the last rounded place, where summation order
+# decides; both sides shift by this much to round off such points.
+OFF_HALF = 3e-8
+
+
 @query(
     "sma_partial",
-    f"""WITH {DAILY} SELECT symbol, "timestamp", round(avg(close) {over(5)}, 6) AS sma_5,
-       round(avg(close) {over(20)}, 6) AS sma_20, round(avg(close) {over(50)}, 6) AS sma_50 FROM bars""",
+    f"""WITH {DAILY} SELECT symbol, "timestamp", round(avg(close) {over(5)} + {OFF_HALF}, 6) AS sma_5,
+       round(avg(close) {over(20)} + {OFF_HALF}, 6) AS sma_20, round(avg(close) {over(50)} + {OFF_HALF}, 6) AS sma_50 FROM bars""",
 )
 def sma_partial(spark, folder):
     names = ["sma_5", "sma_20", "sma_50"]
-    return indicators(bars_daily(spark, folder), names, warmup="partial").select(*KEY, *names)
+    means = indicators(bars_daily(spark, folder), names, warmup="partial")
+    return means.select(*KEY, *[(F.col(n) + OFF_HALF).alias(n) for n in names])
 
 
 def recursive(bars: str, columns: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.series import SLICE_BARS, is_sliced, slice_of
+from marketlake.operators.series import SLICE_BARS, cut, dated, is_sliced
 from marketlake.schema import NUMERIC_COLUMNS, no_nan, require_columns
 
 # Vendor column names and their canonical names.
@@ -26,8 +26,9 @@ def standardise(df: DataFrame) -> DataFrame:
     require_columns(df, "symbol", "timestamp")
     df = df.withColumnsRenamed({k: v for k, v in VENDOR_COLUMNS.items() if k in df.columns})
     kinds = dict(df.dtypes)
-    fixed = {"timestamp": parse_time("timestamp", kinds["timestamp"])}
-    fixed.update({c: no_nan(F.col(c)) for c in NUMERIC_COLUMNS if kinds.get(c) in ("double", "float")})
+    fixed = {c: no_nan(F.col(c)) for c in NUMERIC_COLUMNS if kinds.get(c) in ("double", "float")}
+    if kinds["timestamp"] != "timestamp":
+        fixed["timestamp"] = parse_time("timestamp", kinds["timestamp"])
     return df.withColumns(fixed)
 
 
@@ -62,33 +63,32 @@ def forward_fill(
 ) -> DataFrame:
     """Replace NULLs by the symbol's last value before them; leading NULLs stay.
 
-    A sliced history is filled within each slice, then from the last value of the slices before it, which
-    is one small row per slice.
+    In a sliced history each slice also gets the last values of the slices before it, one row per slice.
     """
     columns = [c for c in (columns or NUMERIC_COLUMNS) if c in df.columns]
+    df = dated(df)
     if not is_sliced(grain):
         so_far = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
 
     key = ["symbol", "slice"]
-    sliced = df.withColumn("slice", slice_of("timestamp", grain, slice_bars)).repartition(*key)
+    sliced = cut(df, grain, slice_bars)
     before = Window.partitionBy("symbol").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    seen = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("timestamp"))).alias(c) for c in columns]
+    # the carried values enter their slice as one row without a time, which sorts ahead of its bars
     carried = (
         sliced.groupBy(*key)
-        .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("timestamp"))).alias(f"last_{c}") for c in columns])
-        .select(*key, *[F.last(f"last_{c}", ignorenulls=True).over(before).alias(f"carry_{c}") for c in columns])
+        .agg(*seen)
+        .select(*key, *[F.last(c, ignorenulls=True).over(before).alias(c) for c in columns])
+        .repartition(*key)
     )
     so_far = Window.partitionBy(*key).orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
-    filled = sliced.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns}).join(
-        carried, key, "left"
+    filled = (
+        sliced.unionByName(carried, allowMissingColumns=True)
+        .withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
+        .where("timestamp IS NOT NULL")
     )
-    out = filled.select(
-        *[
-            F.coalesce(F.col(c), F.col(f"carry_{c}")).alias(c) if c in columns else F.col(c)
-            for c in [*df.columns, "slice"]
-        ]
-    )
-    return out if keep_slice else out.drop("slice")
+    return filled if keep_slice else filled.drop("slice")
 
 
 def clean(

@@ -60,7 +60,18 @@ class Series:
 
 
 def slice_of(timestamp: str, grain: str, slice_bars: int = SLICE_BARS):
-    return F.floor(F.unix_seconds(timestamp) / (GRAIN_SECONDS[grain] * slice_bars))
+    number = F.floor(F.unix_seconds(timestamp) / (GRAIN_SECONDS[grain] * slice_bars))
+    return F.coalesce(number, F.lit(0))  # never NULL, so joins on it add no filter that would split the plan
+
+
+def cut(bars: DataFrame, grain: str, slice_bars: int = SLICE_BARS) -> DataFrame:
+    """Number the slices and move each to one partition."""
+    return bars.withColumn("slice", slice_of("timestamp", grain, slice_bars)).repartition("symbol", "slice")
+
+
+def dated(bars: DataFrame) -> DataFrame:
+    """A bar without a symbol or a time belongs to no series."""
+    return bars.where(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull())
 
 
 def is_sliced(grain: str) -> bool:
@@ -80,9 +91,9 @@ def as_series(
     per slice, is shuffled again; the union keeps the partitioning, so the windows need no exchange.
     """
     if not is_sliced(grain):
-        return Series(bars)
+        return Series(dated(bars))
     if "slice" not in bars.columns:
-        bars = bars.withColumn("slice", slice_of("timestamp", grain, slice_bars)).repartition("symbol", "slice")
+        bars = cut(dated(bars), grain, slice_bars)
     parts = [bars.withColumn("halo", F.lit(False))]
     if lookback:
         parts.append(_halo(bars, lookback, later=True))
@@ -95,35 +106,30 @@ def as_series(
 def _halo(bars: DataFrame, reach: int, later: bool) -> DataFrame:
     """Copies of the bars within ``reach`` rows of a later (or earlier) slice, filed under that slice.
 
-    Where the neighbour slice is short, the copies come from several slices; how many rows each one gives
-    follows from the per-slice row counts, which are one small row per slice.
+    Each slice offers its outermost rows, ``reach`` at most, as one array. Where the neighbour slice is
+    short, the copies come from several slices; how many rows each one gives follows from the running
+    count of offered rows. There is no join, so the rows are read from the exchange of the slices.
     """
     outward = F.desc("timestamp") if later else F.asc("timestamp")
     onward = F.asc("slice") if later else F.desc("slice")
     edge = bars.withColumn(
         "edge_rank", F.row_number().over(Window.partitionBy("symbol", "slice").orderBy(outward))
     ).where(F.col("edge_rank") <= reach)
+    payload = [c for c in edge.columns if c not in ("symbol", "slice")]
+    offered = edge.groupBy("symbol", "slice").agg(
+        F.collect_list(F.struct(*payload)).alias("rows"), F.max("edge_rank").alias("held")
+    )
 
     along = Window.partitionBy("symbol").orderBy(onward)
-    sizes = edge.groupBy("symbol", "slice").agg(F.max("edge_rank").alias("held"))
-    totals = sizes.withColumn(
-        "through", F.sum("held").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    goals = F.collect_list(F.struct(F.col("slice").alias("goal"), (F.col("through") - F.col("held")).alias("before")))
-    reached = totals.select(
-        "symbol", "slice", "through", goals.over(along.rowsBetween(1, reach)).alias("goals")
-    ).select(
-        "symbol",
-        "slice",
-        "through",
-        F.filter("goals", lambda g: g["before"] - F.col("through") < reach).alias("goals"),
-    )
-    return (
-        edge.join(reached, ["symbol", "slice"])
-        .withColumn("g", F.explode("goals"))
-        .where(F.col("edge_rank") + F.col("g.before") - F.col("through") <= reach)
-        .withColumn("slice", F.col("g.goal"))
-        .withColumn("halo", F.lit(True))
-        .drop("g", "goals", "through", "edge_rank")
-        .repartition("symbol", "slice")
+    through = F.sum("held").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    goal = F.struct(F.col("slice").alias("slice"), (F.col("through") - F.col("held")).alias("before"))
+    near = F.filter("goals", lambda g: g["before"] - F.col("through") < reach)
+    wanted = F.filter("rows", lambda r: r["edge_rank"] + F.col("goal.before") - F.col("through") <= reach)
+    copies = (
+        offered.withColumn("through", through)
+        .withColumn("goals", F.collect_list(goal).over(along.rowsBetween(1, reach)))
+        .select("symbol", "rows", "through", F.explode(near).alias("goal"))
+        .select("symbol", F.col("goal.slice").alias("slice"), F.explode(wanted).alias("row"))
     )
+    named = [F.col("symbol") if c == "symbol" else F.col("slice") if c == "slice" else F.col(f"row.{c}") for c in bars.columns]
+    return copies.select(*named, F.lit(True).alias("halo")).repartition("symbol", "slice")
