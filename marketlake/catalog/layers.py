@@ -373,11 +373,31 @@ def event_envelopes(spark, folder):
     return store.envelopes(data, F.col("event_type"), "events", F.col("ts"), ["event_type:name"], F.lit(LANDED))
 
 
-@query("envelope_write")
+PAYLOAD = "event_id bigint, event_type string, value double, props string"
+
+
+@query(
+    "envelope_write",
+    """SELECT event_type AS source_id, 'events' AS data_type, ts AS "timestamp", event_id, value, props,
+       left(event_type, 1) || repeat('*', length(event_type) - 1) AS kind, '2024-01-15T10:00:00.000000' AS processed_at, '1.0' AS version,
+       strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day FROM events""",
+)
 def envelope_write(spark, folder):
+    """Every envelope, masked, written by event day and read back."""
     path = workspace(spark, "envelopes")
     store.write_envelopes(event_envelopes(spark, folder), path)
-    return store.read_envelopes(spark, path).withColumn("metadata", F.to_json("metadata"))
+    return store.read_envelopes(spark, path).withColumn("p", F.from_json("data", PAYLOAD)).select(
+        "source_id",
+        "data_type",
+        "timestamp",
+        "p.event_id",
+        "p.value",
+        "p.props",
+        F.col("p.event_type").alias("kind"),
+        F.col("metadata")["processed_at"].alias("processed_at"),
+        F.col("metadata")["version"].alias("version"),
+        *store.DAY_PARTITIONS,
+    )
 
 
 FROM, TO = datetime(2024, 1, 10, 12), datetime(2024, 1, 20, 6, 30)
@@ -393,8 +413,7 @@ def envelope_range(spark, folder):
     path = workspace(spark, "envelopes")
     store.write_envelopes(event_envelopes(spark, folder), path)
     found = store.get_envelopes(spark, path, "click", "events", FROM, TO)
-    payload = F.from_json("data", "event_id bigint, event_type string, value double, props string")
-    return found.withColumn("p", payload).select(
+    return found.withColumn("p", F.from_json("data", PAYLOAD)).select(
         "source_id",
         "timestamp",
         "p.event_id",

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 GRAIN_SECONDS = {"second": 1, "minute": 60, "hour": 3600}
 CALENDAR_GRAINS = ("day", "week", "month", "quarter", "year")
 SLICE_BARS = 16_384
+# Histories up to this many bars are computed as one slice when the grain is measured.
+WHOLE_SERIES_BARS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -82,6 +84,23 @@ def is_sliced(grain: str) -> bool:
     return True
 
 
+def measured_grain(bars: DataFrame, most: int = WHOLE_SERIES_BARS) -> str:
+    """The grain to use for bars of unknown spacing: runs one aggregation and reads one row of it.
+
+    If no symbol has more than ``most`` bars, whole histories are safe; otherwise the closest average
+    spacing among the longer histories decides.
+    """
+    spans = bars.groupBy("symbol").agg(
+        F.count("*").alias("bars"),
+        (F.unix_seconds(F.max("timestamp")) - F.unix_seconds(F.min("timestamp"))).alias("seconds"),
+    )
+    spacing = F.min(F.when(F.col("bars") > most, F.col("seconds") / (F.col("bars") - 1)))
+    closest = spans.agg(spacing.alias("spacing")).first()["spacing"]
+    if closest is None:
+        return "day"
+    return "second" if closest < 60 else "minute" if closest < 3600 else "hour"
+
+
 def as_series(
     bars: DataFrame, grain: str = "day", lookback: int = 0, lookahead: int = 0, slice_bars: int = SLICE_BARS
 ) -> Series:

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators import gold
 from marketlake.operators.batch import indicator_document, silver_bars
-from marketlake.operators.clean import clean
+from marketlake.operators.clean import last_days
+from marketlake.operators.series import is_sliced
 from marketlake.plans import report
-from marketlake.schema import SILVER_SCHEMA, conform_bars
+from marketlake.schema import SILVER_SCHEMA
 from marketlake.sources import store
 
 STEPS = {
@@ -45,8 +46,15 @@ def run(
     warmup: str = "full",
     grain: str = "day",
     documents: bool = True,
+    newest_only: bool = False,
+    as_of: datetime | None = None,
+    days: int | None = None,
 ) -> report.RunLog:
-    """Run the chosen layers; each reads what the layer before it wrote."""
+    """Run the chosen layers; each reads what the layer before it wrote.
+
+    The silver step takes all of bronze, or with ``newest_only`` each symbol's newest landing, or the bars
+    of the ``days`` days up to ``as_of``.
+    """
     if steps not in STEPS:
         raise ValueError(f"steps is one of {', '.join(STEPS)}")
     log = report.RunLog(spark, lake.path("log"))
@@ -60,7 +68,10 @@ def run(
             log.metric("records_extracted", seen.get["records"], data_type=data_type)
     if "silver" in chosen:
         with log.trace("silver_process", data_type=data_type):
-            to_silver(spark, lake, symbols, warmup, grain, documents)
+            bronze = store.latest_landing(read_bronze(spark, lake)) if newest_only else read_bronze(spark, lake)
+            if days is not None:
+                bronze = last_days(bronze, as_of or datetime.now(timezone.utc), days)
+            to_silver(spark, lake, _only(bronze, symbols), warmup, grain, documents)
     if "gold" in chosen:
         with log.trace("gold_aggregate", data_type="analytics"):
             to_gold(spark, lake, symbols, grain)
@@ -72,11 +83,14 @@ def _only(df: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
     return df.where(F.col("symbol").isin(list(symbols))) if symbols else df
 
 
-def to_silver(spark, lake: Lake, symbols=None, warmup="full", grain="day", documents=True) -> None:
+def read_bronze(spark, lake: Lake, data_type: str = "prices") -> DataFrame:
+    bronze = store.read_bronze(spark, lake.path("bronze")).where(F.col("data_type") == data_type)
+    return bronze.drop("data_type", *store.DAY_PARTITIONS)
+
+
+def to_silver(spark, lake: Lake, bronze: DataFrame, warmup="full", grain="day", documents=True) -> None:
     """Clean bronze, add indicators, write silver by event month, and the indicator documents."""
-    bronze = _only(store.read_bronze(spark, lake.path("bronze")), symbols).where("data_type = 'prices'")
-    bars = bronze.drop("data_type", *store.DAY_PARTITIONS)
-    enriched = silver_bars(bars, warmup=warmup, grain=grain)
+    enriched = silver_bars(bronze, warmup=warmup, grain=grain)
     columns = {f.name: f.dataType for f in SILVER_SCHEMA.fields}
     present = set(enriched.columns)
     enriched = enriched.select(
@@ -84,9 +98,8 @@ def to_silver(spark, lake: Lake, symbols=None, warmup="full", grain="day", docum
     )
     store.write_bars(enriched, lake.path("silver"), "overwrite")
     if documents:
-        silver = read_silver(spark, lake)
-        period = "month" if grain in ("second", "minute", "hour") else None
-        store.write_documents(indicator_document(silver, grain, period), lake.path("indicators"))
+        period = "month" if is_sliced(grain) else None
+        store.write_documents(indicator_document(read_silver(spark, lake), grain, period), lake.path("indicators"))
 
 
 def read_silver(spark, lake: Lake) -> DataFrame:
@@ -96,9 +109,3 @@ def read_silver(spark, lake: Lake) -> DataFrame:
 def to_gold(spark, lake: Lake, symbols=None, grain: str = "day") -> None:
     silver = _only(read_silver(spark, lake), symbols)
     store.write_gold(gold.monthly(silver), gold.statistics(silver, grain), lake.path("gold"))
-
-
-def cleaned(spark, lake: Lake, grain: str = "day") -> DataFrame:
-    """Bronze bars cleaned, without indicators."""
-    bronze = store.read_bronze(spark, lake.path("bronze")).where("data_type = 'prices'")
-    return conform_bars(clean(bronze.drop("data_type", *store.DAY_PARTITIONS), ["ingest_ts"], grain))

@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from marketlake.functions.scalars import split_symbols
 
@@ -173,6 +174,27 @@ class RunLog:
         return self.spark.read.schema(METRIC_SCHEMA).parquet(f"{self.path}/metrics")
 
 
+class StreamLog(StreamingQueryListener):
+    """Start, progress and end of streaming queries as events; register with ``spark.streams.addListener``."""
+
+    def __init__(self, log: RunLog):
+        self.log = log
+
+    def onQueryStarted(self, event) -> None:
+        self.log.event("trace_start_stream", str(event.runId), status="started", name=event.name)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.log.event("stream_progress", str(progress.runId), batch=progress.batchId, rows=progress.numInputRows)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        status = "failed" if event.exception else "success"
+        self.log.event("trace_end_stream", str(event.runId), status=status)
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """The frame with a row count that is filled in by whatever job runs it next."""
     seen = Observation(name)

@@ -136,7 +136,10 @@ def upsert_bars(spark: SparkSession, path: str, incoming: DataFrame, staging: st
     touched = [r.month for r in incoming.select(month.alias("month")).distinct().collect()]
     if not touched:
         return
-    stored = read_bars(spark, path).where(F.concat(*MONTH_PARTITIONS).isin(touched)).drop(*MONTH_PARTITIONS)
+    if _exists(spark, path):
+        stored = read_bars(spark, path).where(F.concat(*MONTH_PARTITIONS).isin(touched)).drop(*MONTH_PARTITIONS)
+    else:
+        stored = spark.createDataFrame([], BAR_SCHEMA)
     write_bars(merge_bars(stored, incoming, version).select(*BAR_SCHEMA.names), staging, "overwrite")
     write_bars(read_bars(spark, staging).drop(*MONTH_PARTITIONS), path, "overwrite")
 
@@ -176,6 +179,18 @@ def write_stocks(stocks: DataFrame, path: str, mode: str = "append") -> None:
     stamped.select(*STOCK_SCHEMA.names).sortWithinPartitions("symbol").write.mode(mode).parquet(path)
 
 
+def read_stocks(spark: SparkSession, path: str) -> DataFrame:
+    """All stored stock rows; none before the first write."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], STOCK_SCHEMA)
+    return spark.read.schema(STOCK_SCHEMA).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def get_stock(spark: SparkSession, path: str, symbol: str) -> DataFrame:
     """The newest row of a stock, or no row."""
     stored = spark.read.schema(STOCK_SCHEMA).parquet(path).where(F.col("symbol") == symbol)

@@ -70,18 +70,19 @@ def split_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def bars_from_payloads(payloads: DataFrame, start=None, end=None) -> DataFrame:
-    """Bars of all accepted payloads, optionally within an inclusive date range."""
+    """Bars of all accepted payloads, optionally within an inclusive date range; a ``seq`` column is kept."""
+    kept = ["symbol", *(["seq"] if "seq" in payloads.columns else [])]
     days = (
         _parsed(payloads)
         .where("error IS NULL")
-        .select("symbol", F.explode(F.col("parsed")[SERIES_KEY]).alias("day", "fields"))
+        .select(*kept, F.explode(F.col("parsed")[SERIES_KEY]).alias("day", "fields"))
         .withColumn("timestamp", F.try_to_timestamp("day", F.lit("yyyy-MM-dd")))
     )
     if start is not None and end is not None:
         days = days.where(F.col("timestamp").between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
     kinds = {f.name: f.dataType for f in BAR_SCHEMA.fields}
     return days.select(
-        "symbol", "timestamp", *[F.col("fields")[BAR_FIELDS[c]].try_cast(kinds[c]).alias(c) for c in kinds if c in BAR_FIELDS]
+        *kept, "timestamp", *[F.col("fields")[BAR_FIELDS[c]].try_cast(kinds[c]).alias(c) for c in kinds if c in BAR_FIELDS]
     )
 
 

@@ -14,6 +14,7 @@ from marketlake.operators.batch import last_bars
 from marketlake.operators.clean import forward_fill, keep_latest
 from marketlake.operators.indicators import indicators
 from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, conform_bars
+from marketlake.sources.store import write_bars
 
 SILVER_INDICATORS = ["sma_20", "rsi_14"]
 # Bars kept per symbol between batches: what the silver indicators look back on.
@@ -64,10 +65,14 @@ class SilverRefresh:
 
     def silver(self) -> DataFrame:
         """The newest version of each silver row."""
-        return keep_latest(self._read("silver", SILVER_SCHEMA), ["symbol", "timestamp"], ["batch_id"]).drop("batch_id")
+        return _newest(self._read("silver", SILVER_SCHEMA))
 
     def bars(self) -> DataFrame:
-        return keep_latest(self._read("bars", BAR_SCHEMA), ["symbol", "timestamp"], ["batch_id"]).drop("batch_id")
+        return _newest(self._read("bars", BAR_SCHEMA))
+
+    def publish(self, path: str) -> None:
+        """Write the current silver layer by event month, for range reads and gold."""
+        write_bars(self.silver(), path, "overwrite")
 
     def refresh(self, batch: DataFrame, batch_id: int) -> None:
         # only the columns of a bar: ingest stamps would make equal bars differ
@@ -80,7 +85,7 @@ class SilverRefresh:
             context = self._tail(batch_id - 1)
             late = self._late(fresh, context)
         if late is not None and not late.isEmpty():
-            history = self.bars().join(late, "symbol", "left_semi")
+            history = _newest(self._read("bars", BAR_SCHEMA).join(late, "symbol", "left_semi"))
             in_order = fresh.join(late, "symbol", "left_anti")
             known = context.join(late, "symbol", "left_anti")
             rows = in_order.withColumn("known", F.lit(False)).unionByName(known.withColumn("known", F.lit(True)))
@@ -89,7 +94,8 @@ class SilverRefresh:
             rows = fresh.withColumn("known", F.lit(False))
             if context is not None:
                 rows = rows.unionByName(context.withColumn("known", F.lit(True)))
-        enriched = indicators(forward_fill(rows, grain=self.grain), SILVER_INDICATORS, grain=self.grain)
+        filled = forward_fill(rows, grain=self.grain, keep_slice=True)
+        enriched = indicators(filled, SILVER_INDICATORS, grain=self.grain)
         self._write(enriched.where(~F.col("known")).drop("known"), "silver", batch_id)
         changed = self._read("silver", SILVER_SCHEMA).where(F.col("batch_id") == batch_id).select(*BAR_SCHEMA.names)
         if context is not None:
@@ -123,6 +129,10 @@ class SilverRefresh:
         return self.spark.read.schema(typed).parquet(f"{self.root}/{name}")
 
 
+def _newest(versions: DataFrame) -> DataFrame:
+    return keep_latest(versions, ["symbol", "timestamp"], ["batch_id"]).drop("batch_id")
+
+
 def refresh_from(spark: SparkSession, bronze_path: str, root: str, checkpoint: str, grain: str = "day") -> SilverRefresh:
     """Process everything that landed since the last call, then stop."""
     refresh = SilverRefresh(spark, root, grain)

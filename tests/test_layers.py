@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -14,8 +15,9 @@ from helpers import assert_same, collect, formatted_plan, make_bars, to_spark, w
 from marketlake.functions.scalars import default_time, enrich_intraday, parse_iso, split_symbols, to_utc
 from marketlake.operators import batch, clean, gold
 from marketlake.operators.indicators import indicators
+from marketlake.operators.series import measured_grain
+from marketlake.plans import etl, report
 from marketlake.plans import lake as lakes
-from marketlake.plans import report
 from marketlake.schema import BAR_SCHEMA, MissingColumns, conform_bars
 from marketlake.session import workspace
 from marketlake.sources import store, vendor
@@ -333,6 +335,80 @@ def test_steps(spark, year):
     assert report.trace_report(failed.events()).first().status == "failed"
 
 
+def test_newest_landing_and_recent_days_only(spark):
+    lake = lakes.Lake(workspace(spark, "lake"))
+    pdf = make_bars({"a": walk(60), "b": walk(60, 2)})
+    old, new = pdf[pdf["timestamp"] < "2020-02-01"], pdf[(pdf["timestamp"] >= "2020-02-01") & (pdf["symbol"] == "a")]
+    lakes.run(spark, lake, raw_frame(spark, old), steps="bronze", ingest_ts=day("2020-02-01"))
+    lakes.run(spark, lake, raw_frame(spark, new), steps="bronze", ingest_ts=day("2020-03-01"))
+    lakes.run(spark, lake, steps="silver", newest_only=True, documents=False)
+    rows = lakes.read_silver(spark, lake).groupBy("symbol").agg(F.min("timestamp").alias("first"), F.count("*").alias("n"))
+    assert {(r.symbol, str(r.first)[:10], r.n) for r in rows.collect()} == {("a", "2020-02-01", 29), ("b", "2020-01-01", 31)}
+    recent = lakes.Lake(workspace(spark, "lake"))
+    lakes.run(spark, recent, raw_frame(spark, pdf), steps="bronze-silver", as_of=day("2020-02-29"), days=10, documents=False)
+    assert lakes.read_silver(spark, recent).count() == 22
+
+
+def vendor_body(pdf: pd.DataFrame) -> str:
+    days = {
+        str(r.timestamp)[:10]: {vendor.BAR_FIELDS[c]: str(getattr(r, c)) for c in vendor.BAR_FIELDS} for r in pdf.itertuples()
+    }
+    return json.dumps({vendor.SERIES_KEY: days})
+
+
+def test_batch_run(spark):
+    stores = etl.Stores(workspace(spark, "etl"))
+    pdf = make_bars({"a": walk(80), "b": walk(25, 2)})
+    bodies = [(s, vendor_body(g)) for s, g in pdf.groupby("symbol")] + [("c", json.dumps({vendor.ERROR_KEY: "limit"}))]
+    landed = vendor.land_payloads(spark.createDataFrame(bodies, "symbol string, body string"))
+    profiles = spark.createDataFrame([("a", '{"Name": "A Inc"}'), ("b", "{}")], "symbol string, body string")
+    start, end = day("2020-01-05"), day("2020-03-10")
+    for _ in range(2):
+        status, summary, log = etl.process_symbols(
+            spark, stores, "a, b,c", landed, start, end, profiles, sensitive=["symbol:remove"], at=day("2024-01-01")
+        )
+    points = {r.symbol: (r.status, r.price_points, r.error) for r in status.collect()}
+    assert points == {"a": ("success", 66, None), "b": ("success", 21, None), "c": ("error", 0, "no data")}
+    assert tuple(summary.first())[:3] == (3, 2, 1)
+    assert {(r.symbol, r.name) for r in store.read_stocks(spark, stores.path("stocks")).collect()} == {("a", "A Inc"), ("b", "b")}
+    found = store.get_envelopes(spark, stores.path("envelopes"), "a", etl.INDICATORS, day("2024-01-01"), day("2024-01-01")).first()
+    payload = json.loads(found.data)
+    assert payload["symbol"] == "[REMOVED]" and len(json.loads(payload["document"])["sma_50"]) == 17
+    wide = etl.technical_indicators(spark, stores, "a", start, end, log)
+    assert wide.where("sma_50 IS NOT NULL").count() == 17
+    assert etl.technical_indicators(spark, stores, "zzz", start, end, log).count() == 0
+    log.flush()
+    assert log.events().where("event_type = 'calculate_indicators_no_data'").count() == 1
+    assert {t.status for t in report.trace_report(log.events().where("event_type LIKE 'trace%'")).collect()} == {"success"}
+
+
+def test_stream_events_are_logged(spark):
+    source, sink, checkpoint, path = (workspace(spark, n) for n in ("in", "out", "cp", "log"))
+    to_spark(spark, make_bars({"x": walk(5)})).write.parquet(source)
+    log = report.RunLog(spark, path)
+    listener = report.StreamLog(log)
+    spark.streams.addListener(listener)
+    try:
+        write_enriched(read_records(spark, source), sink, checkpoint).awaitTermination()
+        for _ in range(100):
+            if any(e[1] == "trace_end_stream" for e in log._events):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    log.flush()
+    traces = report.trace_report(log.events()).collect()
+    assert [t.status for t in traces] == ["success"]
+
+
+def test_measured_grain(spark):
+    pdf = make_bars({"long": walk(300), "short": walk(20)}, freq="h")
+    bars = to_spark(spark, pdf)
+    assert measured_grain(bars) == "day"
+    assert measured_grain(bars, most=100) == "hour"
+    assert measured_grain(to_spark(spark, make_bars({"x": walk(200)}, freq="s")), most=100) == "second"
+
+
 def test_stream_equals_batch(spark):
     source, sink, checkpoint = (workspace(spark, n) for n in ("in", "out", "cp"))
     bars = to_spark(spark, make_bars({"x": [0.0, *walk(50)]}))

@@ -50,5 +50,5 @@ def test_query(spark, database, folder, name):
     assert ordered(rows, result.columns) == ordered(answer.fetchall(), columns)
 
 
-def test_only_documents_and_envelopes_lack_sql():
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"indicator_document", "envelope_write"}
+def test_only_the_json_document_lacks_sql():
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"indicator_document"}
