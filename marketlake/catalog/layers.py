@@ -526,13 +526,13 @@ def batch_time_range(spark, folder):
 
 
 @query(
-    "pipeline_metrics",
+    "run_metrics",
     f"""WITH {DAILY}, {HOURLY.replace('bars AS', 'hours AS')}, m AS (
   SELECT symbol, 'daily' AS data_type, CAST(count(*) AS DOUBLE) AS value FROM bars GROUP BY 1
   UNION ALL SELECT symbol, 'hourly', count(*) FROM hours GROUP BY 1)
 SELECT 'records_extracted' AS metric, symbol, data_type, CAST(1 AS BIGINT) AS samples, value AS total, value AS least, value AS most, value AS mean FROM m""",
 )
-def pipeline_metrics(spark, folder):
+def run_metrics(spark, folder):
     """Metric rows appended to the metrics table by two loads, then reported."""
     log = report.RunLog(spark, workspace(spark, "log"))
     log.append_metrics(report.records_extracted(bars_daily(spark, folder), "daily"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlake.catalog.registry import BY_TIME, CHANGES, DAILY, EVENT_DAYS, HOURLY, RSI, full, over, query
+from marketlake.catalog.registry import BY_TIME, CHANGES, DAILY, EVENT_DAYS, HOURLY, RSI, SQL, full, over, query
 from marketlake.operators import batch
 from marketlake.operators.indicators import indicators
+from marketlake.session import workspace
 from marketlake.sources.bars import bars_daily, bars_events
+from marketlake.sources.store import write_documents
 
 KEY = ["symbol", "timestamp"]
 
@@ -266,7 +268,39 @@ def volatility(spark, folder):
 
 @query("indicator_document")
 def indicator_document(spark, folder):
-    return batch.indicator_document(bars_daily(spark, folder))
+    """The documents, written as JSON lines and read back."""
+    path = workspace(spark, "indicators")
+    write_documents(batch.indicator_document(bars_daily(spark, folder)), path)
+    return spark.read.schema("symbol string, document string").json(path)
+
+
+@query(
+    "indicator_document_summary",
+    f"""WITH s AS ({SQL['batch_statistics']}), v AS ({SQL['volatility']}), t AS ({SQL['trend']}), l AS ({SQL['support_resistance']}),
+n AS (WITH {DAILY} SELECT symbol, count(*) AS bars FROM bars GROUP BY 1)
+SELECT symbol, strftime(start_date, '%Y-%m-%dT%H:%M:%S') AS start_date, days, avg_price, max_volume, std_daily_return, total_return, daily, annualized, atr_14,
+       trend, strength, (SELECT price FROM l WHERE l.symbol = s.symbol AND pivot_type = 'support' AND place = 2) AS last_support,
+       CAST(bars - 49 AS INTEGER) AS sma_50_points, CAST(bars AS INTEGER) AS macd_points
+FROM s JOIN v USING (symbol) JOIN t USING (symbol) JOIN n USING (symbol)""",
+)
+def indicator_document_summary(spark, folder):
+    """The single values of the daily documents and the lengths of two series."""
+    schema = """sma_50 array<struct<value: double>>, macd struct<signal: array<struct<value: double>>>,
+        statistics struct<start_date: string, days: bigint, avg_price: double, max_volume: bigint, std_daily_return: double, total_return: double>,
+        volatility struct<daily: double, annualized: double, atr_14: double>,
+        trends struct<current: string, strength: double, support_levels: array<double>>"""
+    documents = batch.indicator_document(bars_daily(spark, folder))
+    parsed = documents.select("symbol", F.from_json("document", schema).alias("d")).select("symbol", "d.*")
+    return parsed.select(
+        "symbol",
+        "statistics.*",
+        "volatility.*",
+        F.col("trends.current").alias("trend"),
+        "trends.strength",
+        F.element_at("trends.support_levels", -1).alias("last_support"),
+        F.size("sma_50").alias("sma_50_points"),
+        F.size("macd.signal").alias("macd_points"),
+    )
 
 
 DOCUMENT_SERIES = {

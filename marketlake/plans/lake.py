@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.operators import gold
 from marketlake.operators.batch import indicator_document, silver_bars
@@ -29,7 +30,10 @@ STEPS = {
 
 @dataclass(frozen=True)
 class Lake:
+    """A folder of layers. Naming the raw schema saves merging the schemas of all bronze files."""
+
     root: str
+    raw_schema: T.StructType | None = None
 
     def path(self, layer: str) -> str:
         return f"{self.root}/{layer}"
@@ -84,7 +88,7 @@ def _only(df: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
 
 
 def read_bronze(spark, lake: Lake, data_type: str = "prices") -> DataFrame:
-    bronze = store.read_bronze(spark, lake.path("bronze")).where(F.col("data_type") == data_type)
+    bronze = store.read_bronze(spark, lake.path("bronze"), lake.raw_schema).where(F.col("data_type") == data_type)
     return bronze.drop("data_type", *store.DAY_PARTITIONS)
 
 

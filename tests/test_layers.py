@@ -305,7 +305,7 @@ def raw_frame(spark, pdf):
 
 
 def test_layered_run(spark, year):
-    lake = lakes.Lake(workspace(spark, "lake"))
+    lake = lakes.Lake(workspace(spark, "lake"), raw_frame(spark, year).schema)
     log = lakes.run(spark, lake, raw_frame(spark, year), ingest_ts=day("2024-01-01"))
     again = lakes.run(spark, lake, raw_frame(spark, year), ingest_ts=day("2024-01-02"))
     silver = collect(lakes.read_silver(spark, lake))

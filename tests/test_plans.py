@@ -7,7 +7,6 @@ import re
 import pytest
 
 from helpers import make_bars, to_spark, walk
-from marketlake import catalog
 from marketlake.operators import batch
 from marketlake.operators.indicators import indicators
 from marketlake.sources.bars import bars_daily, table
@@ -68,12 +67,5 @@ def test_scans_read_only_what_they_need(spark, folder):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz>" in text
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries()))
-def test_no_query_runs_python_or_cross_joins(spark, folder, name):
-    text = plan(catalog.queries()[name](spark, folder))
-    for node in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in text, node
-
-
 def test_tables_load_without_a_job(spark, folder):
     assert table(spark, folder, "orders").schema["o_orderdate"].dataType.typeName() == "timestamp_ntz"

@@ -37,6 +37,9 @@ def ordered(rows, columns):
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, database, folder, name):
     result = catalog.queries()[name](spark, folder)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "ArrowEval", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, node
     rows = [tuple(r) for r in result.collect()]
     sql = catalog.oracle_sql().get(name)
     if sql is None:
