@@ -16,7 +16,8 @@ def bars_from_ticks(ticks: DataFrame, symbol: Column, time: Column, price: Colum
     """Roll ticks up to OHLCV bars.
 
     ``order`` decides open and close and must be unique within a bar. Map-side partial aggregation
-    collapses each task's share of a hot symbol to one row per period before the shuffle.
+    collapses each task's share of a hot symbol to one row per period before the shuffle. A numeric order
+    (a sequence number) aggregates by hash; a struct makes Spark sort the ticks first, four times slower.
     """
     return (
         ticks.select(

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,10 +137,8 @@ def upsert_bars(spark: SparkSession, path: str, incoming: DataFrame, staging: st
     touched = [r.month for r in incoming.select(month.alias("month")).distinct().collect()]
     if not touched:
         return
-    if _exists(spark, path):
-        stored = read_bars(spark, path).where(F.concat(*MONTH_PARTITIONS).isin(touched)).drop(*MONTH_PARTITIONS)
-    else:
-        stored = spark.createDataFrame([], BAR_SCHEMA)
+    stored = _stored(spark, path, _typed(BAR_SCHEMA, MONTH_PARTITIONS))
+    stored = stored.where(F.concat(*MONTH_PARTITIONS).isin(touched)).drop(*MONTH_PARTITIONS)
     write_bars(merge_bars(stored, incoming, version).select(*BAR_SCHEMA.names), staging, "overwrite")
     write_bars(read_bars(spark, staging).drop(*MONTH_PARTITIONS), path, "overwrite")
 
@@ -181,14 +180,17 @@ def write_stocks(stocks: DataFrame, path: str, mode: str = "append") -> None:
 
 def read_stocks(spark: SparkSession, path: str) -> DataFrame:
     """All stored stock rows; none before the first write."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], STOCK_SCHEMA)
-    return spark.read.schema(STOCK_SCHEMA).parquet(path)
+    return _stored(spark, path, STOCK_SCHEMA)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table, empty while nothing has been written to its path."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def get_stock(spark: SparkSession, path: str, symbol: str) -> DataFrame:

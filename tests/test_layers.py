@@ -18,7 +18,7 @@ from marketlake.operators.indicators import indicators
 from marketlake.operators.series import measured_grain
 from marketlake.plans import etl, report
 from marketlake.plans import lake as lakes
-from marketlake.schema import BAR_SCHEMA, MissingColumns, conform_bars
+from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, MissingColumns, conform_bars
 from marketlake.session import workspace
 from marketlake.sources import store, vendor
 from marketlake.streaming.stream import read_records, refresh_from, write_enriched
@@ -419,7 +419,8 @@ def test_stream_equals_batch(spark):
     pd.testing.assert_frame_equal(got, expected)
 
 
-def test_incremental_silver_equals_full_silver(spark):
+@pytest.mark.parametrize("grain", ["day", "hour"])
+def test_incremental_silver_equals_full_silver(spark, grain):
     """In-order bars, gaps over a batch boundary, a new symbol, late bars, a correction, a replayed batch."""
     pdf = make_bars({"a": walk(90, 1), "b": walk(90, 2), "c": walk(30, 3)})
     pdf.loc[(pdf["symbol"] == "b") & pdf["timestamp"].between("2020-01-28", "2020-02-03"), "close"] = np.nan
@@ -435,7 +436,11 @@ def test_incremental_silver_equals_full_silver(spark):
     ]
     for rows in batches:
         to_spark(spark, rows).write.mode("append").parquet(bronze)
-        refresh = refresh_from(spark, bronze, root, checkpoint)
+        refresh = refresh_from(spark, bronze, root, checkpoint, grain)
     refresh.refresh(to_spark(spark, batches[-1]), 2)
     got, expected = collect(refresh.silver()), collect(batch.silver_bars(to_spark(spark, pdf)))
     pd.testing.assert_frame_equal(got[expected.columns], expected)
+    published = workspace(spark, "published")
+    refresh.publish(published)
+    found = store.get_prices(spark, published, "b", day("2020-02-01"), day("2020-02-29"), SILVER_SCHEMA)
+    assert found.where("sma_20 IS NOT NULL").count() == 29
