@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators.batch import indicator_document, indicators_wide
 from marketlake.operators.clean import between, forward_fill
+from marketlake.operators.series import is_sliced, measured_grain
 from marketlake.plans import report
 from marketlake.schema import BAR_SCHEMA
 from marketlake.sources import store, vendor
@@ -73,8 +74,12 @@ def process_symbols(
     calculate_indicators: bool = True,
     sensitive: Sequence[str] = (),
     at: datetime | None = None,
+    grain: str | None = None,
 ) -> tuple[DataFrame, DataFrame, report.RunLog]:
-    """Run the batch; returns (status per symbol, one-row summary, log)."""
+    """Run the batch; returns (status per symbol, one-row summary, log).
+
+    Without a ``grain`` the longest history is counted first. Slices also mean one document per month.
+    """
     log = report.RunLog(spark, stores.path("log"))
     listed = symbols if isinstance(symbols, str) else ",".join(symbols)
     requested = report.requested_symbols(spark.createDataFrame([(listed,)], "symbols string"), "symbols")
@@ -89,7 +94,9 @@ def process_symbols(
         log.append_metrics(report.records_extracted(bars, "historical_prices"))
         if calculate_indicators:
             with log.trace("load", data_type=INDICATORS):
-                documents = indicator_document(forward_fill(bars))
+                spacing = grain or measured_grain(bars)
+                period = "month" if is_sliced(spacing) else None
+                documents = indicator_document(forward_fill(bars, grain=spacing), spacing, period)
                 stamp = F.lit(at).cast("timestamp") if at else F.current_timestamp()
                 wrapped = store.envelopes(documents, F.col("symbol"), INDICATORS, stamp, sensitive)
                 store.write_envelopes(wrapped, stores.path("envelopes"))

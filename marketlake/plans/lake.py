@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from marketlake.operators import gold
 from marketlake.operators.batch import indicator_document, silver_bars
-from marketlake.operators.clean import last_days
-from marketlake.operators.series import is_sliced
+from marketlake.operators.clean import last_days, standardise
+from marketlake.operators.series import is_sliced, measured_grain
 from marketlake.plans import report
 from marketlake.schema import SILVER_SCHEMA
 from marketlake.sources import store
@@ -48,7 +48,7 @@ def run(
     data_type: str = "prices",
     ingest_ts: datetime | None = None,
     warmup: str = "full",
-    grain: str = "day",
+    grain: str | None = None,
     documents: bool = True,
     newest_only: bool = False,
     as_of: datetime | None = None,
@@ -57,7 +57,8 @@ def run(
     """Run the chosen layers; each reads what the layer before it wrote.
 
     The silver step takes all of bronze, or with ``newest_only`` each symbol's newest landing, or the bars
-    of the ``days`` days up to ``as_of``.
+    of the ``days`` days up to ``as_of``. Without a ``grain`` the longest history is counted first, and
+    decides whether histories are computed whole or in slices.
     """
     if steps not in STEPS:
         raise ValueError(f"steps is one of {', '.join(STEPS)}")
@@ -75,10 +76,12 @@ def run(
             bronze = store.latest_landing(read_bronze(spark, lake)) if newest_only else read_bronze(spark, lake)
             if days is not None:
                 bronze = last_days(bronze, as_of or datetime.now(timezone.utc), days)
-            to_silver(spark, lake, _only(bronze, symbols), warmup, grain, documents)
+            bronze = _only(bronze, symbols)
+            to_silver(spark, lake, bronze, warmup, grain or measured_grain(standardise(bronze)), documents)
     if "gold" in chosen:
         with log.trace("gold_aggregate", data_type="analytics"):
-            to_gold(spark, lake, symbols, grain)
+            silver = _only(read_silver(spark, lake), symbols)
+            to_gold(lake, silver, grain or measured_grain(silver))
     log.flush()
     return log
 
@@ -110,6 +113,5 @@ def read_silver(spark, lake: Lake) -> DataFrame:
     return store.read_bars(spark, lake.path("silver"), SILVER_SCHEMA).drop(*store.MONTH_PARTITIONS)
 
 
-def to_gold(spark, lake: Lake, symbols=None, grain: str = "day") -> None:
-    silver = _only(read_silver(spark, lake), symbols)
+def to_gold(lake: Lake, silver: DataFrame, grain: str = "day") -> None:
     store.write_gold(gold.monthly(silver), gold.statistics(silver, grain), lake.path("gold"))

@@ -7,7 +7,9 @@ import pandas as pd
 import pytest
 
 from helpers import assert_same, collect, make_bars, to_spark, walk
+from marketlake.operators import batch
 from marketlake.operators import indicators as ind
+from marketlake.operators.clean import forward_fill
 from marketlake.operators.indicators import indicators
 from marketlake.schema import MissingColumns
 
@@ -147,12 +149,34 @@ def test_slices_change_nothing(spark, slice_bars):
     pd.testing.assert_frame_equal(whole, sliced, check_exact=False, atol=1e-10, rtol=0)
 
 
+def test_slices_over_many_partitions(spark):
+    """Partitions small enough that rows and halo are coalesced differently."""
+    closes = [v if i % 9 else None for i, v in enumerate(walk(20_000, 3), 1)]
+    pdf = make_bars({"hot": closes, **{f"s{i}": walk(500, i) for i in range(20)}}, freq="s", gaps=True)
+    small = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "5KB",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    bars = to_spark(spark, pdf).cache()
+    whole = collect(batch.silver_bars(bars))
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        filled = forward_fill(bars, grain="second", slice_bars=900, keep_slice=True)
+        sliced = collect(indicators(filled, ["sma_20", "rsi_14"], grain="second", slice_bars=900))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        bars.unpersist()
+    pd.testing.assert_frame_equal(whole, sliced, check_exact=False, atol=1e-9, rtol=0)
+
+
 def test_sliced_averages_forget_what_double_precision_forgets(spark):
     pdf = make_bars({"a": walk(4000, 1), "b": walk(700, 2)}, freq="s", gaps=True)
     bars = to_spark(spark, pdf)
     names = ["ema_5", "ema_20", "macd", "history_bars"]
-    from marketlake.operators import batch  # noqa: F401  registers history_bars
-
     got = collect(indicators(bars, names, grain="second", slice_bars=20_000, gated=True))
     for column in ("ema_5", "ema_20", "macd", "macd_signal", "macd_histogram"):
         assert_same(got[column], by_symbol(pdf, EXPECTED[column]))

@@ -18,7 +18,7 @@ from marketlake.operators.indicators import indicators
 from marketlake.operators.series import measured_grain
 from marketlake.plans import etl, report
 from marketlake.plans import lake as lakes
-from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, MissingColumns, conform_bars
+from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, MissingColumns
 from marketlake.session import workspace
 from marketlake.sources import store, vendor
 from marketlake.streaming.stream import read_records, refresh_from, write_enriched
@@ -190,7 +190,17 @@ def test_intraday_documents_need_a_period(spark):
     assert batch.indicator_document(bars, grain="hour", period="day").count() == 3
 
 
-@pytest.mark.parametrize(("closes", "expected"), [(list(range(1, 61)), "bullish"), (list(range(60, 0, -1)), "bearish"), ([5.0] * 60, "sideways"), ([5.0] * 25, "sideways"), (list(range(1, 26)), "bullish"), (list(range(1, 20)), None)])
+@pytest.mark.parametrize(
+    ("closes", "expected"),
+    [
+        (list(range(1, 61)), "bullish"),
+        (list(range(60, 0, -1)), "bearish"),
+        ([5.0] * 60, "sideways"),
+        ([5.0] * 25, "sideways"),
+        (list(range(1, 26)), "bullish"),
+        (list(range(1, 20)), None),
+    ],
+)
 def test_trend(spark, closes, expected):
     rows = batch.trend(to_spark(spark, make_bars({"x": closes}))).collect()
     assert [r.trend for r in rows] == ([expected] if expected else [])
@@ -277,7 +287,8 @@ def test_envelope_range_crosses_month_ends_and_keeps_microseconds(spark):
 
 
 def test_vendor_payloads(spark):
-    good = json.dumps({vendor.SERIES_KEY: {"2024-01-02": {"1. open": "1.5", "2. high": "2", "3. low": "1", "4. close": "1.7", "5. adjusted close": "1.6", "6. volume": "100"}, "2024-02-02": {"1. open": "bad"}}})
+    first_day = {"1. open": "1.5", "2. high": "2", "3. low": "1", "4. close": "1.7", "5. adjusted close": "1.6", "6. volume": "100"}
+    good = json.dumps({vendor.SERIES_KEY: {"2024-01-02": first_day, "2024-02-02": {"1. open": "bad"}}})
     bodies = [("a", good), ("b", json.dumps({vendor.ERROR_KEY: "limit"})), ("c", "{}"), ("d", "not json")]
     landed = vendor.land_payloads(spark.createDataFrame(bodies, "symbol string, body string"))
     first, second = vendor.bars_from_payloads(landed).orderBy("timestamp").collect()
@@ -349,6 +360,17 @@ def test_newest_landing_and_recent_days_only(spark):
     assert lakes.read_silver(spark, recent).count() == 22
 
 
+def test_intraday_layered_run(spark):
+    lake = lakes.Lake(workspace(spark, "lake"))
+    pdf = make_bars({"a": walk(90), "b": walk(30, 2)}, freq="h")
+    lakes.run(spark, lake, raw_frame(spark, pdf), grain="hour")
+    silver = collect(lakes.read_silver(spark, lake))
+    assert_same(silver["sma_20"], pd.concat([g["close"].rolling(20).mean() for _, g in pdf.groupby("symbol")]))
+    statistics = spark.read.json(f"{lake.path('gold')}/statistics").where("symbol = 'a'").first()
+    assert statistics.price_stats.median == pytest.approx(pdf[pdf["symbol"] == "a"]["close"].median())
+    assert spark.read.json(lake.path("indicators")).count() == 2
+
+
 def vendor_body(pdf: pd.DataFrame) -> str:
     days = {
         str(r.timestamp)[:10]: {vendor.BAR_FIELDS[c]: str(getattr(r, c)) for c in vendor.BAR_FIELDS} for r in pdf.itertuples()
