@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
-Each query is run in full into Spark's ``noop`` sink, once to warm up and then ``BENCH_RUNS`` times; the
-best run counts.
+Each query is run in full into Spark's ``noop`` sink: all once to warm up, then each ``BENCH_RUNS`` times;
+the best run counts.
 """
 
 from __future__ import annotations
@@ -63,14 +63,15 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.queries()
     names = sys.argv[1:] or HEADLINE
-    seconds = {}
+
+    def timed(name: str) -> float:
+        begun = time.perf_counter()
+        queries[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - begun
+
     for name in names:
-        taken = []
-        for _ in range(runs + 1):
-            begun = time.perf_counter()
-            queries[name](spark, folder).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - begun)
-        seconds[name] = round(min(taken[1:]), 3)
+        timed(name)
+    seconds = {name: round(min(timed(name) for _ in range(runs)), 3) for name in names}
     spark.stop()
     print(
         json.dumps(
