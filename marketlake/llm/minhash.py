@@ -28,7 +28,8 @@ COORDINATES = 64
 MATCHES = 32
 PREFIX = COORDINATES - MATCHES + 1
 BLOCK = 256
-BUCKETS = 1 << 20
+BUCKETS_LOG2 = 18
+BUCKETS = 1 << BUCKETS_LOG2
 _COLUMNS = 4096
 _U = np.uint64
 
@@ -53,7 +54,7 @@ def keys_of(sig: np.ndarray) -> np.ndarray:
 
 
 def bucket(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys.astype(np.uint64)) >> _U(44)).astype(np.int64)
+    return (mix(keys.astype(np.uint64)) >> _U(64 - BUCKETS_LOG2)).astype(np.int64)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +97,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequencies(reps: DataFrame) -> np.ndarray:
     """About how many documents hold a value, in a table of fixed size. It only orders the lists: every document
     sees one figure per value, which is all that the prefix needs."""
-    rows = on_arrow(reps.select("sig"), _tally, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    rows = on_arrow(reps.select("sig"), _tally, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(BUCKETS, dtype=np.int64)
     total[rows["at"].to_numpy()] = rows["n"].to_numpy()
     return total
