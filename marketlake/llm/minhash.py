@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.graph import components, only_keys, written
-from marketlake.llm.text import WordHash, mix, on_arrow, shingle_sets
+from marketlake.llm.text import WordHash, key_runs, mix, on_arrow, shingle_sets
 
 COORDINATES = 64
 MATCHES = 32
@@ -147,29 +147,6 @@ def meetings(posted: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal values in ``names``; at most one run and one batch are held."""
-    held: list[pa.RecordBatch] = []
-    key = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        columns = [batch.column(batch.schema.get_field_index(n)).to_numpy() for n in names]
-        change = np.zeros(len(batch), dtype=bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        cuts = np.concatenate(([0], np.flatnonzero(change), [len(batch)]))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            here = tuple(int(c[a]) for c in columns)
-            if held and here != key:
-                yield pa.Table.from_batches(held)
-                held = []
-            key = here
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _partners(sig: np.ndarray, places: np.ndarray, coordinate: int, second: np.ndarray, across: bool) -> np.ndarray:
     """Which members of a meeting have a partner to be tested here."""
     wanted = np.zeros(len(sig), dtype=bool)
@@ -191,7 +168,7 @@ def candidates(cells: DataFrame, reps: DataFrame, frequency: np.ndarray) -> Data
     shared = reps.sparkSession.sparkContext.broadcast(frequency.astype(np.int32))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _runs(batches, ["key", "cell"]):
+        for run in key_runs(batches, ["key", "cell"]):
             key, cell = run["key"][0].as_py(), run["cell"][0].as_py()
             second = run["second"].to_numpy()
             across = cell >> 31 != cell & ((1 << 31) - 1)
@@ -243,7 +220,7 @@ def _leaders(linked: np.ndarray) -> np.ndarray:
 
 def _confirm(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _runs(batches, ["key", "cell"]):
+        for run in key_runs(batches, ["key", "cell"]):
             ids = run["doc_id"].to_numpy()
             sets = [np.frombuffer(x, dtype=np.uint64) for x in run["shingles"].to_pylist()]
             sizes = np.array([len(s) for s in sets], dtype=np.int64)

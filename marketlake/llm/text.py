@@ -138,6 +138,24 @@ def shingle_sets(column: pa.Array, hashing: WordHash) -> Iterator[np.ndarray]:
         yield from shingles(hashing.between(hashing.sums(data), begin, end), firsts)
 
 
-def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """A list column from flat values and row bounds."""
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
+def key_runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal values in ``names``; at most one run and one batch are held."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(batch.schema.get_field_index(n)).to_numpy() for n in names]
+        change = np.zeros(len(batch), dtype=bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        cuts = np.concatenate(([0], np.flatnonzero(change), [len(batch)]))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            here = tuple(int(c[a]) for c in columns)
+            if held and here != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = here
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
