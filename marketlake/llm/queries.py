@@ -5,14 +5,70 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlake.llm import minhash
+from marketlake.llm import covertree, minhash, packing, rans, topk
 from marketlake.llm.graph import tables
+from marketlake.session import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+# --- SQL -------------------------------------------------------------------------------------------
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS codes FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.codes, c.codes) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.codes) = len(c.codes) WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+LOWER_ASCII = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Needs links(a, b) and nodes(id).
+ROOTS_SQL = """
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, other) AS (SELECT id, id FROM nodes UNION SELECT r.id, s.b FROM reach r JOIN sides s ON r.other = s.a),
+roots AS (SELECT id, min(other) AS root FROM reach GROUP BY id)"""
+
+NEAR_TEXTS_SQL = f"""
+WITH RECURSIVE nodes AS (SELECT doc_id AS id FROM documents),
+words AS (SELECT doc_id, regexp_extract_all({LOWER_ASCII}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS shingle
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+{ROOTS_SQL}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.root AS component_id, d.doc_id = r.root AS kept
+FROM documents d JOIN roots r ON r.id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
+
+NEAR_VECTORS_SQL = f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),
+v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id < q.vec_id AND len(p.x) = len(q.x)
+  WHERE list_cosine_similarity(p.x, q.x) >= 0.93),
+{ROOTS_SQL},
+counted AS (SELECT a, count(*) AS n FROM sides GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, r.root AS component_id, e.vec_id = r.root AS kept
+FROM embeddings e JOIN roots r ON r.id = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id"""
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -23,6 +79,26 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op2_minhash_near_dedup")
+@query("op2_minhash_near_dedup", NEAR_TEXTS_SQL)
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(tables(spark, folder, "documents"))
+
+
+@query("op1_exact_top_k", TOP_K_SQL)
+def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_scores(tables(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op4_rans_token_file")
+def rans_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    return rans.token_file(tables(spark, folder, "documents"), workspace(spark, "token-file")).drop("ids")
+
+
+@query("op7_cover_tree_near_dedup", NEAR_VECTORS_SQL)
+def cover_tree_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.near_vectors(tables(spark, folder, "embeddings"))
+
+
+@query("op9_hilbert_packing")
+def hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_sequences(tables(spark, folder, "documents")).drop("ids")
