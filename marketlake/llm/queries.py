@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import covertree, minhash, packing, rans, topk
+from marketlake.llm import covertree, minhash, packing, rans, secret_scan, topk
 from marketlake.llm.graph import tables
 from marketlake.session import workspace
 
@@ -89,6 +89,11 @@ def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_scores(tables(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op3_secret_scan")
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_spans(tables(spark, folder, "documents"))
+
+
 @query("op4_rans_token_file")
 def rans_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return rans.token_file(tables(spark, folder, "documents"), workspace(spark, "token-file")).drop("ids")
