@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import covertree, minhash, packing, rans, secret_scan, topk
+from marketlake.llm import covertree, langid, minhash, packing, rans, secret_scan, topk
 from marketlake.llm.graph import tables
 from marketlake.session import workspace
 
@@ -107,3 +107,8 @@ def cover_tree_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_hilbert_packing")
 def hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_sequences(tables(spark, folder, "documents")).drop("ids")
+
+
+@query("op10_language_filters")
+def language_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.predictions(tables(spark, folder, "documents"))
