@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import covertree, langid, minhash, packing, rans, secret_scan, topk
+from marketlake.llm import covertree, langid, minhash, packing, rans, secret_scan, topk, toxicity
 from marketlake.llm.graph import tables
 from marketlake.session import workspace
 
@@ -112,3 +112,8 @@ def hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_language_filters")
 def language_filters(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predictions(tables(spark, folder, "documents"))
+
+
+@query("op8_counterfactual_toxicity")
+def counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.predictions(tables(spark, folder, "documents"), tables(spark, folder, "labels"))
