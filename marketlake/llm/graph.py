@@ -25,8 +25,12 @@ def tables(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def only_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose ``on`` is among the distinct ``keys``, a written table."""
-    small = keys.count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(keys) if small else keys, on, "left_semi")
+    return df.join(if_small(keys), on, "left_semi")
+
+
+def if_small(keys: DataFrame) -> DataFrame:
+    """A frame of one or two narrow columns, to be broadcast if it has few rows and shuffled else; the result is the same."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
