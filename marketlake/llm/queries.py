@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import covertree, langid, minhash, packing, rans, secret_scan, topk, toxicity
-from marketlake.llm.graph import tables
+from marketlake.llm import covertree, cross_entropy, langid, minhash, packing, pieces, rans, secret_scan, topk, toxicity
+from marketlake.llm.graph import if_small, tables
 from marketlake.session import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,16 @@ def language_filters(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_counterfactual_toxicity")
 def counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predictions(tables(spark, folder, "documents"), tables(spark, folder, "labels"))
+
+
+@query("op5_cross_entropy_difference")
+def cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents labelled as of good quality against all documents."""
+    good = tables(spark, folder, "labels").where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
+    docs = tables(spark, folder, "documents").select("doc_id", "text").join(if_small(good), "doc_id", "left")
+    return cross_entropy.scored(docs, F.col("good"))
+
+
+@query("op6_sentencepiece")
+def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded(tables(spark, folder, "documents")).drop("ids")
