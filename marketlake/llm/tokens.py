@@ -1,8 +1,8 @@
 """Token ids of whole texts by the tokenizers library, each distinct word of a task encoded once.
 
-A tokenizer whose pre-tokenizer drops white space treats every run between ASCII white space by itself, so a text's
-ids are those of its runs one after another. The runs of a batch are found in numpy, and only new ones go to
-the library. Tokenizers of another make get the whole texts.
+A tokenizer whose pre-tokenizer drops white space and parts letters, digits and other characters treats every such run
+by itself, so a text's ids are those of its runs one after another. The runs of a batch are found in numpy, and only
+new ones go to the library. Tokenizers of another make get the whole texts.
 """
 
 from __future__ import annotations
@@ -19,19 +19,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import LOWER, on_arrow, text_chunks, word_bounds
+from marketlake.llm.text import LOWER, SPACES, on_arrow, text_chunks
 
 END = 1
-KNOWN_WORDS = 400_000
-
-_MARK = np.zeros(256, dtype=bool)
-_MARK[[ord(c) for c in ".,;:!?"]] = True
-_ALNUM = np.zeros(256, dtype=bool)
-_ALNUM[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+KNOWN_WORDS = 800_000
+
+# Classes of bytes: white space, letter, digit, other ASCII, apostrophe, other byte, end of a letter from U+00C0 to U+00FF.
+_SPACE, _LETTER, _DIGIT, _OTHER, _QUOTE, _HIGH, _LATIN = range(7)
+_CLASS = np.full(256, _OTHER, dtype=np.uint8)
+_CLASS[list(SPACES)] = _SPACE
+_CLASS[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = _LETTER
+_CLASS[ord("0") : ord("9") + 1] = _DIGIT
+_CLASS[ord("'")] = _QUOTE
+_CLASS[:0x20] = np.where(_CLASS[:0x20] == _SPACE, _SPACE, _HIGH)
+_CLASS[0x7F:] = _HIGH
+# Where one class after another always begins a new piece of the pre-tokenizer: 8 * class before + class.
+_BEGINS = np.zeros(64, dtype=bool)
+for _before, _after in [
+    *((_SPACE, c) for c in range(1, 7)),
+    *((c, _DIGIT) for c in (_LETTER, _DIGIT, _OTHER, _QUOTE, _LATIN)),
+    *((_DIGIT, c) for c in (_LETTER, _OTHER, _QUOTE)),
+    *((c, d) for c in (_LETTER, _LATIN) for d in (_OTHER, _QUOTE)),
+    (_OTHER, _LETTER),
+]:
+    _BEGINS[8 * _before + _after] = True
+_SPACED = np.zeros(64, dtype=bool)
+_SPACED[1:7] = True
 # Second bytes of the letters from U+00C0 to U+00FF in UTF-8.
-_LATIN = np.zeros(256, dtype=bool)
-_LATIN[0x80:0xC0] = True
-_LATIN[[0x97, 0xB7]] = False
+_SECOND = np.zeros(256, dtype=bool)
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
@@ -73,7 +90,7 @@ class TextTokenizer:
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.flat, self.bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+        self.flat, self.bounds = np.array([END], dtype=np.int32), np.array([0, 1], dtype=np.int64)
 
     def learn(self, words: list[bytes]) -> None:
         ids: list[list[int]] = [[] for _ in words]
@@ -86,7 +103,7 @@ class TextTokenizer:
                 rest.append((i, text))
         for (i, _), found in zip(rest, self.library.encode_batch_fast([t for _, t in rest], add_special_tokens=False), strict=True):
             ids[i] = found.ids
-        at = len(self.known)
+        at = len(self.known) + 1
         self.known.update(zip(words, range(at, at + len(words)), strict=True))
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         new = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
@@ -94,59 +111,48 @@ class TextTokenizer:
         self.flat = np.concatenate((self.flat, new))
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-        """The distinct runs, and each run's place among them; then the number of each row's first run."""
-        begin, end, firsts = word_bounds(data, offsets)
-        if not len(begin):
-            return pa.array([], pa.large_binary()), begin, firsts
-        inside = np.zeros(len(data) + 1, dtype=np.int8)
-        inside[begin] += 1
-        inside[end] -= 1
-        inside = np.cumsum(inside[:-1]).astype(bool)
-        if b"<|" not in data.tobytes():  # special tokens are found before case is folded
-            mark = _MARK[data]
-            mark[0] = False
-            before = _ALNUM[data[:-1]]
-            before[1:] |= _LATIN[data[1:-1]] & (data[:-2] == 0xC3)
-            mark[1:] &= before & inside[:-1]
-            mark[offsets[:-1][offsets[:-1] < len(data)]] = False
-            begin = np.union1d(begin, np.flatnonzero(mark))
-            firsts = np.searchsorted(begin, offsets)
-            data = LOWER[data]
-        place = np.zeros(len(data) + 1, dtype=np.int64)
-        np.cumsum(inside, out=place[1:])
-        bounds = np.append(place[begin], place[-1])
-        runs = pa.Array.from_buffers(
-            pa.large_binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[inside]))]
-        ).dictionary_encode()
-        return runs.dictionary, runs.indices.to_numpy(), firsts
+        """The runs, dictionary-encoded, and the number of each row's first run."""
+        kind = _CLASS[data]
+        lead = np.flatnonzero(data[:-1] == 0xC3)
+        kind[lead[_SECOND[data[lead + 1]]] + 1] = _LATIN
+        sign = np.flatnonzero(data[:-1] == ord("<"))
+        special = bool((data[sign + 1] == ord("|")).any())  # special tokens are found before case is folded
+        start = np.empty(len(data), dtype=bool)
+        start[1:] = (_SPACED if special else _BEGINS)[(kind[:-1] << 3) | kind[1:]]
+        inside = kind != _SPACE
+        first = offsets[:-1][np.diff(offsets) > 0]
+        start[first] = inside[first]
+        begin = np.flatnonzero(start)
+        bounds = np.cumsum(inside, dtype=np.int32)
+        kept = data[inside]
+        bounds = np.append(bounds[begin] - 1, len(kept)).astype(np.int32)
+        kept = kept if special else LOWER[kept]
+        runs = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(kept)])
+        return runs.dictionary_encode(), np.searchsorted(begin, offsets)
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, row bounds) over runs of rows, every row ending with ``END``."""
         for row, data, offsets in text_chunks(column, 4 << 20):
             n = len(offsets) - 1
-            if self.by_word:
-                distinct, place, firsts = self.words(data, offsets)
-                words = distinct.to_pylist()
+            if self.by_word and len(data):
+                runs, firsts = self.words(data, offsets)
+                words = runs.dictionary.to_pylist()
                 if len(self.known) + len(words) > KNOWN_WORDS:
                     self.clear()
                 new = [w for w in words if w not in self.known]
                 if new:
                     self.learn(new)
-                at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))[place]
-                sizes = self.bounds[at + 1] - self.bounds[at]
-                ends = np.cumsum(sizes)
-                total = int(ends[-1]) if len(ends) else 0
-                ids = self.flat[np.arange(total) + np.repeat(self.bounds[at] - (ends - sizes), sizes)]
-                bounds = np.append(0, ends)[firsts]
+                at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))[runs.indices.to_numpy()]
+                # Entry 0 is the end id, after each row's last run.
+                at = np.insert(at, firsts[1:], 0)
+                found = pa.LargeListArray.from_arrays(pa.array(self.bounds), pa.array(self.flat)).take(pa.array(at))
+                out = found.values.to_numpy()
+                bounds = found.offsets.to_numpy()[firsts + np.arange(n + 1)]
             else:
                 texts = column.slice(row, n).fill_null("").to_pylist()
-                found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+                found = [[*e.ids, END] for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
                 bounds = np.append(0, np.cumsum([len(x) for x in found]))
-                ids = np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(bounds[-1]))
-            out = np.empty(len(ids) + n, dtype=np.int32)
-            out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(bounds))] = ids
-            bounds = bounds + np.arange(n + 1)
-            out[bounds[1:] - 1] = END
+                out = np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(bounds[-1]))
             yield row, out, bounds
 
 
