@@ -1,9 +1,9 @@
 """Near-duplicate documents by an inverted join over signature coordinates.
 
 A document is its set of distinct 5-word shingles. Its signature has 64 minima; every (coordinate, value) is a
-list of the documents that hold it. Two documents of similarity 0.85 agree in 32 or more coordinates but for a
-chance of 4e-10, and documents that agree in ``MATCHES`` of ``COORDINATES`` share a list among the
-``COORDINATES - MATCHES + 1`` that come first in any fixed order. The order here is rarest first, so that values
+list of the documents that hold it. Linked documents agree in a number of coordinates that follows from the
+threshold, but for a chance of ``LOST`` at the threshold itself (far less above it), and documents that agree in
+t of 64 coordinates share a list among the ``64 - t + 1`` that come first in any fixed order. The order here is rarest first, so that values
 of passages that many documents share are skipped wherever rarer ones will do.
 
 Lists of more than ``BLOCK`` documents are cut into blocks and met block against block. A pair is met in the
@@ -14,6 +14,7 @@ leaves a meeting is one link per document, never the pairs of a group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,7 @@ from marketlake.llm.graph import components, only_keys, written
 from marketlake.llm.text import WordHash, key_runs, mix, on_arrow, shingle_sets
 
 COORDINATES = 64
-MATCHES = 32
-PREFIX = COORDINATES - MATCHES + 1
+LOST = 1e-9
 BLOCK = 256
 BUCKETS_LOG2 = 18
 BUCKETS = 1 << BUCKETS_LOG2
@@ -39,6 +39,16 @@ _TIMES = mix(_numbers[COORDINATES:]) | _U(1)
 _SHIFT = (np.arange(COORDINATES, dtype=np.int64)) << 32
 
 
+def least_matches(percent: int) -> int:
+    """The most coordinates that two sets of that similarity reach but for a chance of ``LOST``."""
+    p, lost = percent / 100, 0.0
+    for n in range(COORDINATES):
+        lost += math.comb(COORDINATES, n) * p**n * (1 - p) ** (COORDINATES - n)
+        if lost > LOST:
+            return n
+    return COORDINATES
+
+
 def signature(values: np.ndarray) -> np.ndarray:
     """64 minima of a non-empty shingle set under different scramblings, mixed to 32 bits."""
     least = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -112,8 +122,8 @@ def ranks(sig: np.ndarray, frequency: np.ndarray) -> np.ndarray:
     return places.astype(np.uint8)
 
 
-def postings(reps: DataFrame, frequency: np.ndarray) -> DataFrame:
-    """(doc_id, key): the first lists of each document."""
+def postings(reps: DataFrame, frequency: np.ndarray, prefix: int) -> DataFrame:
+    """(doc_id, key): the first ``prefix`` lists of each document."""
     shared = reps.sparkSession.sparkContext.broadcast(frequency.astype(np.int32))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,8 +131,8 @@ def postings(reps: DataFrame, frequency: np.ndarray) -> DataFrame:
             for at in range(0, len(batch), 2048):
                 part = batch.slice(at, 2048)
                 sig = _matrix(part.column(1))
-                own = ranks(sig, shared.value) < PREFIX
-                ids = np.repeat(part.column(0).to_numpy(), PREFIX)
+                own = ranks(sig, shared.value) < prefix
+                ids = np.repeat(part.column(0).to_numpy(), prefix)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys_of(sig)[own])], ["doc_id", "key"])
 
     return on_arrow(reps.select("doc_id", "sig"), post, "doc_id long, key long")
@@ -147,23 +157,23 @@ def meetings(posted: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _partners(sig: np.ndarray, places: np.ndarray, coordinate: int, second: np.ndarray, across: bool) -> np.ndarray:
+def _partners(sig: np.ndarray, places: np.ndarray, coordinate: int, second: np.ndarray, across: bool, matches: int) -> np.ndarray:
     """Which members of a meeting have a partner to be tested here."""
     wanted = np.zeros(len(sig), dtype=bool)
-    posted = places < PREFIX
+    posted = places <= COORDINATES - matches
     for i in range(len(sig)):
         later = np.flatnonzero(second & ~second[i]) if across and not second[i] else np.arange(i + 1, 0 if across else len(sig))
         if not len(later):
             continue
         equal = sig[later] == sig[i]
         heavier = (equal & posted[later] & (posted[i] & (places[i] > places[i, coordinate]))[None, :]).any(axis=1)
-        found = later[(equal.sum(axis=1) >= MATCHES) & ~heavier]
+        found = later[(equal.sum(axis=1) >= matches) & ~heavier]
         if len(found):
             wanted[i] = wanted[found] = True
     return wanted
 
 
-def candidates(cells: DataFrame, reps: DataFrame, frequency: np.ndarray) -> DataFrame:
+def candidates(cells: DataFrame, reps: DataFrame, frequency: np.ndarray, matches: int) -> DataFrame:
     """The members of meetings that have a partner with enough equal coordinates."""
     shared = reps.sparkSession.sparkContext.broadcast(frequency.astype(np.int32))
 
@@ -175,7 +185,7 @@ def candidates(cells: DataFrame, reps: DataFrame, frequency: np.ndarray) -> Data
             if len(run) < 2 or (across and (second.all() or not second.any())):
                 continue
             sig = _matrix(run["sig"].combine_chunks())
-            wanted = _partners(sig, ranks(sig, shared.value), key >> 32, second, across)
+            wanted = _partners(sig, ranks(sig, shared.value), key >> 32, second, across, matches)
             if wanted.any():
                 yield from run.select(["doc_id", "key", "cell", "second"]).filter(pa.array(wanted)).to_batches()
 
@@ -243,28 +253,29 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.binary())], ["doc_id", "shingles"])
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every document of ``docs`` (doc_id, text, any further columns).
 
     Documents are linked when ``100 * |A ∩ B| >= percent * |A ∪ B|`` of their full shingle sets. ``component_id`` is the
     smallest doc_id reachable by links, ``kept`` marks that document. Equal sets are one class from the start
     (equal by size and two 64-bit sums over the set), so a large group of copies costs one row each; its
-    smallest doc_id stands for it. ``percent`` must be 85 or more: below, ``MATCHES`` would lose links.
+    smallest doc_id stands for it.
 
     Null, empty and blank texts have no shingles and link with nothing. Repeated rows are returned as often as they
     come, as copies; rows that repeat a doc_id with another text are one document that holds both. A null doc_id
     takes no part: its component_id is null and it is kept.
     """
-    if percent < 85:
-        raise ValueError("the signature is made for similarities of 85 percent or more")
+    matches = least_matches(percent)
+    if matches < 1:
+        raise ValueError("the signature is too short for so low a similarity")
     known = written(sketches(docs), "sketches")
     prints = ["n_shingles", "print_a", "print_b"]
     taking_part = known.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = taking_part.groupBy(*prints).agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("doc_id"))
     classes = written(classes, "classes")
     frequency = frequencies(classes)
-    cells = meetings(postings(classes, frequency), block)
-    met = written(candidates(cells, classes, frequency), "meetings")
+    cells = meetings(postings(classes, frequency, COORDINATES - matches + 1), block)
+    met = written(candidates(cells, classes, frequency, matches), "meetings")
     ids = written(met.select("doc_id").distinct(), "candidates")
     texts = only_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id")
     sets = on_arrow(texts, _sets, "doc_id long, shingles binary").where("length(shingles) > 0")

@@ -81,7 +81,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op2_minhash_near_dedup", NEAR_TEXTS_SQL)
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash.near_duplicates(tables(spark, folder, "documents"))
+    return minhash.near_duplicates(tables(spark, folder, "documents"), percent=85)
 
 
 @query("op1_exact_top_k", TOP_K_SQL)
