@@ -198,7 +198,7 @@ def candidates(cells: DataFrame, reps: DataFrame, frequency: np.ndarray, matches
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Exact sizes of all pairwise intersections of sorted sets, by products of 0/1 matrices in column blocks."""
+    """Exact sizes of the intersections of different sorted sets, by products of 0/1 matrices in column blocks."""
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)

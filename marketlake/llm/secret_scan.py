@@ -7,8 +7,8 @@ p-value of the three. Words and identifiers have tiny p-values, random keys have
 
 A token is reported if its p-value is above a threshold that depends on encoding and length: with ``N(p > 0.5)`` tokens in
 a band of lengths, about ``2 (1 - c) N(p > 0.5)`` random ones lie above c; the rest of those above c are false. The
-threshold is the lowest c from which on at most ``FALSE_SHARE`` are. Short tokens, whose tests are weak, thus need more.
-The counts are over all texts.
+threshold is the lowest c down to which at most ``FALSE_SHARE`` are, give or take one standard deviation of the count.
+Short tokens, whose tests are weak, thus need more. The counts are over all texts.
 """
 
 from __future__ import annotations
@@ -138,11 +138,12 @@ def thresholds(known: DataFrame) -> dict[int, int]:
         bands.setdefault(row["band"], [0] * BINS)[row["bin"]] += row["count"]
     lowest = {}
     for band, n in bands.items():
-        upper, above, at = sum(n[BINS // 2 :]), 0, BINS
-        for b in range(BINS - 1, 0, -1):
+        upper = above = sum(n[BINS // 2 :])
+        at = BINS // 2 if upper else BINS
+        for b in range(BINS // 2 - 1, 0, -1):
             above += n[b]
-            random = 2 * (1 - b / BINS) * upper
-            if above - random > FALSE_SHARE * above:
+            false = above - 2 * (1 - b / BINS) * upper
+            if not upper or false - above**0.5 > FALSE_SHARE * above:
                 break
             at = b
         lowest[band] = at

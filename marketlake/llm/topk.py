@@ -111,7 +111,8 @@ def top_scores(vectors: DataFrame, is_query, k: int = 5, query_block: int = QUER
 
     Ties go to smaller vec_ids. Null, empty or non-finite vectors and rows without a vec_id take no part; vectors are compared
     with those of their own length. Rows that repeat a vec_id and vector count once; a vec_id with several
-    vectors has its best score against each query, and as a query its best results over its vectors. An empty table has no results.
+    vectors has its best score against each query, and as a query its best results over its vectors. Scores must fit 64 bits.
+    An empty table has no results.
     """
     known = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), codes().alias("codes"), is_query.alias("asks"))
     known = known.where("vec_id IS NOT NULL AND codes IS NOT NULL").withColumn("dims", F.size("codes"))
