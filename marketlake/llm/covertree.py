@@ -37,12 +37,13 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class CoverTree:
     """Nodes of a cover tree over unit vectors: centre (a point), measured covering radius, children.
 
-    Levels that would not split a node are passed over, so every inner node has two or more children; a leaf is one
-    point. Points still together after ``LEVELS`` halvings become leaves under one node.
+    Levels that would not split a node are passed over, so every inner node has two or more children, and so are levels
+    so coarse that two balls and ``reach`` span the whole set, where no pair could be pruned. A leaf is one point;
+    points still together after ``LEVELS`` halvings become leaves under one node.
     """
 
-    def __init__(self, points: np.ndarray) -> None:
-        self.points = points
+    def __init__(self, points: np.ndarray, reach: float = 0.0) -> None:
+        self.points, self.reach, self.span = points, reach, None
         self.centre: list[int] = []
         self.radius: list[float] = []
         self.children: list[np.ndarray] = []
@@ -53,11 +54,12 @@ class CoverTree:
         me = len(self.centre)
         own = self.points[members]
         radius = float(_distances(own, own[:1]).max()) if len(members) > 1 else 0.0
+        self.span = radius if self.span is None else self.span
         self.centre.append(int(members[0]))
         self.radius.append(radius)
         self.children.append(np.zeros(0, dtype=np.int64))
         if len(members) > 1:
-            while level < LEVELS and 2.0 * 0.5**level >= radius:
+            while level < LEVELS and (2.0 * 0.5**level >= radius or 4.0 * 0.5**level + self.reach >= self.span):
                 level += 1
             parts = self._parts(members, 2.0 * 0.5**level) if level < LEVELS else np.split(members, len(members))
             self.children[me] = np.array([self._node(part, level + 1) for part in parts])
@@ -155,8 +157,8 @@ def _compare(cosine: float):
                 continue
             rows_a = np.flatnonzero(~second) if across else np.arange(len(run))
             rows_b = np.flatnonzero(second) if across else rows_a
-            tree_a = CoverTree(unit[rows_a])
-            tree_b = CoverTree(unit[rows_b]) if across else tree_a
+            tree_a = CoverTree(unit[rows_a], reach)
+            tree_b = CoverTree(unit[rows_b], reach) if across else tree_a
             links, label = np.zeros(len(run), dtype=np.int64), np.arange(len(run))
             for p, q in close_pairs(tree_a, tree_b, reach):
                 p, q = rows_a[p], rows_b[q]
