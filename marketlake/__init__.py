@@ -20,7 +20,6 @@ from marketlake.operators.batch import (
 from marketlake.operators.clean import between, clean, forward_fill, keep_latest, last_days
 from marketlake.operators.gold import monthly, statistics
 from marketlake.operators.indicators import indicators, register_indicator
-from marketlake.operators.series import measured_grain
 from marketlake.session import build_session
 
 __all__ = [
@@ -37,7 +36,6 @@ __all__ = [
     "keep_latest",
     "last_days",
     "mask_columns",
-    "measured_grain",
     "monthly",
     "pivot_points",
     "register_indicator",

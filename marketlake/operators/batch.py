@@ -27,11 +27,12 @@ MIN_BARS = {
 TRADING_DAYS = 252
 MOST_GATED = max(MIN_BARS.values())
 
-# Bars of the symbol, exact up to the largest gate, which is all a gate asks.
+# Whether the symbol has at least so many bars, one flag per gate. A slice sees them within the largest gate's halo.
+GATES = sorted(set(MIN_BARS.values()))
 register_indicator(
-    "history_bars",
+    "gates",
     Indicator(
-        lambda s, warmup: {"history_bars": F.least(F.count("*").over(s.whole), F.lit(MOST_GATED))},
+        lambda s, warmup: {f"has_{n}": F.count("*").over(s.whole) >= n for n in GATES},
         lookback=MOST_GATED - 1,
         lookahead=MOST_GATED - 1,
         needs=(),
@@ -161,8 +162,8 @@ def pivot_points(bars: DataFrame, grain: str = "day") -> DataFrame:
 
 def support_resistance(bars: DataFrame, grain: str = "day", levels: int = 3) -> DataFrame:
     """The last support and resistance levels per symbol, oldest first, from 30 bars on."""
-    found = indicators(bars.select("symbol", "timestamp", "close"), ["pivots", "history_bars"], grain=grain).where(
-        (F.col("history_bars") >= MIN_BARS["levels"]) & F.col("pivot_type").isNotNull()
+    found = indicators(bars.select("symbol", "timestamp", "close"), ["pivots", "gates"], grain=grain).where(
+        F.col(f"has_{MIN_BARS['levels']}") & F.col("pivot_type").isNotNull()
     )
     newest = Window.partitionBy("symbol", "pivot_type").orderBy(F.desc("timestamp"))
     kept = found.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= levels)
@@ -186,10 +187,21 @@ def iso(timestamp) -> Column:
 
 
 DOCUMENT_COLUMNS = [*SERIES_COLUMNS, "bb_upper", "bb_middle", "bb_lower", "macd", "macd_signal", "macd_histogram"]
-STATISTICS = (
-    "start_date end_date days min_price max_price avg_price min_volume max_volume avg_volume "
-    "avg_daily_return std_daily_return total_return"
-).split()
+# The statistics of a document, in order.
+STATISTICS = [
+    "start_date",
+    "end_date",
+    "days",
+    "min_price",
+    "max_price",
+    "avg_price",
+    "min_volume",
+    "max_volume",
+    "avg_volume",
+    "avg_daily_return",
+    "std_daily_return",
+    "total_return",
+]
 
 
 def indicator_document(bars: DataFrame, grain: str = "day", period: str | None = None) -> DataFrame:
@@ -203,14 +215,14 @@ def indicator_document(bars: DataFrame, grain: str = "day", period: str | None =
         raise ValueError("intraday documents need a period, so that no document grows with the history")
     require_columns(bars, "symbol", "timestamp", "high", "low", "close")
     bars = with_optional(bars, volume="bigint").select("symbol", "timestamp", "high", "low", "close", "volume")
-    wide = indicators(bars, [*WIDE, "pivots", "history_bars"], grain=grain, gated=True)
+    wide = indicators(bars, [*WIDE, "pivots", "gates"], grain=grain, gated=True)
     at = F.struct("timestamp", iso("timestamp").alias("iso"), "close", "pivot_type", *DOCUMENT_COLUMNS)
     rows = F.array_sort(F.collect_list(at)).alias("rows")
     summary = [
         *_statistics_aggregates(),
         *_volatility_aggregates(),
         *[F.max_by(c, "timestamp").alias(c) for c in ("close", "sma_20", "sma_50")],
-        F.max("history_bars").alias("bars"),
+        *[F.bool_or(f"has_{n}").alias(f"has_{n}") for n in GATES],
     ]
     if period is None:
         joined = wide.groupBy("symbol").agg(rows, *summary)
@@ -224,7 +236,7 @@ def indicator_document(bars: DataFrame, grain: str = "day", period: str | None =
     current, strength = _trend_columns()
 
     def gate(name: str, value: Column) -> Column:
-        return F.when(F.col("bars") >= MIN_BARS[name], value)
+        return F.when(F.col(f"has_{MIN_BARS[name]}"), value)
 
     def grouped(gate_name: str, **columns: str) -> Column:
         return gate(gate_name, F.struct(*[_points(c).alias(n) for n, c in columns.items()]))

@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.series import Series
@@ -27,24 +27,27 @@ def ema_reach(span: int) -> int:
     return 1 if decay <= 0 else math.ceil(math.log(PRECISION) / math.log(decay))
 
 
-def _block_rows(spans) -> int:
-    block = max(ema_reach(s) for s in spans)
-    steepest = max((-math.log(1 - 2 / (s + 1)) for s in spans if s > 1), default=0.0)
-    if block * steepest > _MAX_EXPONENT:
-        raise ValueError(f"spans {sorted(spans)} are too far apart for one pass; compute them separately")
-    return block
+def span_groups(spans) -> list[tuple[int, set[int]]]:
+    """Spans that can share blocks, with the rows of a block: within it the steepest weights must stay a double."""
+    groups: list[tuple[int, set[int]]] = []
+    for span in sorted(s for s in set(spans) if s > 1):
+        block = ema_reach(span)
+        if groups and block * -math.log(1 - 2 / (min(groups[-1][1]) + 1)) <= _MAX_EXPONENT:
+            groups[-1] = (block, groups[-1][1] | {span})
+        else:
+            groups.append((block, {span}))
+    return groups
 
 
 def number_blocks(series: Series, source: str, spans) -> Series:
-    """Add ``ema_pos`` (0 at the first value) and ``ema_block``, shared by all EMAs over ``source``.
+    """Add ``ema_pos`` (0 at the first value) and one ``ema_block`` per group of spans, shared by all EMAs over ``source``.
 
     Leading nulls are numbered -1. A null further on repeats the position before it, so the value there is
-    carried and the row has no weight.
+    carried and the row has no weight; see ``ema_over_gaps`` for averages whose weights decay there too.
     """
-    frame = series.frame.withColumn("ema_pos", F.count(source).over(series.so_far) - 1).withColumn(
-        "ema_block", F.floor(F.col("ema_pos") / _block_rows(spans))
-    )
-    return series.with_frame(frame)
+    frame = series.frame.withColumn("ema_pos", F.count(source).over(series.so_far) - 1)
+    blocks = {f"ema_block_{i}": F.floor(F.col("ema_pos") / block) for i, (block, _) in enumerate(span_groups(spans))}
+    return series.with_frame(frame.withColumns(blocks))
 
 
 def add_ema(series: Series, columns: Mapping[str, tuple[str, int]], spans) -> Series:
@@ -52,22 +55,22 @@ def add_ema(series: Series, columns: Mapping[str, tuple[str, int]], spans) -> Se
     plain = {name: F.col(source) for name, (source, span) in columns.items() if span <= 1}
     if plain:
         series = series.with_frame(series.frame.withColumns(plain))
-        columns = {name: spec for name, spec in columns.items() if name not in plain}
-        if not columns:
-            return series
-    block = _block_rows(spans)
+    for i, (block, members) in enumerate(span_groups(spans)):
+        own = {name: spec for name, spec in columns.items() if spec[1] in members}
+        if own:
+            series = _add_group(series, own, f"ema_block_{i}", block)
+    return series
+
+
+def _add_group(series: Series, columns: Mapping[str, tuple[str, int]], place: str, block: int) -> Series:
     in_block = (
-        Window.partitionBy(*series.keys, "ema_block")
+        Window.partitionBy(*series.keys, place)
         .orderBy("timestamp")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # ema_block rises with time, so this order is the sort the block window already made
-    before = (
-        Window.partitionBy(*series.keys)
-        .orderBy("ema_block", "timestamp")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offset = F.col("ema_pos") - F.col("ema_block") * block
+    # the block rises with time, so this order is the sort the block window already made
+    before = Window.partitionBy(*series.keys).orderBy(place, "timestamp").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.col("ema_pos") - F.col(place) * block
     decays = {name: 1 - 2 / (span + 1) for name, (_, span) in columns.items()}
     frame = series.frame.withColumns(
         {
@@ -95,7 +98,51 @@ def add_ema(series: Series, columns: Mapping[str, tuple[str, int]], spans) -> Se
 
 
 def drop_blocks(series: Series) -> Series:
-    return series.with_frame(series.frame.drop("ema_pos", "ema_block"))
+    return series.with_frame(series.frame.drop(*[c for c in series.frame.columns if c == "ema_pos" or c.startswith("ema_block_")]))
+
+
+def ema_over_gaps(bars: DataFrame, span: int, source: str = "close") -> DataFrame:
+    """Add ``ema_<span>`` whose old weight decays over NULLs too, for bars of a day or more apart.
+
+    After g steps ``y' = (d^g * y + a * x) / (d^g + a)``; a NULL repeats the value before it. So ``y`` is a sum of values weighted by a
+    running product of ``d^g / (d^g + a)``, taken as in ``add_ema`` within blocks in which the product stays a double.
+    A block closes once its product is below 1e-18, so its last value needs nothing older.
+    """
+    if span <= 1:
+        return bars.withColumn(f"ema_{span}", F.last(source, ignorenulls=True).over(_so_far()))
+    a = 2 / (span + 1)
+    by_time = Window.partitionBy("symbol").orderBy("timestamp")
+    valued = F.col(source).isNotNull()
+    rows = bars.withColumn("gap_row", F.row_number().over(by_time))
+    known = F.last(F.when(valued, F.col("gap_row")), ignorenulls=True).over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    kept = F.pow(F.lit(1 - a), F.least(F.col("gap_row") - known, F.lit(10 * ema_reach(span))))
+    rows = rows.withColumn("gap_kept", F.when(known.isNull(), F.lit(1.0)).otherwise(kept))
+    share = F.col("gap_kept") / (F.col("gap_kept") + a)
+    first = F.count(F.when(valued, 1)).over(_so_far()) == 1
+    step = F.when(valued & ~first, -F.ln(F.greatest(share, F.lit(PRECISION)))).otherwise(0.0)
+    rows = rows.withColumns({"gap_first": first, "gap_step": step})
+    rows = rows.withColumn("gap_fall", F.sum("gap_step").over(_so_far()))
+    rows = rows.withColumn("gap_block", F.floor(F.col("gap_fall") / 200.0))
+    weight = F.when(F.col("gap_first"), 1.0).otherwise(a / (F.col("gap_kept") + a))
+    start = F.col("gap_block") * 200.0
+    in_block = Window.partitionBy("symbol", "gap_block").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = F.sum(F.when(valued, F.col(source) * weight * F.exp(F.col("gap_fall") - start))).over(in_block) * F.exp(start - F.col("gap_fall"))
+    rows = rows.withColumn("gap_sum", part)
+    blocks = Window.partitionBy("symbol").orderBy("gap_block", "timestamp").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(valued, F.struct("gap_block", "gap_sum", "gap_fall")), ignorenulls=True).over(blocks)
+    rows = rows.withColumn("gap_last", last)
+    end = Window.partitionBy("symbol", "gap_block").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carry = F.first(F.struct("gap_last.gap_sum", "gap_last.gap_fall")).over(end)
+    rows = rows.withColumn("gap_carry", carry)
+    older = F.coalesce(F.col("gap_carry.gap_sum") * F.exp(F.col("gap_carry.gap_fall") - F.col("gap_fall")), F.lit(0.0))
+    rows = rows.withColumn(f"ema_{span}", F.coalesce("gap_sum", F.lit(0.0)) + older)
+    seen = F.count(source).over(_so_far()) > 0
+    rows = rows.withColumn(f"ema_{span}", F.when(seen, F.col(f"ema_{span}")))
+    return rows.drop(*[c for c in rows.columns if c.startswith("gap_")])
+
+
+def _so_far():
+    return Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def _power(base: float, exponent):

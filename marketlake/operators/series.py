@@ -14,16 +14,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-GRAIN_SECONDS = {"second": 1, "minute": 60, "hour": 3600}
+GRAIN_MICROS = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}
 CALENDAR_GRAINS = ("day", "week", "month", "quarter", "year")
 SLICE_BARS = 16_384
-# Histories up to this many bars are computed as one slice when the grain is measured.
-WHOLE_SERIES_BARS = 1_000_000
+# What one document covers for bars at least so many microseconds apart.
+DOCUMENT_PERIODS = {3_600_000_000: "month", 60_000_000: "day", 1_000_000: "hour", 1000: "second", 1: "millisecond"}
 
 
 @dataclass(frozen=True)
@@ -61,12 +62,12 @@ class Series:
         return self.frame.where(~F.col("halo")).drop("slice", "halo")
 
 
-def slice_of(timestamp: str, grain: str, slice_bars: int = SLICE_BARS):
-    number = F.floor(F.unix_seconds(timestamp) / (GRAIN_SECONDS[grain] * slice_bars))
+def slice_of(timestamp: str, grain: str | timedelta, slice_bars: int = SLICE_BARS):
+    number = F.floor(F.unix_micros(timestamp) / (spacing(grain) * slice_bars))
     return F.coalesce(number, F.lit(0))  # never NULL, so joins on it add no filter that would split the plan
 
 
-def cut(bars: DataFrame, grain: str, slice_bars: int = SLICE_BARS) -> DataFrame:
+def cut(bars: DataFrame, grain: str | timedelta, slice_bars: int = SLICE_BARS) -> DataFrame:
     """Number the slices and move each to one partition."""
     return bars.withColumn("slice", slice_of("timestamp", grain, slice_bars)).repartition("symbol", "slice")
 
@@ -76,33 +77,35 @@ def dated(bars: DataFrame) -> DataFrame:
     return bars.where(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull())
 
 
-def is_sliced(grain: str) -> bool:
+def undated(bars: DataFrame) -> DataFrame:
+    """The bars that ``dated`` leaves out, for the quarantine."""
+    return bars.where(F.col("symbol").isNull() | F.col("timestamp").isNull())
+
+
+def spacing(grain: str | timedelta) -> int | None:
+    """Microseconds between bars of a grain, a name or the spacing itself; None from a day upward."""
+    if isinstance(grain, timedelta):
+        apart = grain // timedelta(microseconds=1)
+        return None if apart >= 86_400_000_000 else max(apart, 1)
     if grain in CALENDAR_GRAINS:
-        return False
-    if grain not in GRAIN_SECONDS:
-        raise ValueError(f"unknown grain {grain!r}; use one of {[*GRAIN_SECONDS, *CALENDAR_GRAINS]}")
-    return True
+        return None
+    if grain not in GRAIN_MICROS:
+        raise ValueError(f"unknown grain {grain!r}; use one of {[*GRAIN_MICROS, *CALENDAR_GRAINS]} or a timedelta")
+    return GRAIN_MICROS[grain]
 
 
-def measured_grain(bars: DataFrame, most: int = WHOLE_SERIES_BARS) -> str:
-    """The grain to use for bars of unknown spacing: runs one aggregation and reads one row of it.
+def is_sliced(grain: str | timedelta) -> bool:
+    return spacing(grain) is not None
 
-    If no symbol has more than ``most`` bars, whole histories are safe; otherwise the closest average
-    spacing among the longer histories decides.
-    """
-    spans = bars.groupBy("symbol").agg(
-        F.count("*").alias("bars"),
-        (F.unix_seconds(F.max("timestamp")) - F.unix_seconds(F.min("timestamp"))).alias("seconds"),
-    )
-    spacing = F.min(F.when(F.col("bars") > most, F.col("seconds") / (F.col("bars") - 1)))
-    closest = spans.agg(spacing.alias("spacing")).first()["spacing"]
-    if closest is None:
-        return "day"
-    return "second" if closest < 60 else "minute" if closest < 3600 else "hour"
+
+def default_period(grain: str | timedelta) -> str | None:
+    """What one document of a grain covers unless stated: a whole history from a day upward, some thousands of bars below."""
+    apart = spacing(grain)
+    return None if apart is None else next(p for least, p in DOCUMENT_PERIODS.items() if apart >= least)
 
 
 def as_series(
-    bars: DataFrame, grain: str = "day", lookback: int = 0, lookahead: int = 0, slice_bars: int = SLICE_BARS
+    bars: DataFrame, grain: str | timedelta = "day", lookback: int = 0, lookahead: int = 0, slice_bars: int = SLICE_BARS
 ) -> Series:
     """Partition ``bars`` so that windows reaching ``lookback``/``lookahead`` rows are exact.
 
@@ -125,30 +128,27 @@ def as_series(
 def _halo(bars: DataFrame, reach: int, later: bool) -> DataFrame:
     """Copies of the bars within ``reach`` rows of a later (or earlier) slice, filed under that slice.
 
-    Each slice offers its outermost rows, ``reach`` at most, as one array. Where the neighbour slice is
-    short, the copies come from several slices; how many rows each one gives follows from the running
-    count of offered rows. There is no join, so the rows are read from the exchange of the slices.
+    Each slice offers its outermost rows, ``reach`` at most. How many each neighbour slice takes of them follows from the
+    running count of offered rows along the symbol, over one slim row (symbol, slice, held) per slice; where slices are short,
+    the copies come from several. The rows themselves then go straight from their slice to the slices that take them.
     """
     outward = F.desc("timestamp") if later else F.asc("timestamp")
     onward = F.asc("slice") if later else F.desc("slice")
     edge = bars.withColumn(
         "edge_rank", F.row_number().over(Window.partitionBy("symbol", "slice").orderBy(outward))
     ).where(F.col("edge_rank") <= reach)
-    payload = [c for c in edge.columns if c not in ("symbol", "slice")]
-    offered = edge.groupBy("symbol", "slice").agg(
-        F.collect_list(F.struct(*payload)).alias("rows"), F.max("edge_rank").alias("held")
-    )
-
-    along = Window.partitionBy("symbol").orderBy(onward)
-    through = F.sum("held").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    goal = F.struct(F.col("slice").alias("slice"), (F.col("through") - F.col("held")).alias("before"))
-    near = F.filter("goals", lambda g: g["before"] - F.col("through") < reach)
-    wanted = F.filter("rows", lambda r: r["edge_rank"] + F.col("goal.before") - F.col("through") <= reach)
-    copies = (
-        offered.withColumn("through", through)
-        .withColumn("goals", F.collect_list(goal).over(along.rowsBetween(1, reach)))
-        .select("symbol", "rows", "through", F.explode(near).alias("goal"))
-        .select("symbol", F.col("goal.slice").alias("slice"), F.explode(wanted).alias("row"))
+    held = edge.groupBy("symbol", "slice").agg(F.max("edge_rank").cast("bigint").alias("held"))
+    before = F.sum("held").over(Window.partitionBy("symbol").orderBy(onward)) - F.col("held")
+    # A slice holds ``reach`` rows at most, so all that give rows begin within twice the reach.
+    near = Window.partitionBy("symbol").orderBy("before").rangeBetween(-2 * reach, -1)
+    givers = F.collect_list(F.struct("slice", (F.col("before") + F.col("held")).alias("through"))).over(near)
+    takes = (
+        held.withColumn("before", before)
+        .select("symbol", F.col("slice").alias("taker"), "before", givers.alias("givers"))
+        .select("symbol", "taker", "before", F.explode("givers").alias("giver"))
+        .select("symbol", F.col("giver.slice").alias("slice"), "taker", (F.col("giver.through") + reach - F.col("before")).alias("most"))
+        .where("most > 0")
     )
-    named = [F.col("symbol") if c == "symbol" else F.col("slice") if c == "slice" else F.col(f"row.{c}") for c in bars.columns]
+    copies = edge.join(takes, ["symbol", "slice"]).where("edge_rank <= most")
+    named = [F.col("taker").alias("slice") if c == "slice" else F.col(c) for c in bars.columns]
     return copies.select(*named, F.lit(True).alias("halo")).repartition("symbol", "slice")

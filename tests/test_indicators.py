@@ -11,6 +11,7 @@ from marketlake.operators import batch
 from marketlake.operators import indicators as ind
 from marketlake.operators.clean import forward_fill
 from marketlake.operators.indicators import indicators
+from marketlake.operators.recurrence import ema_over_gaps
 from marketlake.schema import MissingColumns
 
 ALL = ["sma_5", "sma_20", "sma_50", "ema_5", "ema_20", "rsi_14", "bollinger", "macd", "atr_14", "pivots", "daily_return"]
@@ -176,11 +177,11 @@ def test_slices_over_many_partitions(spark):
 def test_sliced_averages_forget_what_double_precision_forgets(spark):
     pdf = make_bars({"a": walk(4000, 1), "b": walk(700, 2)}, freq="s", gaps=True)
     bars = to_spark(spark, pdf)
-    names = ["ema_5", "ema_20", "macd", "history_bars"]
+    names = ["ema_5", "ema_20", "macd", "gates"]
     got = collect(indicators(bars, names, grain="second", slice_bars=20_000, gated=True))
     for column in ("ema_5", "ema_20", "macd", "macd_signal", "macd_histogram"):
         assert_same(got[column], by_symbol(pdf, EXPECTED[column]))
-    assert (got["history_bars"] == 50).all()
+    assert got["has_50"].all() and got["has_5"].all()
 
 
 def test_a_new_indicator_can_be_registered(spark):
@@ -208,3 +209,21 @@ def test_wide_spans(spark):
     assert_same(got["ema_200"], ema(pdf["close"], 200))
     assert_same(got["ema_1"], pdf["close"])
     del ind.REGISTRY["ema_200"], ind.REGISTRY["ema_1"]
+
+
+def test_spans_far_apart_and_gaps(spark):
+    pdf = make_bars({"a": walk(900, 1), "b": walk(40, 2)})
+    ind.register_indicator("ema_200", ind.ema(200))
+    got = collect(indicators(to_spark(spark, pdf), ["ema_5", "ema_200"]))
+    for span in (5, 200):
+        assert_same(got[f"ema_{span}"], by_symbol(pdf, lambda g: g["close"].ewm(span=span, adjust=False).mean()))
+
+
+@pytest.mark.parametrize("span", [1, 2, 5, 26])
+def test_averages_over_gaps_against_pandas(spark, span):
+    rng = np.random.default_rng(span)
+    holes = [None, None] + [v if rng.random() < 0.7 and not 200 < i < 320 else None for i, v in enumerate(walk(700, 4))]
+    pdf = make_bars({"a": holes, "b": walk(30, 5), "c": [None, 1.0, None], "d": [None, None]})
+    got = collect(ema_over_gaps(to_spark(spark, pdf), span))
+    expected = by_symbol(pdf, lambda g: g["close"].ewm(span=span, adjust=False, ignore_na=False).mean()) if span > 1 else pdf.groupby("symbol")["close"].ffill()
+    assert_same(got[f"ema_{span}"], expected)

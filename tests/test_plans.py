@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from helpers import make_bars, to_spark, walk
+from helpers import formatted_plan, make_bars, to_spark, walk
 from marketlake.operators import batch
 from marketlake.operators.indicators import indicators
 from marketlake.sources.bars import bars_daily, table
@@ -44,7 +44,19 @@ def test_slices_move_the_data_once(stored):
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "Exchange" not in text[: text.index("Union")]
-    assert text.count("FileScan") == 1 and "ReusedExchange" in text
+    assert "ReusedExchange" in text
+    reads = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert sorted(len(r.split(",")) for r in reads)[:-1] == [2] * (len(reads) - 1)
+
+
+@pytest.mark.parametrize("names", [["macd"], batch.WIDE])
+def test_no_window_of_a_whole_symbol_carries_rows(stored, names):
+    """What is gathered by symbol alone is one slim row per slice."""
+    text = formatted_plan(indicators(stored, names, grain="hour", slice_bars=32))
+    by_symbol = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(symbol#\d+, \d+\)", text)
+    assert by_symbol
+    for columns in by_symbol:
+        assert {c.split("#")[0] for c in columns.split(", ")} <= {"symbol", "slice", "held", "before", "taker"}
 
 
 def test_intraday_cleaning_scans_once(stored):
