@@ -19,6 +19,7 @@ def query(name: str, sql: str | None = None, places: int = 6):
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return tidy(fn(spark, folder), places)
 
         run.__name__ = name

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators.batch import indicator_document, indicators_wide
 from marketlake.operators.clean import between, forward_fill
-from marketlake.operators.series import is_sliced, measured_grain
+from marketlake.operators.series import default_period
 from marketlake.plans import report
 from marketlake.schema import BAR_SCHEMA
 from marketlake.sources import store, vendor
@@ -40,6 +40,7 @@ def extract(spark: SparkSession, stores: Stores, requested: DataFrame, payloads:
     measures small.
     """
     wanted = payloads.join(requested, "symbol", "left_semi")
+    store.quarantine(vendor.split_payloads(wanted)[1].select("symbol", "body", "error"), stores.path("quarantine"), "payload")
     newest = F.unix_micros("ingest_ts").alias("seq")
     stamped = vendor.bars_from_payloads(wanted.select("symbol", "body", newest), start, end)
     store.upsert_bars(spark, stores.path("prices"), stamped, stores.path("staging"))
@@ -48,6 +49,7 @@ def extract(spark: SparkSession, stores: Stores, requested: DataFrame, payloads:
 def add_new_stocks(spark: SparkSession, stores: Stores, profiles: DataFrame) -> None:
     """Store the stocks that are not stored yet."""
     known = stores.path("stocks")
+    store.quarantine(vendor.rejected_profiles(profiles).select("symbol", "body", "error"), stores.path("quarantine"), "profile")
     incoming = vendor.stocks_from_profiles(profiles).select("symbol", "name", "exchange", "sector", "industry")
     stored = store.read_stocks(spark, known)
     store.write_stocks(store.new_stocks(incoming, stored), known)
@@ -74,12 +76,16 @@ def process_symbols(
     calculate_indicators: bool = True,
     sensitive: Sequence[str] = (),
     at: datetime | None = None,
-    grain: str | None = None,
+    grain: str = "day",
+    period: str | None = None,
 ) -> tuple[DataFrame, DataFrame, report.RunLog]:
-    """Run the batch; returns (status per symbol, one-row summary, log).
+    """Run the batch; returns (result per symbol, one-row summary, log).
 
-    Without a ``grain`` the longest history is counted first. Slices also mean one document per month.
+    ``grain`` is the spacing of the bars and ``period`` what one document covers: a whole history of bars a day or more
+    apart, a stated part of an intraday one (by default the one that ``default_period`` names). Neither depends on the data's size.
+    Rejected payloads and profiles go to the quarantine table and are counted; their text is the symbol's error.
     """
+    begun = datetime.now(timezone.utc)
     log = report.RunLog(spark, stores.path("log"))
     listed = symbols if isinstance(symbols, str) else ",".join(symbols)
     requested = report.requested_symbols(spark.createDataFrame([(listed,)], "symbols string"), "symbols")
@@ -92,14 +98,18 @@ def process_symbols(
         stored = store.between_months(store.read_bars(spark, stores.path("prices")), start, end)
         bars = stored.select(*BAR_SCHEMA.names).join(requested, "symbol", "left_semi")
         log.append_metrics(report.records_extracted(bars, "historical_prices"))
+        rejected = store.read_quarantine(spark, stores.path("quarantine")).where(F.col("at") >= F.lit(begun).cast("timestamp"))
+        log.append_metrics(report.per_symbol(rejected.groupBy("symbol").count(), "records_rejected", F.col("count"), "historical_prices"))
+        stamp = F.lit(at).cast("timestamp") if at else F.current_timestamp()
+        calculated = None
         if calculate_indicators:
             with log.trace("load", data_type=INDICATORS):
-                spacing = grain or measured_grain(bars)
-                period = "month" if is_sliced(spacing) else None
-                documents = indicator_document(forward_fill(bars, grain=spacing), spacing, period)
-                stamp = F.lit(at).cast("timestamp") if at else F.current_timestamp()
+                documents = indicator_document(forward_fill(bars, grain=grain), grain, period or default_period(grain))
                 wrapped = store.envelopes(documents, F.col("symbol"), INDICATORS, stamp, sensitive)
                 store.write_envelopes(wrapped, stores.path("envelopes"))
-        status = report.batch_status(requested, between(bars, start, end))
+            calculated = report.indicators_calculated(bars)
+            log.append_metrics(report.per_symbol(calculated, "indicators_calculated", F.col("indicators_calculated"), INDICATORS))
+        errors = rejected.where("kind = 'payload'").select("symbol", "error")
+        status = report.batch_result(report.batch_status(requested, between(bars, start, end), errors), start, end, stamp, calculated)
     log.flush()
     return status, report.batch_summary(status), log

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.operators import gold
-from marketlake.operators.batch import indicator_document, silver_bars
+from marketlake.operators.batch import indicator_document, last_bars, silver_bars
 from marketlake.operators.clean import last_days, standardise
-from marketlake.operators.series import is_sliced, measured_grain
+from marketlake.operators.series import dated, default_period, undated
 from marketlake.plans import report
-from marketlake.schema import SILVER_SCHEMA
+from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA
 from marketlake.sources import store
 
 STEPS = {
@@ -48,17 +48,19 @@ def run(
     data_type: str = "prices",
     ingest_ts: datetime | None = None,
     warmup: str = "full",
-    grain: str | None = None,
+    grain: str = "day",
+    period: str | None = None,
     documents: bool = True,
     newest_only: bool = False,
     as_of: datetime | None = None,
     days: int | None = None,
 ) -> report.RunLog:
-    """Run the chosen layers; each reads what the layer before it wrote.
+    """Run the chosen layers; each reads what the layer before it wrote, and replaces only the keys it computes.
 
-    The silver step takes all of bronze, or with ``newest_only`` each symbol's newest landing, or the bars
-    of the ``days`` days up to ``as_of``. Without a ``grain`` the longest history is counted first, and
-    decides whether histories are computed whole or in slices.
+    The silver step takes all of bronze, or with ``newest_only`` each symbol's newest landing, or the bars of the ``days`` days up to
+    ``as_of``; other stored bars stay, and stored bars that the new ones reach are computed anew. ``grain`` is
+    the spacing of the bars, ``period`` what one document covers (see ``default_period``); neither depends on the data's size.
+    Bars without a symbol or a time, and silver files that cannot be read, go to the quarantine table and are counted.
     """
     if steps not in STEPS:
         raise ValueError(f"steps is one of {', '.join(STEPS)}")
@@ -73,15 +75,21 @@ def run(
             log.metric("records_extracted", seen.get["records"], data_type=data_type)
     if "silver" in chosen:
         with log.trace("silver_process", data_type=data_type):
-            bronze = store.latest_landing(read_bronze(spark, lake)) if newest_only else read_bronze(spark, lake)
+            bronze = _landed(spark, lake, data_type)
+            bronze = store.latest_landing(bronze) if newest_only else bronze
+            bronze = standardise(bronze.drop("data_type", *store.DAY_PARTITIONS))
+            set_aside(spark, lake, _only(bronze, symbols), log, data_type)
             if days is not None:
                 bronze = last_days(bronze, as_of or datetime.now(timezone.utc), days)
-            bronze = _only(bronze, symbols)
-            to_silver(spark, lake, bronze, warmup, grain or measured_grain(standardise(bronze)), documents)
+            part = newest_only or days is not None
+            to_silver(spark, lake, _only(bronze, symbols), warmup, grain, documents, period, part, log)
     if "gold" in chosen:
         with log.trace("gold_aggregate", data_type="analytics"):
-            silver = _only(read_silver(spark, lake), symbols)
-            to_gold(lake, silver, grain or measured_grain(silver))
+            unread = store.unread_files(spark, [lake.path("silver")], SILVER_SCHEMA).select("path", "length", F.lit("unreadable file").alias("error"))
+            seen_files, skipped = report.observed(unread, "skipped_files")
+            store.quarantine(seen_files, lake.path("quarantine"), "file")
+            log.metric("files_skipped", skipped.get["records"], data_type="analytics")
+            to_gold(lake, _only(read_silver(spark, lake), symbols), grain)
     log.flush()
     return log
 
@@ -90,28 +98,80 @@ def _only(df: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
     return df.where(F.col("symbol").isin(list(symbols))) if symbols else df
 
 
+def _landed(spark, lake: Lake, data_type: str) -> DataFrame:
+    return store.read_bronze(spark, lake.path("bronze"), lake.raw_schema).where(F.col("data_type") == data_type)
+
+
 def read_bronze(spark, lake: Lake, data_type: str = "prices") -> DataFrame:
-    bronze = store.read_bronze(spark, lake.path("bronze"), lake.raw_schema).where(F.col("data_type") == data_type)
-    return bronze.drop("data_type", *store.DAY_PARTITIONS)
+    return _landed(spark, lake, data_type).drop("data_type", *store.DAY_PARTITIONS)
+
 
+def set_aside(spark, lake: Lake, bars: DataFrame, log: report.RunLog, data_type: str) -> None:
+    """Quarantine and count the bars that belong to no series."""
+    lost, seen = report.observed(undated(bars), "undated_bars")
+    store.quarantine(lost.withColumn("error", F.lit("no symbol or no time")), lake.path("quarantine"), "bar")
+    log.metric("records_rejected", seen.get["records"], data_type=data_type)
 
-def to_silver(spark, lake: Lake, bronze: DataFrame, warmup="full", grain="day", documents=True) -> None:
-    """Clean bronze, add indicators, write silver by event month, and the indicator documents."""
-    enriched = silver_bars(bronze, warmup=warmup, grain=grain)
+
+def to_silver(
+    spark,
+    lake: Lake,
+    bronze: DataFrame,
+    warmup="full",
+    grain="day",
+    documents=True,
+    period: str | None = None,
+    part: bool = False,
+    log: report.RunLog | None = None,
+) -> None:
+    """Clean bronze, add indicators, merge silver by symbol and time, and the documents of the symbols computed.
+
+    With ``part`` the stored bars of the same symbols from the first new one on, and the ``REACH`` before it, are computed along, so
+    that every value is what a run over the whole history gives; the ones before are not written again.
+    """
+    bars = bronze
+    if part:
+        bars = _with_stored(spark, lake, bronze)
+    enriched = silver_bars(bars, version=("arrival", "ingest_ts"), warmup=warmup, grain=grain)
+    if part:
+        enriched = enriched.where("fresh")
     columns = {f.name: f.dataType for f in SILVER_SCHEMA.fields}
     present = set(enriched.columns)
     enriched = enriched.select(
         *[(F.col(c) if c in present else F.lit(None)).cast(t).alias(c) for c, t in columns.items()]
     )
-    store.write_bars(enriched, lake.path("silver"), "overwrite")
+    counted, seen = report.observed(enriched, "silver_rows")
+    store.upsert_bars(spark, lake.path("silver"), counted, lake.path("staging"), schema=SILVER_SCHEMA)
+    if log is not None:
+        log.metric("records_processed", seen.get["records"], data_type="silver")
     if documents:
-        period = "month" if is_sliced(grain) else None
-        store.write_documents(indicator_document(read_silver(spark, lake), grain, period), lake.path("indicators"))
+        symbols = bronze.select("symbol").where("symbol IS NOT NULL").distinct()
+        silver = read_silver(spark, lake).join(symbols, "symbol", "left_semi")
+        found = indicator_document(silver, grain, period or default_period(grain))
+        store.write_documents(found, lake.path("indicators"), lake.path("staging"))
+
+
+# Bars before a changed one that the silver indicators of later bars look back on.
+REACH = 20
+
+
+def _with_stored(spark, lake: Lake, bronze: DataFrame) -> DataFrame:
+    """New bars (``fresh``) with the stored ones of the same symbols that they reach or are reached by."""
+    bronze = bronze.withColumns({"fresh": F.lit(True), "arrival": F.lit(1)})
+    first = dated(bronze).groupBy("symbol").agg(F.min("timestamp").alias("first_new"))
+    stored = store.stored_bars(spark, lake.path("silver"), SILVER_SCHEMA).select(*BAR_SCHEMA.names).join(first, "symbol")
+    later = stored.where("timestamp >= first_new").withColumns({"fresh": F.lit(True), "arrival": F.lit(0)})
+    before = last_bars(stored.where("timestamp < first_new"), REACH).withColumns({"fresh": F.lit(False), "arrival": F.lit(0)})
+    known = later.unionByName(before.drop("age")).drop("first_new")
+    return bronze.unionByName(known, allowMissingColumns=True)
 
 
 def read_silver(spark, lake: Lake) -> DataFrame:
-    return store.read_bars(spark, lake.path("silver"), SILVER_SCHEMA).drop(*store.MONTH_PARTITIONS)
+    """Silver without the files that cannot be read; the gold step counts these."""
+    typed = store._typed(SILVER_SCHEMA, store.MONTH_PARTITIONS)
+    return store.read_readable(spark, [lake.path("silver")], typed).drop(*store.MONTH_PARTITIONS)
 
 
 def to_gold(lake: Lake, silver: DataFrame, grain: str = "day") -> None:
-    store.write_gold(gold.monthly(silver), gold.statistics(silver, grain), lake.path("gold"))
+    """Merge the rollup and the statistics of the symbols in ``silver``."""
+    store.write_gold(gold.monthly(silver), gold.statistics(silver, grain), lake.path("gold"), lake.path("staging"))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from marketlake.functions.scalars import split_symbols
+from marketlake.operators.batch import MIN_BARS, indicator_gates
 
 NO_DATA = "no data"
 FIRST_ERRORS = 5
@@ -47,16 +48,39 @@ def batch_id(symbol: Column, at: Column) -> Column:
     return F.concat_ws("_", symbol, F.date_format(at, "yyyyMMdd"))
 
 
-def batch_status(requested: DataFrame, bars: DataFrame) -> DataFrame:
-    """Outcome per requested symbol. Bars are counted before the join, which then sees one row per symbol."""
+def batch_status(requested: DataFrame, bars: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """Outcome per requested symbol: bars, and the text of the error (``errors``: symbol, error) of one without bars.
+
+    Bars and errors are reduced before the join, which then sees one row per symbol on each side.
+    """
     counts = bars.groupBy("symbol").agg(F.count("*").alias("price_points"))
     joined = requested.join(counts, "symbol", "left")
+    if errors is None:
+        joined = joined.withColumn("said", F.lit(None).cast("string"))
+    else:
+        joined = joined.join(errors.groupBy("symbol").agg(F.max("error").alias("said")), "symbol", "left")
     found = F.col("price_points").isNotNull()
     return joined.select(
         "symbol",
         F.coalesce("price_points", F.lit(0)).alias("price_points"),
         F.when(found, "success").otherwise("error").alias("status"),
-        F.when(~found, NO_DATA).alias("error"),
+        F.when(~found, F.coalesce("said", F.lit(NO_DATA))).alias("error"),
+    )
+
+
+def batch_result(status: DataFrame, start: datetime, end: datetime, at: Column, indicators: DataFrame | None = None) -> DataFrame:
+    """``status`` with the batch id, the dates asked for and the number of indicators stored (``indicators``: symbol, indicators_calculated)."""
+    if indicators is None:
+        counted = status.withColumn("indicators_calculated", F.lit(0).cast("bigint"))
+    else:
+        one = indicators.groupBy("symbol").agg(F.max("indicators_calculated").cast("bigint").alias("indicators_calculated"))
+        counted = status.join(one, "symbol", "left")
+    return counted.select(
+        batch_id(F.col("symbol"), at).alias("batch_id"),
+        *status.columns,
+        F.lit(start).cast("timestamp").alias("start_date"),
+        F.lit(end).cast("timestamp").alias("end_date"),
+        F.coalesce("indicators_calculated", F.lit(0)).alias("indicators_calculated"),
     )
 
 
@@ -107,6 +131,23 @@ def records_extracted(bars: DataFrame, data_type: str, at: Column | None = None)
     )
 
 
+def indicators_calculated(bars: DataFrame) -> DataFrame:
+    """(symbol, indicators_calculated): how many results a symbol has the bars for."""
+    flags = [F.col(f"has_{name}").cast("int") for name in MIN_BARS]
+    return indicator_gates(bars).select("symbol", sum(flags[1:], flags[0]).cast("bigint").alias("indicators_calculated"))
+
+
+def per_symbol(rows: DataFrame, metric: str, value: Column, data_type: str, at: Column | None = None) -> DataFrame:
+    """Metric rows with one value per symbol of ``rows``."""
+    return rows.select(
+        F.lit(metric).alias("metric"),
+        value.cast("double").alias("value"),
+        "symbol",
+        F.lit(data_type).alias("data_type"),
+        (at if at is not None else F.current_timestamp()).alias("at"),
+    )
+
+
 def metric_report(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("metric", "symbol", "data_type").agg(
         F.count("*").alias("samples"),
@@ -157,6 +198,11 @@ class RunLog:
         self.event(f"trace_end_{name}", trace_id, status="success", **data)
         self.metric(f"{name}_seconds", time.monotonic() - begun, data_type=data.get("data_type"))
 
+    @property
+    def pending(self) -> int:
+        """Events and metrics not written yet."""
+        return len(self._events) + len(self._metrics)
+
     def flush(self) -> None:
         for rows, schema, name in ((self._events, EVENT_SCHEMA, "events"), (self._metrics, METRIC_SCHEMA, "metrics")):
             if rows:
@@ -175,10 +221,13 @@ class RunLog:
 
 
 class StreamLog(StreamingQueryListener):
-    """Start, progress and end of streaming queries as events; register with ``spark.streams.addListener``."""
+    """Start, progress and end of streaming queries as events; register with ``spark.streams.addListener``.
+
+    Events are written once ``most`` of them are held and when a query ends, so the driver holds few.
+    """
 
-    def __init__(self, log: RunLog):
-        self.log = log
+    def __init__(self, log: RunLog, most: int = 100):
+        self.log, self.most = log, most
 
     def onQueryStarted(self, event) -> None:
         self.log.event("trace_start_stream", str(event.runId), status="started", name=event.name)
@@ -186,6 +235,8 @@ class StreamLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         self.log.event("stream_progress", str(progress.runId), batch=progress.batchId, rows=progress.numInputRows)
+        if self.log.pending >= self.most:
+            self.log.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -193,6 +244,7 @@ class StreamLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         status = "failed" if event.exception else "success"
         self.log.event("trace_end_stream", str(event.runId), status=status)
+        self.log.flush()
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

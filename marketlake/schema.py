@@ -37,6 +37,20 @@ STOCK_SCHEMA = T.StructType(
     ]
 )
 
+DOCUMENT_SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("document", T.StringType())])
+
+PERIOD_SCHEMA = T.StructType([*DOCUMENT_SCHEMA.fields, T.StructField("period", T.TimestampType())])
+
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("body", T.StringType()),
+        T.StructField("at", T.TimestampType()),
+        T.StructField("kind", T.StringType()),
+    ]
+)
+
 ENVELOPE_SCHEMA = T.StructType(
     [
         T.StructField("source_id", T.StringType(), False),

@@ -13,7 +13,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -26,13 +25,6 @@ def build_session(app: str = "marketlake", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime defaults to a session somebody else created."""
-    for key, value in DEFAULTS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.session import configure
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def bars_from_ticks(ticks: DataFrame, symbol: Column, time: Column, price: Column, order: Column, grain: str) -> DataFrame:
@@ -46,7 +44,7 @@ def bars_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bars_events(spark: SparkSession, folder: str, grain: str = "hour") -> DataFrame:
-    """Intraday (or daily) bars per event type."""
+    """Intraday (or daily) bars per event type; ticks in order of time, then id, as one number that aggregates by hash."""
     events = table(spark, folder, "events")
-    order = F.struct("ts", "event_id")
+    order = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(38,0)") * F.lit(10**19).cast("decimal(20,0)") + F.col("event_id")
     return bars_from_ticks(events, F.col("event_type"), F.col("ts"), F.col("value"), order, grain)

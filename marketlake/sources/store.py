@@ -8,6 +8,7 @@ lets AQE split oversized partitions (a hot month or ingest day) and merge small
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
@@ -20,12 +21,23 @@ from pyspark.sql import types as T
 from marketlake.functions.masking import mask_columns
 from marketlake.functions.scalars import date_parts
 from marketlake.operators.clean import keep_latest
-from marketlake.schema import BAR_SCHEMA, ENVELOPE_SCHEMA, STOCK_SCHEMA, with_optional
+from marketlake.operators.series import dated
+from marketlake.schema import (
+    BAR_SCHEMA,
+    DOCUMENT_SCHEMA,
+    ENVELOPE_SCHEMA,
+    PERIOD_SCHEMA,
+    QUARANTINE_SCHEMA,
+    STOCK_SCHEMA,
+    with_optional,
+)
 
 MONTH_PARTITIONS = ["year", "month"]
 DAY_PARTITIONS = ["year", "month", "day"]
 BRONZE_PARTITIONS = ["data_type", *DAY_PARTITIONS]
 ENVELOPE_VERSION = "1.0"
+# Tables with one row per symbol lie in this many buckets of symbols, so that a merge rewrites few of them.
+SYMBOL_BUCKETS = 64
 # Spark's JSON writer keeps milliseconds only unless told otherwise
 JSON_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -56,11 +68,10 @@ def _typed(schema: T.StructType, partitions: Sequence[str]) -> T.StructType:
 
 
 def land_bronze(raw: DataFrame, path: str, data_type: str = "prices", ingest_ts: datetime | None = None) -> None:
-    """Append a raw frame under its ingest date, columns untouched."""
+    """Append a raw frame under its ingest date, columns untouched and rows where they are: no shuffle."""
     stamp = F.lit(ingest_ts).cast("timestamp") if ingest_ts else F.current_timestamp()
     stamped = raw.withColumns({"ingest_ts": stamp, "data_type": F.lit(data_type)})
-    dated = stamped.withColumns(date_parts("ingest_ts"))
-    _write(dated, path, BRONZE_PARTITIONS, ["symbol", "timestamp"], "append")
+    stamped.withColumns(date_parts("ingest_ts")).write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -76,10 +87,13 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = No
 def latest_landing(bronze: DataFrame) -> DataFrame:
     """Per symbol the rows of its newest landing.
 
-    The newest time per symbol is one small row each; the join is left to AQE, which broadcasts it only
-    when it measures small.
+    Two narrow columns give the newest time per symbol, one small row each. Of a table by ingest day, only the days on
+    which these times lie are then read; the calendar bounds their number. The join is left to AQE.
     """
     newest = bronze.groupBy("symbol").agg(F.max("ingest_ts").alias("ingest_ts"))
+    if set(DAY_PARTITIONS) <= set(bronze.columns):
+        days = newest.select(F.date_format("ingest_ts", "yyyyMMdd").alias("day")).distinct().toArrow()["day"].to_pylist()
+        bronze = bronze.where(F.concat(*DAY_PARTITIONS).isin([d for d in days if d is not None]))
     return bronze.join(newest, ["symbol", "ingest_ts"])
 
 
@@ -92,14 +106,18 @@ def symbols_in(layer: DataFrame) -> DataFrame:
 
 def write_bars(bars: DataFrame, path: str, mode: str = "append") -> None:
     """Write bars by the month of their own timestamp. ``overwrite`` replaces only the months written."""
-    parts = {k: v for k, v in date_parts("timestamp").items() if k in MONTH_PARTITIONS}
-    _write(bars.withColumns(parts), path, MONTH_PARTITIONS, ["symbol", "timestamp"], mode)
+    _write(bars.withColumns(month_parts()), path, MONTH_PARTITIONS, ["symbol", "timestamp"], mode)
 
 
 def read_bars(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA) -> DataFrame:
     return spark.read.schema(_typed(schema, MONTH_PARTITIONS)).parquet(path)
 
 
+def stored_bars(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA) -> DataFrame:
+    """All bars of a store; none before the first write."""
+    return _stored(spark, path, _typed(schema, MONTH_PARTITIONS)).drop(*MONTH_PARTITIONS)
+
+
 def between_months(df: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Inclusive time range with the predicates on ``year``/``month`` that prune directories."""
     year, month = F.col("year"), F.col("month")
@@ -118,29 +136,60 @@ def get_prices(spark: SparkSession, path: str, symbol: str, start: datetime, end
     return rows.drop(*MONTH_PARTITIONS).orderBy("timestamp")
 
 
-def merge_bars(stored: DataFrame, incoming: DataFrame, version: str = "seq") -> DataFrame:
-    """Last write per (symbol, timestamp) wins; ``incoming`` beats ``stored``, then the higher version."""
+def merge_bars(stored: DataFrame, incoming: DataFrame, version: str = "seq", keys: Sequence[str] = ("symbol", "timestamp")) -> DataFrame:
+    """Last write per key wins; ``incoming`` beats ``stored``, then the higher version."""
     stored = stored.withColumn("arrival", F.lit(0)).withColumn(version, F.lit(None).cast("bigint"))
     incoming = with_optional(incoming.withColumn("arrival", F.lit(1)), **{version: "bigint"})
     both = stored.unionByName(incoming, allowMissingColumns=True)
-    return keep_latest(both, ["symbol", "timestamp"], ["arrival", version]).drop("arrival", version)
+    return keep_latest(both, list(keys), ["arrival", version]).drop("arrival", version)
+
+
+def merge_into(
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    schema: T.StructType,
+    keys: Sequence[str],
+    partitions: dict[str, Column],
+    staging: str,
+    version: str = "seq",
+    kind: str = "parquet",
+) -> None:
+    """Replace the stored rows with the keys of ``incoming``, leaving all others, and rewrite only the partitions it touches.
+
+    ``partitions`` are computed from the rows; which ones are touched is collected, so their number must be bounded
+    (months by the calendar, buckets by ``SYMBOL_BUCKETS``). ``incoming`` is computed once, into a folder of this call's own
+    under ``staging``, and so is the result: Spark cannot overwrite files it is reading, a lost executor recomputes from
+    files that still exist, and nothing that an earlier call staged is seen.
+    """
+    own = f"{staging}/{uuid.uuid4().hex}"
+    names = list(partitions)
+    with_optional(incoming, **{version: "bigint"}).select(*schema.names, version).withColumns(partitions).write.parquet(f"{own}/incoming")
+    typed = _typed(schema, names)
+    incoming = spark.read.schema(T.StructType([*typed.fields, T.StructField(version, T.LongType())])).parquet(f"{own}/incoming")
+    place = F.concat_ws("/", *names)
+    touched = incoming.select(place.alias("place")).distinct().toArrow()["place"].to_pylist()
+    if not touched:
+        return
+    stored = _stored(spark, path, typed, kind).where(place.isin(touched))
+    merge_bars(stored, incoming, version, keys).select(*typed.names).write.parquet(f"{own}/merged")
+    _write(spark.read.schema(typed).parquet(f"{own}/merged"), path, names, list(keys), "overwrite", kind)
+
+
+def month_parts(timestamp: str = "timestamp") -> dict[str, Column]:
+    return {k: v for k, v in date_parts(timestamp).items() if k in MONTH_PARTITIONS}
 
 
-def upsert_bars(spark: SparkSession, path: str, incoming: DataFrame, staging: str, version: str = "seq") -> None:
-    """Merge bars into the store, rewriting only the months the incoming rows touch.
+def symbol_bucket() -> dict[str, Column]:
+    return {"bucket": F.pmod(F.xxhash64("symbol"), F.lit(SYMBOL_BUCKETS)).cast("string")}
 
-    The months are collected to prune directories; the calendar bounds them, at twelve a year. The result
-    is staged first: Spark cannot overwrite files it is reading, and a lost executor then recomputes from
-    files that still exist.
+
+def upsert_bars(spark: SparkSession, path: str, incoming: DataFrame, staging: str, version: str = "seq", schema: T.StructType = BAR_SCHEMA) -> None:
+    """Merge bars into the store by (symbol, timestamp), rewriting only the months the incoming rows touch.
+
+    Rows without a symbol or a time have no key and are left out; ``quarantine`` is the place for them.
     """
-    month = F.date_format("timestamp", "yyyyMM")
-    touched = [r.month for r in incoming.select(month.alias("month")).distinct().collect()]
-    if not touched:
-        return
-    stored = _stored(spark, path, _typed(BAR_SCHEMA, MONTH_PARTITIONS))
-    stored = stored.where(F.concat(*MONTH_PARTITIONS).isin(touched)).drop(*MONTH_PARTITIONS)
-    write_bars(merge_bars(stored, incoming, version).select(*BAR_SCHEMA.names), staging, "overwrite")
-    write_bars(read_bars(spark, staging).drop(*MONTH_PARTITIONS), path, "overwrite")
+    merge_into(spark, path, dated(incoming), schema, ["symbol", "timestamp"], month_parts(), staging, version)
 
 
 def union_layers(*frames: DataFrame) -> DataFrame:
@@ -149,24 +198,62 @@ def union_layers(*frames: DataFrame) -> DataFrame:
 
 
 def read_readable(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """Many Parquet paths as one frame, skipping files that cannot be read."""
+    """Many Parquet paths as one frame, skipping files that cannot be read; ``unread_files`` names these."""
     reader = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
     return reader.schema(schema).parquet(*paths)
 
 
+def unread_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """(path, length) of the Parquet files below ``paths`` from which no row can be read. Reads names and row counts only."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(list(paths))
+    name = F.element_at(F.split(F.col("path"), "/"), -1)
+    seen = read_readable(spark, paths, schema).select(F.col("_metadata.file_name").alias("name")).distinct()
+    return listed.select("path", "length", name.alias("name")).join(seen, "name", "left_anti").drop("name")
+
+
+# --- quarantine -------------------------------------------------------------------------------------
+
+
+def quarantine(rejected: DataFrame, path: str, kind: str, at: Column | None = None) -> None:
+    """Append what a step could not use, with the ``error``, as rows of (symbol, error, body, at) under its kind."""
+    body = F.col("body") if "body" in rejected.columns else F.to_json(F.struct(*[c for c in rejected.columns if c != "error"]), JSON_TIMES)
+    symbol = F.col("symbol").cast("string") if "symbol" in rejected.columns else F.lit(None).cast("string")
+    rows = rejected.select(symbol.alias("symbol"), "error", body.alias("body"), (at if at is not None else F.current_timestamp()).alias("at"), F.lit(kind).alias("kind"))
+    rows.write.mode("append").partitionBy("kind").parquet(path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path, QUARANTINE_SCHEMA)
+
+
 # --- silver and gold --------------------------------------------------------------------------------
 
 
-def write_documents(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON document per line and symbol."""
-    documents.write.mode(mode).options(**JSON_TIMES).json(path)
+def write_documents(documents: DataFrame, path: str, staging: str) -> None:
+    """Merge JSON documents by symbol (and period, where there is one), as lines in buckets of symbols."""
+    keys = [c for c in ("symbol", "period") if c in documents.columns]
+    merge_into(documents.sparkSession, path, documents, DOCUMENT_SCHEMA if "period" not in keys else PERIOD_SCHEMA, keys, symbol_bucket(), staging, kind="json")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(symbol, period, document); the period is NULL for documents of whole histories."""
+    return _stored(spark, path, _typed(PERIOD_SCHEMA, ["bucket"]), "json").drop("bucket")
+
+
+def write_gold(monthly: DataFrame, statistics: DataFrame, path: str, staging: str) -> None:
+    """Merge the monthly rollup (Parquet by year) by symbol and month, and the statistics (JSON in buckets) by symbol."""
+    spark = monthly.sparkSession
+    year = {"year": F.substring("year_month", 1, 4)}
+    merge_into(spark, f"{path}/monthly", monthly, monthly.schema, ["symbol", "year_month"], year, staging)
+    merge_into(spark, f"{path}/statistics", statistics, statistics.schema, ["symbol"], symbol_bucket(), staging, kind="json")
+
+
+def read_gold_monthly(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return _stored(spark, f"{path}/monthly", _typed(schema, ["year"])).drop("year")
 
 
-def write_gold(monthly: DataFrame, statistics: DataFrame, path: str) -> None:
-    """Monthly rollup as Parquet by year, statistics as JSON."""
-    by_year = monthly.withColumn("year", F.substring("year_month", 1, 4))
-    _write(by_year, f"{path}/monthly", ["year"], ["symbol", "year_month"], "overwrite")
-    statistics.write.mode("overwrite").json(f"{path}/statistics")
+def read_gold_statistics(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return _stored(spark, f"{path}/statistics", _typed(schema, ["bucket"]), "json").drop("bucket")
 
 
 # --- stocks -----------------------------------------------------------------------------------------
@@ -183,10 +270,10 @@ def read_stocks(spark: SparkSession, path: str) -> DataFrame:
     return _stored(spark, path, STOCK_SCHEMA)
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet table, empty while nothing has been written to its path."""
+def _stored(spark: SparkSession, path: str, schema: T.StructType, kind: str = "parquet") -> DataFrame:
+    """A table, empty while nothing has been written to its path."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).options(**(JSON_TIMES if kind == "json" else {})).format(kind).load(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -200,8 +287,8 @@ def get_stock(spark: SparkSession, path: str, symbol: str) -> DataFrame:
 
 
 def new_stocks(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Incoming stocks that are not stored yet."""
-    return incoming.join(stored.select("symbol"), "symbol", "left_anti")
+    """Incoming stocks that are not stored yet, one row per symbol."""
+    return keep_latest(incoming.join(stored.select("symbol"), "symbol", "left_anti"), ["symbol"])
 
 
 # --- envelopes --------------------------------------------------------------------------------------
@@ -232,12 +319,12 @@ def envelopes(
 
 
 def write_envelopes(rows: DataFrame, path: str) -> None:
-    """Append as JSON lines by type and event day; sources share files, sorted."""
-    _write(rows.withColumns(date_parts("timestamp")), path, BRONZE_PARTITIONS, ["source_id", "timestamp"], "append", "json")
+    """Append by type and event day; sources share files, sorted, so that a range read skips the row groups of others."""
+    _write(rows.withColumns(date_parts("timestamp")), path, BRONZE_PARTITIONS, ["source_id", "timestamp"], "append")
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_typed(ENVELOPE_SCHEMA, BRONZE_PARTITIONS)).json(path)
+    return spark.read.schema(_typed(ENVELOPE_SCHEMA, BRONZE_PARTITIONS)).parquet(path)
 
 
 def get_envelopes(spark: SparkSession, path: str, source_id: str, data_type: str, start: datetime, end: datetime) -> DataFrame:

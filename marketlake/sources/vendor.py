@@ -32,17 +32,9 @@ PROFILE_FIELDS = {
     "country": "Country",
     "description": "Description",
 }
-PROFILE_FRAME_FIELDS = {
-    "name": "shortName",
-    "exchange": "exchange",
-    "sector": "sector",
-    "industry": "industry",
-    "currency": "currency",
-    "market_cap": "marketCap",
-    "country": "country",
-    "website": "website",
-}
 UNKNOWN_EXCHANGE = "Unknown"
+UNEXPECTED = "unexpected response format"
+MALFORMED = "_malformed"
 
 _PAYLOAD = f"struct<`{SERIES_KEY}`: map<string, map<string, string>>, `{ERROR_KEY}`: string>"
 
@@ -58,7 +50,7 @@ def _parsed(payloads: DataFrame) -> DataFrame:
     parsed = F.from_json("body", _PAYLOAD)
     error = (
         F.when(parsed[ERROR_KEY].isNotNull(), parsed[ERROR_KEY])
-        .when(parsed[SERIES_KEY].isNull(), F.lit("unexpected response format"))
+        .when(parsed[SERIES_KEY].isNull(), F.lit(UNEXPECTED))
     )
     return payloads.withColumns({"parsed": parsed, "error": error})
 
@@ -97,11 +89,26 @@ def bars_from_frame(frame: DataFrame) -> DataFrame:
     )
 
 
+def _parsed_profiles(profiles: DataFrame, fields: dict[str, str]) -> DataFrame:
+    schema = ", ".join(f"`{v}` string" for v in [*fields.values(), ERROR_KEY, MALFORMED])
+    parsed = F.from_json("body", schema, {"columnNameOfCorruptRecord": MALFORMED})
+    error = (
+        F.when(parsed.isNull() | parsed[MALFORMED].isNotNull() | ~F.trim("body").startswith("{"), F.lit(UNEXPECTED))
+        .when(parsed[ERROR_KEY].isNotNull(), parsed[ERROR_KEY])
+        .when(F.col("symbol").isNull(), F.lit("no symbol"))
+    )
+    return profiles.withColumns({"p": parsed, "error": error})
+
+
+def rejected_profiles(profiles: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+    """Profiles that are no JSON object or carry an error, with their ``error``."""
+    return _parsed_profiles(profiles, fields or PROFILE_FIELDS).where("error IS NOT NULL").drop("p")
+
+
 def stocks_from_profiles(profiles: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
     """Stock rows from profile JSON ``(symbol, body)``; name defaults to the symbol, exchange to Unknown."""
     fields = fields or PROFILE_FIELDS
-    schema = ", ".join(f"`{v}` string" for v in [*fields.values(), ERROR_KEY])
-    parsed = profiles.select("symbol", F.from_json("body", schema).alias("p")).where(F.col("p")[ERROR_KEY].isNull())
+    parsed = _parsed_profiles(profiles, fields).where("error IS NULL")
     columns = {n: F.col("p")[v] for n, v in fields.items()}
     columns["name"] = F.coalesce(columns["name"], F.col("symbol"))
     columns["exchange"] = F.coalesce(columns["exchange"], F.lit(UNKNOWN_EXCHANGE))
