@@ -1,7 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 Each query is run in full into Spark's ``noop`` sink: all once to warm up, then each ``BENCH_RUNS`` times;
-the best run counts.
+the best run counts. ``inputs`` gives the rows, symbols and slices of the bars that the queries read, ``rows`` what they
+return, ``us_per_row`` the cost of a row for the two inputs that grow with the scale factor.
 """
 
 from __future__ import annotations
@@ -11,14 +12,26 @@ import os
 import sys
 import time
 
+from pyspark.sql import functions as F
+
 from marketlake import catalog
+from marketlake.operators.series import SLICE_BARS, slice_of
 from marketlake.session import build_session
+from marketlake.sources import bars
 
 HEADLINE = [
     "silver_bars",
     "silver_bars_hourly",
     "silver_clean",
     "silver_write_read",
+    "many_symbols",
+    "hot_series",
+    "indicators_wide_sliced",
+    "macd_sliced",
+    "silver_subset_rerun",
+    "prices_upsert_twice",
+    "stream_gold",
+    "indicator_document_summary",
     "sma",
     "ema",
     "macd",
@@ -69,9 +82,23 @@ def main() -> None:
         queries[name](spark, folder).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - begun
 
+    def shape(found, grain: str | None, slice_bars: int = SLICE_BARS) -> dict[str, int]:
+        cut = slice_of("timestamp", grain, slice_bars) if grain else F.lit(0)
+        counted = found.groupBy("symbol", cut.alias("slice")).agg(F.count("*").alias("n"))
+        row = counted.agg(F.sum("n"), F.countDistinct("symbol"), F.count("*")).first()
+        return dict(zip(("rows", "symbols", "slices"), row))
+
+    inputs = {
+        "daily": shape(bars.bars_daily(spark, folder), None),
+        "hourly": shape(bars.bars_events(spark, folder), "hour"),
+        "hourly_sliced": shape(bars.bars_events(spark, folder), "hour", 80),
+        "many_symbols": shape(bars.bars_customers(spark, folder), None),
+        "hot_series": shape(bars.bars_seconds(spark, folder), "second"),
+    }
     for name in names:
         timed(name)
     seconds = {name: round(min(timed(name) for _ in range(runs)), 3) for name in names}
+    rows = {name: queries[name](spark, folder).count() for name in names}
     spark.stop()
     print(
         json.dumps(
@@ -80,6 +107,9 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "inputs": inputs,
+                "rows": rows,
+                "us_per_row": {n: round(1e6 * seconds[n] / inputs[n]["rows"], 1) for n in ("many_symbols", "hot_series") if n in seconds},
                 "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
             }
         )

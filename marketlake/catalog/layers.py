@@ -10,7 +10,8 @@ from marketlake.catalog.registry import BY_TIME, CHANGES, DAILY, HOURLY, RSI, fu
 from marketlake.functions.scalars import enrich_intraday, parse_iso, to_decimal
 from marketlake.operators import batch, clean, gold
 from marketlake.operators.indicators import indicators
-from marketlake.plans import report
+from marketlake.plans import etl, report
+from marketlake.plans import lake as lakes
 from marketlake.schema import SILVER_SCHEMA, conform_bars
 from marketlake.session import workspace
 from marketlake.sources import store, vendor
@@ -229,14 +230,18 @@ def gold_trend(spark, folder):
 # --- stores -----------------------------------------------------------------------------------------
 
 
+def vendor_named(bars):
+    return bars.select(*KEY, *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")])
+
+
 @query(
     "bronze_land",
-    f"""WITH {DAILY} SELECT symbol, "timestamp", open AS "Open", close AS "Close", volume AS "Volume", TIMESTAMP '2024-01-15 10:00:00' AS ingest_ts,
+    f"""WITH {DAILY} SELECT symbol, "timestamp", open AS "Open", high AS "High", low AS "Low", close AS "Close", volume AS "Volume", TIMESTAMP '2024-01-15 10:00:00' AS ingest_ts,
        'prices' AS data_type, '2024' AS year, '01' AS month, '15' AS day FROM bars""",
 )
 def bronze_land(spark, folder):
     path = workspace(spark, "bronze")
-    raw = bars_daily(spark, folder).select(*KEY, F.col("open").alias("Open"), F.col("close").alias("Close"), F.col("volume").alias("Volume"))
+    raw = vendor_named(bars_daily(spark, folder))
     store.land_bronze(raw, path, ingest_ts=LANDED)
     return store.read_bronze(spark, path, raw.schema)
 
@@ -261,8 +266,88 @@ def gold_write_read(spark, folder):
     path = workspace(spark, "gold")
     silver = batch.silver_bars(bars_daily(spark, folder))
     monthly = gold.monthly(silver)
-    store.write_gold(monthly, gold.statistics(silver), path)
-    return spark.read.schema(monthly.schema).parquet(f"{path}/monthly").select(*monthly.columns)
+    store.write_gold(monthly, gold.statistics(silver), path, workspace(spark, "staging"))
+    return store.read_gold_monthly(spark, path, monthly.schema).select(*monthly.columns)
+
+
+@query(
+    "gold_statistics_read",
+    f"""WITH {DAILY}, {CHANGES} SELECT symbol, min(close) AS low, max(close) AS high, round(median(close), 6) AS middle, round(avg(volume), 6) AS volume,
+       round(stddev_samp(daily_return * 100), 6) AS volatility, strftime(max("timestamp"), '%Y-%m-%d') AS end_date, count(*) AS trading_days
+FROM sided GROUP BY symbol""",
+)
+def gold_statistics_read(spark, folder):
+    """The statistics as stored JSON."""
+    path = workspace(spark, "gold")
+    silver = batch.silver_bars(bars_daily(spark, folder))
+    statistics = gold.statistics(silver)
+    store.write_gold(gold.monthly(silver), statistics, path, workspace(spark, "staging"))
+    read = store.read_gold_statistics(spark, path, statistics.schema)
+    return read.select(
+        "symbol",
+        F.col("price_stats.min").alias("low"),
+        F.col("price_stats.max").alias("high"),
+        F.col("price_stats.median").alias("middle"),
+        F.col("volume_stats.mean").alias("volume"),
+        "return_stats.volatility",
+        "time_range.end_date",
+        "time_range.trading_days",
+    )
+
+
+# --- runs on a part ---------------------------------------------------------------------------------
+
+
+def rerun_lake(spark, folder):
+    """A lake of all symbols whose last 40 days and first symbol are run again, the latter with doubled prices."""
+    raw = vendor_named(bars_daily(spark, folder))
+    lake = lakes.Lake(workspace(spark, "lake"), raw.schema)
+    lakes.run(spark, lake, raw, ingest_ts=LANDED, documents=False)
+    newest = raw.agg(F.max("timestamp")).first()[0]
+    lakes.run(spark, lake, steps="silver", days=40, as_of=newest, documents=False)
+    again = raw.where("symbol = 'F'").withColumns({c: F.col(c) * 2 for c in ("Open", "High", "Low", "Close")})
+    lakes.run(spark, lake, again, symbols=["F"], ingest_ts=LANDED.replace(day=16), documents=False)
+    return lake
+
+
+DOUBLED = f"""{DAILY.replace('bars AS', 'single AS', 1)}, bars AS (
+  SELECT symbol, "timestamp", open * f AS open, high * f AS high, low * f AS low, close * f AS close, volume
+  FROM (SELECT *, CASE symbol WHEN 'F' THEN 2 ELSE 1 END AS f FROM single))"""
+
+
+@query(
+    "silver_subset_rerun",
+    f"""WITH {DOUBLED}, {CHANGES} SELECT symbol, "timestamp", close, volume, round({full('avg', 'close', 20)}, 6) AS sma_20,
+       round({RSI}, 6) AS rsi_14 FROM sided""",
+)
+def silver_subset_rerun(spark, folder):
+    """Runs on some days and some symbols leave all other bars, and the indicators of those they touch are those of a full run."""
+    return lakes.read_silver(spark, rerun_lake(spark, folder)).select(*KEY, "close", "volume", "sma_20", "rsi_14")
+
+
+@query("gold_subset_rerun", f"WITH {MONTHLY.replace(DAILY, DOUBLED).replace(', 6)', ', 3)')} SELECT * FROM result", places=3)
+def gold_subset_rerun(spark, folder):
+    lake = rerun_lake(spark, folder)
+    schema = gold.monthly(conform_bars(bars_daily(spark, folder))).schema
+    return store.read_gold_monthly(spark, lake.path("gold"), schema).select(*schema.names)
+
+
+@query(
+    "prices_upsert_twice",
+    f"""WITH {DAILY} SELECT symbol, "timestamp", open, high, low,
+       close * CASE WHEN symbol = 'F' AND month("timestamp") IN (1, 2) THEN 2 ELSE 1 END AS close, volume FROM bars""",
+)
+def prices_upsert_twice(spark, folder):
+    """Two upserts through one staging folder, other symbols' bars of the same months appended between them."""
+    path, staging = workspace(spark, "upsert"), workspace(spark, "staging")
+    bars = conform_bars(bars_daily(spark, folder))
+    first, second = ((F.col("symbol") == "F") & (F.month("timestamp") == m) for m in (1, 2))
+    doubled = bars.withColumn("close", F.col("close") * 2)
+    store.write_bars(bars.where(~F.month("timestamp").isin(1) | (F.col("symbol") == "P")), path)
+    store.upsert_bars(spark, path, doubled.where(first), staging)
+    store.write_bars(bars.where((F.month("timestamp") == 1) & ~F.col("symbol").isin("F", "P")), path)
+    store.upsert_bars(spark, path, doubled.where(second), staging)
+    return store.read_bars(spark, path).select(*BAR)
 
 
 @query(
@@ -525,6 +610,65 @@ def batch_time_range(spark, folder):
     return report.time_range(bars_daily(spark, folder))
 
 
+def batch_run(spark, folder):
+    """A batch over all symbols and two unknown ones; one of these has an error response, its profile is no JSON."""
+    stores = etl.Stores(workspace(spark, "etl"))
+    bodies = spark.createDataFrame([("nobody", '{"Error Message": "rate limit reached"}')], "symbol string, body string")
+    landed = payloads(spark, folder).unionByName(vendor.land_payloads(bodies, F.lit(LANDED)))
+    profiles = spark.createDataFrame([("nobody", "not json"), ("F", '{"Name": "F Inc"}'), ("F", '{"Name": "F Inc"}')], "symbol string, body string")
+    return stores, *etl.process_symbols(spark, stores, "F, O, P, nobody, nothing", landed, START, END, profiles, at=LANDED)
+
+
+RESULT = f"""{DAILY}, wanted AS (SELECT unnest(['F', 'O', 'P', 'nobody', 'nothing']) AS symbol),
+found AS (SELECT symbol, count(*) AS n FROM bars WHERE month("timestamp") <> 2 AND "timestamp" BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}' GROUP BY 1)"""
+
+
+@query(
+    "batch_status_errors",
+    f"""WITH {RESULT} SELECT symbol, coalesce(n, 0) AS price_points, CASE WHEN n IS NULL THEN 'error' ELSE 'success' END AS status,
+       CASE WHEN n IS NULL THEN CASE symbol WHEN 'nobody' THEN 'rate limit reached' ELSE 'no data' END END AS error
+FROM wanted LEFT JOIN found USING (symbol)""",
+)
+def batch_status_errors(spark, folder):
+    """The vendor's text is the error of a symbol without bars."""
+    return batch_run(spark, folder)[1].select("symbol", "price_points", "status", "error")
+
+
+@query(
+    "batch_result",
+    f"""WITH {RESULT} SELECT symbol || '_20240115' AS batch_id, symbol, TIMESTAMP '{START}' AS start_date, TIMESTAMP '{END}' AS end_date,
+       CAST({' + '.join(f'CAST(coalesce(n, 0) >= {k} AS INTEGER)' for k in batch.MIN_BARS.values())} AS BIGINT) AS indicators_calculated
+FROM wanted LEFT JOIN found USING (symbol)""",
+)
+def batch_result(spark, folder):
+    return batch_run(spark, folder)[1].select("batch_id", "symbol", "start_date", "end_date", "indicators_calculated")
+
+
+@query(
+    "quarantine",
+    f"""WITH {DAILY} SELECT 'payload' AS kind, symbol, 'no data for ' || month AS error, count(*) AS rows
+FROM (SELECT DISTINCT symbol, strftime("timestamp", '%Y-%m') AS month FROM bars WHERE month("timestamp") = 2) GROUP BY ALL
+UNION ALL SELECT 'payload', 'nobody', 'rate limit reached', 1 UNION ALL SELECT 'profile', 'nobody', 'unexpected response format', 1""",
+)
+def quarantine(spark, folder):
+    """What the batch run could not use, stored and counted."""
+    stores = batch_run(spark, folder)[0]
+    return store.read_quarantine(spark, stores.path("quarantine")).groupBy("kind", "symbol", "error").agg(F.count("*").alias("rows"))
+
+
+@query(
+    "batch_metrics",
+    f"""WITH {RESULT}, months AS (SELECT symbol, count(DISTINCT strftime("timestamp", '%Y-%m')) AS n FROM bars WHERE month("timestamp") = 2 GROUP BY 1)
+SELECT 'records_extracted' AS metric, symbol, CAST(n AS DOUBLE) AS total FROM found
+UNION ALL SELECT 'indicators_calculated', symbol, {' + '.join(f'CAST(n >= {k} AS INTEGER)' for k in batch.MIN_BARS.values())} FROM found
+UNION ALL SELECT 'records_rejected', symbol, n FROM months UNION ALL SELECT 'records_rejected', 'nobody', 2""",
+)
+def batch_metrics(spark, folder):
+    """The metrics by symbol that a batch run leaves; times by step are in the same table."""
+    metrics = batch_run(spark, folder)[3].metrics().where("symbol IS NOT NULL")
+    return metrics.groupBy("metric", "symbol").agg(F.sum("value").alias("total"))
+
+
 @query(
     "run_metrics",
     f"""WITH {DAILY}, {HOURLY.replace('bars AS', 'hours AS')}, m AS (

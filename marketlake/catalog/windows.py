@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from marketlake.catalog.registry import BY_TIME, CHANGES, DAILY, EVENT_DAYS, HOURLY, RSI, SQL, full, over, query
 from marketlake.operators import batch
-from marketlake.operators.indicators import indicators
+from marketlake.operators.indicators import ema as ema_of
+from marketlake.operators.indicators import indicators, register_indicator
+from marketlake.operators.recurrence import ema_over_gaps
 from marketlake.session import workspace
-from marketlake.sources.bars import bars_daily, bars_events
-from marketlake.sources.store import write_documents
+from marketlake.sources.bars import bars_customers, bars_daily, bars_events, bars_seconds
+from marketlake.sources.store import read_documents, write_documents
 
 KEY = ["symbol", "timestamp"]
 
@@ -35,6 +37,36 @@ def silver_bars_hourly(spark, folder):
     return indicators(bars_events(spark, folder), ["sma_20", "rsi_14"], grain="hour", slice_bars=256)
 
 
+CUSTOMERS = DAILY.replace("o_orderstatus AS symbol", "CAST(o_custkey AS VARCHAR) AS symbol")
+SECONDS = """ticks AS (
+  SELECT 'all' AS symbol, ts, event_id, value FROM events
+  UNION ALL SELECT 'user ' || user_id, ts, event_id, value FROM events WHERE user_id < 10),
+bars AS (
+  SELECT symbol, CAST(date_trunc('second', ts) AS TIMESTAMP) AS "timestamp", first(value ORDER BY ts, event_id) AS open, max(value) AS high,
+         min(value) AS low, last(value ORDER BY ts, event_id) AS close, count(*) AS volume
+  FROM ticks GROUP BY 1, 2)"""
+
+
+def silver_sql(bars: str) -> str:
+    return f"""WITH {bars}, {CHANGES}
+SELECT symbol, "timestamp", close, volume, round({full('avg', 'close', 5)}, 4) AS sma_5, round({full('avg', 'close', 20)}, 4) AS sma_20,
+       round({full('avg', 'true_range', 14)}, 4) AS atr_14 FROM sided"""
+
+
+@query("many_symbols", silver_sql(CUSTOMERS), places=4)
+def many_symbols(spark, folder):
+    """Moving averages of many short histories."""
+    names = ["sma_5", "sma_20", "atr_14"]
+    return indicators(bars_customers(spark, folder), names).select(*KEY, "close", "volume", *names)
+
+
+@query("hot_series", silver_sql(SECONDS), places=4)
+def hot_series(spark, folder):
+    """Moving averages of one-second bars, one history of which holds most rows, in over a hundred slices."""
+    names = ["sma_5", "sma_20", "atr_14"]
+    return indicators(bars_seconds(spark, folder), names, grain="second").select(*KEY, "close", "volume", *names)
+
+
 @query(
     "sma",
     f"""WITH {DAILY} SELECT symbol, "timestamp", round({full('avg', 'close', 5)}, 6) AS sma_5,
@@ -45,20 +77,15 @@ def sma(spark, folder):
     return indicators(bars_daily(spark, folder), names).select(*KEY, *names)
 
 
-# A mean of 32 two-decimal prices can end exactly on half of the last rounded place, where summation order
-# decides; both sides shift by this much to round off such points.
-OFF_HALF = 3e-8
-
-
 @query(
     "sma_partial",
-    f"""WITH {DAILY} SELECT symbol, "timestamp", round(avg(close) {over(5)} + {OFF_HALF}, 6) AS sma_5,
-       round(avg(close) {over(20)} + {OFF_HALF}, 6) AS sma_20, round(avg(close) {over(50)} + {OFF_HALF}, 6) AS sma_50 FROM bars""",
+    f"""WITH {DAILY} SELECT symbol, "timestamp", round(avg(close) {over(5)}, 4) AS sma_5,
+       round(avg(close) {over(20)}, 4) AS sma_20, round(avg(close) {over(50)}, 4) AS sma_50 FROM bars""",
+    places=4,
 )
 def sma_partial(spark, folder):
     names = ["sma_5", "sma_20", "sma_50"]
-    means = indicators(bars_daily(spark, folder), names, warmup="partial")
-    return means.select(*KEY, *[(F.col(n) + OFF_HALF).alias(n) for n in names])
+    return indicators(bars_daily(spark, folder), names, warmup="partial").select(*KEY, *names)
 
 
 def recursive(bars: str, columns: str) -> str:
@@ -96,6 +123,42 @@ def ema_hourly(spark, folder):
     return indicators(bars, ["ema_5", "ema_20"], grain="hour", slice_bars=512).select(*KEY, "ema_5", "ema_20")
 
 
+@query(
+    "ema_gaps",
+    f"""WITH RECURSIVE {DAILY},
+n AS (SELECT symbol, "timestamp", CASE WHEN dayofmonth("timestamp") % 7 <> 3 THEN close END AS close, row_number() OVER ({BY_TIME}) AS rn FROM bars),
+e AS (
+  SELECT symbol, "timestamp", rn, close AS ema_20, CAST(1 AS DOUBLE) AS kept FROM n WHERE rn = 1
+  UNION ALL
+  SELECT n.symbol, n."timestamp", n.rn,
+         CASE WHEN n.close IS NULL THEN e.ema_20 WHEN e.ema_20 IS NULL THEN n.close
+              ELSE (e.kept * (19e0 / 21) * e.ema_20 + (2e0 / 21) * n.close) / (e.kept * (19e0 / 21) + 2e0 / 21) END,
+         CASE WHEN n.close IS NULL AND e.ema_20 IS NOT NULL THEN e.kept * (19e0 / 21) ELSE 1e0 END
+  FROM e JOIN n ON n.symbol = e.symbol AND n.rn = e.rn + 1)
+SELECT symbol, "timestamp", round(ema_20, 4) AS ema_20 FROM e""",
+    places=4,
+)
+def ema_gaps(spark, folder):
+    """Weights that decay over missing closes too."""
+    bars = bars_daily(spark, folder)
+    holes = bars.withColumn("close", F.when(F.dayofmonth("timestamp") % 7 != 3, F.col("close")))
+    return ema_over_gaps(holes, 20).select(*KEY, "ema_20")
+
+
+@query("ema_far_spans", recursive(DAILY, "round(ema_5, 4) AS ema_5, round(ema_20, 4) AS ema_200").replace("/ 21", "/ 201"), places=4)
+def ema_far_spans(spark, folder):
+    """Spans too far apart to share blocks."""
+    register_indicator("ema_200", ema_of(200))
+    return indicators(bars_daily(spark, folder), ["ema_5", "ema_200"]).select(*KEY, "ema_5", "ema_200")
+
+
+@query("macd_sliced", recursive(HOURLY, MACDS), places=4)
+def macd_sliced(spark, folder):
+    """Sliced finely: eight slices or more of every symbol, whose halos reach over several of them."""
+    names = ["macd", "macd_signal", "macd_histogram"]
+    return indicators(bars_events(spark, folder), ["macd"], grain="hour", slice_bars=80).select(*KEY, *names)
+
+
 @query("macd", recursive(DAILY, MACDS), places=4)
 def macd(spark, folder):
     names = ["macd", "macd_signal", "macd_histogram"]
@@ -186,9 +249,25 @@ def indicators_wide(spark, folder):
     return wide.select(*KEY, *WIDE_COLUMNS, *[F.round(c, 4).alias(c) for c in averages])
 
 
-@query("indicators_wide_hourly", WIDE.format(bars=HOURLY))
+def wide_sql(bars: str) -> str:
+    return f"""WITH w AS ({WIDE.format(bars=bars)}), m AS ({recursive(bars, EMAS + ', ' + MACDS)})
+SELECT w.*, m.ema_5, m.ema_20, m.macd, m.macd_signal, m.macd_histogram FROM w JOIN m USING (symbol, "timestamp")"""
+
+
+def all_columns(wide):
+    averages = ["ema_5", "ema_20", "macd", "macd_signal", "macd_histogram"]
+    return wide.select(*KEY, *WIDE_COLUMNS, *[F.round(c, 4).alias(c) for c in averages])
+
+
+@query("indicators_wide_hourly", wide_sql(HOURLY))
 def indicators_wide_hourly(spark, folder):
-    return batch.indicators_wide(bars_events(spark, folder), grain="hour").select(*KEY, *WIDE_COLUMNS)
+    return all_columns(batch.indicators_wide(bars_events(spark, folder), grain="hour"))
+
+
+@query("indicators_wide_sliced", wide_sql(HOURLY))
+def indicators_wide_sliced(spark, folder):
+    """Eight slices or more of every symbol."""
+    return all_columns(indicators(bars_events(spark, folder), batch.WIDE, grain="hour", slice_bars=80, gated=True))
 
 
 @query(
@@ -268,10 +347,10 @@ def volatility(spark, folder):
 
 @query("indicator_document")
 def indicator_document(spark, folder):
-    """The documents, written as JSON lines and read back."""
+    """The documents, written as JSON lines and read back; the three queries below read all their parts."""
     path = workspace(spark, "indicators")
-    write_documents(batch.indicator_document(bars_daily(spark, folder)), path)
-    return spark.read.schema("symbol string, document string").json(path)
+    write_documents(batch.indicator_document(bars_daily(spark, folder)), path, workspace(spark, "staging"))
+    return read_documents(spark, path).select("symbol", "document")
 
 
 @query(
@@ -279,58 +358,82 @@ def indicator_document(spark, folder):
     f"""WITH s AS ({SQL['batch_statistics']}), v AS ({SQL['volatility']}), t AS ({SQL['trend']}), l AS ({SQL['support_resistance']}),
 n AS (WITH {DAILY} SELECT symbol, count(*) AS bars FROM bars GROUP BY 1)
 SELECT symbol, strftime(start_date, '%Y-%m-%dT%H:%M:%S') AS start_date, days, avg_price, max_volume, std_daily_return, total_return, daily, annualized, atr_14,
-       trend, strength, (SELECT price FROM l WHERE l.symbol = s.symbol AND pivot_type = 'support' AND place = 2) AS last_support,
+       strftime(end_date, '%Y-%m-%dT%H:%M:%S') AS end_date, trend, strength,
+       (SELECT string_agg(CAST(price AS VARCHAR), ' ' ORDER BY place) FROM l WHERE l.symbol = s.symbol AND pivot_type = 'support') AS supports,
+       (SELECT string_agg(CAST(price AS VARCHAR), ' ' ORDER BY place) FROM l WHERE l.symbol = s.symbol AND pivot_type = 'resistance') AS resistances,
        CAST(bars - 49 AS INTEGER) AS sma_50_points, CAST(bars AS INTEGER) AS macd_points
 FROM s JOIN v USING (symbol) JOIN t USING (symbol) JOIN n USING (symbol)""",
 )
 def indicator_document_summary(spark, folder):
-    """The single values of the daily documents and the lengths of two series."""
+    """The single values of the daily documents, written as JSON lines and read back, and the lengths of two series."""
     schema = """sma_50 array<struct<value: double>>, macd struct<signal: array<struct<value: double>>>,
-        statistics struct<start_date: string, days: bigint, avg_price: double, max_volume: bigint, std_daily_return: double, total_return: double>,
+        statistics struct<start_date: string, end_date: string, days: bigint, avg_price: double, max_volume: bigint, std_daily_return: double, total_return: double>,
         volatility struct<daily: double, annualized: double, atr_14: double>,
-        trends struct<current: string, strength: double, support_levels: array<double>>"""
-    documents = batch.indicator_document(bars_daily(spark, folder))
-    parsed = documents.select("symbol", F.from_json("document", schema).alias("d")).select("symbol", "d.*")
+        trends struct<current: string, strength: double, support_levels: array<double>, resistance_levels: array<double>>"""
+    path = workspace(spark, "indicators")
+    write_documents(batch.indicator_document(bars_daily(spark, folder)), path, workspace(spark, "staging"))
+    parsed = read_documents(spark, path).select("symbol", F.from_json("document", schema).alias("d")).select("symbol", "d.*")
     return parsed.select(
         "symbol",
         "statistics.*",
         "volatility.*",
         F.col("trends.current").alias("trend"),
         "trends.strength",
-        F.element_at("trends.support_levels", -1).alias("last_support"),
+        F.array_join(F.transform("trends.support_levels", lambda x: x.cast("string")), " ").alias("supports"),
+        F.array_join(F.transform("trends.resistance_levels", lambda x: x.cast("string")), " ").alias("resistances"),
         F.size("sma_50").alias("sma_50_points"),
         F.size("macd.signal").alias("macd_points"),
     )
 
 
+BAND = f"{full('avg', 'close', 20)} {{sign}} 2 * {full('stddev_samp', 'close', 20)}"
 DOCUMENT_SERIES = {
     "sma_5": ("$.sma_5", full("avg", "close", 5)),
     "sma_20": ("$.sma_20", full("avg", "close", 20)),
     "sma_50": ("$.sma_50", full("avg", "close", 50)),
     "rsi_14": ("$.rsi_14", RSI),
-    "bb_upper": ("$.bollinger_bands.upper", f"{full('avg', 'close', 20)} + 2 * {full('stddev_samp', 'close', 20)}"),
+    "bb_upper": ("$.bollinger_bands.upper", BAND.format(sign="+")),
+    "bb_middle": ("$.bollinger_bands.middle", full("avg", "close", 20)),
+    "bb_lower": ("$.bollinger_bands.lower", BAND.format(sign="-")),
+}
+AVERAGE_SERIES = {
+    "ema_5": ("$.ema_5", "ema_5"),
+    "ema_20": ("$.ema_20", "ema_20"),
+    "macd": ("$.macd.macd", "macd"),
+    "macd_signal": ("$.macd.signal", "macd_signal"),
+    "macd_histogram": ("$.macd.histogram", "macd_histogram"),
 }
 
 
-@query(
-    "indicator_document_series",
-    f"WITH {HOURLY}, {CHANGES} "
-    + " UNION ALL ".join(
-        f"""SELECT symbol, '{n}' AS series, strftime("timestamp", '%Y-%m-%dT%H:%M:%S') AS "timestamp", round(v, 6) AS value
-FROM (SELECT symbol, "timestamp", {sql} AS v FROM sided) WHERE v IS NOT NULL"""
-        for n, (_, sql) in DOCUMENT_SERIES.items()
-    ),
-)
-def indicator_document_series(spark, folder):
-    """The documents, one per symbol and month, read back into rows."""
-    documents = batch.indicator_document(bars_events(spark, folder), grain="hour", period="month")
+def series_sql(source: str, wanted: dict[str, tuple[str, str]], places: int) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT symbol, '{n}' AS series, strftime("timestamp", '%Y-%m-%dT%H:%M:%S') AS "timestamp", round(v, {places}) AS value
+FROM (SELECT symbol, "timestamp", {sql} AS v FROM {source}) WHERE v IS NOT NULL"""
+        for n, (_, sql) in wanted.items()
+    )
+
+
+def series_of(documents, wanted: dict[str, tuple[str, str]]):
+    """The series of documents as rows."""
     point = "array<struct<timestamp: string, value: double>>"
     series = F.array(
         *[
             F.struct(F.lit(n).alias("series"), F.from_json(F.get_json_object("document", path), point).alias("points"))
-            for n, (path, _) in DOCUMENT_SERIES.items()
+            for n, (path, _) in wanted.items()
         ]
     )
     rows = documents.select("symbol", F.explode(series).alias("s"))
     points = rows.select("symbol", "s.series", F.explode("s.points").alias("p"))
     return points.select("symbol", "series", "p.timestamp", "p.value")
+
+
+@query("indicator_document_series", f"WITH {HOURLY}, {CHANGES} {series_sql('sided', DOCUMENT_SERIES, 6)}")
+def indicator_document_series(spark, folder):
+    """The documents, one per symbol and month, read back into rows."""
+    return series_of(batch.indicator_document(bars_events(spark, folder), grain="hour", period="month"), DOCUMENT_SERIES)
+
+
+@query("indicator_document_averages", f"WITH m AS ({recursive(HOURLY, EMAS + ', ' + MACDS)}) {series_sql('m', AVERAGE_SERIES, 4)}", places=4)
+def indicator_document_averages(spark, folder):
+    """The exponential series of documents by week."""
+    return series_of(batch.indicator_document(bars_events(spark, folder), grain="hour", period="week"), AVERAGE_SERIES)

@@ -46,5 +46,22 @@ def bars_daily(spark: SparkSession, folder: str) -> DataFrame:
 def bars_events(spark: SparkSession, folder: str, grain: str = "hour") -> DataFrame:
     """Intraday (or daily) bars per event type; ticks in order of time, then id, as one number that aggregates by hash."""
     events = table(spark, folder, "events")
-    order = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(38,0)") * F.lit(10**19).cast("decimal(20,0)") + F.col("event_id")
+    order = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(38,0)") * F.expr("10000000000000000000BD") + F.col("event_id")
     return bars_from_ticks(events, F.col("event_type"), F.col("ts"), F.col("value"), order, grain)
+
+
+def bars_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars per customer: many short histories."""
+    orders = table(spark, folder, "orders")
+    return bars_from_ticks(
+        orders, F.col("o_custkey").cast("string"), F.col("o_orderdate"), F.col("o_totalprice"), F.col("o_orderkey"), "day"
+    )
+
+
+def bars_seconds(spark: SparkSession, folder: str) -> DataFrame:
+    """One-second bars: one hot history with all ticks, and one per user of the users with small numbers."""
+    events = table(spark, folder, "events")
+    order = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(38,0)") * F.expr("10000000000000000000BD") + F.col("event_id")
+    users = F.when(F.col("user_id") < 10, F.concat(F.lit("user "), F.col("user_id")))
+    ticks = events.withColumn("symbol", F.explode(F.array_compact(F.array(F.lit("all"), users))))
+    return bars_from_ticks(ticks, F.col("symbol"), F.col("ts"), F.col("value"), order, "second")

@@ -359,6 +359,91 @@ def test_newest_landing_and_recent_days_only(spark):
     assert lakes.read_silver(spark, recent).count() == 22
 
 
+def lake_of_two(spark):
+    lake = lakes.Lake(workspace(spark, "lake"))
+    pdf = make_bars({"a": walk(60), "b": walk(60, 2)})
+    lakes.run(spark, lake, raw_frame(spark, pdf), ingest_ts=day("2024-01-01"))
+    return lake, pdf
+
+
+def stored_rows(spark, lake):
+    silver = lakes.read_silver(spark, lake).toPandas().sort_values(["symbol", "timestamp"]).reset_index(drop=True)
+    return silver, spark.read.parquet(f"{lake.path('gold')}/monthly").count(), spark.read.json(f"{lake.path('gold')}/statistics").count()
+
+
+@pytest.mark.parametrize("part", [{"symbols": ["b"]}, {"days": 10, "as_of": day("2020-02-20")}, {"newest_only": True}])
+def test_runs_on_a_part_leave_the_rest(spark, part):
+    lake, pdf = lake_of_two(spark)
+    before = stored_rows(spark, lake)
+    lakes.run(spark, lake, steps="silver-gold", **part)
+    after = stored_rows(spark, lake)
+    pd.testing.assert_frame_equal(before[0], after[0], check_exact=False, atol=1e-9, rtol=0)
+    assert before[1:] == after[1:]
+    assert store.read_documents(spark, lake.path("indicators")).count() == 2
+
+
+def test_a_correction_reaches_the_indicators_after_it(spark):
+    lake, pdf = lake_of_two(spark)
+    fix = pdf[(pdf["symbol"] == "a") & (pdf["timestamp"] == "2020-01-25")].assign(close=500.0)
+    lakes.run(spark, lake, raw_frame(spark, fix), steps="bronze", ingest_ts=day("2024-01-02"))
+    lakes.run(spark, lake, steps="silver", newest_only=True, documents=False)
+    pdf.loc[fix.index, "close"] = 500.0
+    got = collect(lakes.read_silver(spark, lake))
+    assert_same(got["sma_20"], pd.concat([g["close"].rolling(20).mean() for _, g in pdf.groupby("symbol")]))
+
+
+def test_bars_without_a_time_and_unreadable_files_are_set_aside(spark, tmp_path):
+    root = tmp_path / "lake"
+    lake = lakes.Lake(str(root))
+    raw = raw_frame(spark, make_bars({"a": walk(30)})).withColumn("timestamp", F.col("timestamp").cast("string"))
+    bad = raw.limit(1).withColumn("timestamp", F.lit("no time"))
+    lakes.run(spark, lake, raw.unionByName(bad), steps="bronze-silver", documents=False)
+    (root / "silver" / "year=2020" / "month=01" / "broken.parquet").write_bytes(b"not parquet")
+    log = lakes.run(spark, lake, steps="gold")
+    kept = {r.kind: (r.error, r.n) for r in store.read_quarantine(spark, lake.path("quarantine")).groupBy("kind", "error").agg(F.count("*").alias("n")).collect()}
+    assert kept == {"bar": ("no symbol or no time", 1), "file": ("unreadable file", 1)}
+    counted = {r.metric: r.value for r in log.metrics().where("metric IN ('records_rejected', 'files_skipped')").collect()}
+    assert counted == {"records_rejected": 1.0, "files_skipped": 1.0}
+    assert spark.read.parquet(f"{lake.path('gold')}/monthly").count() == 1
+
+
+def test_newest_landing_reads_its_days_only(spark):
+    path = workspace(spark, "t")
+    raw = spark.createDataFrame([("x", day("2024-01-02"), 1.0)], "symbol string, timestamp timestamp, `Close` double")
+    for d in (4, 5, 6):
+        store.land_bronze(raw, path, ingest_ts=day(f"2024-03-0{d}"))
+    plan = formatted_plan(store.latest_landing(store.read_bronze(spark, path, raw.schema)))
+    assert "20240306" in next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+
+
+def test_landing_moves_nothing(spark):
+    from pyspark.sql.functions import spark_partition_id
+
+    path = workspace(spark, "t")
+    raw = raw_frame(spark, make_bars({"a": walk(40)})).repartition(5)
+    store.land_bronze(raw, path, ingest_ts=day("2024-03-04"))
+    files = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    assert files == raw.select(spark_partition_id()).distinct().count()
+
+
+def test_malformed_profiles_are_no_stocks(spark):
+    bodies = [("a", '{"Name": "A"}'), ("b", "{}"), ("c", "not json"), ("d", "[]"), ("e", None), ("f", '{"Error Message": "limit"}'), (None, "{}")]
+    profiles = spark.createDataFrame(bodies, "symbol string, body string")
+    assert {(r.symbol, r.name) for r in vendor.stocks_from_profiles(profiles).collect()} == {("a", "A"), ("b", "b")}
+    assert sorted(str(r.symbol) for r in vendor.rejected_profiles(profiles).collect()) == ["None", "c", "d", "e", "f"]
+    twice = vendor.stocks_from_profiles(profiles.union(profiles)).select("symbol", "name")
+    assert store.new_stocks(twice, twice.limit(0)).count() == 2
+
+
+def test_upserts_share_a_staging_folder(spark):
+    path, staging = workspace(spark, "t"), workspace(spark, "s")
+    a, b = (to_spark(spark, make_bars({s: walk(60)})) for s in ("a", "b"))
+    store.upsert_bars(spark, path, a.where("month(timestamp) = 1"), staging)
+    store.write_bars(b.where("month(timestamp) = 1"), path)
+    store.upsert_bars(spark, path, a.where("month(timestamp) = 2"), staging)
+    assert {(r.symbol, r["count"]) for r in store.read_bars(spark, path).groupBy("symbol").count().collect()} == {("a", 60), ("b", 31)}
+
+
 def test_intraday_layered_run(spark):
     lake = lakes.Lake(workspace(spark, "lake"))
     pdf = make_bars({"a": walk(90), "b": walk(30, 2)}, freq="h")
