@@ -194,9 +194,10 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced; overlapping spans become one. Null texts stay null, columns as they were."""
     names = docs.columns
-    known = written(scanned(docs.select(F.struct("*").alias("row"), "text")), "secrets")
+    others = F.struct(F.lit(True).alias("_"), *[F.col(n) for n in names if n != "text"])
+    known = written(scanned(docs.select(others.alias("others"), "text")), "secrets")
     clean = F.expr(f"""aggregate(spans, named_struct('at', 0, 'out', ''), (a, s) -> named_struct('at', greatest(a.at, s.end),
       'out', if(s.start >= a.at, concat(a.out, substring(text, a.at + 1, s.start - a.at), '{REDACTED}'), a.out)),
       a -> concat(a.out, substring(text, a.at + 1, length(text))))""")
     text = F.when(F.size("spans") > 0, clean).otherwise(F.col("text"))
-    return with_spans(known).select(*[text.alias(n) if n == "text" else F.col("row")[n].alias(n) for n in names])
+    return with_spans(known).select(*[text.alias(n) if n == "text" else F.col("others")[n].alias(n) for n in names])

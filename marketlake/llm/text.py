@@ -35,9 +35,14 @@ def workers_import_this(spark: SparkSession) -> None:
 
 
 def on_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package importable in the workers."""
+    """``mapInArrow`` with this package importable in the workers; memory that Arrow keeps is given back after a task."""
     workers_import_this(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def freeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(freeing, schema)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

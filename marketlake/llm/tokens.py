@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from marketlake.llm.text import LOWER, SPACES, on_arrow, text_chunks
 
 END = 1
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 300_000
+CHUNK = 2 << 20
 
 # Classes of bytes: white space, letter, digit, other ASCII, apostrophe, other byte, end of a letter from U+00C0 to U+00FF.
 _SPACE, _LETTER, _DIGIT, _OTHER, _QUOTE, _HIGH, _LATIN = range(7)
@@ -132,7 +133,7 @@ class TextTokenizer:
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, row bounds) over runs of rows, every row ending with ``END``."""
-        for row, data, offsets in text_chunks(column, 4 << 20):
+        for row, data, offsets in text_chunks(column, CHUNK):
             n = len(offsets) - 1
             if self.by_word and len(data):
                 runs, firsts = self.words(data, offsets)
