@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from marketlake.catalog.layers import INTRADAY
+from marketlake.catalog.layers import INTRADAY, MONTHLY
 from marketlake.catalog.registry import CHANGES, DAILY, HOURLY, RSI, full, query
 from marketlake.functions.masking import DEFAULT_SALT, EMAIL_PATTERN, mask_columns
 from marketlake.schema import conform_bars
@@ -201,6 +201,10 @@ def stream_enrich(spark, folder):
     f"""WITH {DAILY}, {CHANGES} SELECT symbol, "timestamp", close, round({full('avg', 'close', 20)}, 6) AS sma_20, round({RSI}, 6) AS rsi_14 FROM sided""",
 )
 def stream_silver(spark, folder):
+    return refreshed(spark, folder).silver().select(*KEY, "close", "sma_20", "rsi_14")
+
+
+def refreshed(spark, folder):
     """Bars arrive in three landings; the last also brings a month that symbol F was missing."""
     bronze, root, checkpoint = (workspace(spark, n) for n in ("bronze", "refresh", "checkpoint"))
     bars = conform_bars(bars_daily(spark, folder))
@@ -210,4 +214,10 @@ def stream_silver(spark, folder):
     for part in (early & ~missing, ~early & middle, ~middle | missing):
         bars.where(part).write.mode("append").parquet(bronze)
         refresh = refresh_from(spark, bronze, root, checkpoint)
-    return refresh.silver().select(*KEY, "close", "sma_20", "rsi_14")
+    return refresh
+
+
+@query("stream_gold", f"WITH {MONTHLY} SELECT * FROM result")
+def stream_gold(spark, folder):
+    """The gold months that the same stream keeps up to date."""
+    return refreshed(spark, folder).gold()

@@ -16,10 +16,15 @@ def monthly(bars: DataFrame) -> DataFrame:
 
     Bars shrink to one row per symbol and month inside the map tasks; the windows then see months only.
     """
+    return across_months(month_bars(bars))
+
+
+def month_bars(bars: DataFrame) -> DataFrame:
+    """OHLCV and close volatility of each symbol and month by itself."""
     require_columns(bars, "symbol", "timestamp", "open", "high", "low", "close")
     bars = with_optional(bars, volume="bigint")
     known = {c: F.when(F.col(c).isNotNull(), F.col("timestamp")) for c in ("open", "close")}
-    months = (
+    return (
         bars.withColumn("year_month", F.date_format("timestamp", "yyyy-MM"))
         .groupBy("symbol", "year_month")
         .agg(
@@ -32,6 +37,10 @@ def monthly(bars: DataFrame) -> DataFrame:
             F.stddev_samp("close").alias("volatility"),
         )
     )
+
+
+def across_months(months: DataFrame) -> DataFrame:
+    """Add to rows of ``month_bars`` what looks at the months before: the return and the 3-month average."""
     by_month = Window.partitionBy("symbol").orderBy("year_month")
     three = by_month.rowsBetween(-2, 0)
     return months.select(

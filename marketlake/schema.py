@@ -26,6 +26,17 @@ SILVER_SCHEMA = T.StructType(
     [*BAR_SCHEMA.fields, T.StructField("sma_20", T.DoubleType()), T.StructField("rsi_14", T.DoubleType())]
 )
 
+GOLD_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("year_month", T.StringType()),
+        *[T.StructField(c, T.DoubleType()) for c in PRICE_COLUMNS],
+        T.StructField("volume", T.LongType()),
+        T.StructField("timestamp", T.TimestampType()),
+        *[T.StructField(c, T.DoubleType()) for c in ("monthly_return", "ma_3m", "volatility")],
+    ]
+)
+
 STOCK_SCHEMA = T.StructType(
     [
         T.StructField("symbol", T.StringType(), False),

@@ -1,24 +1,38 @@
-"""Structured Streaming: record enrichment, and incremental refresh of the silver layer."""
+"""Structured Streaming: record enrichment, and incremental refresh of the silver and gold layers."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.functions.scalars import default_time, enrich_intraday
+from marketlake.operators import gold
 from marketlake.operators.batch import last_bars
 from marketlake.operators.clean import forward_fill, keep_latest
 from marketlake.operators.indicators import indicators
-from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, conform_bars
-from marketlake.sources.store import write_bars
+from marketlake.operators.series import dated
+from marketlake.schema import BAR_SCHEMA, GOLD_SCHEMA, NUMERIC_COLUMNS, PRICE_COLUMNS, SILVER_SCHEMA, conform_bars
+from marketlake.sources import store
 
 SILVER_INDICATORS = ["sma_20", "rsi_14"]
 # Bars kept per symbol between batches: what the silver indicators look back on.
 TAIL_BARS = 20
+GOLD_KEY = T.StructType(GOLD_SCHEMA.fields[:2])
+COUNT_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("month", T.StringType()),
+        T.StructField("bars", T.LongType()),
+        T.StructField("full_bars", T.LongType()),
+    ]
+)
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA) -> DataFrame:
@@ -43,18 +57,24 @@ def write_enriched(records: DataFrame, path: str, checkpoint: str) -> StreamingQ
 
 @dataclass(frozen=True)
 class SilverRefresh:
-    """Keeps silver up to date from newly landed bars.
+    """Keeps silver and gold up to date from newly landed bars.
 
-    Each micro-batch writes three folders named after its id: the cleaned bars, the silver rows it changes,
-    and the last ``TAIL_BARS`` bars of every symbol. A replayed batch overwrites its own folders, so results
-    are exactly-once. New bars at the end of a history need only the tail; only symbols whose batch reaches
-    back before their tail's end are recomputed from their stored bars.
+    ``bars`` (as they came) and ``silver`` lie by month; every micro-batch merges its rows into the months they touch, so no versions
+    pile up, and merging a replayed batch again changes nothing. ``tail`` holds the last ``TAIL_BARS`` bars of every symbol after each
+    batch, ``counts`` the bars of every symbol and month.
+
+    New bars at the end of a history need only the tail. A late bar is computed from the ``TAIL_BARS`` before it to the
+    ``TAIL_BARS`` after the point from which no value is filled from before it; ``counts`` says in which months these lie, and only they are read.
+    The gold months of what changed follow in the same batch.
     """
 
     spark: SparkSession
     root: str
     grain: str = "day"
 
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
     def start(self, bronze: DataFrame, checkpoint: str) -> StreamingQuery:
         return (
             bronze.writeStream.foreachBatch(self.refresh)
@@ -64,73 +84,151 @@ class SilverRefresh:
         )
 
     def silver(self) -> DataFrame:
-        """The newest version of each silver row."""
-        return _newest(self._read("silver", SILVER_SCHEMA))
+        return store.stored_bars(self.spark, self.path("silver"), SILVER_SCHEMA)
 
     def bars(self) -> DataFrame:
-        return _newest(self._read("bars", BAR_SCHEMA))
+        return store.stored_bars(self.spark, self.path("bars"))
+
+    def gold(self) -> DataFrame:
+        return store.read_gold_monthly(self.spark, self.path("gold"), GOLD_SCHEMA)
 
     def publish(self, path: str) -> None:
         """Write the current silver layer by event month, for range reads and gold."""
-        write_bars(self.silver(), path, "overwrite")
+        store.write_bars(self.silver(), path, "overwrite")
 
     def refresh(self, batch: DataFrame, batch_id: int) -> None:
         # only the columns of a bar: ingest stamps would make equal bars differ
-        arrived = keep_latest(conform_bars(batch), ["symbol", "timestamp"])
-        self._write(arrived, "bars", batch_id)
-        fresh = self._read("bars", BAR_SCHEMA).where(F.col("batch_id") == batch_id).drop("batch_id")
-        if batch_id == 0:
-            context, late = None, None
-        else:
-            context = self._tail(batch_id - 1)
-            late = self._late(fresh, context)
-        if late is not None and not late.isEmpty():
-            history = _newest(self._read("bars", BAR_SCHEMA).join(late, "symbol", "left_semi"))
-            in_order = fresh.join(late, "symbol", "left_anti")
-            known = context.join(late, "symbol", "left_anti")
-            rows = in_order.withColumn("known", F.lit(False)).unionByName(known.withColumn("known", F.lit(True)))
-            rows = rows.unionByName(history.withColumn("known", F.lit(False)))
-        else:
-            rows = fresh.withColumn("known", F.lit(False))
-            if context is not None:
-                rows = rows.unionByName(context.withColumn("known", F.lit(True)))
+        fresh = self._staged(keep_latest(dated(conform_bars(batch)), ["symbol", "timestamp"]), BAR_SCHEMA)
+        store.upsert_bars(self.spark, self.path("bars"), fresh, self.path("staging"))
+        self._count_months(fresh)
+        context = self._tail(batch_id - 1)
+        late = self._late(fresh, context)
+        late = self._staged(late, late.schema)
+        rows = fresh.join(late, "symbol", "left_anti").withColumn("known", F.lit(False))
+        rows = rows.unionByName(context.join(late, "symbol", "left_anti").withColumn("known", F.lit(True)))
+        if not late.isEmpty():
+            rows = rows.unionByName(self._around(late))
         filled = forward_fill(rows, grain=self.grain, keep_slice=True)
-        enriched = indicators(filled, SILVER_INDICATORS, grain=self.grain)
-        self._write(enriched.where(~F.col("known")).drop("known"), "silver", batch_id)
-        changed = self._read("silver", SILVER_SCHEMA).where(F.col("batch_id") == batch_id).select(*BAR_SCHEMA.names)
-        if context is not None:
-            changed = keep_latest(
-                changed.withColumn("newer", F.lit(1)).unionByName(context.withColumn("newer", F.lit(0))),
-                ["symbol", "timestamp"],
-                ["newer"],
-            ).drop("newer")
-        self._write(last_bars(changed, TAIL_BARS).drop("age"), "tail", batch_id)
+        enriched = indicators(filled, SILVER_INDICATORS, grain=self.grain).where(~F.col("known"))
+        changed = self._staged(enriched.select(*SILVER_SCHEMA.names), SILVER_SCHEMA)
+        store.upsert_bars(self.spark, self.path("silver"), changed, self.path("staging"), schema=SILVER_SCHEMA)
+        newest = keep_latest(
+            changed.select(*BAR_SCHEMA.names).withColumn("newer", F.lit(1)).unionByName(context.withColumn("newer", F.lit(0))),
+            ["symbol", "timestamp"],
+            ["newer"],
+        ).drop("newer")
+        self._write_tail(last_bars(newest, TAIL_BARS).drop("age"), batch_id)
+        self._refresh_gold(changed)
 
     def _late(self, fresh: DataFrame, tail: DataFrame) -> DataFrame:
-        """Symbols with a new bar at or before the end of their tail: one row per symbol on both sides."""
-        first = fresh.groupBy("symbol").agg(F.min("timestamp").alias("first_new"))
+        """(symbol, first_new, last_new) of the symbols with a new bar at or before the end of their tail."""
+        new = fresh.groupBy("symbol").agg(F.min("timestamp").alias("first_new"), F.max("timestamp").alias("last_new"))
         last = tail.groupBy("symbol").agg(F.max("timestamp").alias("last_known"))
-        return first.join(last, "symbol").where("first_new <= last_known").select("symbol")
+        return new.join(last, "symbol").where("first_new <= last_known").drop("last_known")
+
+    def _around(self, late: DataFrame) -> DataFrame:
+        """The bars from which late bars' indicators and those they change are computed."""
+        months = self._months_of(late)
+        later = self._later(late, months)
+        # Should values be filled beyond these months, the months after them are read too.
+        open_ends = later.groupBy("symbol").agg(F.max("settled_bars").alias("n")).where(F.col("n") <= TAIL_BARS)
+        beyond = self._counts().where(F.col("month") > max(months)).join(open_ends, "symbol", "left_semi")
+        more = beyond.select("month").distinct().toArrow()["month"].to_pylist()
+        if more:
+            later = self._later(late, months + more)
+        later = later.where(F.col("settled_bars") <= TAIL_BARS).drop("settled_bars").withColumn("known", F.lit(False))
+        stored = self._months("silver", SILVER_SCHEMA, months).join(late, "symbol").where("timestamp < first_new")
+        before = last_bars(stored.select(*BAR_SCHEMA.names), TAIL_BARS).drop("age")
+        return later.unionByName(before.withColumn("known", F.lit(True)))
+
+    def _months(self, name: str, schema: T.StructType, months: list[str]) -> DataFrame:
+        stored = store.read_bars(self.spark, self.path(name), schema)
+        return stored.where(F.concat(*store.MONTH_PARTITIONS).isin(months)).select(*BAR_SCHEMA.names)
+
+    def _later(self, late: DataFrame, months: list[str]) -> DataFrame:
+        """The bars from the first new one on, with the number of ``settled_bars`` so far: those after all columns have had a value again."""
+        later = self._months("bars", BAR_SCHEMA, months).join(late, "symbol").where("timestamp >= first_new")
+        so_far = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        after = F.col("timestamp") > F.col("last_new")
+        filled = [F.count(F.when(after, F.col(c))).over(so_far) > 0 for c in NUMERIC_COLUMNS]
+        # a column without any value is never filled
+        empty = [F.count(c).over(Window.partitionBy("symbol")) == 0 for c in NUMERIC_COLUMNS]
+        settled = later.withColumn("settled", reduce(and_, [f | e for f, e in zip(filled, empty)]) & after)
+        return settled.withColumn("settled_bars", F.count_if("settled").over(so_far)).select(*BAR_SCHEMA.names, "settled_bars")
+
+    def _months_of(self, late: DataFrame) -> list[str]:
+        """The months that hold the bars late ones reach and, most likely, those that reach them; the calendar bounds their number."""
+        counts = self._counts().join(late, "symbol")
+        month = F.col("month")
+        first, last = (F.date_format(c, "yyyyMM") for c in ("first_new", "last_new"))
+        down = Window.partitionBy("symbol").orderBy(F.desc("month")).rowsBetween(Window.unboundedPreceding, -1)
+        up = Window.partitionBy("symbol").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+        passed = counts.withColumns(
+            {
+                "held_before": F.coalesce(F.sum(F.when(month < first, F.col("bars"))).over(down), F.lit(0)),
+                "held_after": F.coalesce(F.sum(F.when(month > last, F.col("full_bars"))).over(up), F.lit(0)),
+            }
+        )
+        near = passed.where(
+            month.between(first, last)
+            | (month < first) & (F.col("held_before") < TAIL_BARS)
+            | (month > last) & (F.col("held_after") < 2 * TAIL_BARS)
+        )
+        return near.select("month").distinct().toArrow()["month"].to_pylist()
+
+    def _counts(self) -> DataFrame:
+        typed = T.StructType([*COUNT_SCHEMA.fields, T.StructField("bucket", T.StringType())])
+        return self.spark.read.schema(typed).parquet(self.path("counts")).drop("bucket")
+
+    def _count_months(self, fresh: DataFrame) -> None:
+        """Count the bars, and those without a missing value, of the months that new bars touch."""
+        month = F.date_format("timestamp", "yyyyMM").alias("month")
+        keys = fresh.select("symbol", month).distinct()
+        touched = keys.select("month").distinct().toArrow()["month"].to_pylist()
+        stored = store.read_bars(self.spark, self.path("bars")) if touched else self.bars()
+        if touched:
+            stored = stored.where(F.concat(*store.MONTH_PARTITIONS).isin(touched))
+        full = reduce(and_, [F.col(c).isNotNull() for c in PRICE_COLUMNS])
+        counted = stored.groupBy("symbol", month).agg(F.count("*").alias("bars"), F.count_if(full).alias("full_bars"))
+        counted = counted.join(keys, ["symbol", "month"], "left_semi")
+        store.merge_into(self.spark, self.path("counts"), counted, COUNT_SCHEMA, ["symbol", "month"], store.symbol_bucket(), self.path("staging"))
+
+    def _refresh_gold(self, changed: DataFrame) -> None:
+        """Roll up the months that changed anew; what looks across months is computed from stored months, one row each."""
+        month = F.date_format("timestamp", "yyyy-MM").alias("year_month")
+        keys = self._staged(changed.select("symbol", month).distinct(), GOLD_KEY)
+        touched = keys.select(F.regexp_replace("year_month", "-", "").alias("month")).distinct().toArrow()["month"].to_pylist()
+        if not touched:
+            return
+        silver = store.read_bars(self.spark, self.path("silver"), SILVER_SCHEMA).where(F.concat(*store.MONTH_PARTITIONS).isin(touched))
+        anew = gold.month_bars(silver).join(keys, ["symbol", "year_month"], "left_semi")
+        first = keys.groupBy("symbol").agg(F.min("year_month").alias("first_month"))
+        rest = self.gold().join(first.select("symbol"), "symbol", "left_semi").join(keys, ["symbol", "year_month"], "left_anti")
+        months = anew.unionByName(rest.select(*anew.columns))
+        found = gold.across_months(months).join(first, "symbol").where("year_month >= first_month").drop("first_month")
+        year = {"year": F.substring("year_month", 1, 4)}
+        store.merge_into(self.spark, f"{self.path('gold')}/monthly", found, GOLD_SCHEMA, ["symbol", "year_month"], year, self.path("staging"))
 
     def _tail(self, batch_id: int) -> DataFrame:
-        return self._read("tail", BAR_SCHEMA).where(F.col("batch_id") == batch_id).drop("batch_id")
+        typed = T.StructType([*BAR_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
+        if batch_id < 0:
+            return self.spark.createDataFrame([], BAR_SCHEMA)
+        return self.spark.read.schema(typed).parquet(self.path("tail")).where(F.col("batch_id") == batch_id).drop("batch_id")
 
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
+    def _write_tail(self, df: DataFrame, batch_id: int) -> None:
         (
             df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
-            .parquet(f"{self.root}/{name}")
+            .parquet(self.path("tail"))
         )
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        typed = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        return self.spark.read.schema(typed).parquet(f"{self.root}/{name}")
-
-
-def _newest(versions: DataFrame) -> DataFrame:
-    return keep_latest(versions, ["symbol", "timestamp"], ["batch_id"]).drop("batch_id")
+    def _staged(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+        """The frame as files of this batch's own."""
+        path = f"{self.path('staging')}/{uuid.uuid4().hex}"
+        df.select(*schema.names).write.parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
 
 def refresh_from(spark: SparkSession, bronze_path: str, root: str, checkpoint: str, grain: str = "day") -> SilverRefresh:

@@ -545,7 +545,31 @@ def test_incremental_silver_equals_full_silver(spark, grain):
     refresh.refresh(to_spark(spark, batches[-1]), 2)
     got, expected = collect(refresh.silver()), collect(batch.silver_bars(to_spark(spark, pdf)))
     pd.testing.assert_frame_equal(got[expected.columns], expected)
+    months = collect(refresh.gold(), ("symbol", "year_month"))
+    filled = batch.silver_bars(to_spark(spark, pdf))
+    pd.testing.assert_frame_equal(months, collect(gold.monthly(filled), ("symbol", "year_month"))[list(months.columns)])
     published = workspace(spark, "published")
     refresh.publish(published)
     found = store.get_prices(spark, published, "b", day("2020-02-01"), day("2020-02-29"), SILVER_SCHEMA)
     assert found.where("sma_20 IS NOT NULL").count() == 29
+
+
+def stored_files(spark, refresh):
+    return spark.read.parquet(refresh.path("silver")).select(F.input_file_name().alias("f")).distinct()
+
+
+def test_a_late_bar_reads_its_months_only(spark):
+    pdf = make_bars({"a": walk(700, 1), "b": walk(700, 2)})
+    bronze, root, checkpoint = (workspace(spark, n) for n in ("bronze", "root", "cp"))
+    late = (pdf["symbol"] == "a") & (pdf["timestamp"] == "2020-06-15")
+    to_spark(spark, pdf[~late]).write.parquet(bronze)
+    refresh = refresh_from(spark, bronze, root, checkpoint)
+    new = to_spark(spark, pdf[late])
+    found = refresh._late(new, refresh._tail(0))
+    assert sorted(refresh._months_of(found)) == ["202005", "202006", "202007", "202008"]
+    before = {r.f for r in stored_files(spark, refresh).collect()}
+    refresh.refresh(new, 1)
+    after = {r.f for r in stored_files(spark, refresh).collect()}
+    assert {f.split("year=")[1][:13] for f in before ^ after} <= {"2020/month=06", "2020/month=07"}
+    expected = collect(batch.silver_bars(to_spark(spark, pdf)))
+    pd.testing.assert_frame_equal(collect(refresh.silver())[expected.columns], expected)
