@@ -25,6 +25,8 @@ LENGTH = 2048
 DIMENSIONS = 4
 BITS = 10
 PART_IDS = 1 << 23
+# Longer documents move in rows of so many ids, so that parts of like many rows are of like size.
+ROW_IDS = 8192
 _SEQUENCES_OF_A_PART = 1 << 32
 
 
@@ -78,7 +80,7 @@ def _pack(kind: np.dtype, length: int):
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def pieces(part: int, first: int, docs: list, closing: bool):
-        """Rows of the pieces of held documents [doc_id, ids, ids taken] for as many sequences as they fill."""
+        """Rows of the pieces of what is held, [doc_id, ids, ids taken, start, ids of the document], for as many sequences as it fills."""
         rows, number = [], first
         held = sum(len(d[1]) - d[2] for d in docs)
         at = 0
@@ -88,7 +90,7 @@ def _pack(kind: np.dtype, length: int):
                 doc = docs[at]
                 n = min(size - offset, len(doc[1]) - doc[2])
                 ids = doc[1][doc[2] : doc[2] + n].astype("<u4").tobytes()
-                rows.append((doc[0], doc[2], n, zlib.crc32(ids), len(doc[1]), part * _SEQUENCES_OF_A_PART + number, offset, ids))
+                rows.append((doc[0], doc[3] + doc[2], n, zlib.crc32(ids), doc[4], part * _SEQUENCES_OF_A_PART + number, offset, ids))
                 doc[2] += n
                 offset += n
                 at += doc[2] == len(doc[1])
@@ -102,8 +104,8 @@ def _pack(kind: np.dtype, length: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, docs, held = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                docs.append([doc_id, np.frombuffer(ids, dtype=kind), 0])
+            for doc_id, start, size, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                docs.append([doc_id, np.frombuffer(ids, dtype=kind), 0, start, size])
                 held += len(docs[-1][1])
                 if held >= 256 * length:
                     rows, number, docs = pieces(part, number, docs, False)
@@ -129,11 +131,16 @@ def packed_sequences(docs: DataFrame, path: str | None = None, length: int = LEN
     if length < 1 or length & (length - 1):
         raise ValueError("length must be a power of two")
     kind = id_type(open(path or default_path()).read())
-    tokens = written(tokenized(docs, path, curve_place, "place long"), "packing")
-    total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
-    ordered = tokens.repartitionByRange(max(1, -(-total // PART_IDS)), "place", "doc_id", "n_tokens")
+    width = kind.itemsize
+    tokens = tokenized(docs, path, curve_place, "place long")
+    rows = tokens.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.lit(ROW_IDS).cast("long"))))
+    rows = rows.withColumn("ids", F.expr(f"substring(ids, CAST(start * {width} + 1 AS INT), {ROW_IDS * width})"))
+    rows = written(rows, "packing")
+    total = rows.where("start = 0").agg(F.sum("n_tokens")).first()[0] or 0
+    order = ["place", "doc_id", "n_tokens", "start"]
+    ordered = rows.repartitionByRange(max(1, -(-total // PART_IDS)), *order)
     return on_arrow(
-        ordered.sortWithinPartitions("place", "doc_id", "n_tokens", "ids").select("doc_id", "ids"),
+        ordered.sortWithinPartitions(*order, "ids").select("doc_id", "start", "n_tokens", "ids"),
         _pack(kind, length),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary",
     )

@@ -129,6 +129,7 @@ def check_packed(rows, texts_by_row, library, length):
 @pytest.mark.parametrize("length,part", [(2048, 1 << 23), (64, 3000)])
 def test_packing(spark, library, monkeypatch, length, part):
     monkeypatch.setattr(packing, "PART_IDS", part)
+    monkeypatch.setattr(packing, "ROW_IDS", 1000)
     found = texts() | {100 + i: "the same text again" for i in range(300)}
     rows = packing.packed_sequences(documents(spark, found, [(None, "no id")]), length=length).collect()
     check_packed(rows, found | {None: "no id"}, library, length)
