@@ -10,7 +10,6 @@ whether all of its runs agreed.
 
 from __future__ import annotations
 
-import itertools
 import re
 import struct
 import zlib
@@ -23,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.text import on_arrow, text_chunks
+from marketlake.llm.tokens import CHUNK, RunCache
 
 MARK = "▁"
-KNOWN_RUNS = 400_000
 
 # Fixed values of the format: kinds of pieces and types of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -148,29 +147,18 @@ class PieceTokenizer:
         shown = self.model.bytes_of_pieces()
         self.shown = np.frombuffer(b"".join(shown), dtype=np.uint8)
         self.shown_bounds = np.append(0, np.cumsum([len(x) for x in shown]))
-        self.clear()
+        self.known = RunCache(self.learn, [])
 
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.bounds, self.agreed = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=bool)
-
-    def learn(self, runs: list[bytes]) -> None:
+    def learn(self, runs: list[bytes]) -> tuple[list[list[int]], list[bool]]:
         texts = [r.decode() for r in runs]
         ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         others = self.other.encode([t[1:] if self.by_run else t for t in texts], num_threads=1)
-        at = len(self.known)
-        self.known.update(zip(runs, range(at, at + len(runs)), strict=True))
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        new = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
-        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
-        self.flat = np.concatenate((self.flat, new))
         # A run of spaces only is less than SentencePiece is given alone: an empty text has no prefix.
-        same = [a == b or not t.strip(" ") for a, b, t in zip(ids, others, texts, strict=True)]
-        self.agreed = np.concatenate((self.agreed, np.array(same, dtype=bool)))
+        return ids, [a == b or not t.strip(" ") for a, b, t in zip(ids, others, texts, strict=True)]
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(first row, ids, row bounds, whether the row decodes to its text, whether its runs agreed) over runs of rows."""
-        for row, data, offsets in text_chunks(column, 4 << 20):
+        for row, data, offsets in text_chunks(column, CHUNK):
             n, sizes = len(offsets) - 1, np.diff(offsets)
             lead = self.by_run & (sizes > 0)
             shift = np.append(0, np.cumsum(lead))
@@ -184,16 +172,10 @@ class PieceTokenizer:
                 begin = np.union1d(begin, inner)
             runs = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(padded)).astype(np.int64)), pa.py_buffer(padded)])
             runs = runs.dictionary_encode()
-            words = runs.dictionary.to_pylist()
-            if len(self.known) + len(words) > KNOWN_RUNS:
-                self.clear()
-            new = [w for w in words if w not in self.known]
-            if new:
-                self.learn(new)
-            at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))[runs.indices.to_numpy()]
-            ids, ends = gathered(self.flat, self.bounds, at)
+            at = self.known.places(runs.dictionary)[runs.indices.to_numpy()] if len(runs) else np.zeros(0, dtype=np.int64)
+            ids, ends = self.known.ids(at)
             firsts = np.searchsorted(begin, bounds)
-            id_bounds = np.append(0, ends)[firsts]
+            id_bounds = ends[firsts]
             shown, shown_ends = gathered(self.shown, self.shown_bounds, ids)
             shown_bounds = np.append(0, shown_ends)[id_bounds]
             same = np.diff(shown_bounds) == np.diff(bounds)
@@ -202,7 +184,7 @@ class PieceTokenizer:
                 same &= wrong[bounds[1:]] == wrong[bounds[:-1]]
             else:
                 same = np.array([np.array_equal(shown[a:b], padded[c:d]) for a, b, c, d in zip(shown_bounds[:-1], shown_bounds[1:], bounds[:-1], bounds[1:], strict=True)])
-            bad = np.append(0, np.cumsum(~self.agreed[at]))
+            bad = np.append(0, np.cumsum(~self.known.flags[at]))
             yield row, ids, id_bounds, same, bad[firsts[1:]] == bad[firsts[:-1]]
 
     def decode(self, ids: list[int]) -> str:

@@ -54,7 +54,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(_BASE))
+# Random values of bytes: with ASCII case folded, and two independent tables for bytes as they are.
+TABLES = (mix(np.arange(1, 257, dtype=np.uint64) * _U(_BASE)), mix(np.arange(1001, 1257, dtype=np.uint64) * _U(_BASE)))
+_FOLDED = TABLES[0][LOWER]
 
 
 def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -106,11 +108,11 @@ class WordHash:
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps))
 
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        """Running sums over lower-cased bytes; ``between`` takes ranges from them."""
+    def sums(self, data: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+        """Running sums over the values of bytes, by default of lower-cased ones; ``between`` takes ranges from them."""
         self.grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[LOWER[data]] * self.powers[: len(data)], out=sums[1:])
+        np.cumsum((_FOLDED if table is None else table)[data] * self.powers[: len(data)], out=sums[1:])
         return sums
 
     def between(self, sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:

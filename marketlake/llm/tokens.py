@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import LOWER, SPACES, on_arrow, text_chunks
+from marketlake.llm.text import LOWER, SPACES, TABLES, WordHash, on_arrow, text_chunks
 
 END = 1
-KNOWN_WORDS = 300_000
+KNOWN_RUNS = 1_000_000
 CHUNK = 2 << 20
 
 # Classes of bytes: white space, letter, digit, other ASCII, apostrophe, other byte, end of a letter from U+00C0 to U+00FF.
@@ -76,8 +76,55 @@ def drops_spaces(config: dict) -> bool:
     )
 
 
+class RunCache:
+    """Ids of byte strings seen before, under two 64-bit hashes (some 40 bytes each); about ``KNOWN_RUNS`` of them at most.
+
+    Entry 0 is ``first``. ``learn`` gives the ids of new strings and a flag for each.
+    """
+
+    def __init__(self, learn, first: list[int]) -> None:
+        self.learn, self.first, self.hashing = learn, first, WordHash()
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.checks, self.entries = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self.flat, self.bounds = np.array(self.first, dtype=np.int32), np.array([0, len(self.first)], dtype=np.int64)
+        self.flags = np.ones(1, dtype=bool)
+
+    def places(self, runs: pa.Array) -> np.ndarray:
+        """The entry of each of the distinct ``runs``; new ones are learned."""
+        offsets = np.frombuffer(runs.buffers()[1], dtype=np.int64 if pa.types.is_large_binary(runs.type) else np.int32)
+        offsets = offsets[runs.offset : runs.offset + len(runs) + 1].astype(np.int64)
+        data = np.frombuffer(runs.buffers()[2], dtype=np.uint8)[: offsets[-1]]
+        key, check = (self.hashing.between(self.hashing.sums(data, table), offsets[:-1], offsets[1:]) for table in TABLES)
+        if len(self.keys) + len(key) > KNOWN_RUNS:
+            self.clear()
+        at = np.searchsorted(self.keys, key)
+        near = np.minimum(at, len(self.keys) - 1)
+        known = (self.keys[near] == key) & (self.checks[near] == check) if len(self.keys) else np.zeros(len(key), dtype=bool)
+        out = np.empty(len(key), dtype=np.int64)
+        out[known] = self.entries[near[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            ids, flags = self.learn(runs.take(pa.array(new)).to_pylist())
+            first = len(self.bounds) - 1
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            flat = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
+            self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+            self.flat, self.flags = np.concatenate((self.flat, flat)), np.concatenate((self.flags, np.array(flags, dtype=bool)))
+            out[new] = np.arange(first, first + len(new))
+            order = new[np.argsort(key[new], kind="stable")]
+            self.keys, self.checks, self.entries = (np.insert(old, at[order], added[order]) for old, added in ((self.keys, key), (self.checks, check), (self.entries, out)))
+        return out
+
+    def ids(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries one after another, and the bounds of each."""
+        found = pa.LargeListArray.from_arrays(pa.array(self.bounds), pa.array(self.flat)).take(pa.array(entries))
+        return found.values.to_numpy(), found.offsets.to_numpy()
+
+
 class TextTokenizer:
-    """Ids of the rows of a string column; words seen before are looked up, ``KNOWN_WORDS`` of them at most."""
+    """Ids of the rows of a string column; runs seen before are looked up."""
 
     def __init__(self, config: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
@@ -87,13 +134,9 @@ class TextTokenizer:
         self.by_word = drops_spaces(json.loads(config))
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100) if c != 0xF7}
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.bounds = np.array([END], dtype=np.int32), np.array([0, 1], dtype=np.int64)
+        self.known = RunCache(self.learn, [END])
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> tuple[list[list[int]], list[bool]]:
         ids: list[list[int]] = [[] for _ in words]
         rest = []
         for i, word in enumerate(words):
@@ -104,12 +147,7 @@ class TextTokenizer:
                 rest.append((i, text))
         for (i, _), found in zip(rest, self.library.encode_batch_fast([t for _, t in rest], add_special_tokens=False), strict=True):
             ids[i] = found.ids
-        at = len(self.known) + 1
-        self.known.update(zip(words, range(at, at + len(words)), strict=True))
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        new = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
-        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
-        self.flat = np.concatenate((self.flat, new))
+        return ids, [True] * len(ids)
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         """The runs, dictionary-encoded, and the number of each row's first run."""
@@ -137,18 +175,10 @@ class TextTokenizer:
             n = len(offsets) - 1
             if self.by_word and len(data):
                 runs, firsts = self.words(data, offsets)
-                words = runs.dictionary.to_pylist()
-                if len(self.known) + len(words) > KNOWN_WORDS:
-                    self.clear()
-                new = [w for w in words if w not in self.known]
-                if new:
-                    self.learn(new)
-                at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))[runs.indices.to_numpy()]
+                at = self.known.places(runs.dictionary)[runs.indices.to_numpy()] if len(runs) else np.zeros(0, dtype=np.int64)
                 # Entry 0 is the end id, after each row's last run.
-                at = np.insert(at, firsts[1:], 0)
-                found = pa.LargeListArray.from_arrays(pa.array(self.bounds), pa.array(self.flat)).take(pa.array(at))
-                out = found.values.to_numpy()
-                bounds = found.offsets.to_numpy()[firsts + np.arange(n + 1)]
+                out, ends = self.known.ids(np.insert(at, firsts[1:], 0))
+                bounds = ends[firsts + np.arange(n + 1)]
             else:
                 texts = column.slice(row, n).fill_null("").to_pylist()
                 found = [[*e.ids, END] for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]

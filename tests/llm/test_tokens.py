@@ -59,7 +59,7 @@ def test_other_tokenizers_get_whole_texts():
 
 
 def test_known_words_are_bounded(config, library, monkeypatch):
-    monkeypatch.setattr(tokens, "KNOWN_WORDS", 3)
+    monkeypatch.setattr(tokens, "KNOWN_RUNS", 30)
     column = [prose(30, i) for i in range(4)]
     assert rows_of(tokens.TextTokenizer(config), column) == [expected(library, t) for t in column]
 
