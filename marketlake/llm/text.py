@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -35,12 +37,14 @@ def workers_import_this(spark: SparkSession) -> None:
 
 
 def on_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package importable in the workers; memory that Arrow keeps is given back after a task."""
+    """``mapInArrow`` with this package importable in the workers; memory that was freed is given back after a task."""
     workers_import_this(df.sparkSession)
 
     def freeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(batches)
         pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries give memory back by themselves
+            ctypes.CDLL(None).malloc_trim(0)
 
     return df.mapInArrow(freeing, schema)
 
@@ -61,12 +65,12 @@ _FOLDED = TABLES[0][LOWER]
 
 def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) over runs of rows of about ``most`` bytes; null is empty, a row is never cut."""
-    column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
     if column.null_count:
         column = column.fill_null("")
     if not len(column):
         return
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], dtype=kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, dtype=np.uint8)
     row = 0

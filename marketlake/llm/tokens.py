@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from marketlake.llm.text import LOWER, SPACES, TABLES, WordHash, on_arrow, text_chunks
 
 END = 1
-KNOWN_RUNS = 1_000_000
-CHUNK = 2 << 20
+KNOWN_RUNS = 600_000
+CHUNK = 1 << 20
 
 # Classes of bytes: white space, letter, digit, other ASCII, apostrophe, other byte, end of a letter from U+00C0 to U+00FF.
 _SPACE, _LETTER, _DIGIT, _OTHER, _QUOTE, _HIGH, _LATIN = range(7)
