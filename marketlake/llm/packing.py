@@ -26,7 +26,7 @@ DIMENSIONS = 4
 BITS = 10
 PART_IDS = 1 << 23
 # Longer documents move in rows of so many ids, so that parts of like many rows are of like size.
-ROW_IDS = 8192
+ROW_IDS = 1024
 _SEQUENCES_OF_A_PART = 1 << 32
 
 
@@ -105,8 +105,13 @@ def _pack(kind: np.dtype, length: int):
         part, number, docs, held = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             for doc_id, start, size, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                docs.append([doc_id, np.frombuffer(ids, dtype=kind), 0, start, size])
-                held += len(docs[-1][1])
+                ids = np.frombuffer(ids, dtype=kind)
+                held += len(ids)
+                last = docs[-1] if docs else None
+                if last and (last[0], last[3] + len(last[1]), last[4]) == (doc_id, start, size):
+                    last[1] = np.concatenate((last[1], ids))  # the rest of the same document
+                else:
+                    docs.append([doc_id, ids, 0, start, size])
                 if held >= 256 * length:
                     rows, number, docs = pieces(part, number, docs, False)
                     held = sum(len(d[1]) - d[2] for d in docs)
