@@ -4,9 +4,10 @@ Two bigram models, of a target part of the corpus and of the whole as background
 interpolation. A document's score is the mean over its tokens of the target model's loss less the background
 model's: the lower, the more the document reads like the target.
 
-All counts are over all documents, summed in map tasks before they are shuffled. The models keep the words and bigrams that
-make up at least a fixed share of all tokens; a share of 1 in n is reached by n of them at most, which bounds what is
-broadcast, at any size of the corpus. Rarer words are one unknown word, rarer bigrams back off to their second word.
+All counts are over all documents, summed in map tasks before they are shuffled. The models keep every word and bigram that
+comes at least ``LEAST_COUNT`` times, as written tables that grow with the corpus. Rarer words are one unknown word, rarer
+bigrams back off to their second word. Losses are computed once per distinct bigram and joined with the documents' bigrams;
+words and bigrams with at least a fixed share of all tokens, of which there are few at any size, are broadcast instead.
 """
 
 from __future__ import annotations
@@ -15,17 +16,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import WordHash, on_arrow, text_chunks, word_bounds
+from marketlake.llm.graph import written
+from marketlake.llm.text import WordHash, mix, on_arrow, text_chunks, word_bounds
 
-WORDS = 1 << 17
-BIGRAMS = 1 << 20
+# Keep only words and bigrams that are at least one in so many of all tokens; None keeps all.
+WORDS: int | None = None
+BIGRAMS: int | None = None
 LEAST_COUNT = 2
 MIXED = 0.7
+# One in so many of all tokens is broadcast; it changes no result.
+HOT_WORDS = 1 << 17
+HOT_BIGRAMS = 1 << 20
+# In place of hashes: any word that is not kept, and what stands before a text.
+UNKNOWN, START = 0, 1
 _CHUNK = 4 << 20
-_BITS = 18
+_U = np.uint64
 
 
 def _words(column: pa.Array, hashing: WordHash) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -35,114 +44,114 @@ def _words(column: pa.Array, hashing: WordHash) -> Iterator[tuple[int, np.ndarra
         yield row, hashing.between(hashing.sums(data), begin, end), firsts
 
 
-def _tallied(values: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
+def _bigrams(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the bigram, first word) of all tokens."""
+    first = np.append(np.array([START], dtype=np.uint64), words)[:-1]
+    first[firsts[:-1][np.diff(firsts) > 0]] = START
+    return mix(first * _U(0x9E3779B97F4A7C15) + words), first
+
+
+def _tallied(values: np.ndarray, target: np.ndarray, more: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """(key, n, n_target) of the distinct values, with the columns ``more`` that depend on them."""
     order = np.argsort(values, kind="stable")
     values, target = values[order], target[order]
     first = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, dtype=np.int64)
     n = np.diff(np.append(first, len(values)))
     sums = np.append(0, np.cumsum(target, dtype=np.int64))
     n_target = sums[first + n] - sums[first]
-    return pa.RecordBatch.from_arrays([pa.array(values[first].astype(np.int64)), pa.array(n), pa.array(n_target)], ["key", "n", "n_target"])
-
-
-def _counted(rows: DataFrame, count) -> DataFrame:
-    return on_arrow(rows, count, "key long, n long, n_target long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashing = WordHash()
-    for batch in batches:
-        target = batch.column(1).to_numpy(zero_copy_only=False)
-        for row, words, firsts in _words(batch.column(0), hashing):
-            yield _tallied(words, np.repeat(target[row : row + len(firsts) - 1], np.diff(firsts)))
-
-
-class Vocabulary:
-    """Kept words in order of their hashes, numbered from 2; 0 is an unknown word, 1 stands before a text."""
-
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes = np.sort(hashes)
-
-    def __len__(self) -> int:
-        return len(self.hashes) + 2
-
-    def numbers(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(words), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, at + 2, 0)
-
-    def bigrams(self, words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bigram code, number of the second word) of all tokens."""
-        second = self.numbers(words)
-        first = np.append(1, second)[:-1] if len(second) else second
-        starts = firsts[:-1][np.diff(firsts) > 0]
-        first[starts] = 1
-        return first << _BITS | second, second
-
-
-class Models:
-    """Losses of both models: a table by word for backing off, and one by kept bigram."""
-
-    def __init__(self, vocabulary: Vocabulary, words: np.ndarray, codes: np.ndarray, pairs: np.ndarray) -> None:
-        """``words``: counts (target, background) by number; ``codes``, ``pairs``: kept bigrams and their counts."""
-        self.vocabulary = vocabulary
-        order = np.argsort(codes)
-        self.codes, pairs = codes[order], pairs[order].astype(np.float64)
-        first, second = self.codes >> _BITS, self.codes & ((1 << _BITS) - 1)
-        # Number 1 only stands before texts: it is counted as a context and never predicted.
-        predicted = np.array(words, dtype=np.float64)
-        predicted[1] = 0
-        single = (predicted + 1) / (predicted.sum(axis=0) + len(words))
-        self.of_bigram = np.zeros((len(codes), 2))
-        self.context = np.ones((len(words), 2))
-        for k in range(2):
-            share = pairs[:, k] / np.maximum(words[first, k], 1)
-            kept = np.bincount(first, weights=share, minlength=len(words))
-            self.context[:, k] = 1 - MIXED * np.minimum(kept, 1)
-            self.of_bigram[:, k] = -np.log(MIXED * share + self.context[first, k] * single[second, k])
-        self.of_word = -np.log(single)
-        self.context = -np.log(self.context)
-
-    def losses(self, words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-        """Summed losses (row by model)."""
-        codes, second = self.vocabulary.bigrams(words, firsts)
-        loss = self.of_word[second] + self.context[codes >> _BITS]
-        if len(self.codes) and len(codes):
-            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-            kept = self.codes[at] == codes
-            loss[kept] = self.of_bigram[at[kept]]
-        sums = np.concatenate((np.zeros((1, 2)), np.cumsum(loss, axis=0)))
-        return sums[firsts[1:]] - sums[firsts[:-1]]
-
-
-def learn(docs: DataFrame, is_target: Column) -> Models:
-    """Both models from all texts of ``docs``; rows where ``is_target`` holds are the target."""
-    spark = docs.sparkSession
-    rows = docs.where("text IS NOT NULL").select("text", F.coalesce(is_target, F.lit(False)).alias("target"))
-    counted = _counted(rows, _count_words)
-    totals = rows.agg(F.count("*"), F.count_if("target")).first()
-    words = counted.agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).first()
-    n, n_target = words["n"] or 0, words["n_target"] or 0
-    kept = counted.where((F.col("n") >= LEAST_COUNT) & (F.col("n") * WORDS >= n)).toArrow()
-    hashes = kept["key"].to_numpy().astype(np.uint64)
-    vocabulary = Vocabulary(hashes)
-    table = np.zeros((len(vocabulary), 2), dtype=np.int64)
-    table[vocabulary.numbers(hashes)] = np.column_stack((kept["n_target"].to_numpy(), kept["n"].to_numpy()))
-    table[0] = n_target - table[:, 0].sum(), n - table[:, 1].sum()
-    table[1] = totals[1], totals[0]
-    shared = spark.sparkContext.broadcast(vocabulary)
-
-    def count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns = [values[first].astype(np.int64), n, n_target, *(x[order[first]].astype(np.int64) for x in more.values())]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "n", "n_target", *more])
+
+
+def _counter(bigrams: bool):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = WordHash()
         for batch in batches:
             target = batch.column(1).to_numpy(zero_copy_only=False)
             for row, words, firsts in _words(batch.column(0), hashing):
-                codes, _ = shared.value.bigrams(words, firsts)
-                yield _tallied(codes, np.repeat(target[row : row + len(firsts) - 1], np.diff(firsts)))
+                good = np.repeat(target[row : row + len(firsts) - 1], np.diff(firsts))
+                if bigrams:
+                    keys, first = _bigrams(words, firsts)
+                    yield _tallied(keys, good, {"first": first, "second": words})
+                else:
+                    yield _tallied(words, good, {})
+
+    return count
+
+
+def _counted(rows: DataFrame, bigrams: bool) -> DataFrame:
+    """(key, n, n_target) of all words, or of all bigrams with their words ``first`` and ``second``."""
+    more = ["first", "second"] if bigrams else []
+    found = on_arrow(rows, _counter(bigrams), ", ".join(f"{c} long" for c in ["key", "n", "n_target", *more]))
+    return found.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), *[F.first(c).alias(c) for c in more])
+
+
+def _looked_up(left: DataFrame, key: Column, table: DataFrame) -> DataFrame:
+    """``left`` (with distinct ``key``) and the columns of ``table`` (key, hot, ...), null where ``key`` is null or not found.
+
+    The ``hot`` rows of the table are few and broadcast. Rows of ``left`` that need no other are spread over the join with the rest.
+    """
+    names = [c for c in table.columns if c not in ("key", "hot")]
+    few = table.where("hot").select(F.col("key").alias("_few"), F.struct(*names).alias("_of_few"))
+    rest = table.where("NOT hot").select(F.col("key").alias("_rest"), F.struct(*names).alias("_of_rest"))
+    step = left.withColumn("_at", key).join(F.broadcast(few), F.col("_at") == F.col("_few"), "left")
+    step = step.withColumn("_open", F.col("_at").isNotNull() & F.col("_few").isNull())
+    step = step.withColumn("_at", F.when(F.col("_open"), F.col("_at")).otherwise(F.col("key")))
+    step = step.join(rest, (F.col("_at") == F.col("_rest")) & F.col("_open"), "left")
+    found = F.coalesce("_of_few", "_of_rest")
+    return step.select(*left.columns, *[found[c].alias(c) for c in names])
+
+
+def _kept(n: Column, share: int | None, total: int) -> Column:
+    return (n >= LEAST_COUNT) & (n * share >= total) if share else n >= LEAST_COUNT
 
-    pairs = _counted(rows, count_bigrams).where((F.col("n") >= LEAST_COUNT) & (F.col("n") * BIGRAMS >= n)).toArrow()
-    return Models(vocabulary, table, pairs["key"].to_numpy(), np.column_stack((pairs["n_target"].to_numpy(), pairs["n"].to_numpy())))
+
+def learn(docs: DataFrame, is_target: Column) -> tuple[DataFrame, int]:
+    """(key, n, target, background) for every distinct bigram: its count and its losses in both models; and the number of tokens.
+
+    Both models are of all texts of ``docs``; rows where ``is_target`` holds are the target.
+    """
+    rows = docs.where("text IS NOT NULL").select("text", F.coalesce(is_target, F.lit(False)).alias("target"))
+    counted = written(_counted(rows, bigrams=False), "words")
+    begun = rows.agg(F.count("*"), F.count_if("target")).first()
+    total, total_target = (x or 0 for x in counted.agg(F.sum("n"), F.sum("n_target")).first())
+    words = counted.where(_kept(F.col("n"), WORDS, total))
+    size, *known = (x or 0 for x in words.agg(F.count("*"), F.sum("n"), F.sum("n_target")).first())
+    unknown = (total - known[0], total_target - known[1])
+    others = docs.sparkSession.createDataFrame([(UNKNOWN, *unknown), (START, *begun)], words.schema)
+    words = words.unionByName(others).withColumn("hot", F.col("key").isin(UNKNOWN, START) | (F.col("n") * HOT_WORDS >= total))
+
+    # Every distinct bigram with its words, of which those that are not kept are the unknown one, and its second word's counts.
+    pairs = _looked_up(_counted(rows, bigrams=True), F.col("first"), words.select("key", "hot", F.lit(True).alias("known")))
+    pairs = pairs.withColumn("first", F.when(F.col("known"), F.col("first")).otherwise(UNKNOWN)).drop("known")
+    pairs = _looked_up(pairs, F.col("second"), words.select("key", "hot", F.col("n").alias("word"), F.col("n_target").alias("word_target")))
+    pairs = pairs.withColumn("second", F.when(F.col("word").isNotNull(), F.col("second")).otherwise(UNKNOWN))
+    pairs = written(pairs.fillna(dict(zip(["word", "word_target"], unknown, strict=True))), "bigrams")
+
+    # Bigrams of an unknown word are counted together, the others are counted already.
+    partly = (F.col("first") == UNKNOWN) | (F.col("second") == UNKNOWN)
+    unsure = pairs.where(partly).groupBy("first", "second").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    unsure = written(unsure.where(_kept(F.col("n"), BIGRAMS, total)), "unknown-bigrams")
+    sure = pairs.where(~partly & _kept(F.col("n"), BIGRAMS, total))
+    follow = sure.select("first", "n", "n_target").unionByName(unsure.select("first", "n", "n_target")).groupBy("first")
+    follow = follow.agg(F.sum("n").alias("pairs"), F.sum("n_target").alias("pairs_target"))
+    contexts = words.join(follow, F.col("key") == F.col("first")).drop("first")
+    contexts = written(contexts.select("key", "hot", *[F.col(c).alias(f"first_{c}") for c in ("n", "n_target")], "pairs", "pairs_target"), "contexts")
+
+    of = F.xxhash64("first", "second")
+    unsure = unsure.select(of.alias("key"), (F.col("n") * HOT_BIGRAMS >= total).alias("hot"), F.col("n").alias("m"), F.col("n_target").alias("m_target"))
+    pairs = _looked_up(_looked_up(pairs, F.col("first"), contexts), F.when(partly, of), unsure)
+    kept = F.when(partly, F.col("m").isNotNull()).otherwise(_kept(F.col("n"), BIGRAMS, total))
+
+    def loss(part: str, tokens: int) -> Column:
+        single = (F.col(f"word{part}") + 1) / (tokens + size + 2)
+        below = F.greatest(F.col(f"first_n{part}"), F.lit(1))
+        context = 1 - MIXED * F.least(F.coalesce(F.col(f"pairs{part}") / below, F.lit(0.0)), F.lit(1.0))
+        share = F.when(partly, F.col(f"m{part}")).otherwise(F.col(f"n{part}")) / below
+        return F.when(kept, -F.log(MIXED * share + context * single)).otherwise(-F.log(single) - F.log(context))
+
+    losses = pairs.select("key", "n", loss("_target", total_target).alias("target"), loss("", total).alias("background"))
+    return written(losses, "losses"), total
 
 
 def scored(docs: DataFrame, is_target: Column) -> DataFrame:
@@ -152,17 +161,42 @@ def scored(docs: DataFrame, is_target: Column) -> DataFrame:
     a null, empty or blank text has none, and null losses and score. Repeated rows and rows without a
     doc_id count and are scored like others; without target rows the target model is uniform; an empty table has no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, is_target))
+    losses, total = learn(docs, is_target)
+    hot = F.col("n") * HOT_BIGRAMS >= total
+    few = losses.where(hot).toArrow().sort_by("key")
+    keys, values = few["key"].to_numpy(), np.column_stack((few["target"].to_numpy(), few["background"].to_numpy()))
+    shared = docs.sparkSession.sparkContext.broadcast((keys, values))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["row", "doc_id", "n_words", "key", "target", "background"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashing = WordHash()
+        """A row for each document with the sums over its hot bigrams, and one for each of its other bigrams."""
+        keys, values = shared.value
+        hashing, at = WordHash(), TaskContext.get().partitionId() << 40
         for batch in batches:
             for row, words, firsts in _words(batch.column(1), hashing):
-                n = np.diff(firsts)
-                mean = shared.value.losses(words, firsts) / np.maximum(n, 1)[:, None]
-                columns = [pa.array(x, mask=n == 0) for x in (mean[:, 0], mean[:, 1], mean[:, 0] - mean[:, 1])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(n)), pa.array(n), *columns], names)
-
-    names = ["doc_id", "n_words", "target_loss", "background_loss", "score"]
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return on_arrow(docs.select("doc_id", "text"), score, f"doc_id {kind}, n_words long, target_loss double, background_loss double, score double")
+                n, found = np.diff(firsts), _bigrams(words, firsts)[0].astype(np.int64)
+                place = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
+                known = keys[place] == found if len(keys) else np.zeros(len(found), dtype=bool)
+                loss = np.zeros((len(found) + 1, 2))
+                loss[1:][known] = values[place[known]]
+                sums = np.cumsum(loss, axis=0)
+                sums = sums[firsts[1:]] - sums[firsts[:-1]]
+                rows = np.arange(at, at + len(n))
+                at += len(n)
+                ids = batch.column(0).slice(row, len(n))
+                heads = [pa.array(rows), ids, pa.array(n), pa.nulls(len(n), pa.int64()), pa.array(sums[:, 0]), pa.array(sums[:, 1])]
+                yield pa.RecordBatch.from_arrays(heads, names)
+                open_rows, open_keys = np.repeat(rows, n)[~known], found[~known]
+                m = len(open_keys)
+                yield pa.RecordBatch.from_arrays([pa.array(open_rows), pa.nulls(m, ids.type), pa.nulls(m, pa.int64()), pa.array(open_keys), *[pa.nulls(m, pa.float64())] * 2], names)
+
+    parts = on_arrow(docs.select("doc_id", "text"), score, f"row long, doc_id {kind}, n_words long, key long, target double, background double")
+    parts = written(parts, "document-bigrams")
+    rest = parts.where("key IS NOT NULL").select("row", "key").join(losses.where(~hot).drop("n"), "key")
+    rest = rest.groupBy("row").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    heads = parts.where("key IS NULL").drop("key")
+    sums = heads.unionByName(rest, allowMissingColumns=True).groupBy("row")
+    found = sums.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("doc_id", "n_words")], *[F.sum(c).alias(c) for c in ("target", "background")])
+    means = [F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words")).alias(f"{c}_loss") for c in ("target", "background")]
+    return found.select("doc_id", "n_words", *means).withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -208,3 +208,20 @@ def test_no_target_and_no_documents(spark):
     df = spark.createDataFrame([(1, "a b a b", None)], "doc_id long, text string, good boolean")
     assert cross_entropy.scored(df, F.col("good")).first()["score"] > 0
     assert cross_entropy.scored(df.limit(0), F.col("good")).collect() == []
+
+
+@pytest.mark.parametrize("hot", [1, 20, 1 << 20])
+def test_rare_words_and_bigrams_stay_at_any_size(spark, monkeypatch, hot):
+    """A bigram of two words that come twice among 400,000 tokens is in the models, whatever is broadcast."""
+    monkeypatch.setattr(cross_entropy, "HOT_WORDS", hot)
+    monkeypatch.setattr(cross_entropy, "HOT_BIGRAMS", hot)
+    common = " ".join(prose(100, 1).split()[:20])
+    rows = [(1, "zebra yak zebra yak", True), (2, "zebra ox " + common, None), (3, "lone yak", None), (4, None, True)]
+    big = spark.createDataFrame([*rows, (5, " ".join([common] * 20000), None)], "doc_id long, text string, good boolean").repartition(3)
+    expected = plain_losses([*rows, (5, " ".join([common] * 20000), None)], 1 << 60, 1 << 60)
+    got = {r["doc_id"]: r for r in cross_entropy.scored(big, F.col("good")).collect()}
+    for doc_id, n, target, background in expected:
+        assert got[doc_id]["n_words"] == n
+        if n:
+            assert np.allclose((got[doc_id]["target_loss"], got[doc_id]["background_loss"]), (target, background), atol=1e-9)
+    assert got[1]["score"] < 0 and got[4]["score"] is None
