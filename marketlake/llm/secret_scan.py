@@ -8,7 +8,8 @@ p-value of the three. Words and identifiers have tiny p-values, random keys have
 A token is reported if its p-value is above a threshold that depends on encoding and length: with ``N(p > 0.5)`` tokens in
 a band of lengths, about ``2 (1 - c) N(p > 0.5)`` random ones lie above c; the rest of those above c are false. The
 threshold is the lowest c down to which at most ``FALSE_SHARE`` are, give or take one standard deviation of the count.
-Short tokens, whose tests are weak, thus need more. The counts are over all texts.
+Short tokens, whose tests are weak, thus need more. The counts are of distinct tokens over all texts, so copies of one token
+decide nothing; a band with few of them is judged with its neighbours.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 LEAST = 20
 FALSE_SHARE = 0.05
 BINS = 50
+# A band with fewer distinct tokens takes those of neighbouring lengths along; an encoding with fewer is reported from this bin on.
+FEW_TOKENS = 20
+FEW_BIN = BINS // 10
 REDACTED = "[REDACTED]"
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -65,10 +69,10 @@ def _upper_tail(z: str) -> str:
 
 
 def _tested(df: DataFrame) -> DataFrame:
-    """``tokens`` (start, kind, end, token) become ``tested`` (start, end, kind of encoding, band of length, p-value bin)."""
+    """``tokens`` (start, kind, end, token) become ``tested`` (start, end, band of encoding and length, p-value bin) and their ``hashes``."""
     step = df.withColumn(
         "c",
-        F.expr("""filter(transform(coalesce(tokens, array()), t -> named_struct('start', t.start, 'end', t.end, 'token', t.token,
+        F.expr("""filter(transform(coalesce(tokens, array()), t -> named_struct('start', t.start, 'end', t.end, 'token', t.token, 'hash', xxhash64(t.token),
           'form', CASE WHEN NOT (t.token RLIKE '[0-9]' AND t.token RLIKE '[A-Za-z]') THEN NULL
                        WHEN replace(t.token, '-', '') RLIKE '^([0-9a-f]+|[0-9A-F]+)$' THEN 16
                        WHEN t.token RLIKE '^[A-Z2-7]+=*$' THEN 32
@@ -77,7 +81,7 @@ def _tested(df: DataFrame) -> DataFrame:
     )
     step = step.withColumn(
         "c",
-        F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'form', t.form, 'x', transform(
+        F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'hash', t.hash, 'form', t.form, 'x', transform(
           filter(split(CASE t.form WHEN 16 THEN replace(lower(t.token), '-', '') WHEN 64 THEN translate(t.token, '-_', '+/') ELSE t.token END, ''), s -> s NOT IN ('', '=')),
           s -> CAST(locate(s, CASE t.form WHEN 16 THEN '0123456789abcdef' WHEN 32 THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
             WHEN 36 THEN 'abcdefghijklmnopqrstuvwxyz0123456789'
@@ -86,14 +90,14 @@ def _tested(df: DataFrame) -> DataFrame:
     step = step.withColumn("c", F.expr(f"filter(c, t -> size(t.x) >= {LEAST})"))
     step = step.withColumn(
         "c",
-        F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'form', t.form, 'x', t.x, 'n', CAST(size(t.x) AS DOUBLE),
+        F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'hash', t.hash, 'form', t.form, 'x', t.x, 'n', CAST(size(t.x) AS DOUBLE),
           'mean', aggregate(t.x, 0D, (a, v) -> a + v) / size(t.x),
           'square', aggregate(sequence(0, t.form - 1), 0D, (a, k) -> a + pow(size(filter(t.x, v -> v = k)), 2)),
           'high', CAST(size(filter(t.x, v -> 2 * v >= t.form)) AS DOUBLE)))"""),
     )
     step = step.withColumn(
         "c",
-        F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'form', t.form, 'n', t.n,
+        F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'hash', t.hash, 'form', t.form, 'n', t.n,
           'chi', t.form / t.n * t.square - t.n,
           'product', 2 * t.high * (t.n - t.high),
           'runs', 1 + aggregate(zip_with(t.x, slice(t.x, 2, size(t.x)), (v, w) -> if(w IS NOT NULL AND (2 * v >= t.form) <> (2 * w >= t.form), 1D, 0D)), 0D, (a, v) -> a + v),
@@ -106,12 +110,12 @@ def _tested(df: DataFrame) -> DataFrame:
     serial = "abs(t.serial + 1 / t.n) * sqrt(t.n)"
     tails = [_upper_tail(chi), f"2 * {_upper_tail(runs)}", f"2 * {_upper_tail(serial)}"]
     total = " + ".join(f"-ln(least(1D, greatest(1e-300D, coalesce({p}, 0D))))" for p in tails)
-    step = step.withColumn("c", F.expr(f"transform(c, t -> named_struct('start', t.start, 'end', t.end, 'form', t.form, 'n', t.n, 's', {total}))"))
+    step = step.withColumn("c", F.expr(f"transform(c, t -> named_struct('start', t.start, 'end', t.end, 'hash', t.hash, 'form', t.form, 'n', t.n, 's', {total}))"))
     return step.withColumn(
         "tested",
         F.expr(f"""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'band', t.form * 1000 + CAST(floor(4 * log2(t.n)) AS INT),
           'bin', CAST(least({BINS - 1}, floor({BINS} * exp(-t.s) * (1 + t.s + t.s * t.s / 2))) AS INT)))"""),
-    ).drop("c", "tokens")
+    ).withColumn("hashes", F.expr("transform(c, t -> t.hash)")).drop("c", "tokens")
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -127,26 +131,36 @@ def scanned(docs: DataFrame) -> DataFrame:
     return _tested(df).drop("_assign", "_access", "_hex", "_text")
 
 
+def _lowest(n: list[int]) -> int:
+    upper = above = sum(n[BINS // 2 :])
+    at = BINS // 2 if upper else BINS
+    for b in range(BINS // 2 - 1, 0, -1):
+        above += n[b]
+        false = above - 2 * (1 - b / BINS) * upper
+        if not upper or false - above**0.5 > FALSE_SHARE * above:
+            break
+        at = b
+    return at
+
+
 def thresholds(known: DataFrame) -> dict[int, int]:
-    """The lowest p-value bin reported, by band (encoding and length), from the counts of all tokens.
+    """The lowest p-value bin reported, by band (encoding and length), from the counts of all distinct tokens.
 
-    There are four encodings and four bands for each doubling of the length, so the rows fetched are few.
+    There are a few encodings and four bands for each doubling of the length, so the rows fetched are few.
     """
-    counts = known.select(F.explode("tested").alias("t")).groupBy("t.band", "t.bin").count().toArrow().to_pylist()
+    tokens = known.select(F.explode(F.arrays_zip("tested", "hashes")).alias("t")).select("t.tested.band", "t.tested.bin", "t.hashes")
+    counts = tokens.distinct().groupBy("band", "bin").count().toArrow().to_pylist()
     bands: dict[int, list[int]] = {}
     for row in counts:
         bands.setdefault(row["band"], [0] * BINS)[row["bin"]] += row["count"]
     lowest = {}
-    for band, n in bands.items():
-        upper = above = sum(n[BINS // 2 :])
-        at = BINS // 2 if upper else BINS
-        for b in range(BINS // 2 - 1, 0, -1):
-            above += n[b]
-            false = above - 2 * (1 - b / BINS) * upper
-            if not upper or false - above**0.5 > FALSE_SHARE * above:
-                break
-            at = b
-        lowest[band] = at
+    for band in bands:
+        near = sorted((other for other in bands if other // 1000 == band // 1000), key=lambda other: abs(other - band))
+        n = [0] * BINS
+        for other in near:
+            if sum(n) < FEW_TOKENS:
+                n = [x + y for x, y in zip(n, bands[other], strict=True)]
+        lowest[band] = _lowest(n) if sum(n) >= FEW_TOKENS else FEW_BIN
     return lowest
 
 

@@ -176,3 +176,25 @@ def test_redaction(spark):
                 expected += text[at:a] + "[REDACTED]"
             at = max(at, b)
         assert r["text"] == (None if text is None else expected + text[at:] if spans else text)
+
+
+def random_tokens(n, alphabet, size, seed=5):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(n)]
+
+
+def test_copies_of_a_token_decide_nothing(spark):
+    tokens = [t for t in random_tokens(400, string.ascii_lowercase + string.digits, 40) if plain_p_bin(t)]
+    copied = next(t for t in random_tokens(2000, string.ascii_lowercase + string.digits, 40, 6) if (plain_p_bin(t) or (0, 0))[1] in (20, 21))
+    found = {i: f"a {t} b" for i, t in enumerate([*tokens, copied])}
+    copies = {1000 + i: f"a {copied} b" for i in range(1000)}
+    once, often = (secret_scan.thresholds(secret_scan.scanned(documents(spark, x))) for x in (found, found | copies))
+    assert once == often
+    rows = secret_scan.secret_spans(documents(spark, found | copies)).where("n_random > 0").select("doc_id").collect()
+    assert len(rows) >= 0.9 * len(found | copies)
+
+
+def test_a_lone_token_is_reported(spark):
+    token = next(t for t in random_tokens(100, string.ascii_lowercase + string.digits, 40, 7) if 5 <= (plain_p_bin(t) or (0, 0))[1] < 25)
+    row = secret_scan.secret_spans(documents(spark, {1: f"see {token} here"})).first()
+    assert row["spans"] == "random:4:44"
