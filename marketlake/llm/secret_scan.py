@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and tokens that pass a battery of randomness tests. DataFrame functions only.
 
-A token of 20 or more characters with letters and digits has an inferred encoding (hexadecimal, base 32, base 36 or base 64),
-whose alphabet gives its characters numbers. Three tests take "every character is drawn evenly and by itself" as
+A token of 20 or more characters has an inferred encoding (hexadecimal, base 32, base 36, base 64 or letters only),
+whose alphabet gives its characters numbers. Its parts between separators, and what follows a leading word, are tested too. Three tests take "every character is drawn evenly and by itself" as
 their hypothesis: chi-squared over the alphabet, runs of the alphabet's halves, and lag-1 serial correlation. Fisher's method makes one
 p-value of the three. Words and identifiers have tiny p-values, random keys have evenly spread ones.
 
@@ -30,6 +30,14 @@ PATTERNS = {
 }
 KEYWORD = r"(?i:password|passwd|secret|token|api_?key)"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# Parts of a token: between separators, and behind a leading word.
+PARTS = {
+    r"[A-Za-z0-9]{20,}": 0,
+    r"[A-Za-z0-9+/]{20,}": 0,
+    r"[A-Za-z0-9_-]{20,}": 0,
+    r"[A-Za-z0-9+/_-]{20,}": 0,
+    r"(?<![A-Za-z0-9+/_=-])[+/_=-]*[A-Za-z]+[+/_=-]+([A-Za-z0-9+/_=-]{20,})": 1,
+}
 LEAST = 20
 FALSE_SHARE = 0.05
 BINS = 50
@@ -43,12 +51,13 @@ _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 def _located(kind: int, keep: str, token: bool = False) -> Column:
     """Spans of the matches ``m`` between the gaps ``g``; only those where ``keep`` (of x.m, x.v) holds."""
-    more, extra = (", 'token', x.m", ",token:string") if token else ("", "")
+    more, extra = (", 'token', x.v", ",token:string") if token else ("", "")
+    begin = "a.at + length(x.g) + length(x.m) - length(x.v)" if token else "a.at + length(x.g)"
     return F.expr(f"""aggregate(arrays_zip(g, m, v),
       named_struct('at', 0, 'found', cast(array() AS {_SPAN.replace('end:int', 'end:int' + extra)})),
       (a, x) -> named_struct('at', a.at + length(x.g) + coalesce(length(x.m), 0), 'found',
         if(x.m IS NOT NULL AND {keep}, concat(a.found, array(named_struct(
-          'start', a.at + length(x.g), 'kind', {kind}, 'end', a.at + length(x.g) + length(x.m){more}))), a.found)),
+          'start', {begin}, 'kind', {kind}, 'end', a.at + length(x.g) + length(x.m){more}))), a.found)),
       a -> a.found)""")
 
 
@@ -68,23 +77,36 @@ def _upper_tail(z: str) -> str:
     return f"1 / (1 + exp(least(700D, greatest(-700D, 1.5976D * ({z}) + 0.070565992D * pow({z}, 3)))))"
 
 
-def _tested(df: DataFrame) -> DataFrame:
-    """``tokens`` (start, kind, end, token) become ``tested`` (start, end, band of encoding and length, p-value bin) and their ``hashes``."""
-    step = df.withColumn(
-        "c",
-        F.expr("""filter(transform(coalesce(tokens, array()), t -> named_struct('start', t.start, 'end', t.end, 'token', t.token, 'hash', xxhash64(t.token),
-          'form', CASE WHEN NOT (t.token RLIKE '[0-9]' AND t.token RLIKE '[A-Za-z]') THEN NULL
+# Encodings as the size of their alphabet, and hundreds that tell apart those of one size.
+_FORM = """CASE WHEN NOT (t.token RLIKE '[0-9]' AND t.token RLIKE '[A-Za-z]') THEN NULL
                        WHEN replace(t.token, '-', '') RLIKE '^([0-9a-f]+|[0-9A-F]+)$' THEN 16
                        WHEN t.token RLIKE '^[A-Z2-7]+=*$' THEN 32
                        WHEN t.token RLIKE '^[a-z0-9]+$' THEN 36
-                       WHEN t.token RLIKE '[a-z]' AND t.token RLIKE '[A-Z]' THEN 64 END)), t -> t.form IS NOT NULL)"""),
+                       WHEN t.token RLIKE '[a-z]' AND t.token RLIKE '[A-Z]' THEN 64 END"""
+# Upper-case base 36, base 36 with separators, and letters only.
+_MORE_FORMS = f"""coalesce({_FORM}, CASE WHEN t.token RLIKE '[0-9]' AND t.token RLIKE '^[A-Z0-9]+$' THEN 136
+                       WHEN t.token RLIKE '[0-9]' AND t.token RLIKE '^[a-z0-9+/_=-]+$' AND t.token RLIKE '[a-z]' THEN 236
+                       WHEN t.token RLIKE '[0-9]' AND t.token RLIKE '^[A-Z0-9+/_=-]+$' AND t.token RLIKE '[A-Z]' THEN 336
+                       WHEN t.token RLIKE '^[a-z]+$' THEN 26
+                       WHEN t.token RLIKE '^[A-Z]+$' THEN 126
+                       WHEN t.token RLIKE '^[A-Za-z]+$' THEN 52
+                       WHEN t.token RLIKE '[a-z]' AND t.token RLIKE '[A-Z]' THEN 64 END)"""
+
+
+def _tested(df: DataFrame, tokens: str, forms: str, name: str, hashes: str) -> DataFrame:
+    """``tokens`` (start, kind, end, token) become ``name`` (start, end, band of encoding and length, p-value bin) and their ``hashes``."""
+    step = df.withColumn(
+        "c",
+        F.expr(f"""filter(transform(coalesce({tokens}, array()), t -> named_struct('start', t.start, 'end', t.end, 'token', t.token, 'hash', xxhash64(t.token),
+          'form', {forms})), t -> t.form IS NOT NULL)"""),
     )
     step = step.withColumn(
         "c",
         F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'hash', t.hash, 'form', t.form, 'x', transform(
-          filter(split(CASE t.form WHEN 16 THEN replace(lower(t.token), '-', '') WHEN 64 THEN translate(t.token, '-_', '+/') ELSE t.token END, ''), s -> s NOT IN ('', '=')),
-          s -> CAST(locate(s, CASE t.form WHEN 16 THEN '0123456789abcdef' WHEN 32 THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
-            WHEN 36 THEN 'abcdefghijklmnopqrstuvwxyz0123456789'
+          filter(split(CASE WHEN t.form = 16 THEN replace(lower(t.token), '-', '') WHEN t.form = 64 THEN translate(t.token, '-_', '+/')
+            WHEN t.form > 100 THEN translate(lower(t.token), '+/_=-', '') ELSE t.token END, ''), s -> s NOT IN ('', '=')),
+          s -> CAST(locate(s, CASE t.form % 100 WHEN 16 THEN '0123456789abcdef' WHEN 32 THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+            WHEN 36 THEN 'abcdefghijklmnopqrstuvwxyz0123456789' WHEN 26 THEN 'abcdefghijklmnopqrstuvwxyz'
             ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END) - 1 AS DOUBLE))))"""),
     )
     step = step.withColumn("c", F.expr(f"filter(c, t -> size(t.x) >= {LEAST})"))
@@ -92,43 +114,49 @@ def _tested(df: DataFrame) -> DataFrame:
         "c",
         F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'hash', t.hash, 'form', t.form, 'x', t.x, 'n', CAST(size(t.x) AS DOUBLE),
           'mean', aggregate(t.x, 0D, (a, v) -> a + v) / size(t.x),
-          'square', aggregate(sequence(0, t.form - 1), 0D, (a, k) -> a + pow(size(filter(t.x, v -> v = k)), 2)),
-          'high', CAST(size(filter(t.x, v -> 2 * v >= t.form)) AS DOUBLE)))"""),
+          'square', aggregate(sequence(0, (t.form % 100) - 1), 0D, (a, k) -> a + pow(size(filter(t.x, v -> v = k)), 2)),
+          'high', CAST(size(filter(t.x, v -> 2 * v >= (t.form % 100))) AS DOUBLE)))"""),
     )
     step = step.withColumn(
         "c",
         F.expr("""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'hash', t.hash, 'form', t.form, 'n', t.n,
-          'chi', t.form / t.n * t.square - t.n,
+          'chi', (t.form % 100) / t.n * t.square - t.n,
           'product', 2 * t.high * (t.n - t.high),
-          'runs', 1 + aggregate(zip_with(t.x, slice(t.x, 2, size(t.x)), (v, w) -> if(w IS NOT NULL AND (2 * v >= t.form) <> (2 * w >= t.form), 1D, 0D)), 0D, (a, v) -> a + v),
+          'runs', 1 + aggregate(zip_with(t.x, slice(t.x, 2, size(t.x)), (v, w) -> if(w IS NOT NULL AND (2 * v >= (t.form % 100)) <> (2 * w >= (t.form % 100)), 1D, 0D)), 0D, (a, v) -> a + v),
           'serial', aggregate(zip_with(t.x, slice(t.x, 2, size(t.x)), (v, w) -> coalesce((v - t.mean) * (w - t.mean), 0D)), 0D, (a, v) -> a + v)
              / nullif(aggregate(t.x, 0D, (a, v) -> a + (v - t.mean) * (v - t.mean)), 0D)))"""),
     )
     # Wilson and Hilferty's cube root for chi-squared; a token without variation fails its tests.
-    chi = "(pow(greatest(t.chi, 0D) / (t.form - 1), 1 / 3D) - (1 - 2 / (9D * (t.form - 1)))) / sqrt(2 / (9D * (t.form - 1)))"
+    chi = "(pow(greatest(t.chi, 0D) / ((t.form % 100) - 1), 1 / 3D) - (1 - 2 / (9D * ((t.form % 100) - 1)))) / sqrt(2 / (9D * ((t.form % 100) - 1)))"
     runs = "abs(t.runs - t.product / t.n - 1) / sqrt(nullif(t.product * (t.product - t.n) / (t.n * t.n * (t.n - 1)), 0D))"
     serial = "abs(t.serial + 1 / t.n) * sqrt(t.n)"
     tails = [_upper_tail(chi), f"2 * {_upper_tail(runs)}", f"2 * {_upper_tail(serial)}"]
     total = " + ".join(f"-ln(least(1D, greatest(1e-300D, coalesce({p}, 0D))))" for p in tails)
     step = step.withColumn("c", F.expr(f"transform(c, t -> named_struct('start', t.start, 'end', t.end, 'hash', t.hash, 'form', t.form, 'n', t.n, 's', {total}))"))
     return step.withColumn(
-        "tested",
+        name,
         F.expr(f"""transform(c, t -> named_struct('start', t.start, 'end', t.end, 'band', t.form * 1000 + CAST(floor(4 * log2(t.n)) AS INT),
           'bin', CAST(least({BINS - 1}, floor({BINS} * exp(-t.s) * (1 + t.s + t.s * t.s / 2))) AS INT)))"""),
-    ).withColumn("hashes", F.expr("transform(c, t -> t.hash)")).drop("c", "tokens")
+    ).withColumn(hashes, F.expr("transform(c, t -> t.hash)")).drop("c")
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``base`` spans (start, kind, end; sorted) and ``tested`` tokens of every whole text."""
+    """``docs`` with ``base`` spans (start, kind, end; sorted) and ``tested`` tokens of every whole text, and ``parts`` of tokens tested likewise."""
     text = F.col("_text")
     df = docs.withColumn("_text", F.coalesce("text", F.lit("")))
     df = _matches(df, "_assign", PATTERNS["assign"], text.rlike(KEYWORD), 2, _located(0, "length(x.v) >= 6"))
     df = _matches(df, "_access", PATTERNS["access"], text.contains("AKIA"), 0, _located(1, "length(x.m) >= 20"))
     df = _matches(df, "_hex", PATTERNS["hex"], text.rlike("[0-9a-f]{24}"), 0, _located(2, "true"))
     df = _matches(df, "tokens", TOKEN, text.rlike(TOKEN.replace(",}", "}")), 0, _located(3, "true", token=True))
+    for i, (pattern, value) in enumerate(PARTS.items()):
+        df = _matches(df, f"_part{i}", pattern, F.size("tokens") > 0, value, _located(3, "true", token=True))
+    parts = ["tokens", *(f"_part{i}" for i in range(len(PARTS)))]
+    every = F.array_distinct(F.concat(*[F.coalesce(c, F.expr("cast(array() AS array<struct<start:int,kind:int,end:int,token:string>>)")) for c in parts]))
+    df = df.withColumn("more", F.array_except(every, F.expr(f"filter(coalesce(tokens, array()), t -> ({_FORM}) IS NOT NULL)")))
     none = F.expr(f"cast(array() AS {_SPAN})")
     df = df.withColumn("base", F.array_sort(F.concat(*[F.coalesce(c, none) for c in ("_assign", "_access", "_hex")])))
-    return _tested(df).drop("_assign", "_access", "_hex", "_text")
+    df = _tested(_tested(df, "tokens", _FORM, "tested", "hashes"), "more", _MORE_FORMS, "parts", "part_hashes")
+    return df.drop("_assign", "_access", "_hex", "_text", "more", *parts)
 
 
 def _lowest(n: list[int]) -> int:
@@ -148,7 +176,8 @@ def thresholds(known: DataFrame) -> dict[int, int]:
 
     There are a few encodings and four bands for each doubling of the length, so the rows fetched are few.
     """
-    tokens = known.select(F.explode(F.arrays_zip("tested", "hashes")).alias("t")).select("t.tested.band", "t.tested.bin", "t.hashes")
+    tested, hashes = F.concat("tested", "parts").alias("tested"), F.concat("hashes", "part_hashes").alias("hashes")
+    tokens = known.select(tested, hashes).select(F.explode(F.arrays_zip("tested", "hashes")).alias("t")).select("t.tested.band", "t.tested.bin", "t.hashes")
     counts = tokens.distinct().groupBy("band", "bin").count().toArrow().to_pylist()
     bands: dict[int, list[int]] = {}
     for row in counts:
@@ -165,16 +194,24 @@ def thresholds(known: DataFrame) -> dict[int, int]:
 
 
 def with_spans(known: DataFrame) -> DataFrame:
-    """Add ``spans`` (start, kind, end; sorted) to a written result of ``scanned``: base ones and random tokens outside them."""
+    """Add ``spans`` (start, kind, end; sorted) to a written result of ``scanned``: base ones and random tokens outside them.
+
+    Parts are added outside whole random tokens, and of nested ones the longest.
+    """
     lowest = thresholds(known)
-    if lowest:
-        table = F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair])
-        found = F.filter("tested", lambda t: t["bin"] >= table[t["band"]])
-    else:
-        found = F.filter("tested", lambda t: F.lit(False))
-    apart = F.filter(found, lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    added = F.transform(apart, lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
-    return known.withColumn("spans", F.array_sort(F.concat(F.col("base"), added)))
+    table = F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair]) if lowest else None
+
+    def found(name: str, outside: str) -> Column:
+        random = F.filter(name, lambda t: t["bin"] >= table[t["band"]] if lowest else F.lit(False))
+        return F.filter(random, lambda t: ~F.exists(outside, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+
+    def span(t: Column) -> Column:
+        return F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end"))
+
+    step = known.withColumn("spans", F.concat(F.col("base"), F.transform(found("tested", "base"), span)))
+    step = step.withColumn("_parts", F.array_distinct(F.transform(found("parts", "spans"), span)))
+    longest = "filter(_parts, t -> NOT exists(_parts, u -> u.start <= t.start AND t.end <= u.end AND u.end - u.start > t.end - t.start))"
+    return step.withColumn("spans", F.array_sort(F.concat(F.col("spans"), F.expr(longest)))).drop("_parts")
 
 
 def _joined(spans: str) -> Column:

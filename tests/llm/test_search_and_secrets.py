@@ -198,3 +198,25 @@ def test_a_lone_token_is_reported(spark):
     token = next(t for t in random_tokens(100, string.ascii_lowercase + string.digits, 40, 7) if 5 <= (plain_p_bin(t) or (0, 0))[1] < 25)
     row = secret_scan.secret_spans(documents(spark, {1: f"see {token} here"})).first()
     assert row["spans"] == "random:4:44"
+
+
+@pytest.mark.parametrize(
+    "before,alphabet,size",
+    [
+        ("", string.ascii_uppercase + string.digits, 40),
+        ("sk-", string.ascii_lowercase + string.digits, 40),
+        ("session=", string.ascii_lowercase + string.digits, 40),
+        ("/path/", string.ascii_lowercase + string.digits, 40),
+        ("", string.ascii_lowercase, 40),
+        ("", string.ascii_uppercase, 40),
+        ("", string.ascii_letters, 48),
+        ("authorization=", string.ascii_letters + string.digits + "+/", 64),
+        ("ghs_", string.ascii_letters + string.digits, 48),
+        ("key_is-", string.ascii_letters + string.digits, 48),
+    ],
+)
+def test_random_tokens_of_other_forms_are_found(spark, before, alphabet, size):
+    keys = random_tokens(100, alphabet, size)
+    found = {i: f"look {before}{k} here" for i, k in enumerate(keys)}
+    rows = secret_scan.redacted(documents(spark, found)).select("doc_id", "text").collect()
+    assert sum(keys[r["doc_id"]] not in r["text"] for r in rows) >= 80
