@@ -76,13 +76,14 @@ def run(
     if "silver" in chosen:
         with log.trace("silver_process", data_type=data_type):
             bronze = _landed(spark, lake, data_type)
+            landed = standardise(bronze.drop("data_type", *store.DAY_PARTITIONS))
             bronze = store.latest_landing(bronze) if newest_only else bronze
             bronze = standardise(bronze.drop("data_type", *store.DAY_PARTITIONS))
             set_aside(spark, lake, _only(bronze, symbols), log, data_type)
             if days is not None:
                 bronze = last_days(bronze, as_of or datetime.now(timezone.utc), days)
             part = newest_only or days is not None
-            to_silver(spark, lake, _only(bronze, symbols), warmup, grain, documents, period, part, log)
+            to_silver(spark, lake, _only(bronze, symbols), warmup, grain, documents, period, part, log, _only(landed, symbols))
     if "gold" in chosen:
         with log.trace("gold_aggregate", data_type="analytics"):
             unread = store.unread_files(spark, [lake.path("silver")], SILVER_SCHEMA).select("path", "length", F.lit("unreadable file").alias("error"))
@@ -123,15 +124,17 @@ def to_silver(
     period: str | None = None,
     part: bool = False,
     log: report.RunLog | None = None,
+    landed: DataFrame | None = None,
 ) -> None:
     """Clean bronze, add indicators, merge silver by symbol and time, and the documents of the symbols computed.
 
     With ``part`` the stored bars of the same symbols from the first new one on, and the ``REACH`` before it, are computed along, so
-    that every value is what a run over the whole history gives; the ones before are not written again.
+    that every value is what a run over the whole history gives; the ones before are not written again. Those from the first new
+    one on are taken from ``landed``, all standardised bronze, since stored values may have been filled.
     """
     bars = bronze
     if part:
-        bars = _with_stored(spark, lake, bronze)
+        bars = _with_stored(spark, lake, bronze, landed)
     enriched = silver_bars(bars, version=("arrival", "ingest_ts"), warmup=warmup, grain=grain)
     if part:
         enriched = enriched.where("fresh")
@@ -155,14 +158,19 @@ def to_silver(
 REACH = 20
 
 
-def _with_stored(spark, lake: Lake, bronze: DataFrame) -> DataFrame:
+def _with_stored(spark, lake: Lake, bronze: DataFrame, landed: DataFrame | None) -> DataFrame:
     """New bars (``fresh``) with the stored ones of the same symbols that they reach or are reached by."""
     bronze = bronze.withColumns({"fresh": F.lit(True), "arrival": F.lit(1)})
     first = dated(bronze).groupBy("symbol").agg(F.min("timestamp").alias("first_new"))
     stored = store.stored_bars(spark, lake.path("silver"), SILVER_SCHEMA).select(*BAR_SCHEMA.names).join(first, "symbol")
-    later = stored.where("timestamp >= first_new").withColumns({"fresh": F.lit(True), "arrival": F.lit(0)})
+    later = stored.where("timestamp >= first_new").drop("first_new")
+    if landed is not None:
+        key = ["symbol", "timestamp"]
+        raw = landed.select(*[c for c in (*BAR_SCHEMA.names, "ingest_ts") if c in landed.columns]).join(later.select(*key), key, "left_semi")
+        later = raw.unionByName(later.join(landed.select(*key), key, "left_anti"), allowMissingColumns=True)
+    later = later.withColumns({"fresh": F.lit(True), "arrival": F.lit(0)})
     before = last_bars(stored.where("timestamp < first_new"), REACH).withColumns({"fresh": F.lit(False), "arrival": F.lit(0)})
-    known = later.unionByName(before.drop("age")).drop("first_new")
+    known = later.unionByName(before.drop("age", "first_new"), allowMissingColumns=True)
     return bronze.unionByName(known, allowMissingColumns=True)
 
 

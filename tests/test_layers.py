@@ -573,3 +573,16 @@ def test_a_late_bar_reads_its_months_only(spark):
     assert {f.split("year=")[1][:13] for f in before ^ after} <= {"2020/month=06", "2020/month=07"}
     expected = collect(batch.silver_bars(to_spark(spark, pdf)))
     pd.testing.assert_frame_equal(collect(refresh.silver())[expected.columns], expected)
+
+
+def test_a_late_bar_fills_the_missing_values_after_it(spark):
+    lake = lakes.Lake(workspace(spark, "lake"))
+    pdf = make_bars({"a": walk(60)})
+    pdf.loc[pdf["timestamp"] == "2020-01-26", "close"] = None
+    late = pdf["timestamp"] == "2020-01-25"
+    lakes.run(spark, lake, raw_frame(spark, pdf[~late]), ingest_ts=day("2024-01-01"), documents=False)
+    lakes.run(spark, lake, raw_frame(spark, pdf[late]), steps="bronze", ingest_ts=day("2024-01-02"))
+    lakes.run(spark, lake, steps="silver", newest_only=True, documents=False)
+    part = stored_rows(spark, lake)[0]
+    lakes.run(spark, lake, steps="silver", documents=False)
+    pd.testing.assert_frame_equal(part, stored_rows(spark, lake)[0], check_exact=False, atol=1e-9, rtol=0)
