@@ -37,17 +37,18 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group of near-duplicates, and one row of rows that repeat a doc_id.
+    """Keep the document with the smallest doc_id of each group of near-duplicates, and one row of rows that repeat a doc_id and its text.
 
-    Documents without words or without a doc_id belong to no group and stay.
+    Rows are told apart by doc_id and text. Documents without words or without a doc_id belong to no group and stay.
     """
-    found = written(minhash.near_duplicates(docs), "near-duplicates")
-    gone = written(found.where("NOT kept").select("doc_id").distinct(), "gone")
-    again = written(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    left = docs.join(if_small(gone), "doc_id", "left_anti")
+    key = ["doc_id", "text_hash"]
+    found = written(minhash.near_duplicates(docs, hashed=True), "near-duplicates")
+    gone = written(found.where("NOT kept").select(*key).distinct(), "gone")
+    again = written(found.where("kept AND doc_id IS NOT NULL").groupBy(*key).count().where("count > 1").select(*key), "repeated")
+    left = docs.withColumn("text_hash", F.xxhash64("text")).join(if_small(gone), key, "left_anti")
     again = if_small(again)
-    once = left.join(again, "doc_id", "left_anti").select(docs.columns)
-    return once.unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    once = left.join(again, key, "left_anti").select(docs.columns)
+    return once.unionByName(left.join(again, key, "left_semi").dropDuplicates(key).select(docs.columns))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,6 +68,7 @@ def bucket(keys: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns behind the text are passed on."""
     hashing = WordHash()
     for batch in batches:
         sizes, prints, sigs = [], ([], []), []
@@ -78,17 +79,18 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 prints[1].append(int(mix(values ^ _XOR[0]).sum(dtype=np.uint64).astype(np.int64)))
             sigs.append(signature(values).tobytes() if len(values) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints[0], pa.int64()), pa.array(prints[1], pa.int64()), pa.array(sigs, pa.binary())],
-            ["doc_id", "n_shingles", "print_a", "print_b", "sig"],
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints[0], pa.int64()), pa.array(prints[1], pa.int64()), pa.array(sigs, pa.binary()), *batch.columns[2:]],
+            ["doc_id", "n_shingles", "print_a", "print_b", "sig", *batch.schema.names[2:]],
         )
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, two fingerprint sums of the set, signature), null signature for an empty set."""
+def sketches(docs: DataFrame, hashed: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, two fingerprint sums of the set, signature), null signature for an empty set; ``hashed`` adds the text's hash."""
+    more = [F.xxhash64("text").alias("text_hash")] if hashed else []
     return on_arrow(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more),
         _sketches,
-        "doc_id long, n_shingles long, print_a long, print_b long, sig binary",
+        "doc_id long, n_shingles long, print_a long, print_b long, sig binary" + (", text_hash long" if hashed else ""),
     )
 
 
@@ -253,7 +255,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.binary())], ["doc_id", "shingles"])
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK, hashed: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every document of ``docs`` (doc_id, text, any further columns).
 
     Documents are linked when ``100 * |A ∩ B| >= percent * |A ∪ B|`` of their full shingle sets. ``component_id`` is the
@@ -263,12 +265,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK) -> D
 
     Null, empty and blank texts have no shingles and link with nothing. Repeated rows are returned as often as they
     come, as copies; rows that repeat a doc_id with another text are one document that holds both. A null doc_id
-    takes no part: its component_id is null and it is kept.
+    takes no part: its component_id is null and it is kept. With ``hashed`` each row also has the ``text_hash`` of its own text.
     """
     matches = least_matches(percent)
     if matches < 1:
         raise ValueError("the signature is too short for so low a similarity")
-    known = written(sketches(docs), "sketches")
+    known = written(sketches(docs, hashed), "sketches")
     prints = ["n_shingles", "print_a", "print_b"]
     taking_part = known.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = taking_part.groupBy(*prints).agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("doc_id"))
@@ -290,5 +292,5 @@ def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK) -> D
         known.drop("sig")
         .join(named, prints, "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)).alias("kept"))
+        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)).alias("kept"), *(["text_hash"] if hashed else []))
     )

@@ -113,3 +113,11 @@ def test_stages_take_empty_tables(spark, planted):
     docs = spark.read.parquet(f"{planted}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, planted).collect() == []
+
+
+def test_a_repeated_doc_id_keeps_its_other_texts(spark):
+    own, other, copied = prose(90, 21), prose(90, 22), prose(90, 23)
+    rows = [(1, copied), (2, copied), (2, own), (3, own + " x"), (4, other), (4, other), (4, prose(90, 24))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == sorted([(1, copied), (2, own), (4, other), (4, prose(90, 24))])
