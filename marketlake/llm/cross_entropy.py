@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.graph import written
-from marketlake.llm.text import WordHash, mix, on_arrow, text_chunks, word_bounds
+from marketlake.llm.text import LOWER, WordHash, mix, on_arrow, text_chunks, word_bounds
 
 # Keep only words and bigrams that are at least one in so many of all tokens; None keeps all.
 WORDS: int | None = None
@@ -41,7 +41,7 @@ def _words(column: pa.Array, hashing: WordHash) -> Iterator[tuple[int, np.ndarra
     """(first row, word hashes, row bounds) over runs of rows."""
     for row, data, offsets in text_chunks(column, _CHUNK):
         begin, end, firsts = word_bounds(data, offsets)
-        yield row, hashing.between(hashing.sums(data), begin, end), firsts
+        yield row, hashing.of(LOWER[data], begin, end), firsts
 
 
 def _bigrams(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

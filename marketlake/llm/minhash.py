@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.graph import components, only_keys, written
-from marketlake.llm.text import WordHash, key_runs, mix, on_arrow, shingle_sets
+from marketlake.llm.text import WordHash, fresh_key, key_runs, mix, on_arrow, shingle_sets
 
 COORDINATES = 64
 LOST = 1e-9
@@ -67,29 +67,33 @@ def bucket(keys: np.ndarray) -> np.ndarray:
     return (mix(keys.astype(np.uint64)) >> _U(64 - BUCKETS_LOG2)).astype(np.int64)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(key: int):
     """Columns behind the text are passed on."""
-    hashing = WordHash()
-    for batch in batches:
-        sizes, prints, sigs = [], ([], []), []
-        for values in shingle_sets(batch.column(1), hashing):
-            sizes.append(len(values))
-            with np.errstate(over="ignore"):
-                prints[0].append(int(mix(values).sum(dtype=np.uint64).astype(np.int64)))
-                prints[1].append(int(mix(values ^ _XOR[0]).sum(dtype=np.uint64).astype(np.int64)))
-            sigs.append(signature(values).tobytes() if len(values) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints[0], pa.int64()), pa.array(prints[1], pa.int64()), pa.array(sigs, pa.binary()), *batch.columns[2:]],
-            ["doc_id", "n_shingles", "print_a", "print_b", "sig", *batch.schema.names[2:]],
-        )
 
-
-def sketches(docs: DataFrame, hashed: bool = False) -> DataFrame:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashing = WordHash(key)
+        for batch in batches:
+            sizes, prints, sigs = [], ([], []), []
+            for values in shingle_sets(batch.column(1), hashing):
+                sizes.append(len(values))
+                with np.errstate(over="ignore"):
+                    prints[0].append(int(mix(values).sum(dtype=np.uint64).astype(np.int64)))
+                    prints[1].append(int(mix(values ^ _XOR[0]).sum(dtype=np.uint64).astype(np.int64)))
+                sigs.append(signature(values).tobytes() if len(values) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints[0], pa.int64()), pa.array(prints[1], pa.int64()), pa.array(sigs, pa.binary()), *batch.columns[2:]],
+                ["doc_id", "n_shingles", "print_a", "print_b", "sig", *batch.schema.names[2:]],
+            )
+
+    return sketch
+
+
+def sketches(docs: DataFrame, key: int, hashed: bool = False) -> DataFrame:
     """(doc_id, n_shingles, two fingerprint sums of the set, signature), null signature for an empty set; ``hashed`` adds the text's hash."""
     more = [F.xxhash64("text").alias("text_hash")] if hashed else []
     return on_arrow(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more),
-        _sketches,
+        _sketches(key),
         "doc_id long, n_shingles long, print_a long, print_b long, sig binary" + (", text_hash long" if hashed else ""),
     )
 
@@ -246,13 +250,16 @@ def _confirm(percent: int):
     return confirm
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashing = WordHash()
-    for batch in batches:
-        for at in range(0, len(batch), 256):
-            part = batch.slice(at, 256)
-            values = [x.tobytes() for x in shingle_sets(part.column(1), hashing)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.binary())], ["doc_id", "shingles"])
+def _sets(key: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashing = WordHash(key)
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                values = [x.tobytes() for x in shingle_sets(part.column(1), hashing)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.binary())], ["doc_id", "shingles"])
+
+    return sets
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK, hashed: bool = False) -> DataFrame:
@@ -270,7 +277,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK, hash
     matches = least_matches(percent)
     if matches < 1:
         raise ValueError("the signature is too short for so low a similarity")
-    known = written(sketches(docs, hashed), "sketches")
+    key = fresh_key()
+    known = written(sketches(docs, key, hashed), "sketches")
     prints = ["n_shingles", "print_a", "print_b"]
     taking_part = known.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = taking_part.groupBy(*prints).agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("doc_id"))
@@ -280,7 +288,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK, hash
     met = written(candidates(cells, classes, frequency, matches), "meetings")
     ids = written(met.select("doc_id").distinct(), "candidates")
     texts = only_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id")
-    sets = on_arrow(texts, _sets, "doc_id long, shingles binary").where("length(shingles) > 0")
+    sets = on_arrow(texts, _sets(key), "doc_id long, shingles binary").where("length(shingles) > 0")
     gathered = met.select("doc_id", "key", "cell").join(sets, "doc_id")
     links = on_arrow(
         gathered.repartition("key", "cell").sortWithinPartitions("key", "cell", "doc_id"), _confirm(percent), "a long, b long"

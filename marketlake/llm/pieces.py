@@ -152,9 +152,13 @@ class PieceTokenizer:
     def learn(self, runs: list[bytes]) -> tuple[list[list[int]], list[bool]]:
         texts = [r.decode() for r in runs]
         ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        others = self.other.encode([t[1:] if self.by_run else t for t in texts], num_threads=1)
-        # A run of spaces only is less than SentencePiece is given alone: an empty text has no prefix.
-        return ids, [a == b or not t.strip(" ") for a, b, t in zip(ids, others, texts, strict=True)]
+        if not self.by_run:
+            return ids, [a == b for a, b in zip(ids, self.other.encode(texts, num_threads=1), strict=True)]
+        # SentencePiece adds the leading space itself, but to no empty text; spaces alone are compared behind a word.
+        blank = [not t.strip(" ") for t in texts]
+        others = self.other.encode(["." + t if b else t[1:] for t, b in zip(texts, blank, strict=True)], num_threads=1)
+        word = self.other.encode(".", num_threads=1)
+        return ids, [[*word, *a] == o if b else a == o for a, o, b in zip(ids, others, blank, strict=True)]
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(first row, ids, row bounds, whether the row decodes to its text, whether its runs agreed) over runs of rows."""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 import os
+import secrets
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -21,9 +23,11 @@ _SPACE[list(SPACES)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-# Odd, so it has an inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+# Ranges of more blocks than this are finished by a hash of the standard library, one by one.
+_BLOCKS = 32
+# The first n bytes of a little-endian block.
+_WITHIN = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 _STEPS = [pow(0xD1342543DE82EF95, i, 1 << 64) for i in range(SHINGLE)]
 _U = np.uint64
 
@@ -58,11 +62,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-# Random values of bytes: with ASCII case folded, and two independent tables for bytes as they are.
-TABLES = (mix(np.arange(1, 257, dtype=np.uint64) * _U(_BASE)), mix(np.arange(1001, 1257, dtype=np.uint64) * _U(_BASE)))
-_FOLDED = TABLES[0][LOWER]
-
-
 def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) over runs of rows of about ``most`` bytes; null is empty, a row is never cut."""
     if column.null_count:
@@ -99,28 +98,38 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class WordHash:
-    """64-bit hashes of byte ranges by sums over powers of an odd base; the powers are kept between chunks."""
-
-    def __init__(self) -> None:
-        self.powers = self.inverses = np.zeros(0, dtype=np.uint64)
-
-    def grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, CHUNK_BYTES + (CHUNK_BYTES >> 2))
-            for name, base in (("powers", _BASE), ("inverses", _INVERSE)):
-                steps = np.full(n, base, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps))
-
-    def sums(self, data: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
-        """Running sums over the values of bytes, by default of lower-cased ones; ``between`` takes ranges from them."""
-        self.grow(len(data) + 1)
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((_FOLDED if table is None else table)[data] * self.powers[: len(data)], out=sums[1:])
-        return sums
-
-    def between(self, sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[begin]) * self.inverses[begin] + (end - begin).astype(np.uint64) * _U(0xA0761D6478BD642F))
+    """64-bit hashes of byte ranges: blocks of 8 bytes, each scrambled with all that stand before it in its range.
+
+    With a key that is drawn for one run (``fresh_key``) nobody can prepare texts whose words fall together.
+    """
+
+    def __init__(self, key: int = 0) -> None:
+        self.key = mix(np.array([key], dtype=np.uint64) + _U(_BASE))[0]
+
+    def of(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        padded = np.zeros(len(data) + 8, dtype=np.uint8)
+        padded[: len(data)] = data
+        blocks = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        left = end - begin
+        found = mix(left.astype(np.uint64) * _U(_BASE) ^ self.key)
+        live, at = np.flatnonzero(left > 0), begin[left > 0]
+        for _ in range(_BLOCKS):
+            if not len(live):
+                return found
+            here = left[live]
+            found[live] = mix(found[live] ^ (blocks[at] & _WITHIN[np.minimum(here, 8)])) + self.key
+            longer = here > 8
+            left[live] -= 8
+            live, at = live[longer], at[longer] + 8
+        for i, a in zip(live, at, strict=True):
+            rest = hashlib.blake2b(data[a : end[i]].tobytes(), digest_size=8, key=self.key.tobytes() + found[i].tobytes())
+            found[i] = np.frombuffer(rest.digest(), dtype=np.uint64)[0]
+        return found
+
+
+def fresh_key() -> int:
+    """A key for one run, drawn on the driver; tasks that are repeated use the same."""
+    return secrets.randbits(63)
 
 
 def shingles(words: np.ndarray, firsts: np.ndarray) -> Iterator[np.ndarray]:
@@ -146,7 +155,7 @@ def shingle_sets(column: pa.Array, hashing: WordHash) -> Iterator[np.ndarray]:
     """The shingle set of every row of a string column, in order."""
     for _, data, offsets in text_chunks(column):
         begin, end, firsts = word_bounds(data, offsets)
-        yield from shingles(hashing.between(hashing.sums(data), begin, end), firsts)
+        yield from shingles(hashing.of(LOWER[data], begin, end), firsts)
 
 
 def key_runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
@@ -156,13 +165,13 @@ def key_runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
     for batch in batches:
         if not len(batch):
             continue
-        columns = [batch.column(batch.schema.get_field_index(n)).to_numpy() for n in names]
+        columns = [batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
         change = np.zeros(len(batch), dtype=bool)
         for c in columns:
             change[1:] |= c[1:] != c[:-1]
         cuts = np.concatenate(([0], np.flatnonzero(change), [len(batch)]))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            here = tuple(int(c[a]) for c in columns)
+            here = tuple(c[a] for c in columns)
             if held and here != key:
                 yield pa.Table.from_batches(held)
                 held = []

@@ -16,10 +16,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.text import LOWER, SPACES, TABLES, WordHash, on_arrow, text_chunks
+from marketlake.llm.text import LOWER, SPACES, WordHash, fresh_key, on_arrow, text_chunks
 
 END = 1
 KNOWN_RUNS = 600_000
@@ -77,17 +78,18 @@ def drops_spaces(config: dict) -> bool:
 
 
 class RunCache:
-    """Ids of byte strings seen before, under two 64-bit hashes (some 40 bytes each); about ``KNOWN_RUNS`` of them at most.
+    """Ids of byte strings seen before, found by a 64-bit hash and compared byte by byte; about ``KNOWN_RUNS`` of them at most.
 
-    Entry 0 is ``first``. ``learn`` gives the ids of new strings and a flag for each.
+    Strings that share a hash with another one are learned anew each time. Entry 0 is ``first``. ``learn`` gives the ids of new strings and a flag for each.
     """
 
     def __init__(self, learn, first: list[int]) -> None:
-        self.learn, self.first, self.hashing = learn, first, WordHash()
+        self.learn, self.first, self.hashing = learn, first, WordHash(fresh_key())
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.checks, self.entries = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self.keys, self.entries = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self.runs = pa.array([None], pa.large_binary())
         self.flat, self.bounds = np.array(self.first, dtype=np.int32), np.array([0, len(self.first)], dtype=np.int64)
         self.flags = np.ones(1, dtype=bool)
 
@@ -96,17 +98,24 @@ class RunCache:
         offsets = np.frombuffer(runs.buffers()[1], dtype=np.int64 if pa.types.is_large_binary(runs.type) else np.int32)
         offsets = offsets[runs.offset : runs.offset + len(runs) + 1].astype(np.int64)
         data = np.frombuffer(runs.buffers()[2], dtype=np.uint8)[: offsets[-1]]
-        key, check = (self.hashing.between(self.hashing.sums(data, table), offsets[:-1], offsets[1:]) for table in TABLES)
+        key = self.hashing.of(data, offsets[:-1], offsets[1:])
+        runs = runs.cast(pa.large_binary())
         if len(self.keys) + len(key) > KNOWN_RUNS:
             self.clear()
         at = np.searchsorted(self.keys, key)
         near = np.minimum(at, len(self.keys) - 1)
-        known = (self.keys[near] == key) & (self.checks[near] == check) if len(self.keys) else np.zeros(len(key), dtype=bool)
+        known = self.keys[near] == key if len(self.keys) else np.zeros(len(key), dtype=bool)
+        hits = np.flatnonzero(known)
+        if len(hits):
+            same = pc.equal(self.runs.take(pa.array(self.entries[near[hits]])), runs.take(pa.array(hits)))
+            known[hits] = same.to_numpy(zero_copy_only=False)
         out = np.empty(len(key), dtype=np.int64)
         out[known] = self.entries[near[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            ids, flags = self.learn(runs.take(pa.array(new)).to_pylist())
+            added = runs.take(pa.array(new))
+            ids, flags = self.learn(added.to_pylist())
+            self.runs = pa.concat_arrays([self.runs, added])
             first = len(self.bounds) - 1
             sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
             flat = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
@@ -114,7 +123,7 @@ class RunCache:
             self.flat, self.flags = np.concatenate((self.flat, flat)), np.concatenate((self.flags, np.array(flags, dtype=bool)))
             out[new] = np.arange(first, first + len(new))
             order = new[np.argsort(key[new], kind="stable")]
-            self.keys, self.checks, self.entries = (np.insert(old, at[order], added[order]) for old, added in ((self.keys, key), (self.checks, check), (self.entries, out)))
+            self.keys, self.entries = (np.insert(old, at[order], more[order]) for old, more in ((self.keys, key), (self.entries, out)))
         return out
 
     def ids(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -77,12 +77,11 @@ def features(column: pa.Array, hashing: WordHash) -> Iterator[tuple[int, np.ndar
     for row, data, offsets in text_chunks(column):
         data = _LETTER[data]
         begin, end, firsts = word_bounds(data, offsets)
-        sums = hashing.sums(data)
         rows = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
-        values, owner = [hashing.between(sums, begin, end)], [rows]
+        values, owner = [hashing.of(data, begin, end)], [rows]
         for n in STARTS:
             long = np.flatnonzero(end - begin > n)
-            values.append(hashing.between(sums, begin[long], begin[long] + n))
+            values.append(hashing.of(data, begin[long], begin[long] + n))
             owner.append(rows[long])
         yield row, np.concatenate(values), np.concatenate(owner)
 
