@@ -1,6 +1,6 @@
 """Language identification by bit-sliced Bloom filters over byte 4-grams.
 
-A slot of the filter is a mask with one bit per language, so that one look-up, the conjunction of a gram's slots,
+A slot of the filter is a mask with one bit per language (in words of 64 languages), so that one look-up, the conjunction of a gram's slots,
 says which languages contain the gram. A language contains the grams that are about as frequent in it as in
 the language where they are most frequent. For a text the bits are counted by language, corrected by the share
 of grams that a language's filter lets through by chance, and the largest count decides.
@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.llm.text import mix, on_arrow, text_chunks
 
@@ -63,22 +64,29 @@ def probes(values: np.ndarray, slots: int) -> list[np.ndarray]:
 class LanguageFilters:
     """Learned languages, the sliced filter and each language's false-positive rate."""
 
-    def __init__(self, languages: list[str], found: np.ndarray, masks: np.ndarray) -> None:
-        """``found``: distinct grams; ``masks``: the languages that contain each, as bits."""
+    def __init__(self, languages: list[str], found: np.ndarray, member: np.ndarray) -> None:
+        """``found``: distinct grams; ``member``: whether each (a row) is contained in a language (a column)."""
         self.languages = languages
         self.slots = 1 << max(10, int(len(found) * SLOTS_PER_GRAM).bit_length())
-        kind = np.dtype(f"u{max(1, 1 << (max(len(languages), 8) - 1).bit_length() >> 3)}")
-        self.table = np.zeros(self.slots, dtype=kind)
-        for at in probes(found, self.slots):
-            np.bitwise_or.at(self.table, at, masks.astype(kind))
-        filled = [((self.table >> kind.type(b)) & kind.type(1)).mean() for b in range(len(languages))]
+        self.tables, filled = [], []
+        for word in range(0, len(languages), 64):
+            own = member[:, word : word + 64].astype(np.uint64)
+            kind = np.dtype(f"u{max(1, 1 << (max(own.shape[1], 8) - 1).bit_length() >> 3)}")
+            masks = (own << np.arange(own.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64).astype(kind)
+            table = np.zeros(self.slots, dtype=kind)
+            for at in probes(found, self.slots):
+                np.bitwise_or.at(table, at, masks)
+            self.tables.append(table)
+            filled += [((table >> kind.type(b)) & kind.type(1)).mean() for b in range(own.shape[1])]
         self.by_chance = np.array(filled) ** PROBES
 
-    def masks(self, values: np.ndarray) -> np.ndarray:
+    def masks(self, values: np.ndarray) -> list[np.ndarray]:
+        """The languages of each gram, as bits of one word for every 64 of them."""
         first, *rest = probes(values, self.slots)
-        out = self.table[first]
+        out = [table[first] for table in self.tables]
         for at in rest:
-            out &= self.table[at]
+            for mask, table in zip(out, self.tables, strict=True):
+                mask &= table[at]
         return out
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +98,8 @@ class LanguageFilters:
         total = np.diff(bounds)
         counts = np.zeros((n, len(self.languages)))
         for b in range(len(self.languages)):
-            sums = np.append(0, np.cumsum((masks >> masks.dtype.type(b)) & masks.dtype.type(1), dtype=np.int64))
+            mask = masks[b // 64]
+            sums = np.append(0, np.cumsum((mask >> mask.dtype.type(b % 64)) & mask.dtype.type(1), dtype=np.int64))
             counts[:, b] = sums[bounds[1:]] - sums[bounds[:-1]]
         return np.maximum(counts - total[:, None] * self.by_chance, 0) / (1 - self.by_chance), total
 
@@ -105,9 +114,9 @@ def bounded_sample(df: DataFrame, key: str, label: str, most: int) -> DataFrame:
     sizes = {r[label]: r["count"] for r in df.groupBy(label).count().toArrow().to_pylist() if r[label] is not None}
     if not sizes:
         return df.limit(0)
-    million = 1_000_000
-    limits = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(million, -(-most * million // n)))])
-    return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(million)) < limits[F.col(label)])
+    # The share of all 64-bit hashes that is taken, as the greatest of them.
+    limits = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, (1 << 64) * min(most, n) // n - (1 << 63) - 1)])
+    return df.where(F.xxhash64(F.col(key)) <= limits[F.col(label)])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,8 +138,6 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> LanguageFilters:
     counts = on_arrow(chosen.select("text", "lang"), _count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rows = counts.where(F.col("n") >= LEAST_COUNT).toArrow()
     languages = sorted(set(rows["lang"].to_pylist()))
-    if len(languages) > 64:
-        raise ValueError("a mask holds 64 languages")
     lang = np.array([languages.index(x) for x in rows["lang"].to_pylist()], dtype=np.int64)
     found, at = np.unique(rows["gram"].to_numpy(), return_inverse=True)
     rate = np.zeros((len(found), len(languages)))
@@ -138,11 +145,11 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> LanguageFilters:
     rate /= np.maximum(rate.sum(axis=0), 1)
     member = rate >= SHARE * rate.max(axis=1, initial=0)[:, None]
     member &= rate > 0
-    return LanguageFilters(languages, found, (member.astype(np.uint64) << np.arange(len(languages), dtype=np.uint64)).sum(axis=1, dtype=np.uint64))
+    return LanguageFilters(languages, found, member)
 
 
 def identified(docs: DataFrame, filters: LanguageFilters, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all, unless given) of ``docs`` with ``lang_pred`` and ``score``, the corrected share of the text's grams that the language contains.
+    """The columns ``keep`` (all, unless given; those that clash are replaced) of ``docs`` with ``lang_pred`` and ``score``, the corrected share of the text's grams that the language contains.
 
     Every whole text is read. A null text or one without a letter is ``und`` with score 0; so is every text if nothing was
     learned. A text none of whose grams is known gets the first learned language with score 0; ties go to the first in
@@ -170,8 +177,7 @@ def identified(docs: DataFrame, filters: LanguageFilters, keep: list[str] | None
     columns = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     given = docs.select(*columns, F.col("text").alias("_text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
     fields = [f for f in given.schema.fields if f.name not in ("_text", "_letters")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["lang_pred string", "score double"])
-    return on_arrow(given, predict, schema)
+    return on_arrow(given, predict, T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def predictions(docs: DataFrame) -> DataFrame:

@@ -6,10 +6,12 @@ threshold, but for a chance of ``LOST`` at the threshold itself (far less above
 t of 64 coordinates share a list among the ``64 - t + 1`` that come first in any fixed order. The order here is rarest first, so that values
 of passages that many documents share are skipped wherever rarer ones will do.
 
-Lists of more than ``BLOCK`` documents are cut into blocks and met block against block. A pair is met in the
-most frequent list that both post, and only there. Members of a meeting with enough equal coordinates then
-meet once more with their full sets, where all intersections are counted exactly by matrix products; what
-leaves a meeting is one link per document, never the pairs of a group.
+Members first meet the smallest document of each of their lists, in blocks to which that document is copied, and hang on
+it where their full sets confirm it. So a family of near copies falls together in one row per member. What is then
+left to meet are members of a list in different components: those outside its largest one against all, in blocks of
+``BLOCK``. A pair is met in the most frequent list that both post, and only there. Members of a meeting with enough
+equal coordinates meet once more with their full sets, where all intersections are counted exactly by matrix
+products; what leaves a meeting is one link per document, never the pairs of a group.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.graph import components, only_keys, written
@@ -144,27 +146,97 @@ def postings(reps: DataFrame, frequency: np.ndarray, prefix: int) -> DataFrame:
     return on_arrow(reps.select("doc_id", "sig"), post, "doc_id long, key long")
 
 
-def meetings(posted: DataFrame, block: int) -> DataFrame:
-    """(doc_id, key, cell): the lists of two or more documents, long ones as pairs of blocks."""
-    live = posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    blocks = F.ceil(F.col("size") / F.lit(block)).cast("long")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
-    return (
-        posted.join(live, "key")
-        .withColumn("blocks", blocks)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select(
-            "doc_id",
-            "key",
-            (F.least("own", "other") * (1 << 31) + F.greatest("own", "other")).alias("cell"),
-            (F.col("own") > F.col("other")).alias("second"),
-        )
+def lists(posted: DataFrame) -> DataFrame:
+    """(doc_id, key, leader): the lists of two or more documents, with the smallest of them."""
+    live = posted.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("leader")).where("size > 1")
+    return posted.join(live, "key").select("doc_id", "key", "leader")
+
+
+def led(live: DataFrame, block: int) -> DataFrame:
+    """(doc_id, leader, cell): every other document of a list against its smallest, which is copied to each block of its followers."""
+    pairs = live.where("doc_id <> leader").select("doc_id", "leader").distinct()
+    sizes = pairs.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("blocks"))
+    followers = pairs.join(sizes, "leader").select("doc_id", "leader", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("cell"))
+    cells = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    return followers.unionByName(sizes.select(F.col("leader").alias("doc_id"), "leader", cells.alias("cell")))
+
+
+def followers(cells: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
+    """The rows of ``led`` with enough coordinates equal to those of their leader, and the leaders that have such rows."""
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in key_runs(batches, ["leader", "cell"]):
+            sig, ids = _matrix(run["sig"].combine_chunks()), run["doc_id"].to_numpy()
+            first = ids == run["leader"][0].as_py()
+            near = np.zeros(len(ids), dtype=bool)
+            for own in sig[first]:  # several where rows repeat the doc_id with another text
+                near |= (sig == own).sum(axis=1) >= matches
+            if near.sum() > 1:
+                yield from run.select(["doc_id", "leader", "cell"]).filter(pa.array(near)).to_batches()
+
+    joined = cells.join(reps.select("doc_id", "sig"), "doc_id").select("doc_id", "leader", "cell", "sig")
+    return on_arrow(joined.repartition("leader", "cell").sortWithinPartitions("leader", "cell", "doc_id"), follow, "doc_id long, leader long, cell long")
+
+
+def _follows(percent: int):
+    def follows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in key_runs(batches, ["leader", "cell"]):
+            ids, leader = run["doc_id"].to_numpy(), run["leader"][0].as_py()
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in run["shingles"].to_pylist()]
+            linked = np.zeros(len(ids), dtype=bool)
+            for own in (sets[i] for i in np.flatnonzero(ids == leader)):
+                for i in np.flatnonzero(ids != leader):
+                    place = np.minimum(np.searchsorted(own, sets[i]), len(own) - 1)
+                    inter = int((own[place] == sets[i]).sum())
+                    linked[i] |= 100 * inter >= percent * (len(own) + len(sets[i]) - inter)
+            if linked.any():
+                yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(np.full(int(linked.sum()), leader))], ["a", "b"])
+
+    return follows
+
+
+def meetings(live: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """(doc_id, key, cell, second, root): the members of lists that hold several components, to meet those of another one.
+
+    A list of at most ``block`` members is one cell. In longer ones those outside the largest component are met among
+    themselves and against it, as pairs of blocks.
+    """
+    known = live.select("doc_id", "key").join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
+    known = written(known.withColumn("root", F.coalesce("root", "doc_id")), "members")
+    parts = known.groupBy("key", "root").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("key").agg(F.count("*").alias("roots"), F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main"))
+    parts = parts.where("roots > 1").select(
+        "key",
+        (F.col("size") > block).alias("long"),
+        F.col("main.root").alias("main"),
+        blocks_of(F.col("main.n"), block).alias("mains"),
+        blocks_of(F.col("size") - F.col("main.n"), block).alias("others"),
     )
+    inside = F.col("long") & (F.col("root") == F.col("main"))
+    outside = F.col("long") & (F.col("root") != F.col("main"))
+
+    def upto(n: str):
+        return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
 
+    def cell(kind: int, one, other, second):
+        return F.struct((F.lit(kind).cast("long") * (1 << 60) + one * (1 << 30) + other).alias("cell"), second.alias("second"))
 
-def _partners(sig: np.ndarray, places: np.ndarray, coordinate: int, second: np.ndarray, across: bool, matches: int) -> np.ndarray:
-    """Which members of a meeting have a partner to be tested here."""
+    own = F.pmod(F.xxhash64("doc_id"), F.when(inside, F.col("mains")).otherwise(F.col("others")))
+    among = F.transform(upto("others"), lambda x: cell(0, F.least("own", x), F.greatest("own", x), F.col("own") > x))
+    against = F.transform(upto("mains"), lambda x: cell(1, F.col("own"), x, F.lit(False)))
+    facing = F.transform(upto("others"), lambda x: cell(1, x, F.col("own"), F.lit(True)))
+    whole = F.array(cell(0, F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(False)))
+    cells = F.when(outside, F.concat(among, against)).when(inside, facing).otherwise(whole)
+    placed = known.join(parts, "key").withColumn("own", own).withColumn("at", F.explode(cells))
+    return placed.select("doc_id", "key", "at.cell", "at.second", "root")
+
+
+def blocks_of(n: Column, block: int) -> Column:
+    return F.ceil(n / F.lit(block)).cast("long")
+
+
+def _partners(sig: np.ndarray, places: np.ndarray, coordinate: int, second: np.ndarray, across: bool, matches: int, roots: np.ndarray) -> np.ndarray:
+    """Which members of a meeting have a partner of another component to be tested here."""
     wanted = np.zeros(len(sig), dtype=bool)
     posted = places <= COORDINATES - matches
     for i in range(len(sig)):
@@ -173,7 +245,7 @@ def _partners(sig: np.ndarray, places: np.ndarray, coordinate: int, second: np.n
             continue
         equal = sig[later] == sig[i]
         heavier = (equal & posted[later] & (posted[i] & (places[i] > places[i, coordinate]))[None, :]).any(axis=1)
-        found = later[(equal.sum(axis=1) >= matches) & ~heavier]
+        found = later[(equal.sum(axis=1) >= matches) & ~heavier & (roots[later] != roots[i])]
         if len(found):
             wanted[i] = wanted[found] = True
     return wanted
@@ -187,15 +259,15 @@ def candidates(cells: DataFrame, reps: DataFrame, frequency: np.ndarray, matches
         for run in key_runs(batches, ["key", "cell"]):
             key, cell = run["key"][0].as_py(), run["cell"][0].as_py()
             second = run["second"].to_numpy()
-            across = cell >> 31 != cell & ((1 << 31) - 1)
+            across = cell >= 1 << 60 or cell >> 30 != cell & ((1 << 30) - 1)
             if len(run) < 2 or (across and (second.all() or not second.any())):
                 continue
             sig = _matrix(run["sig"].combine_chunks())
-            wanted = _partners(sig, ranks(sig, shared.value), key >> 32, second, across, matches)
+            wanted = _partners(sig, ranks(sig, shared.value), key >> 32, second, across, matches, run["root"].to_numpy())
             if wanted.any():
                 yield from run.select(["doc_id", "key", "cell", "second"]).filter(pa.array(wanted)).to_batches()
 
-    joined = cells.join(reps.select("doc_id", "sig"), "doc_id").select("doc_id", "key", "cell", "second", "sig")
+    joined = cells.join(reps.select("doc_id", "sig"), "doc_id").select("doc_id", "key", "cell", "second", "root", "sig")
     return on_arrow(
         joined.repartition("key", "cell").sortWithinPartitions("key", "cell", "doc_id"),
         meet,
@@ -284,18 +356,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80, block: int = BLOCK, hash
     classes = taking_part.groupBy(*prints).agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("doc_id"))
     classes = written(classes, "classes")
     frequency = frequencies(classes)
-    cells = meetings(postings(classes, frequency, COORDINATES - matches + 1), block)
-    met = written(candidates(cells, classes, frequency, matches), "meetings")
-    ids = written(met.select("doc_id").distinct(), "candidates")
-    texts = only_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id")
-    sets = on_arrow(texts, _sets(key), "doc_id long, shingles binary").where("length(shingles) > 0")
-    gathered = met.select("doc_id", "key", "cell").join(sets, "doc_id")
-    links = on_arrow(
-        gathered.repartition("key", "cell").sortWithinPartitions("key", "cell", "doc_id"), _confirm(percent), "a long, b long"
-    )
-    roots = components(links).withColumnRenamed("node", "rep")
-    named = classes.select(*prints, F.col("doc_id").alias("rep")).join(roots, "rep", "left")
-    named = named.select(*prints, F.coalesce("root", "rep").alias("component_id"))
+    live = written(lists(postings(classes, frequency, COORDINATES - matches + 1)), "lists")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def gathered(met: DataFrame, names: list[str]) -> DataFrame:
+        """The rows of meetings with their full sets, meeting by meeting."""
+        ids = written(met.select("doc_id").distinct(), "candidates")
+        sets = on_arrow(only_keys(texts, ids, "doc_id"), _sets(key), "doc_id long, shingles binary").where("length(shingles) > 0")
+        return met.select("doc_id", *names).join(sets, "doc_id").repartition(*names).sortWithinPartitions(*names, "doc_id")
+
+    close = written(followers(led(live, block), classes, matches), "followers")
+    hung = components(on_arrow(gathered(close, ["leader", "cell"]), _follows(percent), "a long, b long"))
+    met = written(candidates(meetings(live, hung, block), classes, frequency, matches), "meetings")
+    links = on_arrow(gathered(met, ["key", "cell"]), _confirm(percent), "a long, b long")
+    for side in ("a", "b"):
+        links = links.join(hung.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    links = links.select(*[F.coalesce(f"root_{side}", side).alias(side) for side in ("a", "b")])
+    joined = components(links).select(F.col("node").alias("first_root"), F.col("root").alias("last_root"))
+    named = classes.select(*prints, F.col("doc_id").alias("node")).join(hung, "node", "left")
+    named = named.withColumn("first_root", F.coalesce("root", "node")).join(joined, "first_root", "left")
+    named = named.select(*prints, F.coalesce("last_root", "first_root").alias("component_id"))
     return (
         known.drop("sig")
         .join(named, prints, "left")

@@ -105,14 +105,14 @@ class Settling:
     an inner hash and under a key that only spreads them; the others leave as they are.
     """
 
-    def __init__(self) -> None:
-        self.held: list[list[np.ndarray]] = []
+    def __init__(self, most: int) -> None:
+        self.most, self.held = most, []
         self.rows = 0
 
     def add(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         self.held.append(columns)
         self.rows += len(columns[0])
-        if self.rows >= HELD:
+        if self.rows >= self.most:
             yield from self.settled()
 
     def settled(self) -> Iterator[pa.RecordBatch]:
@@ -154,9 +154,9 @@ def rarities(texts: DataFrame, key: int) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(total, 1)), 63).astype(np.uint8)
 
 
-def _stretches(key: int, shared, length: int):
+def _stretches(key: int, shared, length: int, held: int):
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashing, settling = WordHash(key), Settling()
+        hashing, settling = WordHash(key), Settling(held)
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for first, words, firsts in _words(batch.column(2), hashing):
@@ -169,9 +169,9 @@ def _stretches(key: int, shared, length: int):
     return stretches
 
 
-def _windows(key: int, length: int):
+def _windows(key: int, length: int, held: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashing, settling = WordHash(key), Settling()
+        hashing, settling = WordHash(key), Settling(held)
         for batch in batches:
             ids, texts, stretches = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
             for first, words, firsts in _words(batch.column(2), hashing):
@@ -189,10 +189,11 @@ def _windows(key: int, length: int):
     return windows
 
 
-def repeated(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated(texts: DataFrame, length: int = LENGTH, held: int = HELD) -> DataFrame:
     """(doc_id, text_hash, begin, end): spans of words of (doc_id, text_hash, text) that are covered by windows which start earlier too.
 
-    Words are numbered from 0, ends are exclusive. A document may have several spans, which may touch or overlap.
+    Words are numbered from 0, ends are exclusive. A document may have several spans, which may touch or overlap. Map
+    tasks compare ``held`` rows at a time among themselves, which changes how much is shuffled and nothing else.
     """
     if length < SEED:
         raise ValueError(f"the length must be at least {SEED} words")
@@ -200,7 +201,7 @@ def repeated(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     rarity = texts.sparkSession.sparkContext.broadcast(rarities(texts, key))
     alike = Window.partitionBy("key", "inner").orderBy("doc_id", "begin")
     anchor = Window.partitionBy("key")
-    found = on_arrow(texts, _stretches(key, rarity, length), _OPEN).withColumns(
+    found = on_arrow(texts, _stretches(key, rarity, length, held), _OPEN).withColumns(
         {"place": F.rank().over(alike), "several": F.min("inner").over(anchor) < F.max("inner").over(anchor)}
     )
     found = found.where("inner IS NULL OR place > 1 OR several").withColumn("again", F.expr("inner IS NULL OR place > 1"))
@@ -208,7 +209,7 @@ def repeated(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = found.where("again").select("doc_id", "text_hash", "begin", "end")
     leaders = found.where("NOT again").groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("begin", "end", "key"))).alias("stretches"))
     both = texts.join(leaders, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "stretches")
-    met = on_arrow(both, _windows(key, length), _OPEN).withColumn("place", F.rank().over(alike)).where("inner IS NULL OR place > 1")
+    met = on_arrow(both, _windows(key, length, held), _OPEN).withColumn("place", F.rank().over(alike)).where("inner IS NULL OR place > 1")
     return spans.unionByName(met.select("doc_id", "text_hash", "begin", "end"))
 
 
@@ -246,7 +247,7 @@ def _stripped(names: list[str]):
     return strip
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True, held: int = HELD) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept]) for every row of ``docs`` (doc_id, text, any further columns).
 
     Words are runs between ASCII white space, unchanged. A word goes if a window of ``length`` consecutive words that
@@ -258,7 +259,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) -
     without a doc_id take no part and lose nothing. An empty table has no rows.
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    spans = repeated(given.where("doc_id IS NOT NULL AND text IS NOT NULL"), length)
+    spans = repeated(given.where("doc_id IS NOT NULL AND text IS NOT NULL"), length, held)
     spans = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     rows = given.join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "text", "spans")
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", *(["kept"] if texts else [])]

@@ -13,6 +13,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 CHUNK_BYTES = 1 << 20
@@ -40,7 +41,7 @@ def workers_import_this(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
 
 
-def on_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+def on_arrow(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package importable in the workers; memory that was freed is given back after a task."""
     workers_import_this(df.sparkSession)
 

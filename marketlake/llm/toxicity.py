@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.llm.graph import written
 from marketlake.llm.langid import bounded_sample, held_out
@@ -210,7 +211,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, penalty: flo
 
 
 def scored(docs: DataFrame, model: Classifier, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all, unless given) of ``docs`` with ``score`` from 0 to 1 and ``predicted`` (1 from ``CUT`` on), from every whole text.
+    """The columns ``keep`` (all, unless given; those that clash are replaced) of ``docs`` with ``score`` from 0 to 1 and ``predicted`` (1 from ``CUT`` on), from every whole text.
 
     A null or empty text has the score of a text without any known feature. Rows are kept as they are, repeated ones too.
     """
@@ -225,8 +226,8 @@ def scored(docs: DataFrame, model: Classifier, keep: list[str] | None = None) ->
             yield pa.RecordBatch.from_arrays(out, [*columns, "score", "predicted"])
 
     given = docs.select(*columns, F.col("text").alias("_text"))
-    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1]] + ["score double", "predicted int"])
-    return on_arrow(given, score, fields)
+    more = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    return on_arrow(given, score, T.StructType([*given.schema.fields[:-1], *more]))
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:

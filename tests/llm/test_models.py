@@ -55,13 +55,48 @@ def test_columns_and_rows_stay(spoken):
 def test_filters_hold_what_they_learned_and_little_else():
     rng = np.random.default_rng(2)
     found = np.unique(rng.integers(0, 1 << 32, 5000).astype(np.int64))
-    masks = rng.integers(1, 8, len(found)).astype(np.uint64)
-    filters = langid.LanguageFilters(["a", "b", "c"], found, masks)
-    assert ((filters.masks(found).astype(np.uint64) & masks) == masks).all()
     other = np.setdiff1d(rng.integers(0, 1 << 32, 20000), found)
-    wrong = filters.masks(other)
-    for b in range(3):
-        assert abs(((wrong >> b) & 1).mean() - filters.by_chance[b]) < 0.01
+    for n in (3, 64, 65, 130):
+        member = rng.random((len(found), n)) < 0.2
+        filters = langid.LanguageFilters([f"l{i}" for i in range(n)], found, member)
+        held, wrong = filters.masks(found), filters.masks(other)
+        for b in range(n):
+            mine, chance = ((m[b // 64].astype(np.uint64) >> np.uint64(b % 64)) & np.uint64(1) for m in (held, wrong))
+            assert mine[member[:, b]].all()
+            assert abs(chance.mean() - filters.by_chance[b]) < 0.01
+
+
+def test_predictions_match_plain_counts_of_grams_for_many_languages(spark):
+    """A popcount per text by a dictionary of grams, corrected as the filters are."""
+    rng = random.Random(9)
+    stems = {f"l{k:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 8))) for _ in range(30)] for k in range(70)}
+    rows = [(i, " ".join(rng.choice(stems[lang]) for _ in range(25)), lang) for i, lang in enumerate(sorted(stems) * 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = langid.learn(docs)
+    assert len(filters.languages) == 70
+
+    def plain_grams(text):
+        padded = re.sub(" +", " ", " " + re.sub("[^a-z]", " ", text.lower()) + " ")
+        return [padded[i : i + 4] for i in range(len(padded) - 3)]
+
+    counts = {lang: Counter(g for _, t, other in rows if other == lang for g in plain_grams(t)) for lang in stems}
+    counts = {lang: Counter({g: n for g, n in c.items() if n >= langid.LEAST_COUNT}) for lang, c in counts.items()}
+    rate = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    top = Counter()
+    for c in rate.values():
+        for g, x in c.items():
+            top[g] = max(top[g], x)
+    holds = {lang: {g for g, x in c.items() if x >= langid.SHARE * top[g]} for lang, c in rate.items()}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identified(docs, filters).collect()}
+    assert sum(got[i][0] == lang for i, _, lang in rows) >= 0.95 * len(rows)
+    for i, text, _ in rows:
+        found = plain_grams(text)
+        chance = dict(zip(filters.languages, filters.by_chance, strict=True))
+        score = {lang: max(sum(g in own for g in found) - len(found) * chance[lang], 0) / (1 - chance[lang]) / len(found) for lang, own in holds.items()}
+        # Filters let a few grams through by chance, so a score is that of exact sets or a little more.
+        lang, value = got[i]
+        assert value >= score[lang] - 1e-9 and value <= score[lang] + 0.15
+        assert score[lang] >= max(score.values()) - 0.15
 
 
 def test_nothing_learned_and_nothing_given(spark):

@@ -4,8 +4,10 @@ import random
 import numpy as np
 import pytest
 from helpers_llm import changed, documents, near_groups, prose, roots, texts
+from pyspark.sql import functions as F
 
 from marketlake.llm import covertree, graph, minhash
+from marketlake.llm.text import WordHash
 
 
 def collected(df):
@@ -133,3 +135,53 @@ def test_cover_tree_covers_and_nests():
     apart = covertree._distances(points, points)
     assert set(zip(*(x.tolist() for x in np.nonzero(np.triu(apart <= reach, 1))), strict=True)) <= set(pairs)
     assert len(pairs) == len(set(pairs))
+
+
+# --- what is planted to make hashes meet, and what is planted to make groups large --------------------
+
+
+def thue_morse(n: int, a: str, b: str) -> str:
+    return "".join((a, b)[bin(i).count("1") & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_complementary_words_are_no_copies(spark, n):
+    found = {1: thue_morse(n, "a", "b"), 2: thue_morse(n, "b", "a"), 3: thue_morse(n, "a", "b")}
+    got = collected(minhash.near_duplicates(documents(spark, found)))
+    assert got == {1: (1, 1, True), 2: (1, 2, True), 3: (1, 1, False)}
+
+
+def test_hashes_depend_on_all_bytes_lengths_and_the_key():
+    rng = random.Random(4)
+    words = {bytes(rng.randrange(97, 123) for _ in range(rng.choice([1, 2, 7, 8, 9, 15, 16, 17, 300, 1000]))) for _ in range(3000)}
+    words = sorted({*words, *(w[:-1] + b"!" for w in words), *(w + b"\0" for w in words), *(b"!" + w[1:] for w in words)})
+    ends = np.cumsum([len(w) for w in words])
+    data = np.frombuffer(b"".join(words), dtype=np.uint8)
+    first = WordHash(1).of(data, ends - [len(w) for w in words], ends)
+    assert len(np.unique(first)) == len(words)
+    shifted = np.concatenate((np.zeros(3, dtype=np.uint8), data))
+    assert (WordHash(1).of(shifted, ends - [len(w) for w in words] + 3, ends + 3) == first).all()
+    assert not (WordHash(2).of(data, ends - [len(w) for w in words], ends) == first).any()
+
+
+def test_a_family_of_near_copies_costs_rows_and_loses_no_link(spark):
+    """A thousand copies with up to three words changed, and copies of copies that only link to some of them."""
+    rng = random.Random(8)
+    base = prose(150, 70).split()
+    found = {}
+    for i in range(1000):
+        words = list(base if i < 950 else found[rng.randrange(950)].split(" "))
+        for _ in range(rng.randrange(0, 3)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+        found[i] = " ".join(words)
+    df = documents(spark, found, parts=4).select("doc_id", "text")
+    expected = near_groups(found, 85)
+    assert collected(minhash.near_duplicates(df, 85)) == {i: (n, r, r == i) for i, (n, r) in expected.items()}
+    matches = minhash.least_matches(85)
+    known = minhash.sketches(df, 3).groupBy("n_shingles", "print_a", "print_b").agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("doc_id")).cache()
+    live = minhash.lists(minhash.postings(known, minhash.frequencies(known), 64 - matches + 1)).cache()
+    met = minhash.followers(minhash.led(live, 256), known, matches)
+    leaders = live.select("leader").distinct().count()
+    assert met.count() <= live.select("doc_id", "leader").distinct().count() + leaders * (1000 // 256 + 1)
+    hung = graph.components(met.where("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
+    assert minhash.meetings(live, hung, 256).count() < 20 * len(found)

@@ -49,6 +49,41 @@ def test_ids_of_any_text(column):
     assert rows_of(one, column) == [expected(one.library, t) for t in column]
 
 
+def test_words_planted_against_hashes_have_their_own_ids(config, library):
+    """Words and their complements, in two batches each."""
+    one = tokens.TextTokenizer(config)
+    import public_tokenizers
+
+    model = pieces.PieceTokenizer(open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read())
+    for n in (1024, 2048):
+        first = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+        for text in (first, first.translate({97: 98, 98: 97}), first):
+            assert rows_of(one, [text]) == [expected(library, text)]
+            (_, ids, _, same, parity) = next(model.encode(pa.array([text])))
+            assert ids.tolist() == model.other.encode(text) and same.all() and parity.all()
+
+
+def test_a_hash_that_always_meets_changes_no_id(config, library, monkeypatch):
+    one = tokens.TextTokenizer(config)
+    monkeypatch.setattr(one.known.hashing, "of", lambda data, begin, end: np.zeros(len(begin), dtype=np.uint64))
+    for column in (["one two three", "two four"], ["four one five", None, "three"], ["one"]):
+        assert rows_of(one, column) == [expected(library, t) for t in column]
+
+
+def test_parity_of_whole_texts_with_runs_of_spaces():
+    import public_tokenizers
+
+    model = pieces.PieceTokenizer(open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read())
+    column = [" ", "  ", "   ", " a", "a ", "a  ", "  a   b  ", "", "a b", "\n \n", "x    "]
+    for row, ids, bounds, same, parity in model.encode(pa.array(column)):
+        assert same.all() and parity.all()
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [model.other.encode(t) for t in column[row : row + len(bounds) - 1]]
+    ids, agreed = model.learn([b" ", b"  ", b" a"])
+    assert agreed == [True] * 3
+    model.other.encode = lambda found, **_: [[0]] * len(found) if isinstance(found, list) else []
+    assert model.learn([b"  ", b" a"])[1] == [False] * 2
+
+
 def test_other_tokenizers_get_whole_texts():
     import public_tokenizers
 
