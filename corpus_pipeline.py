@@ -1,14 +1,15 @@
 """Documents to training sequences: filter by language and toxicity, drop near-duplicates, redact secrets, pack.
 
 Each stage reads what its predecessor kept, from Parquet in the shared folder, and calls one operator of
-``marketlake.llm`` with its production parameters. All but the last return the columns of ``documents``.
+``marketlake.llm`` with its production parameters. All but the last return the columns of ``documents``, whatever
+their names: beside what an operator reads, a row travels as one struct.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import langid, minhash, packing, secret_scan, toxicity
@@ -19,21 +20,31 @@ LEAST_CHARS = 40
 LEAST_SCORE = 0.3
 
 
+def carried(docs: DataFrame, *names: str | Column) -> DataFrame:
+    """The columns ``names`` and the whole row as ``row``, out of the way of columns that an operator adds."""
+    return docs.select(*names, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def restored(rows: DataFrame) -> DataFrame:
+    return rows.select("row.*")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a learned language: texts without a letter go, and longer ones that fit no language.
 
     Languages are learned from the rows that are not held out (crc32 of doc_id modulo 4 is not 2). Null texts go.
     """
     filters = langid.learn(docs.where(~langid.held_out("doc_id", 4, 2)))
-    found = langid.identified(docs, filters)
-    foreign = (F.length("text") >= LEAST_CHARS) & (F.col("score") < LEAST_SCORE)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & ~foreign).select(docs.columns)
+    found = langid.identified(carried(docs, "text"), filters, ["row"])
+    foreign = (F.length("row.text") >= LEAST_CHARS) & (F.col("score") < LEAST_SCORE)
+    return restored(found.where((F.col("lang_pred") != langid.UNKNOWN) & ~foreign))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the classifier calls toxic; it learns from labels that are not held out (modulo 3 is not 1)."""
     labels = tables(spark, sf_dir, "labels").where(~langid.held_out("doc_id", 3, 1))
-    return toxicity.scored(docs, toxicity.learn(docs, labels)).where("predicted = 0").select(docs.columns)
+    model = toxicity.learn(docs.select("doc_id", "text"), labels)
+    return restored(toxicity.scored(carried(docs, "text"), model, ["row"]).where("predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +56,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = written(minhash.near_duplicates(docs, hashed=True), "near-duplicates")
     gone = written(found.where("NOT kept").select(*key).distinct(), "gone")
     again = written(found.where("kept AND doc_id IS NOT NULL").groupBy(*key).count().where("count > 1").select(*key), "repeated")
-    left = docs.withColumn("text_hash", F.xxhash64("text")).join(if_small(gone), key, "left_anti")
+    left = carried(docs, "doc_id", F.xxhash64("text").alias("text_hash")).join(if_small(gone), key, "left_anti")
     again = if_small(again)
-    once = left.join(again, key, "left_anti").select(docs.columns)
-    return once.unionByName(left.join(again, key, "left_semi").dropDuplicates(key).select(docs.columns))
+    once = left.join(again, key, "left_anti").select("row")
+    return restored(once.unionByName(left.join(again, key, "left_semi").dropDuplicates(key).select("row")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
