@@ -3,7 +3,7 @@
 Components become whole numbers and vectors equal parts. Parts and codebook entries are padded with zeros to a power of
 two and transformed by the integer Walsh-Hadamard transform of n points, which scales every squared distance by exactly n. Scaled
 squared differences are added in sequency order, a block of coefficients at a time. The sum so far is a lower bound,
-so an entry that is above the full distance of another one leaves; what is left is compacted. Ties stay and go to the lower index.
+so an entry that is above the full distance of another one leaves; what is left is compacted once it is little. Ties stay and go to the lower index.
 
 All sums are of whole numbers, of a width that holds the largest that can come. A round moves one row per part, entry and
 place of a map task; the codebooks, of fixed size, are all that the driver holds.
@@ -29,7 +29,9 @@ ENTRIES = 256
 ROUNDS = 4
 # Coefficients that are added before entries are dropped.
 BLOCK = 4
-_ROWS = 2048
+# Entries that are left are moved together once they are one in so many; before that it costs more than it saves.
+COMPACT = 8
+_ROWS = 256
 
 
 def sequency_matrix(n: int) -> np.ndarray:
@@ -61,21 +63,30 @@ def nearest(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndar
     kind = width(largest, n)
     x, c = transformed(parts.astype(kind)), transformed(entries.astype(kind))
     near, least = np.zeros(len(x), dtype=np.int64), np.zeros(len(x), dtype=kind)
+    columns = np.ascontiguousarray(c.T)
     for at in range(0, len(x), _ROWS):
         own = x[at : at + _ROWS]
-        so_far = np.zeros((len(own), len(c)), dtype=kind)
-        for j in range(min(BLOCK, n)):
-            d = own[:, j, None] - c[None, :, j]
-            so_far += d * d
-        likely = so_far.argmin(axis=1)
-        d = own[:, BLOCK:] - c[likely, BLOCK:]
-        bound = so_far[np.arange(len(own)), likely] + (d * d).sum(axis=1, dtype=kind)
-        row, entry = np.nonzero(so_far <= bound[:, None])
+        lines = np.arange(len(own))
+        so_far, d = np.zeros((len(own), len(c)), dtype=kind), np.empty((len(own), len(c)), dtype=kind)
+        bound = None
+        for j in range(0, n, BLOCK):
+            for k in range(j, min(j + BLOCK, n)):
+                np.subtract(own[:, k, None], columns[k], out=d)
+                np.multiply(d, d, out=d)
+                so_far += d
+            # The full distance of the entry that is nearest so far.
+            likely = so_far.argmin(axis=1)
+            rest = own[:, j + BLOCK :] - c[likely, j + BLOCK :]
+            full = so_far[lines, likely] + (rest * rest).sum(axis=1, dtype=kind)
+            bound = full if bound is None else np.minimum(bound, full)
+            row, entry = np.nonzero(so_far <= bound[:, None])
+            if len(row) * COMPACT <= so_far.size:
+                break
         total = so_far[row, entry]
-        for j in range(BLOCK, n, BLOCK):
+        for j in range(j + BLOCK, n, BLOCK):
             for k in range(j, j + BLOCK):
-                d = own[row, k] - c[entry, k]
-                total = total + d * d
+                e = own[row, k] - c[entry, k]
+                total = total + e * e
             stays = total <= bound[row]
             row, entry, total = row[stays], entry[stays], total[stays]
         # Rows are in order, and the entry that set the bound never leaves, so each row is here.
