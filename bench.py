@@ -15,7 +15,7 @@ import time
 from pyspark.sql import functions as F
 
 from marketlake import catalog
-from marketlake.operators.series import SLICE_BARS, slice_of
+from marketlake.operators.series import SLICE_BARS, cut, depth_cuts
 from marketlake.session import build_session
 from marketlake.sources import bars
 
@@ -83,8 +83,8 @@ def main() -> None:
         return time.perf_counter() - begun
 
     def shape(found, grain: str | None, slice_bars: int = SLICE_BARS) -> dict[str, int]:
-        cut = slice_of("timestamp", grain, slice_bars) if grain else F.lit(0)
-        counted = found.groupBy("symbol", cut.alias("slice")).agg(F.count("*").alias("n"))
+        found = cut(found, depth_cuts(found, slice_bars)) if grain else found.withColumn("slice", F.lit(0))
+        counted = found.groupBy("symbol", "slice").agg(F.count("*").alias("n"))
         row = counted.agg(F.sum("n"), F.countDistinct("symbol"), F.count("*")).first()
         return dict(zip(("rows", "symbols", "slices"), row))
 

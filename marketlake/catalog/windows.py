@@ -40,7 +40,7 @@ def silver_bars_hourly(spark, folder):
 CUSTOMERS = DAILY.replace("o_orderstatus AS symbol", "CAST(o_custkey AS VARCHAR) AS symbol")
 SECONDS = """ticks AS (
   SELECT 'all' AS symbol, ts, event_id, value FROM events
-  UNION ALL SELECT 'user ' || user_id, ts, event_id, value FROM events WHERE user_id < 10),
+  UNION ALL SELECT 'user ' || user_id, ts, event_id, value FROM events WHERE user_id IS NOT NULL),
 bars AS (
   SELECT symbol, CAST(date_trunc('second', ts) AS TIMESTAMP) AS "timestamp", first(value ORDER BY ts, event_id) AS open, max(value) AS high,
          min(value) AS low, last(value ORDER BY ts, event_id) AS close, count(*) AS volume
@@ -67,6 +67,10 @@ def hot_series(spark, folder):
     return indicators(bars_seconds(spark, folder), names, grain="second").select(*KEY, "close", "volume", *names)
 
 
+# What a slice of the smallest tables holds, so that they are cut too.
+SLICE = 512
+
+
 @query(
     "sma",
     f"""WITH {DAILY} SELECT symbol, "timestamp", round({full('avg', 'close', 5)}, 6) AS sma_5,
@@ -123,6 +127,13 @@ def ema_hourly(spark, folder):
     return indicators(bars, ["ema_5", "ema_20"], grain="hour", slice_bars=512).select(*KEY, "ema_5", "ema_20")
 
 
+@query("macd_scan", recursive(SECONDS, MACDS), places=4)
+def macd_scan(spark, folder):
+    """Averages of averages over irregular seconds, carried from slice to slice without a halo."""
+    names = ["macd", "macd_signal", "macd_histogram"]
+    return indicators(bars_seconds(spark, folder), ["macd"], grain="second", slice_bars=SLICE).select(*KEY, *names)
+
+
 @query(
     "ema_gaps",
     f"""WITH RECURSIVE {DAILY},

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.clean import between, clean
+from marketlake.operators.clean import between, clean, standardise
 from marketlake.operators.indicators import Indicator, indicators, register_indicator
-from marketlake.operators.series import is_sliced
+from marketlake.operators.series import depth_cuts, is_sliced
 from marketlake.schema import require_columns, with_optional
 
 # Bars a symbol needs before a result exists.
@@ -45,8 +45,9 @@ SERIES_COLUMNS = ["sma_5", "sma_20", "sma_50", "ema_5", "ema_20", "rsi_14"]
 
 def silver_bars(raw: DataFrame, version=("ingest_ts",), warmup: str = "full", grain: str = "day") -> DataFrame:
     """Clean bars with ``sma_20`` and ``rsi_14``."""
-    cleaned = clean(raw, version=version, grain=grain, keep_slice=True)
-    return indicators(cleaned, ["sma_20", "rsi_14"], warmup=warmup, grain=grain)
+    cuts = depth_cuts(standardise(raw)) if is_sliced(grain) else None
+    cleaned = clean(raw, version=version, grain=grain, keep_slice=True, cuts=cuts)
+    return indicators(cleaned, ["sma_20", "rsi_14"], warmup=warmup, grain=grain, cuts=cuts)
 
 
 def indicators_wide(bars: DataFrame, warmup: str = "full", grain: str = "day") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.series import SLICE_BARS, cut, dated, is_sliced
+from marketlake.operators.series import SLICE_BARS, Cuts, cut, dated, depth_cuts, is_sliced
 from marketlake.schema import NUMERIC_COLUMNS, no_nan, require_columns
 
 # Vendor column names and their canonical names.
@@ -60,19 +60,23 @@ def forward_fill(
     grain: str = "day",
     slice_bars: int = SLICE_BARS,
     keep_slice: bool = False,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Replace NULLs by the symbol's last value before them; leading NULLs stay.
 
     In a sliced history each slice also gets the last values of the slices before it, one row per slice.
+    With ``keep_slice`` a history that was cut keeps its ``slice``.
     """
     columns = [c for c in (columns or NUMERIC_COLUMNS) if c in df.columns]
     df = dated(df)
-    if not is_sliced(grain):
+    if is_sliced(grain):
+        cuts = cuts or depth_cuts(df, slice_bars)
+    if cuts is None or cuts.knots is None:
         so_far = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
 
     key = ["symbol", "slice"]
-    sliced = cut(df, grain, slice_bars)
+    sliced = cut(df, cuts)
     before = Window.partitionBy("symbol").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     seen = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("timestamp"))).alias(c) for c in columns]
     # the carried values enter their slice as one row without a time, which sorts ahead of its bars
@@ -97,13 +101,17 @@ def clean(
     grain: str = "day",
     slice_bars: int = SLICE_BARS,
     keep_slice: bool = False,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Standardise, keep the latest row per (symbol, timestamp), forward-fill in time order.
 
     Keeping one row per key also removes fully equal rows.
     """
-    df = keep_latest(standardise(df), ["symbol", "timestamp"], [v for v in version if v in df.columns])
-    return forward_fill(df, grain=grain, slice_bars=slice_bars, keep_slice=keep_slice)
+    df = standardise(df)
+    if is_sliced(grain):
+        cuts = cuts or depth_cuts(df, slice_bars)  # of the landed bars, so that it costs no shuffle of whole rows
+    df = keep_latest(df, ["symbol", "timestamp"], [v for v in version if v in df.columns])
+    return forward_fill(df, grain=grain, keep_slice=keep_slice, cuts=cuts)
 
 
 def between(df: DataFrame, start, end, column: str = "timestamp") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.operators import recurrence
-from marketlake.operators.series import SLICE_BARS, Series, as_series
+from marketlake.operators.series import SLICE_BARS, Cuts, Series, as_series
 from marketlake.schema import require_columns
 
 Columns = dict[str, Column]
@@ -37,7 +37,10 @@ class Indicator:
 
 @dataclass(frozen=True)
 class MovingAverage:
-    """A recurrence indicator: exponential averages, then columns computed from them, in stages."""
+    """A recurrence indicator: exponential averages, then columns computed from them, in stages.
+
+    It needs no halo: what earlier slices leave is carried from slice to slice.
+    """
 
     stages: tuple[dict[str, tuple[str, int]], ...]
     derive: Callable[[int], Columns]
@@ -49,14 +52,6 @@ class MovingAverage:
     def spans(self) -> set[int]:
         return {span for stage in self.stages for _, span in stage.values()}
 
-    @property
-    def lookback(self) -> int:
-        return sum(max(recurrence.ema_reach(s) for _, s in stage.values()) for stage in self.stages)
-
-    @property
-    def lookahead(self) -> int:
-        return self.min_bars - 1
-
 
 # --- lag-based inputs -------------------------------------------------------------------------------
 
@@ -204,29 +199,31 @@ def indicators(
     grain: str = "day",
     gated: bool = False,
     slice_bars: int = SLICE_BARS,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add the named indicators to ``bars``.
 
     Closes must be forward-filled (leading nulls are fine). With ``gated`` a moving average stays NULL for
     symbols with fewer bars than its minimum history.
     """
-    return compute(bars, names, warmup, grain, gated, slice_bars).result()
+    return compute(bars, names, warmup, grain, gated, slice_bars, cuts).result()
 
 
-def compute(bars, names, warmup="full", grain="day", gated=False, slice_bars=SLICE_BARS) -> Series:
+def compute(bars, names, warmup="full", grain="day", gated=False, slice_bars=SLICE_BARS, cuts=None) -> Series:
     if warmup not in ("full", "partial"):
         raise ValueError("warmup is 'full' or 'partial'")
     chosen = [REGISTRY[n] for n in names]
     require_columns(bars, "symbol", "timestamp", *{c for i in chosen for c in i.needs})
+    plain = [i for i in chosen if isinstance(i, Indicator)]
     series = as_series(
         bars,
         grain,
-        lookback=max((i.lookback for i in chosen), default=0),
-        lookahead=max((i.lookahead for i in chosen), default=0),
+        lookback=max((i.lookback for i in plain), default=0),
+        lookahead=max((i.lookahead for i in plain), default=0),
         slice_bars=slice_bars,
+        cuts=cuts,
     )
     wanted = set(bars.columns)
-    plain = [i for i in chosen if isinstance(i, Indicator)]
     inputs = {n: INPUTS[n](series, warmup) for i in plain for n in i.inputs}
     if inputs:
         series = series.with_frame(series.frame.withColumns(inputs))
@@ -243,12 +240,15 @@ def compute(bars, names, warmup="full", grain="day", gated=False, slice_bars=SLI
 
 def _moving_averages(series: Series, averages: list[MovingAverage], gated: bool) -> Series:
     spans = set().union(*(a.spans for a in averages))
+    sliced = "slice" in series.keys
     if gated:
-        series = series.with_frame(series.frame.withColumn("ema_bars", F.count("*").over(series.whole)))
+        bars = recurrence.bars_of_symbol(series) if sliced else series.frame.withColumn("ema_bars", F.count("*").over(series.whole))
+        series = series.with_frame(bars)
     series = recurrence.number_blocks(series, "close", spans)
     for stage in range(max(len(a.stages) for a in averages)):
         live = [a for a in averages if stage < len(a.stages)]
-        series = recurrence.add_ema(series, {k: v for a in live for k, v in a.stages[stage].items()}, spans)
+        columns = {k: v for a in live for k, v in a.stages[stage].items()}
+        series = recurrence.add_scanned_ema(series, columns, spans) if sliced else recurrence.add_ema(series, columns, spans)
         derived = {k: v for a in live for k, v in a.derive(stage).items()}
         if derived:
             series = series.with_frame(series.frame.withColumns(derived))

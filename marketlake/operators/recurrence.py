@@ -5,6 +5,10 @@ rows, to ``d^k * sum(a*x[i]*d^-i) + d^(k+1) * carry`` with ``d = 1-a``, ``k`` th
 ``carry`` the value at the end of the previous block. The sum is a running window sum. A block is long
 enough that ``d^block`` is below 1e-18, so the carry is the previous block's own sum: anything older is
 beyond double precision. No Python, no extra shuffle, constant work per row.
+
+Over slices of a history it is a parallel prefix scan. What a slice does to the average that enters it is an affine map
+``y -> A*y + B``, one slim row per slice; composing the maps along the symbol, in as many steps as the logarithm of the slices, gives
+each slice the exact value that enters it, and its rows are corrected by what that value leaves of itself.
 """
 
 from __future__ import annotations
@@ -45,7 +49,8 @@ def number_blocks(series: Series, source: str, spans) -> Series:
     Leading nulls are numbered -1. A null further on repeats the position before it, so the value there is
     carried and the row has no weight; see ``ema_over_gaps`` for averages whose weights decay there too.
     """
-    frame = series.frame.withColumn("ema_pos", F.count(source).over(series.so_far) - 1)
+    own = F.when(~F.col("halo"), F.col(source)) if "halo" in series.frame.columns else F.col(source)
+    frame = series.frame.withColumn("ema_pos", F.count(own).over(series.so_far) - 1)
     blocks = {f"ema_block_{i}": F.floor(F.col("ema_pos") / block) for i, (block, _) in enumerate(span_groups(spans))}
     return series.with_frame(frame.withColumns(blocks))
 
@@ -62,6 +67,85 @@ def add_ema(series: Series, columns: Mapping[str, tuple[str, int]], spans) -> Se
     return series
 
 
+def add_scanned_ema(series: Series, columns: Mapping[str, tuple[str, int]], spans) -> Series:
+    """``add_ema`` over slices: within each from its own first value, then corrected by what enters the slice."""
+    frame = series.frame
+    live = F.col("ema_pos") >= 0
+    if "halo" in frame.columns:
+        live &= ~F.col("halo")
+    sources = {s for s, _ in columns.values()}
+    series = series.with_frame(frame.withColumns({f"ema_own_{s}": F.when(live, F.col(s)) for s in sources}))
+    series = add_ema(series, {k: (f"ema_own_{s}", span) for k, (s, span) in columns.items()}, spans)
+    lasting = {k: (s, span) for k, (s, span) in columns.items() if span > 1}
+    if lasting:
+        series = series.with_frame(_carried_on(series.frame, lasting, most_slices(series)))
+    return series.with_frame(series.frame.drop(*[f"ema_own_{s}" for s in sources]))
+
+
+def _carried_on(frame: DataFrame, columns: Mapping[str, tuple[str, int]], most: int) -> DataFrame:
+    decay = {k: 1 - 2 / (span + 1) for k, (_, span) in columns.items()}
+    own = frame.where(~F.col("halo")) if "halo" in frame.columns else frame
+    seen = F.when(F.col("ema_pos") >= 0, F.col("timestamp"))
+    ends = {f"ema_first_{s}": F.min_by(f"ema_own_{s}", F.when(F.col("ema_pos") == 0, F.col("timestamp"))) for s in {s for s, _ in columns.values()}}
+    ends |= {f"ema_last_{k}": F.max_by(k, seen) for k in columns}
+    slices = own.groupBy("symbol", "slice").agg((F.max("ema_pos") + 1).alias("ema_n"), *[v.alias(k) for k, v in ends.items()])
+    left = {f"ema_a_{k}": _power(d, F.col("ema_n")) for k, d in decay.items()}
+    slices = slices.withColumns(left).withColumns(
+        {
+            f"ema_b_{k}": F.coalesce(F.col(f"ema_last_{k}") - F.col(f"ema_a_{k}") * F.col(f"ema_first_{s}"), F.lit(0.0))
+            for k, (s, _) in columns.items()
+        }
+    )
+    slices = affine_scan(slices, {k: (f"ema_a_{k}", f"ema_b_{k}") for k in columns}, most)
+    by_slice = Window.partitionBy("symbol").orderBy("slice")
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    begun = {s: F.first(f"ema_first_{s}", ignorenulls=True).over(earlier) for s in {s for s, _ in columns.values()}}
+    entering = [
+        (F.lag(f"ema_a_{k}").over(by_slice) * begun[s] + F.lag(f"ema_b_{k}").over(by_slice)).alias(f"ema_in_{k}") for k, (s, _) in columns.items()
+    ]
+    firsts = sorted({f"ema_first_{s}" for s, _ in columns.values()})
+    joined = frame.join(slices.select("symbol", "slice", *firsts, *entering), ["symbol", "slice"], "left")
+    fixed = {}
+    for k, (s, _) in columns.items():
+        entered = F.col(f"ema_in_{k}")
+        later = F.col(k) + _power(decay[k], F.col("ema_pos") + 1) * (entered - F.col(f"ema_first_{s}"))
+        fixed[k] = F.when(entered.isNull(), F.col(k)).when(F.col("ema_pos") < 0, entered).otherwise(later)
+    return joined.withColumns(fixed).drop(*firsts, *[f"ema_in_{k}" for k in columns])
+
+
+def affine_scan(slices: DataFrame, maps: Mapping[str, tuple[str, str]], most: int) -> DataFrame:
+    """Replace the maps ``y -> a*y + b`` of each slice (symbol, slice, a and b) by their composition with those of all slices before it.
+
+    Each step composes with the slice twice as far back as the step before, so the steps are the logarithm of ``most``,
+    the slices of the longest history. The rows are one per slice.
+    """
+    by_slice = Window.partitionBy("symbol").orderBy("slice")
+    back = 1
+    while back < most:
+        before = {c: F.lag(c, back).over(by_slice) for pair in maps.values() for c in pair}
+        slices = slices.withColumns({f"ema_back_{c}": v for c, v in before.items()})
+        slices = slices.withColumns(
+            {b: F.col(b) + F.coalesce(F.col(a) * F.col(f"ema_back_{b}"), F.lit(0.0)) for a, b in maps.values()}
+            | {a: F.col(a) * F.coalesce(F.col(f"ema_back_{a}"), F.lit(1.0)) for a, _ in maps.values()}
+        ).drop(*[f"ema_back_{c}" for c in before])
+        back *= 2
+    return slices
+
+
+def most_slices(series: Series) -> int:
+    if series.most is not None:
+        return series.most
+    return series.frame.groupBy("symbol").agg(F.count_distinct("slice").alias("n")).agg(F.max("n")).first()[0] or 1
+
+
+def bars_of_symbol(series: Series) -> DataFrame:
+    """The frame of slices with ``ema_bars``, all bars of the symbol, from one row per slice."""
+    own = series.frame.where(~F.col("halo")) if "halo" in series.frame.columns else series.frame
+    counted = own.groupBy("symbol", "slice").agg(F.count("*").alias("ema_bars"))
+    total = F.sum("ema_bars").over(Window.partitionBy("symbol"))
+    return series.frame.join(counted.select("symbol", "slice", total.alias("ema_bars")), ["symbol", "slice"], "left")
+
+
 def _add_group(series: Series, columns: Mapping[str, tuple[str, int]], place: str, block: int) -> Series:
     in_block = (
         Window.partitionBy(*series.keys, place)

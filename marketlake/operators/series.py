@@ -5,9 +5,10 @@ can be cut into time slices which are computed independently, as long as each sl
 the neighbouring bars it looks at: its halo. A symbol that holds a third of all rows then spreads over
 many tasks instead of one.
 
-A slice spans ``SLICE_BARS`` grid points of the grain, so with unique timestamps on that grid its size is
-bounded without looking at the data. From the grain of a day upward, the calendar bounds the whole history
-(a century of daily bars is 36,525 rows), hence the series is one slice and needs no halo.
+Slices are of equal depth: a history of more than ``SLICE_BARS`` rows is cut at quantiles of its own times, found by
+one sketch per such symbol, so a slice holds about that many rows however dense or sparse they are. From the grain of a
+day upward, the calendar bounds the whole history (a century of daily bars is 36,525 rows), hence the series is one
+slice and needs no halo; so is every shorter history.
 """
 
 from __future__ import annotations
@@ -20,9 +21,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from marketlake.session import workspace
+
 GRAIN_MICROS = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}
 CALENDAR_GRAINS = ("day", "week", "month", "quarter", "year")
 SLICE_BARS = 16_384
+# Quantiles of a long history's times, a power of two; between two of them slices are equally wide.
+KNOTS = 256
+# Knots of at most this many symbols (2 KB each) may be broadcast; beyond it the same join shuffles.
+BROADCAST_KNOTS = 4096
 # What one document covers for bars at least so many microseconds apart.
 DOCUMENT_PERIODS = {3_600_000_000: "month", 60_000_000: "day", 1_000_000: "hour", 1000: "second", 1: "millisecond"}
 
@@ -33,6 +40,7 @@ class Series:
 
     frame: DataFrame
     keys: Sequence[str] = field(default_factory=lambda: ["symbol"])
+    most: int | None = None  # slices of the longest history, where that is known
 
     @property
     def ordered(self) -> WindowSpec:
@@ -53,7 +61,7 @@ class Series:
         return self.ordered.rowsBetween(-n, n)
 
     def with_frame(self, frame: DataFrame) -> Series:
-        return Series(frame, self.keys)
+        return Series(frame, self.keys, self.most)
 
     def result(self) -> DataFrame:
         """The frame without halo rows and helper columns."""
@@ -62,14 +70,63 @@ class Series:
         return self.frame.where(~F.col("halo")).drop("slice", "halo")
 
 
-def slice_of(timestamp: str, grain: str | timedelta, slice_bars: int = SLICE_BARS):
-    number = F.floor(F.unix_micros(timestamp) / (spacing(grain) * slice_bars))
-    return F.coalesce(number, F.lit(0))  # never NULL, so joins on it add no filter that would split the plan
+@dataclass(frozen=True)
+class Cuts:
+    """Where long histories are cut: (symbol, cut_groups, cut_parts, cut_knots), or None if none is longer than a slice."""
+
+    knots: DataFrame | None
+    most: int = 1  # slices of the longest history
 
 
-def cut(bars: DataFrame, grain: str | timedelta, slice_bars: int = SLICE_BARS) -> DataFrame:
-    """Number the slices and move each to one partition."""
-    return bars.withColumn("slice", slice_of("timestamp", grain, slice_bars)).repartition("symbol", "slice")
+def depth_cuts(bars: DataFrame, slice_bars: int = SLICE_BARS) -> Cuts:
+    """Slices of about ``slice_bars`` rows for every symbol that has more, from its time's quantiles.
+
+    Two narrow passes, run at once: rows per symbol, then a mergeable quantile sketch for those with more than a slice. The result is
+    small and written, so all that uses it sees the same cuts. Any frame of about the same times will do, repeated bars and all; where a history is
+    cut changes no result.
+    """
+    spark = bars.sparkSession
+    times = dated(bars).select("symbol", F.unix_micros(F.col("timestamp").cast("timestamp")).alias("at"))
+    long = times.groupBy("symbol").agg(F.count("*").alias("cut_bars")).where(F.col("cut_bars") > slice_bars)
+    path = workspace(spark, "long-histories")
+    long.write.parquet(path)
+    long = spark.read.schema(long.schema).parquet(path)
+    if long.isEmpty():
+        return Cuts(None)
+    knots = F.percentile_approx("at", [i / KNOTS for i in range(KNOTS + 1)], 10_000).alias("cut_knots")
+    parts = F.ceil(F.col("cut_bars") / F.lit(KNOTS * slice_bars)).cast("long")
+    groups = F.least(F.ceil(F.col("cut_bars") / F.lit(slice_bars)).cast("long"), F.lit(KNOTS))
+    found = times.join(_small(long), "symbol").groupBy("symbol", "cut_bars").agg(knots)
+    found = found.select("symbol", groups.alias("cut_groups"), parts.alias("cut_parts"), "cut_knots")
+    path = workspace(spark, "cuts")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+    return Cuts(found, found.agg(F.max(F.col("cut_groups") * F.col("cut_parts"))).first()[0])
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """Rows of few symbols, broadcast if their number is as small as it mostly is."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_KNOTS else rows
+
+
+def cut(bars: DataFrame, cuts: Cuts) -> DataFrame:
+    """Number the slices in the order of time and move each to one partition."""
+    if cuts.knots is None:
+        return bars.withColumn("slice", F.lit(0).cast("long")).repartition("symbol", "slice")
+    names = bars.columns
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    bars = bars.join(_small(cuts.knots), "symbol", "left").withColumns({"cut_at": at, "cut_place": F.lit(0)})
+    step = KNOTS // 2
+    while step:  # the last knot that is not after the bar, by halving
+        further = F.col("cut_place") + step
+        bars = bars.withColumn("cut_place", F.when(F.get("cut_knots", further) <= F.col("cut_at"), further).otherwise(F.col("cut_place")))
+        step //= 2
+    low, high = F.get("cut_knots", F.col("cut_place")), F.get("cut_knots", F.col("cut_place") + 1)
+    share = F.floor((F.col("cut_at") - low) / (high - low + 1) * F.col("cut_parts"))
+    inside = F.greatest(F.least(share, F.col("cut_parts") - 1), F.lit(0))
+    number = F.floor(F.col("cut_place") * F.col("cut_groups") / KNOTS) * F.col("cut_parts") + inside
+    # Never NULL, so joins on it add no filter that would split the plan.
+    return bars.select(*names, F.coalesce(number, F.lit(0)).alias("slice")).repartition("symbol", "slice")
 
 
 def dated(bars: DataFrame) -> DataFrame:
@@ -105,24 +162,33 @@ def default_period(grain: str | timedelta) -> str | None:
 
 
 def as_series(
-    bars: DataFrame, grain: str | timedelta = "day", lookback: int = 0, lookahead: int = 0, slice_bars: int = SLICE_BARS
+    bars: DataFrame,
+    grain: str | timedelta = "day",
+    lookback: int = 0,
+    lookahead: int = 0,
+    slice_bars: int = SLICE_BARS,
+    cuts: Cuts | None = None,
 ) -> Series:
     """Partition ``bars`` so that windows reaching ``lookback``/``lookahead`` rows are exact.
 
     The rows are shuffled once, on (symbol, slice). Only the halo, at most ``lookback + lookahead`` rows
     per slice, is shuffled again; the union keeps the partitioning, so the windows need no exchange.
+    Bars that have a ``slice`` already are taken as cut.
     """
     if not is_sliced(grain):
         return Series(dated(bars))
     if "slice" not in bars.columns:
-        bars = cut(dated(bars), grain, slice_bars)
+        cuts = cuts or depth_cuts(bars, slice_bars)
+        if cuts.knots is None:
+            return Series(dated(bars))
+        bars = cut(dated(bars), cuts)
     parts = [bars.withColumn("halo", F.lit(False))]
     if lookback:
         parts.append(_halo(bars, lookback, later=True))
     if lookahead:
         parts.append(_halo(bars, lookahead, later=False))
     frame = reduce(DataFrame.unionByName, parts)
-    return Series(frame, ["symbol", "slice"])
+    return Series(frame, ["symbol", "slice"], cuts.most if cuts else None)
 
 
 def _halo(bars: DataFrame, reach: int, later: bool) -> DataFrame:

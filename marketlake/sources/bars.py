@@ -59,9 +59,9 @@ def bars_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bars_seconds(spark: SparkSession, folder: str) -> DataFrame:
-    """One-second bars: one hot history with all ticks, and one per user of the users with small numbers."""
+    """One-second bars: one hot history with all ticks, and one per user."""
     events = table(spark, folder, "events")
     order = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(38,0)") * F.expr("10000000000000000000BD") + F.col("event_id")
-    users = F.when(F.col("user_id") < 10, F.concat(F.lit("user "), F.col("user_id")))
+    users = F.concat(F.lit("user "), F.col("user_id"))
     ticks = events.withColumn("symbol", F.explode(F.array_compact(F.array(F.lit("all"), users))))
     return bars_from_ticks(ticks, F.col("symbol"), F.col("ts"), F.col("value"), order, "second")

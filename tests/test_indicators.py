@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import assert_same, collect, make_bars, to_spark, walk
 from marketlake.operators import batch
@@ -12,6 +13,7 @@ from marketlake.operators import indicators as ind
 from marketlake.operators.clean import forward_fill
 from marketlake.operators.indicators import indicators
 from marketlake.operators.recurrence import ema_over_gaps
+from marketlake.operators.series import cut, depth_cuts
 from marketlake.schema import MissingColumns
 
 ALL = ["sma_5", "sma_20", "sma_50", "ema_5", "ema_20", "rsi_14", "bollinger", "macd", "atr_14", "pivots", "daily_return"]
@@ -184,6 +186,39 @@ def test_sliced_averages_forget_what_double_precision_forgets(spark):
     assert got["has_50"].all() and got["has_5"].all()
 
 
+@pytest.mark.parametrize("slice_bars", [1, 7, 60])
+def test_scanned_averages_are_those_of_whole_histories(spark, slice_bars):
+    """Slices far shorter than what an average remembers; leading nulls fill whole slices."""
+    closes = {"a": walk(700, 1), "b": [None] * 130 + walk(260, 2), "c": walk(1, 3), "d": [None] * 40, "e": walk(8, 5)}
+    pdf = make_bars(closes, freq="s", gaps=True)
+    ind.register_indicator("ema_200", ind.ema(200))
+    ind.register_indicator("ema_1", ind.ema(1))
+    names = ["ema_1", "ema_5", "ema_20", "ema_200", "macd"]
+    got = collect(indicators(to_spark(spark, pdf), names, grain="second", slice_bars=slice_bars, gated=False))
+    for span in (1, 5, 20, 200):
+        assert_same(got[f"ema_{span}"], by_symbol(pdf, lambda g: g["close"].ewm(span=span, adjust=False).mean() if span > 1 else g["close"]))
+    for column in ("macd", "macd_signal", "macd_histogram"):
+        assert_same(got[column], by_symbol(pdf, EXPECTED[column]))
+    gated = collect(indicators(to_spark(spark, pdf), names, grain="second", slice_bars=slice_bars, gated=True))
+    sizes = gated.groupby("symbol")["close"].transform("size")
+    assert (gated["macd"].notna() == ((sizes >= 26) & got["macd"].notna())).all()
+    del ind.REGISTRY["ema_200"], ind.REGISTRY["ema_1"]
+
+
+def test_equal_depth_slices_follow_bursts(spark):
+    """A million times denser in one stretch than elsewhere: slices still hold about as many rows, in order of time."""
+    rows = [("a", i * 3600.0) for i in range(500)] + [("a", 500 * 3600 + i * 0.004) for i in range(20_000)] + [("b", float(i)) for i in range(90)]
+    bars = spark.createDataFrame(rows, "symbol string, at double").select("symbol", F.timestamp_micros((F.col("at") * 1_000_000).cast("long")).alias("timestamp"))
+    for slice_bars in (20, 100, 1000):
+        cuts = depth_cuts(bars, slice_bars)
+        found = cut(bars, cuts).groupBy("symbol", "slice").agg(F.count("*").alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last")).toPandas()
+        long = found[found["symbol"] == "a"].sort_values("slice")
+        assert long["n"].max() <= 2 * slice_bars + 20_500 // 256 and long["n"].sum() == 20_500 and len(long) <= cuts.most
+        assert (long["first"].to_numpy()[1:] > long["last"].to_numpy()[:-1]).all()
+        assert (found["symbol"] == "b").sum() == (1 if slice_bars >= 90 else -(-90 // slice_bars))
+    assert depth_cuts(bars, 50_000).knots is None
+
+
 def test_a_new_indicator_can_be_registered(spark):
     ind.register_indicator(
         "highest_10", ind.Indicator(lambda s, w: {"highest_10": ind.rolling(s, "close", 10, w, how=ind.F.max)}, lookback=9)

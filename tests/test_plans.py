@@ -8,8 +8,9 @@ import pytest
 
 from helpers import formatted_plan, make_bars, to_spark, walk
 from marketlake.operators import batch
-from marketlake.operators.indicators import indicators
-from marketlake.sources.bars import bars_daily, table
+from marketlake.operators.indicators import compute, indicators
+from marketlake.operators.series import cut, depth_cuts
+from marketlake.sources.bars import bars_daily, bars_seconds, table
 from marketlake.session import workspace
 
 
@@ -56,7 +57,27 @@ def test_no_window_of_a_whole_symbol_carries_rows(stored, names):
     by_symbol = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(symbol#\d+, \d+\)", text)
     assert by_symbol
     for columns in by_symbol:
-        assert {c.split("#")[0] for c in columns.split(", ")} <= {"symbol", "slice", "held", "before", "taker"}
+        names = {c.split("#")[0] for c in columns.split(", ")}
+        assert {n for n in names if not re.match("ema_(a|b|first|bars)", n)} <= {"symbol", "slice", "held", "before", "taker"}
+
+
+def test_halos_are_small_whatever_the_spacing(spark, folder):
+    """Sparse seconds: slices are of equal depth, and averages need no halo."""
+    bars = bars_seconds(spark, folder).cache()
+    rows = bars.count()
+    cuts = depth_cuts(bars, 512)
+    frame = cut(bars, cuts)
+    sizes = [r["count"] for r in frame.groupBy("symbol", "slice").count().collect()]
+    assert max(sizes) <= 2 * 512 and cuts.most >= rows // 3 // 512
+    series = compute(bars, [n for n in batch.WIDE if n not in ("sma_50", "gates")], grain="second", slice_bars=512)
+    assert series.frame.where("halo").count() < 0.1 * rows
+    assert compute(bars, ["macd", "ema_20"], grain="second", slice_bars=512).frame.where("halo").isEmpty() if "halo" in series.frame.columns else True
+    bars.unpersist()
+
+
+def test_short_histories_are_not_cut(spark, stored):
+    text = plan(indicators(stored, batch.WIDE, grain="minute"))
+    assert len(exchanges(text)) == 1 and "Join" not in text and "Union" not in text
 
 
 def test_intraday_cleaning_scans_once(stored):
