@@ -212,6 +212,102 @@ def statistics(silver: DataFrame, grain: str = "day") -> DataFrame:
         for column in measured:
             median = bracketed_median(silver, column).withColumnRenamed("median", f"{column}_median")
             flat = flat.join(median, "symbol", "left")
+    return _nested_statistics(flat, measured, "sma_20" in optional)
+
+
+# --- statistics from states that are stored by month ------------------------------------------------------
+
+MEASURES = ("close", "volume", "change")
+
+
+def month_states(silver: DataFrame, values: bool = True) -> DataFrame:
+    """What a symbol's month contributes to the statistics, by itself: counts, means, squared deviations, extremes, ends.
+
+    ``change`` is the daily return in percent within the month; the one across its beginning follows from the ends. With ``values``
+    the sorted closes and volumes are kept too, for the exact medians: a month holds few of them, by the calendar, from the grain of a day upward.
+    """
+    require_columns(silver, "symbol", "timestamp", "close")
+    bars = with_optional(silver, volume="bigint", sma_20="double").withColumn("year_month", F.date_format("timestamp", "yyyy-MM"))
+    before = F.lag("close").over(Window.partitionBy("symbol", "year_month").orderBy("timestamp"))
+    bars = bars.withColumn("change", (F.try_divide(F.col("close"), before) - 1) * 100)
+
+    def state(c: str) -> list[Column]:
+        parts = {"n": F.count(c), "mean": F.avg(c), "m2": F.var_pop(c) * F.count(c), "min": F.min(c), "max": F.max(c)}
+        return [v.alias(f"{c}_{k}") for k, v in parts.items()]
+
+    kept = [F.sort_array(F.collect_list(c)).alias(f"{c}_values") for c in ("close", "volume")] if values else []
+    return bars.groupBy("symbol", "year_month").agg(
+        F.count("*").alias("bars"),
+        F.min("timestamp").alias("first_time"),
+        F.max("timestamp").alias("last_time"),
+        F.min_by("close", "timestamp").alias("first_close"),
+        F.max_by("close", "timestamp").alias("last_close"),
+        F.max_by("sma_20", "timestamp").alias("sma_20"),
+        *[c for m in MEASURES for c in state(m)],
+        *kept,
+    )
+
+
+def merged_statistics(states: DataFrame, medians: DataFrame | None = None) -> DataFrame:
+    """``statistics`` of all months of ``month_states``, their states merged pairwise exactly as one pass would sum them.
+
+    ``medians`` (symbol, close_median, volume_median) stands in for states without values.
+    """
+    by_month = Window.partitionBy("symbol").orderBy("year_month")
+    whole = Window.partitionBy("symbol")
+    across = (F.try_divide(F.col("first_close"), F.lag("last_close").over(by_month)) - 1) * 100
+    rows = states.withColumn("across", across).withColumn(
+        "change_sum", F.coalesce(F.col("change_mean") * F.col("change_n"), F.lit(0.0)) + F.coalesce("across", F.lit(0.0))
+    )
+    rows = rows.withColumn("change_count", F.col("change_n") + F.when(F.col("across").isNull(), 0).otherwise(1))
+    sums = {m: (f"{m}_mean", F.sum(F.col(f"{m}_mean") * F.col(f"{m}_n")).over(whole), F.sum(f"{m}_n").over(whole)) for m in ("close", "volume")}
+    sums["change"] = ("change_mean", F.sum("change_sum").over(whole), F.sum("change_count").over(whole))
+    rows = rows.withColumns({f"{m}_all": F.try_divide(total, n) for m, (_, total, n) in sums.items()})
+
+    def spread(m: str, n: str, more: Column | None = None) -> Column:
+        """Sample deviation: squares within months, and of the months' means about the mean of all."""
+        off = F.col(f"{m}_mean") - F.col(f"{m}_all")
+        squares = F.sum(F.col(f"{m}_m2") + F.col(f"{m}_n") * off * off)
+        if more is not None:
+            squares = F.coalesce(squares, F.lit(0.0)) + F.coalesce(F.sum(more), F.lit(0.0))
+        return F.when(F.sum(n) > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (F.sum(n) - 1)))
+
+    def five(m: str) -> list[Column]:
+        parts = {"min": F.min(f"{m}_min"), "max": F.max(f"{m}_max"), "mean": F.first(f"{m}_all"), "std": spread(m, f"{m}_n")}
+        if medians is None:
+            parts["median"] = _middle(F.sort_array(F.flatten(F.collect_list(f"{m}_values"))))
+        return [v.alias(f"{m}_{k}") for k, v in parts.items()]
+
+    deviation = spread("change", "change_count", (F.col("across") - F.col("change_all")) * (F.col("across") - F.col("change_all")))
+    start, end = F.min("first_time"), F.max("last_time")
+    flat = rows.groupBy("symbol").agg(
+        *five("close"),
+        *five("volume"),
+        F.min(F.least("change_min", "across")).alias("min_daily_return"),
+        F.max(F.greatest("change_max", "across")).alias("max_daily_return"),
+        F.first("change_all").alias("mean_daily_return"),
+        deviation.alias("volatility"),
+        (deviation * F.sqrt(F.lit(float(TRADING_DAYS)))).alias("annualized_volatility"),
+        (total_return(F.min_by("first_close", "year_month"), F.max_by("last_close", "year_month")) * 100).alias("total_return_pct"),
+        F.date_format(start, "yyyy-MM-dd").alias("start_date"),
+        F.date_format(end, "yyyy-MM-dd").alias("end_date"),
+        days_between(start, end).alias("days"),
+        F.sum("bars").alias("trading_days"),
+        F.max_by("last_close", "year_month").alias("close"),
+        F.max_by("sma_20", "year_month").alias("sma_20"),
+    )
+    if medians is not None:
+        flat = flat.join(medians, "symbol", "left")
+    return _nested_statistics(flat, ["close", "volume"], True)
+
+
+def _middle(values: Column) -> Column:
+    n = F.size(values)
+    low, high = F.get(values, F.floor((n - 1) / 2).cast("int")), F.get(values, F.floor(n / 2).cast("int"))
+    return F.when(n > 0, (low + high) / 2)
+
+
+def _nested_statistics(flat: DataFrame, measured: list[str], trend: bool) -> DataFrame:
     several = F.col("trading_days") > 1
     returns = ["min_daily_return", "max_daily_return", "mean_daily_return", "volatility", "annualized_volatility"]
 
@@ -224,8 +320,8 @@ def statistics(silver: DataFrame, grain: str = "day") -> DataFrame:
         F.when(several, F.col("total_return_pct")).alias("total_return_pct"),
         F.struct("start_date", "end_date", "days", "trading_days").alias("time_range"),
     ]
-    if "volume" in optional:
+    if "volume" in measured:
         parts.append(nested("volume").alias("volume_stats"))
-    if "sma_20" in optional:
+    if trend:
         parts.append(F.when(F.col("sma_20").isNotNull(), F.struct(*_trend_columns())).alias("current_trend"))
     return flat.select("symbol", *parts)

@@ -14,16 +14,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.functions.scalars import default_time, enrich_intraday
 from marketlake.operators import gold
-from marketlake.operators.batch import last_bars
+from marketlake.operators.batch import indicator_document, last_bars
 from marketlake.operators.clean import forward_fill, keep_latest
 from marketlake.operators.indicators import indicators
-from marketlake.operators.series import dated
-from marketlake.schema import BAR_SCHEMA, GOLD_SCHEMA, NUMERIC_COLUMNS, PRICE_COLUMNS, SILVER_SCHEMA, conform_bars
+from marketlake.operators.series import dated, default_period, depth_cuts, is_sliced
+from marketlake.schema import BAR_SCHEMA, DOCUMENT_SCHEMA, GOLD_SCHEMA, NUMERIC_COLUMNS, PERIOD_SCHEMA, PRICE_COLUMNS, SILVER_SCHEMA, conform_bars
 from marketlake.sources import store
+from marketlake.sources.files import remove
+from marketlake.sources.runs import RunTable
 
 SILVER_INDICATORS = ["sma_20", "rsi_14"]
 # Bars kept per symbol between batches: what the silver indicators look back on.
 TAIL_BARS = 20
+# Runs of changes before they are folded into a table's base.
+MOST_RUNS = 16
+TAIL_SCHEMA = T.StructType([*BAR_SCHEMA.fields, T.StructField("age", T.IntegerType())])
 GOLD_KEY = T.StructType(GOLD_SCHEMA.fields[:2])
 COUNT_SCHEMA = T.StructType(
     [
@@ -57,24 +62,41 @@ def write_enriched(records: DataFrame, path: str, checkpoint: str) -> StreamingQ
 
 @dataclass(frozen=True)
 class SilverRefresh:
-    """Keeps silver and gold up to date from newly landed bars.
+    """Keeps silver, gold and, with ``documents``, the indicator documents up to date from newly landed bars.
 
-    ``bars`` (as they came) and ``silver`` lie by month; every micro-batch merges its rows into the months they touch, so no versions
-    pile up, and merging a replayed batch again changes nothing. ``tail`` holds the last ``TAIL_BARS`` bars of every symbol after each
-    batch, ``counts`` the bars of every symbol and month.
+    Every table is a base with runs of changes (``RunTable``): a micro-batch writes its own rows, under a token of its own, so a
+    replayed batch replaces what it wrote. Before ``MOST_RUNS`` runs pile up they are folded into the months or buckets they touch, and what
+    no reader of the newest state needs is removed. ``bars`` (as they came) and ``silver`` lie by month; in buckets of symbols lie ``tail``, the
+    last ``TAIL_BARS`` bars of a symbol, ``counts``, its bars by month, and ``states``, what its months contribute to the statistics. Of these
+    a batch reads the buckets of its symbols and writes its symbols.
 
     New bars at the end of a history need only the tail. A late bar is computed from the ``TAIL_BARS`` before it to the
     ``TAIL_BARS`` after the point from which no value is filled from before it; ``counts`` says in which months these lie, and only they are read.
-    The gold months of what changed follow in the same batch.
+    The gold months of what changed, and the statistics of their symbols from all stored states, follow in the same batch. The exact
+    medians of bars less than a day apart are the only figures that read the symbol's history.
     """
 
     spark: SparkSession
     root: str
     grain: str = "day"
+    documents: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def table(self, name: str) -> RunTable:
+        schemas = {
+            "bars": (BAR_SCHEMA, ["symbol", "timestamp"], store.month_parts),
+            "silver": (SILVER_SCHEMA, ["symbol", "timestamp"], store.month_parts),
+            "tail": (TAIL_SCHEMA, ["symbol", "age"], store.symbol_bucket),
+            "counts": (COUNT_SCHEMA, ["symbol", "month"], store.symbol_bucket),
+            "gold": (GOLD_SCHEMA, ["symbol", "year_month"], lambda: {"year": F.substring("year_month", 1, 4)}),
+            "states": (self._state_schema(), ["symbol", "year_month"], store.symbol_bucket),
+            "statistics": (self._statistics_schema(), ["symbol"], store.symbol_bucket),
+            "documents": (PERIOD_SCHEMA if self._period() else DOCUMENT_SCHEMA, ["symbol", "period"] if self._period() else ["symbol"], store.symbol_bucket),
+        }
+        return RunTable(self.spark, self.path(name), *schemas[name])
+
     def start(self, bronze: DataFrame, checkpoint: str) -> StreamingQuery:
         return (
             bronze.writeStream.foreachBatch(self.refresh)
@@ -84,41 +106,79 @@ class SilverRefresh:
         )
 
     def silver(self) -> DataFrame:
-        return store.stored_bars(self.spark, self.path("silver"), SILVER_SCHEMA)
+        return self.table("silver").read()
 
     def bars(self) -> DataFrame:
-        return store.stored_bars(self.spark, self.path("bars"))
+        return self.table("bars").read()
 
     def gold(self) -> DataFrame:
-        return store.read_gold_monthly(self.spark, self.path("gold"), GOLD_SCHEMA)
+        return self.table("gold").read()
+
+    def statistics(self) -> DataFrame:
+        """The nested statistics of ``gold.statistics``, one row per symbol."""
+        return self.table("statistics").read()
+
+    def indicator_documents(self) -> DataFrame:
+        return self.table("documents").read()
 
     def publish(self, path: str) -> None:
         """Write the current silver layer by event month, for range reads and gold."""
         store.write_bars(self.silver(), path, "overwrite")
 
     def refresh(self, batch: DataFrame, batch_id: int) -> None:
+        # a query that starts anew numbers its batches from 0 again, so its id is part of the token
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        token, own = f"{query}/{batch_id}", self.path(f"staging/{uuid.uuid4().hex}")
+        self._fold(token)
         # only the columns of a bar: ingest stamps would make equal bars differ
-        fresh = self._staged(keep_latest(dated(conform_bars(batch)), ["symbol", "timestamp"]), BAR_SCHEMA)
-        store.upsert_bars(self.spark, self.path("bars"), fresh, self.path("staging"))
-        self._count_months(fresh)
-        context = self._tail(batch_id - 1)
+        fresh = self._staged(keep_latest(dated(conform_bars(batch)), ["symbol", "timestamp"]), BAR_SCHEMA, own)
+        symbols = fresh.select("symbol").distinct()
+        buckets = symbols.select(*[c.alias(k) for k, c in store.symbol_bucket().items()]).distinct().toArrow()["bucket"].to_pylist()
+        if not buckets:
+            return
+        self.table("bars").append(fresh, token)
+        self._count_months(fresh, token)
+        tail = self.table("tail").read(buckets, before=token).join(symbols, "symbol", "left_semi").select(*BAR_SCHEMA.names)
+        context = self._staged(tail, BAR_SCHEMA, own)
         late = self._late(fresh, context)
-        late = self._staged(late, late.schema)
+        late = self._staged(late, late.schema, own)
         rows = fresh.join(late, "symbol", "left_anti").withColumn("known", F.lit(False))
         rows = rows.unionByName(context.join(late, "symbol", "left_anti").withColumn("known", F.lit(True)))
         if not late.isEmpty():
-            rows = rows.unionByName(self._around(late))
-        filled = forward_fill(rows, grain=self.grain, keep_slice=True)
-        enriched = indicators(filled, SILVER_INDICATORS, grain=self.grain).where(~F.col("known"))
-        changed = self._staged(enriched.select(*SILVER_SCHEMA.names), SILVER_SCHEMA)
-        store.upsert_bars(self.spark, self.path("silver"), changed, self.path("staging"), schema=SILVER_SCHEMA)
+            rows = rows.unionByName(self._around(late, buckets))
+        cuts = depth_cuts(rows) if is_sliced(self.grain) else None
+        filled = forward_fill(rows, grain=self.grain, keep_slice=True, cuts=cuts)
+        enriched = indicators(filled, SILVER_INDICATORS, grain=self.grain, cuts=cuts).where(~F.col("known"))
+        changed = self._staged(enriched.select(*SILVER_SCHEMA.names), SILVER_SCHEMA, own)
+        self.table("silver").append(changed, token)
         newest = keep_latest(
             changed.select(*BAR_SCHEMA.names).withColumn("newer", F.lit(1)).unionByName(context.withColumn("newer", F.lit(0))),
             ["symbol", "timestamp"],
             ["newer"],
         ).drop("newer")
-        self._write_tail(last_bars(newest, TAIL_BARS).drop("age"), batch_id)
-        self._refresh_gold(changed)
+        self.table("tail").append(last_bars(newest, TAIL_BARS), token)
+        self._refresh_gold(changed, token, buckets, own)
+        if self.documents:
+            silver = self.silver().join(symbols, "symbol", "left_semi")
+            self.table("documents").append(indicator_document(silver, self.grain, self._period()), token)
+        remove(self.spark, own)
+
+    def _fold(self, token: str) -> None:
+        """Fold the runs of earlier batches once there are many, and let go of what the fold before left for its readers."""
+        for name in ("bars", "silver", "tail", "counts", "gold", "states", "statistics", *(["documents"] if self.documents else [])):
+            table = self.table(name)
+            if len(table.state().runs) >= MOST_RUNS:
+                table.expire()
+                table.compact(before=token)
+
+    def _period(self) -> str | None:
+        return default_period(self.grain)
+
+    def _state_schema(self) -> T.StructType:
+        return gold.month_states(self.spark.createDataFrame([], SILVER_SCHEMA), not is_sliced(self.grain)).schema
+
+    def _statistics_schema(self) -> T.StructType:
+        return gold.merged_statistics(gold.month_states(self.spark.createDataFrame([], SILVER_SCHEMA))).schema
 
     def _late(self, fresh: DataFrame, tail: DataFrame) -> DataFrame:
         """(symbol, first_new, last_new) of the symbols with a new bar at or before the end of their tail."""
@@ -126,28 +186,28 @@ class SilverRefresh:
         last = tail.groupBy("symbol").agg(F.max("timestamp").alias("last_known"))
         return new.join(last, "symbol").where("first_new <= last_known").drop("last_known")
 
-    def _around(self, late: DataFrame) -> DataFrame:
+    def _around(self, late: DataFrame, buckets: list[str]) -> DataFrame:
         """The bars from which late bars' indicators and those they change are computed."""
-        months = self._months_of(late)
+        counts = self.table("counts").read(buckets)
+        months = self._months_of(late, counts)
         later = self._later(late, months)
         # Should values be filled beyond these months, the months after them are read too.
         open_ends = later.groupBy("symbol").agg(F.max("settled_bars").alias("n")).where(F.col("n") <= TAIL_BARS)
-        beyond = self._counts().where(F.col("month") > max(months)).join(open_ends, "symbol", "left_semi")
+        beyond = counts.where(F.col("month") > max(months)).join(open_ends, "symbol", "left_semi")
         more = beyond.select("month").distinct().toArrow()["month"].to_pylist()
         if more:
             later = self._later(late, months + more)
         later = later.where(F.col("settled_bars") <= TAIL_BARS).drop("settled_bars").withColumn("known", F.lit(False))
-        stored = self._months("silver", SILVER_SCHEMA, months).join(late, "symbol").where("timestamp < first_new")
+        stored = self._months("silver", months).join(late, "symbol").where("timestamp < first_new")
         before = last_bars(stored.select(*BAR_SCHEMA.names), TAIL_BARS).drop("age")
         return later.unionByName(before.withColumn("known", F.lit(True)))
 
-    def _months(self, name: str, schema: T.StructType, months: list[str]) -> DataFrame:
-        stored = store.read_bars(self.spark, self.path(name), schema)
-        return stored.where(F.concat(*store.MONTH_PARTITIONS).isin(months)).select(*BAR_SCHEMA.names)
+    def _months(self, name: str, months: list[str]) -> DataFrame:
+        return self.table(name).read(places_of(months)).select(*BAR_SCHEMA.names)
 
     def _later(self, late: DataFrame, months: list[str]) -> DataFrame:
         """The bars from the first new one on, with the number of ``settled_bars`` so far: those after all columns have had a value again."""
-        later = self._months("bars", BAR_SCHEMA, months).join(late, "symbol").where("timestamp >= first_new")
+        later = self._months("bars", months).join(late, "symbol").where("timestamp >= first_new")
         so_far = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         after = F.col("timestamp") > F.col("last_new")
         filled = [F.count(F.when(after, F.col(c))).over(so_far) > 0 for c in NUMERIC_COLUMNS]
@@ -156,9 +216,9 @@ class SilverRefresh:
         settled = later.withColumn("settled", reduce(and_, [f | e for f, e in zip(filled, empty)]) & after)
         return settled.withColumn("settled_bars", F.count_if("settled").over(so_far)).select(*BAR_SCHEMA.names, "settled_bars")
 
-    def _months_of(self, late: DataFrame) -> list[str]:
+    def _months_of(self, late: DataFrame, counts: DataFrame) -> list[str]:
         """The months that hold the bars late ones reach and, most likely, those that reach them; the calendar bounds their number."""
-        counts = self._counts().join(late, "symbol")
+        counts = counts.join(late, "symbol")
         month = F.col("month")
         first, last = (F.date_format(c, "yyyyMM") for c in ("first_new", "last_new"))
         down = Window.partitionBy("symbol").orderBy(F.desc("month")).rowsBetween(Window.unboundedPreceding, -1)
@@ -176,64 +236,56 @@ class SilverRefresh:
         )
         return near.select("month").distinct().toArrow()["month"].to_pylist()
 
-    def _counts(self) -> DataFrame:
-        typed = T.StructType([*COUNT_SCHEMA.fields, T.StructField("bucket", T.StringType())])
-        return self.spark.read.schema(typed).parquet(self.path("counts")).drop("bucket")
-
-    def _count_months(self, fresh: DataFrame) -> None:
+    def _count_months(self, fresh: DataFrame, token: str) -> None:
         """Count the bars, and those without a missing value, of the months that new bars touch."""
         month = F.date_format("timestamp", "yyyyMM").alias("month")
         keys = fresh.select("symbol", month).distinct()
         touched = keys.select("month").distinct().toArrow()["month"].to_pylist()
-        stored = store.read_bars(self.spark, self.path("bars")) if touched else self.bars()
-        if touched:
-            stored = stored.where(F.concat(*store.MONTH_PARTITIONS).isin(touched))
         full = reduce(and_, [F.col(c).isNotNull() for c in PRICE_COLUMNS])
-        counted = stored.groupBy("symbol", month).agg(F.count("*").alias("bars"), F.count_if(full).alias("full_bars"))
-        counted = counted.join(keys, ["symbol", "month"], "left_semi")
-        store.merge_into(self.spark, self.path("counts"), counted, COUNT_SCHEMA, ["symbol", "month"], store.symbol_bucket(), self.path("staging"))
+        counted = self._months("bars", touched).groupBy("symbol", month).agg(F.count("*").alias("bars"), F.count_if(full).alias("full_bars"))
+        self.table("counts").append(counted.join(keys, ["symbol", "month"], "left_semi"), token)
 
-    def _refresh_gold(self, changed: DataFrame) -> None:
+    def _refresh_gold(self, changed: DataFrame, token: str, buckets: list[str], own: str) -> None:
         """Roll up the months that changed anew; what looks across months is computed from stored months, one row each."""
         month = F.date_format("timestamp", "yyyy-MM").alias("year_month")
-        keys = self._staged(changed.select("symbol", month).distinct(), GOLD_KEY)
+        keys = self._staged(changed.select("symbol", month).distinct(), GOLD_KEY, own)
         touched = keys.select(F.regexp_replace("year_month", "-", "").alias("month")).distinct().toArrow()["month"].to_pylist()
-        if not touched:
-            return
-        silver = store.read_bars(self.spark, self.path("silver"), SILVER_SCHEMA).where(F.concat(*store.MONTH_PARTITIONS).isin(touched))
-        anew = gold.month_bars(silver).join(keys, ["symbol", "year_month"], "left_semi")
+        key = ["symbol", "year_month"]
+        silver = self.table("silver").read(places_of(touched)).withColumn("year_month", F.date_format("timestamp", "yyyy-MM"))
+        silver = silver.join(keys, key, "left_semi").drop("year_month")
+        anew = gold.month_bars(silver)
         first = keys.groupBy("symbol").agg(F.min("year_month").alias("first_month"))
-        rest = self.gold().join(first.select("symbol"), "symbol", "left_semi").join(keys, ["symbol", "year_month"], "left_anti")
+        rest = self.table("gold").read(before=token).join(first.select("symbol"), "symbol", "left_semi").join(keys, key, "left_anti")
         months = anew.unionByName(rest.select(*anew.columns))
         found = gold.across_months(months).join(first, "symbol").where("year_month >= first_month").drop("first_month")
-        year = {"year": F.substring("year_month", 1, 4)}
-        store.merge_into(self.spark, f"{self.path('gold')}/monthly", found, GOLD_SCHEMA, ["symbol", "year_month"], year, self.path("staging"))
-
-    def _tail(self, batch_id: int) -> DataFrame:
-        typed = T.StructType([*BAR_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
-        if batch_id < 0:
-            return self.spark.createDataFrame([], BAR_SCHEMA)
-        return self.spark.read.schema(typed).parquet(self.path("tail")).where(F.col("batch_id") == batch_id).drop("batch_id")
-
-    def _write_tail(self, df: DataFrame, batch_id: int) -> None:
-        (
-            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(self.path("tail"))
-        )
-
-    def _staged(self, df: DataFrame, schema: T.StructType) -> DataFrame:
-        """The frame as files of this batch's own."""
-        path = f"{self.path('staging')}/{uuid.uuid4().hex}"
+        self.table("gold").append(found, token)
+
+        states = self.table("states")
+        states.append(gold.month_states(silver, not is_sliced(self.grain)), token)
+        symbols = first.select("symbol")
+        medians = None
+        if is_sliced(self.grain):
+            history = self.silver().join(symbols, "symbol", "left_semi")
+            closes, volumes = (gold.bracketed_median(history, c).withColumnRenamed("median", f"{c}_median") for c in ("close", "volume"))
+            medians = closes.join(volumes, "symbol", "full_outer")
+        stored = states.read(buckets).join(symbols, "symbol", "left_semi")
+        self.table("statistics").append(gold.merged_statistics(stored, medians), token)
+
+    def _staged(self, df: DataFrame, schema: T.StructType, own: str) -> DataFrame:
+        """The frame as files of this batch's own, which go with it."""
+        path = f"{own}/{uuid.uuid4().hex}"
         df.select(*schema.names).write.parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
 
-def refresh_from(spark: SparkSession, bronze_path: str, root: str, checkpoint: str, grain: str = "day") -> SilverRefresh:
+def places_of(months: list[str]) -> list[str]:
+    """Months (yyyyMM) as values of the partitions year and month."""
+    return [f"{m[:4]}/{m[4:]}" for m in months]
+
+
+def refresh_from(spark: SparkSession, bronze_path: str, root: str, checkpoint: str, grain: str = "day", documents: bool = False) -> SilverRefresh:
     """Process everything that landed since the last call, then stop."""
-    refresh = SilverRefresh(spark, root, grain)
+    refresh = SilverRefresh(spark, root, grain, documents)
     refresh.start(read_records(spark, bronze_path), checkpoint).awaitTermination()
     return refresh
 

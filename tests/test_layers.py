@@ -20,6 +20,8 @@ from marketlake.plans import lake as lakes
 from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, MissingColumns
 from marketlake.session import workspace
 from marketlake.sources import store, vendor
+from marketlake.sources.files import names_in, remove
+from marketlake.sources.runs import RunTable
 from marketlake.streaming.stream import read_records, refresh_from, write_enriched
 
 
@@ -524,6 +526,12 @@ def test_stream_equals_batch(spark):
     pd.testing.assert_frame_equal(got, expected)
 
 
+def flat(row):
+    """The numbers and texts of a nested row, numbers apart so that they compare approximately."""
+    values = [v for c in row for v in (c if isinstance(c, tuple) else [c])]
+    return [v if isinstance(v, (int, float)) else hash(v) for v in values]
+
+
 @pytest.mark.parametrize("grain", ["day", "hour"])
 def test_incremental_silver_equals_full_silver(spark, grain):
     """In-order bars, gaps over a batch boundary, a new symbol, late bars, a correction, a replayed batch."""
@@ -548,14 +556,104 @@ def test_incremental_silver_equals_full_silver(spark, grain):
     months = collect(refresh.gold(), ("symbol", "year_month"))
     filled = batch.silver_bars(to_spark(spark, pdf))
     pd.testing.assert_frame_equal(months, collect(gold.monthly(filled), ("symbol", "year_month"))[list(months.columns)])
+    by_symbol = {r["symbol"]: r for r in refresh.statistics().collect()}
+    for r in gold.statistics(filled).collect():
+        assert flat(by_symbol[r["symbol"]]) == pytest.approx(flat(r), rel=1e-9)
+    assert not names_in(spark, refresh.path("staging"))
     published = workspace(spark, "published")
     refresh.publish(published)
     found = store.get_prices(spark, published, "b", day("2020-02-01"), day("2020-02-29"), SILVER_SCHEMA)
     assert found.where("sma_20 IS NOT NULL").count() == 29
 
 
-def stored_files(spark, refresh):
-    return spark.read.parquet(refresh.path("silver")).select(F.input_file_name().alias("f")).distinct()
+def month_table(spark):
+    return RunTable(spark, workspace(spark, "table"), BAR_SCHEMA, ["symbol", "timestamp"], store.month_parts)
+
+
+def size_of(spark, path):
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0] or 0
+
+
+def test_runs_replace_rows_by_key_before_and_after_they_are_folded(spark):
+    table = month_table(spark)
+    assert table.read().collect() == [] and table.unread().collect() == []
+    pdf = make_bars({"a": walk(90, 1), "b": walk(60, 2)})
+    bars = to_spark(spark, pdf)
+    table.append(bars, "load")
+    loaded = size_of(spark, f"{table.path}/runs")
+    late = bars.where("symbol = 'a' AND timestamp = TIMESTAMP '2020-02-05'").withColumn("close", F.lit(1.0))
+    added = late.withColumn("timestamp", F.lit("2021-01-01").cast("timestamp"))
+    table.append(late.unionByName(added), "late")
+    assert size_of(spark, f"{table.path}/runs") - loaded < 10_000
+
+    def state():
+        return collect(table.read())
+
+    after = state()
+    assert len(after) == 151 and (after["close"] == 1.0).sum() == 2
+    assert len(collect(table.read(["2020/02"]))) == 58 and len(collect(table.read(before="late"))) == 150
+    table.compact(before="late")
+    pd.testing.assert_frame_equal(state(), after)
+    assert list(v for v, _ in table.state().runs.values()) == ["late"]
+    table.compact()
+    pd.testing.assert_frame_equal(state(), after)
+    assert table.state().runs == {} and sorted(table.state().versions) == ["2020/01", "2020/02", "2020/03", "2021/01"]
+    pd.testing.assert_frame_equal(collect(table.read(["2020/02"])), after[after["timestamp"].dt.strftime("%Y%m") == "202002"].reset_index(drop=True))
+
+
+def test_a_repeated_step_replaces_what_it_wrote_and_later_ones_stay_on_top(spark):
+    table = month_table(spark)
+    bars = to_spark(spark, make_bars({"a": walk(5, 1)}))
+
+    def closing(value):
+        return bars.withColumn("close", F.lit(float(value)))
+
+    for step, value in (("one", 1), ("two", 2), ("one", 3)):
+        table.append(closing(value), step)
+    assert {r["close"] for r in table.read().collect()} == {2.0}
+    table.append(closing(4).where("day(timestamp) = 1"), "two")
+    assert sorted(r["close"] for r in table.read().collect()) == [3.0] * 4 + [4.0]
+
+
+def test_readers_keep_their_state_and_storage_stays_flat(spark):
+    table = month_table(spark)
+    bars = to_spark(spark, make_bars({"a": walk(60, 1), "b": walk(60, 2)}))
+    table.append(bars, "load")
+    before = table.read()
+    sizes = []
+    for i in range(6):
+        table.append(bars.withColumn("close", F.lit(float(i))), f"step {i}")
+        table.compact()
+        if i == 0:
+            assert {r["close"] for r in before.collect()} > {1.0} - {1.0} and before.agg(F.sum("close")).first()[0] != 0
+        table.expire()
+        sizes.append(size_of(spark, table.path))
+    assert max(sizes) < 1.2 * min(sizes)
+    assert {r["close"] for r in table.read().collect()} == {5.0}
+
+
+def test_lost_cut_and_broken_files_are_named_with_their_rows(spark):
+    table = month_table(spark)
+    bars = to_spark(spark, make_bars({f"s{i}": walk(170, i) for i in range(40)})).coalesce(1)
+    table.append(bars, "load")
+    assert table.unread().collect() == []
+    (_, name) = next(iter(table.state().runs.values()))
+    paths = sorted(r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{table.path}/runs/{name}").collect())
+    assert len(paths) == 6 and len({p.rsplit("/", 1)[1] for p in paths}) == 1
+    from pathlib import Path
+
+    lost, garbage, pages = (Path(p.removeprefix("file:")) for p in paths[:3])
+    remove(spark, str(lost))
+    garbage.write_bytes(b"not parquet")
+    data = bytearray(pages.read_bytes())
+    data[len(data) // 3 : len(data) // 3 + 200] = bytes(200)
+    pages.write_bytes(data)
+    for file in (garbage, pages):
+        crc = file.with_name(f".{file.name}.crc")
+        crc.unlink()
+    found = {"/" + r["file"].removeprefix("file:").lstrip("/"): (r["rows"], r["read"]) for r in table.unread().collect()}
+    assert set(found) == {str(lost), str(garbage), str(pages)}
+    assert all(read < rows for rows, read in found.values())
 
 
 def test_a_late_bar_reads_its_months_only(spark):
@@ -565,12 +663,14 @@ def test_a_late_bar_reads_its_months_only(spark):
     to_spark(spark, pdf[~late]).write.parquet(bronze)
     refresh = refresh_from(spark, bronze, root, checkpoint)
     new = to_spark(spark, pdf[late])
-    found = refresh._late(new, refresh._tail(0))
-    assert sorted(refresh._months_of(found)) == ["202005", "202006", "202007", "202008"]
-    before = {r.f for r in stored_files(spark, refresh).collect()}
+    found = refresh._late(new, refresh.table("tail").read().select(*BAR_SCHEMA.names))
+    assert sorted(refresh._months_of(found, refresh.table("counts").read())) == ["202005", "202006", "202007", "202008"]
     refresh.refresh(new, 1)
-    after = {r.f for r in stored_files(spark, refresh).collect()}
-    assert {f.split("year=")[1][:13] for f in before ^ after} <= {"2020/month=06", "2020/month=07"}
+    for name, months in (("bars", {"06"}), ("silver", {"06", "07"})):
+        (_, folder) = refresh.table(name).state().runs[1]
+        written = spark.read.parquet(f"{refresh.path(name)}/runs/{folder}")
+        assert {f"{r['month']:02d}" for r in written.select("month").distinct().collect()} <= months
+        assert {r["symbol"] for r in written.select("symbol").distinct().collect()} == {"a"}
     expected = collect(batch.silver_bars(to_spark(spark, pdf)))
     pd.testing.assert_frame_equal(collect(refresh.silver())[expected.columns], expected)
 
