@@ -49,16 +49,67 @@ REDACTED = "[REDACTED]"
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _zip(*arrays: str) -> str:
+    """SQL of the arrays as one of structs with fields _0, _1, ..."""
+    named = ", ".join(f"'_{i}', {a}" for i, a in enumerate(arrays))
+    return f"element_at(transform(array(named_struct({named})), w -> arrays_zip({', '.join(f'w._{i}' for i in range(len(arrays)))})), 1)"
+
+
+def _running(values: str, step: str, start: str) -> str:
+    """SQL of what ``step`` (of a and v) makes of the values before each place of an array, and of all: one more than there are.
+
+    Running results over blocks of about the square root of the values, then within each, so the work is the values times that root.
+    """
+    blocks = "sequence(0, (size(p.l) - 1) div p.k)"
+    return f"""element_at(transform(transform(transform(
+      array(named_struct('l', concat(array({start}), {values}))),
+      p -> named_struct('l', p.l, 'k', CAST(ceil(sqrt(size(p.l))) AS INT))),
+      p -> named_struct('l', p.l, 'k', p.k, 's', transform({blocks}, b -> aggregate(slice(p.l, b * p.k + 1, p.k), {start}, (a, v) -> {step})))),
+      p -> flatten(transform({blocks}, b -> element_at(transform(array(aggregate(slice(p.s, 1, b), {start}, (a, v) -> {step})), f ->
+        transform(sequence(0, least(p.k, size(p.l) - b * p.k) - 1), i -> aggregate(slice(p.l, b * p.k + 1, i + 1), f, (a, v) -> {step}))), 1)))), 1)"""
+
+
+def _sum(values: str) -> str:
+    return _running(values, "a + v", "0")
+
+
+def _greatest(values: str) -> str:
+    return _running(values, "greatest(a, v)", "-1")
+
+
+def _below(points: str, queries: str) -> str:
+    """SQL of how many of ``points`` are less than each of ``queries``, by sorting both together."""
+    events = f"""array_sort(concat(transform({queries}, (q, i) -> named_struct('at', q, 'point', 0, 'i', i)),
+      transform({points}, x -> named_struct('at', x, 'point', 1, 'i', 0))))"""
+    counted = _sum("transform(e.x, x -> x.point)")
+    return f"""element_at(transform(transform(array(named_struct('x', {events})), e -> named_struct('x', e.x, 'n', {counted})),
+      e -> transform(array_sort(transform(filter({_zip("e.x", "slice(e.n, 1, size(e.x))")}, z -> z._0.point = 0),
+        z -> named_struct('i', z._0.i, 'n', z._1))), z -> z.n)), 1)"""
+
+
+def _outside(tokens: str, spans: str) -> str:
+    """SQL of the ``tokens`` (start, end) that overlap none of the ``spans``: as many of these begin before the token's end as end before its start."""
+    begun = _below(f"transform({spans}, s -> s.start)", f"transform({tokens}, t -> t.end)")
+    over = _below(f"transform({spans}, s -> s.end)", f"transform({tokens}, t -> t.start + 1)")
+    return f"transform(filter({_zip(tokens, begun, over)}, z -> z._1 = z._2), z -> z._0)"
+
+
+def _distinct(spans: str, known: str) -> str:
+    """SQL of the distinct ``spans`` (start, end, ...) but for those among ``known``, by sorting both and looking at neighbours."""
+    both = f"""array_sort(concat(transform({known}, x -> named_struct('start', x.start, 'end', x.end, 'own', 0, 'x', x)),
+      transform({spans}, x -> named_struct('start', x.start, 'end', x.end, 'own', 1, 'x', x))))"""
+    before = "concat(array(CAST(NULL AS INT)), transform(slice(d.s, 1, greatest(size(d.s) - 1, 0)), x -> {}))"
+    fresh = "z._0.own = 1 AND (z._1 IS NULL OR z._1 <> z._0.start OR z._2 <> z._0.end)"
+    found = f"transform(filter({_zip('d.s', before.format('x.start'), before.format('x.end'))}, z -> z._0 IS NOT NULL AND {fresh}), z -> z._0.x)"
+    return f"element_at(transform(array(named_struct('s', {both})), d -> {found}), 1)"
+
+
 def _located(kind: int, keep: str, token: bool = False) -> Column:
-    """Spans of the matches ``m`` between the gaps ``g``; only those where ``keep`` (of x.m, x.v) holds."""
-    more, extra = (", 'token', x.v", ",token:string") if token else ("", "")
-    begin = "a.at + length(x.g) + length(x.m) - length(x.v)" if token else "a.at + length(x.g)"
-    return F.expr(f"""aggregate(arrays_zip(g, m, v),
-      named_struct('at', 0, 'found', cast(array() AS {_SPAN.replace('end:int', 'end:int' + extra)})),
-      (a, x) -> named_struct('at', a.at + length(x.g) + coalesce(length(x.m), 0), 'found',
-        if(x.m IS NOT NULL AND {keep}, concat(a.found, array(named_struct(
-          'start', {begin}, 'kind', {kind}, 'end', a.at + length(x.g) + length(x.m){more}))), a.found)),
-      a -> a.found)""")
+    """Spans of the matches ``m`` between the gaps ``g``, which begin at ``at``; only those where ``keep`` (of x.m, x.v) holds."""
+    more = ", 'token', x.v" if token else ""
+    begin = "x.at + length(x.g) + length(x.m) - length(x.v)" if token else "x.at + length(x.g)"
+    return F.expr(f"""transform(filter(arrays_zip(g, m, v, at), x -> x.m IS NOT NULL AND {keep}),
+      x -> named_struct('start', {begin}, 'kind', {kind}, 'end', x.at + length(x.g) + length(x.m){more}))""")
 
 
 def _matches(df: DataFrame, name: str, pattern: str, seen: Column, value: int, located: Column) -> DataFrame:
@@ -69,7 +120,9 @@ def _matches(df: DataFrame, name: str, pattern: str, seen: Column, value: int, l
     df = df.withColumn("m", F.when(F.col("seen"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none))
     df = df.withColumn("g", F.when(F.col("seen"), F.split(text, pattern, -1)).otherwise(none))
     df = df.withColumn("v", F.when(F.col("seen"), F.regexp_extract_all(text, F.lit(pattern), F.lit(value))).otherwise(none) if value else F.col("m"))
-    return df.withColumn(name, located).drop("seen", "m", "g", "v")
+    sizes = "transform(arrays_zip(g, m), x -> length(x.g) + coalesce(length(x.m), 0))"
+    df = df.withColumn("at", F.when(F.col("seen"), F.expr(f"slice({_sum(sizes)}, 1, size(g))")))
+    return df.withColumn(name, located).drop("seen", "m", "g", "v", "at")
 
 
 def _upper_tail(z: str) -> str:
@@ -151,8 +204,9 @@ def scanned(docs: DataFrame) -> DataFrame:
     for i, (pattern, value) in enumerate(PARTS.items()):
         df = _matches(df, f"_part{i}", pattern, F.size("tokens") > 0, value, _located(3, "true", token=True))
     parts = ["tokens", *(f"_part{i}" for i in range(len(PARTS)))]
-    every = F.array_distinct(F.concat(*[F.coalesce(c, F.expr("cast(array() AS array<struct<start:int,kind:int,end:int,token:string>>)")) for c in parts]))
-    df = df.withColumn("more", F.array_except(every, F.expr(f"filter(coalesce(tokens, array()), t -> ({_FORM}) IS NOT NULL)")))
+    empty = "CAST(array() AS array<struct<start:int,kind:int,end:int,token:string>>)"
+    every = f"concat({', '.join(f'coalesce({c}, {empty})' for c in parts)})"
+    df = df.withColumn("more", F.expr(_distinct(every, f"filter(coalesce(tokens, {empty}), t -> ({_FORM}) IS NOT NULL)")))
     none = F.expr(f"cast(array() AS {_SPAN})")
     df = df.withColumn("base", F.array_sort(F.concat(*[F.coalesce(c, none) for c in ("_assign", "_access", "_hex")])))
     df = _tested(_tested(df, "tokens", _FORM, "tested", "hashes"), "more", _MORE_FORMS, "parts", "part_hashes")
@@ -201,17 +255,20 @@ def with_spans(known: DataFrame) -> DataFrame:
     lowest = thresholds(known)
     table = F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair]) if lowest else None
 
-    def found(name: str, outside: str) -> Column:
-        random = F.filter(name, lambda t: t["bin"] >= table[t["band"]] if lowest else F.lit(False))
-        return F.filter(random, lambda t: ~F.exists(outside, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-
-    def span(t: Column) -> Column:
-        return F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end"))
+    def random(name: str) -> Column:
+        return F.filter(name, lambda t: t["bin"] >= table[t["band"]] if lowest else F.lit(False))
 
-    step = known.withColumn("spans", F.concat(F.col("base"), F.transform(found("tested", "base"), span)))
-    step = step.withColumn("_parts", F.array_distinct(F.transform(found("parts", "spans"), span)))
-    longest = "filter(_parts, t -> NOT exists(_parts, u -> u.start <= t.start AND t.end <= u.end AND u.end - u.start > t.end - t.start))"
-    return step.withColumn("spans", F.array_sort(F.concat(F.col("spans"), F.expr(longest)))).drop("_parts")
+    span = "CAST({} AS " + _SPAN + ")"
+    spans = "transform({}, t -> named_struct('start', t.start, 'kind', 3, 'end', t.end))"
+    step = known.withColumn("_random", random("tested")).withColumn("_parts", random("parts"))
+    step = step.withColumn("spans", F.expr(f"concat(base, {span.format(spans.format(_outside('_random', 'base')))})"))
+    step = step.withColumn("_parts", F.expr(_distinct(spans.format(_outside("_parts", "spans")), f"CAST(array() AS {_SPAN})")))
+    # By start and then the longest: what ends no later than one before it lies within that one.
+    step = step.withColumn("_parts", F.expr("array_sort(_parts, (x, y) -> CASE WHEN x.start <> y.start THEN x.start - y.start ELSE y.end - x.end END)"))
+    furthest = f"slice({_greatest('transform(_parts, t -> t.end)')}, 1, size(_parts))"
+    longest = f"transform(filter({_zip('_parts', furthest)}, z -> z._1 < z._0.end), z -> z._0)"
+    step = step.withColumn("spans", F.expr(f"array_sort(concat(spans, {span.format(longest)}))"))
+    return step.drop("_random", "_parts")
 
 
 def _joined(spans: str) -> Column:
@@ -247,8 +304,14 @@ def redacted(docs: DataFrame) -> DataFrame:
     names = docs.columns
     others = F.struct(F.lit(True).alias("_"), *[F.col(n) for n in names if n != "text"])
     known = written(scanned(docs.select(others.alias("others"), "text")), "secrets")
-    clean = F.expr(f"""aggregate(spans, named_struct('at', 0, 'out', ''), (a, s) -> named_struct('at', greatest(a.at, s.end),
-      'out', if(s.start >= a.at, concat(a.out, substring(text, a.at + 1, s.start - a.at), '{REDACTED}'), a.out)),
-      a -> concat(a.out, substring(text, a.at + 1, length(text))))""")
+    # Four bytes a character, so that a piece is cut without looking for where it begins.
+    ends = _greatest("transform(spans, s -> s.end)")
+    pieces = f"""element_at(transform(array(named_struct('b', encode(text, 'UTF-32'), 'n', length(text), 'p', {ends})), d ->
+      array_join(transform(concat(
+        transform(filter({_zip("transform(spans, s -> s.start)", "transform(slice(d.p, 1, size(spans)), e -> greatest(e, 0))")}, z -> z._0 >= z._1),
+          z -> named_struct('from', z._1, 'to', z._0)),
+        array(named_struct('from', element_at(d.p, -1), 'to', d.n))),
+        w -> decode(substring(d.b, 4 * w.from + 1, 4 * (w.to - w.from)), 'UTF-32')), '{REDACTED}')), 1)"""
+    clean = F.expr(pieces)
     text = F.when(F.size("spans") > 0, clean).otherwise(F.col("text"))
     return with_spans(known).select(*[text.alias(n) if n == "text" else F.col("others")[n].alias(n) for n in names])

@@ -220,3 +220,34 @@ def test_random_tokens_of_other_forms_are_found(spark, before, alphabet, size):
     found = {i: f"look {before}{k} here" for i, k in enumerate(keys)}
     rows = secret_scan.redacted(documents(spark, found)).select("doc_id", "text").collect()
     assert sum(keys[r["doc_id"]] not in r["text"] for r in rows) >= 80
+
+
+def test_many_secrets_in_one_text(spark):
+    """The work for a text grows about with its length: 32,000 secrets, and an eighth of them as the measure."""
+    import time
+
+    def seconds(n: int) -> float:
+        rng = random.Random(n)
+        text = " ".join("token=" + "".join(rng.choice("abcdefghijkmnpqrstuvwxyz23456789") for _ in range(32)) for _ in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begun = time.perf_counter()
+        row = secret_scan.secret_spans(docs).first()
+        took = time.perf_counter() - begun
+        assert row["n_assign"] == n and row["spans"].count("assign") == n
+        assert row["spans"].startswith("assign:0:38,assign:39:77")
+        if n < 1000:
+            clean = secret_scan.redacted(docs).first()["text"]
+            assert clean == " ".join(["[REDACTED]"] * n)
+        return took
+
+    seconds(100)
+    few, many = seconds(4000), seconds(32_000)
+    assert many < 16 * few + 10
+
+
+def test_redaction_of_overlapping_spans_and_wide_characters(spark):
+    key = "".join(random.Random(1).choice("0123456789abcdef") for _ in range(40))
+    text = f"日本 𝒳 password={key} é token = {key}x {key} end 𝒳"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, key)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs).collect()}
+    assert got == {1: "日本 𝒳 [REDACTED] é [REDACTED] [REDACTED] end 𝒳", 2: None, 3: "", 4: "[REDACTED]"}
