@@ -12,10 +12,12 @@ from marketlake.operators import batch, clean, gold
 from marketlake.operators.indicators import indicators
 from marketlake.plans import etl, report
 from marketlake.plans import lake as lakes
-from marketlake.schema import SILVER_SCHEMA, conform_bars
+from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, conform_bars
 from marketlake.session import workspace
 from marketlake.sources import store, vendor
 from marketlake.sources.bars import bars_daily, bars_events, table
+from marketlake.sources.files import remove
+from marketlake.sources.runs import RunTable
 
 KEY = ["symbol", "timestamp"]
 BAR = ["symbol", "timestamp", "open", "high", "low", "close", "volume"]
@@ -270,19 +272,22 @@ def gold_write_read(spark, folder):
     return store.read_gold_monthly(spark, path, monthly.schema).select(*monthly.columns)
 
 
-@query(
-    "gold_statistics_read",
-    f"""WITH {DAILY}, {CHANGES} SELECT symbol, min(close) AS low, max(close) AS high, round(median(close), 6) AS middle, round(avg(volume), 6) AS volume,
+STATISTICS = f"""WITH {DAILY}, {CHANGES} SELECT symbol, min(close) AS low, max(close) AS high, round(median(close), 6) AS middle, round(avg(volume), 6) AS volume,
        round(stddev_samp(daily_return * 100), 6) AS volatility, strftime(max("timestamp"), '%Y-%m-%d') AS end_date, count(*) AS trading_days
-FROM sided GROUP BY symbol""",
-)
+FROM sided GROUP BY symbol"""
+
+
+@query("gold_statistics_read", STATISTICS)
 def gold_statistics_read(spark, folder):
     """The statistics as stored JSON."""
     path = workspace(spark, "gold")
     silver = batch.silver_bars(bars_daily(spark, folder))
     statistics = gold.statistics(silver)
     store.write_gold(gold.monthly(silver), statistics, path, workspace(spark, "staging"))
-    read = store.read_gold_statistics(spark, path, statistics.schema)
+    return shown_statistics(store.read_gold_statistics(spark, path, statistics.schema))
+
+
+def shown_statistics(read):
     return read.select(
         "symbol",
         F.col("price_stats.min").alias("low"),
@@ -390,6 +395,56 @@ def prices_upsert(spark, folder):
     return store.read_bars(spark, path).select(*BAR)
 
 
+@query(
+    "upsert_delta",
+    f"""WITH {DAILY} SELECT symbol, "timestamp", open, high, low, CASE WHEN "timestamp" >= TIMESTAMP '1998-01-01' THEN close * 2 ELSE close END AS close,
+       volume FROM bars""",
+)
+def upsert_delta(spark, folder):
+    """History as one run, then 1998 three times as runs of changes, one of them repeated, some folded into the base before the rest comes."""
+    table = RunTable(spark, workspace(spark, "prices"), BAR_SCHEMA, KEY, store.month_parts)
+    bars = conform_bars(bars_daily(spark, folder))
+    table.append(bars, "history")
+    for factor in (1.0, 3.0, 2.0, 3.0):
+        late = bars.where(F.col("timestamp") >= F.lit(datetime(1998, 1, 1))).withColumn("close", F.col("close") * factor)
+        table.append(late, f"times {factor}")
+        if factor == 1.0:
+            table.compact()
+            table.expire()
+    return table.read().select(*BAR)
+
+
+@query(
+    "files_skipped",
+    f"""WITH {DAILY} SELECT strftime("timestamp", '%Y/%m') AS place, count(*) AS rows, CAST(0 AS BIGINT) AS read FROM bars
+WHERE strftime("timestamp", '%Y/%m') IN ('1995/06', '1997/02') GROUP BY 1""",
+)
+def files_skipped(spark, folder):
+    """Two months of a table lose their files, which share a name with those of all other months: both are named, with their rows."""
+    table = RunTable(spark, workspace(spark, "prices"), BAR_SCHEMA, KEY, store.month_parts)
+    table.append(conform_bars(bars_daily(spark, folder)).coalesce(1), "history")
+    ((_, name),) = table.state().runs.values()
+    for place in ("year=1995/month=06", "year=1997/month=02"):
+        remove(spark, f"{table.path}/runs/{name}/{place}")
+    place = F.regexp_replace(F.regexp_extract("file", r"(year=\d+/month=\d+)", 1), "year=|month=", "")
+    return table.unread().groupBy(place.alias("place")).agg(F.sum("rows").alias("rows"), F.sum("read").alias("read"))
+
+
+@query(
+    "landing_ledger",
+    f"""WITH {DAILY}, landed AS (SELECT *, least(greatest(year("timestamp"), 1996), 1998) AS ingest FROM bars WHERE symbol <> 'P' OR "timestamp" < TIMESTAMP '1998-01-01')
+SELECT symbol, "timestamp", close FROM landed JOIN (SELECT symbol, max(ingest) AS ingest FROM landed GROUP BY 1) USING (symbol, ingest)""",
+)
+def landing_ledger(spark, folder):
+    """Yearly landings, the last of which lacks a symbol; the ledger knows the newest of each."""
+    path, bars = workspace(spark, "bronze"), bars_daily(spark, folder)
+    bars = bars.where((F.col("symbol") != "P") | (F.col("timestamp") < F.lit(datetime(1998, 1, 1))))
+    for year in (1996, 1997, 1998):
+        part = bars.where(F.least(F.greatest(F.year("timestamp"), F.lit(1996)), F.lit(1998)) == year)
+        store.land_bronze(part, path, ingest_ts=datetime(year, 12, 31, 18))
+    return store.newest_landing(spark, path, bars.schema).select(*KEY, "close")
+
+
 @query(
     "latest_batch",
     f"""WITH {DAILY}, landed AS (SELECT *, date_trunc('month', "timestamp") AS ingest FROM bars)

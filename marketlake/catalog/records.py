@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from marketlake.catalog.layers import INTRADAY, MONTHLY
+from marketlake.catalog.layers import STATISTICS, shown_statistics
 from marketlake.catalog.registry import CHANGES, DAILY, HOURLY, RSI, full, query
 from marketlake.functions.masking import DEFAULT_SALT, EMAIL_PATTERN, mask_columns
 from marketlake.schema import conform_bars
@@ -217,6 +218,12 @@ def refreshed(spark, folder):
     return refresh
 
 
+@query("stream_statistics", STATISTICS)
+def stream_statistics(spark, folder):
+    """The statistics that the same stream merges from states by month."""
+    return shown_statistics(refreshed(spark, folder).statistics())
+
+
 @query("stream_gold", f"WITH {MONTHLY} SELECT * FROM result")
 def stream_gold(spark, folder):
     """The gold months that the same stream keeps up to date."""

@@ -54,13 +54,15 @@ def run(
     newest_only: bool = False,
     as_of: datetime | None = None,
     days: int | None = None,
+    skip_unread: bool = True,
 ) -> report.RunLog:
     """Run the chosen layers; each reads what the layer before it wrote, and replaces only the keys it computes.
 
     The silver step takes all of bronze, or with ``newest_only`` each symbol's newest landing, or the bars of the ``days`` days up to
     ``as_of``; other stored bars stay, and stored bars that the new ones reach are computed anew. ``grain`` is
     the spacing of the bars, ``period`` what one document covers (see ``default_period``); neither depends on the data's size.
-    Bars without a symbol or a time, and silver files that cannot be read, go to the quarantine table and are counted.
+    Bars without a symbol or a time, and silver files that cannot be read whole, go to the quarantine table and are counted; without
+    ``skip_unread`` such files stop the gold step instead.
     """
     if steps not in STEPS:
         raise ValueError(f"steps is one of {', '.join(STEPS)}")
@@ -77,7 +79,7 @@ def run(
         with log.trace("silver_process", data_type=data_type):
             bronze = _landed(spark, lake, data_type)
             landed = standardise(bronze.drop("data_type", *store.DAY_PARTITIONS))
-            bronze = store.latest_landing(bronze) if newest_only else bronze
+            bronze = store.newest_landing(spark, lake.path("bronze"), lake.raw_schema, data_type) if newest_only else bronze
             bronze = standardise(bronze.drop("data_type", *store.DAY_PARTITIONS))
             set_aside(spark, lake, _only(bronze, symbols), log, data_type)
             if days is not None:
@@ -86,7 +88,11 @@ def run(
             to_silver(spark, lake, _only(bronze, symbols), warmup, grain, documents, period, part, log, _only(landed, symbols))
     if "gold" in chosen:
         with log.trace("gold_aggregate", data_type="analytics"):
-            unread = store.unread_files(spark, [lake.path("silver")], SILVER_SCHEMA).select("path", "length", F.lit("unreadable file").alias("error"))
+            unread = store.unread_files(spark, [lake.path("silver")], SILVER_SCHEMA)
+            if not skip_unread and not unread.isEmpty():
+                raise OSError(f"unreadable silver files below {lake.path('silver')}")
+            said = F.concat(F.lit("unreadable file: "), "read", F.lit(" of "), F.coalesce(F.col("rows").cast("string"), F.lit("unknown")), F.lit(" rows read"))
+            unread = unread.select("path", "length", said.alias("error"))
             seen_files, skipped = report.observed(unread, "skipped_files")
             store.quarantine(seen_files, lake.path("quarantine"), "file")
             log.metric("files_skipped", skipped.get["records"], data_type="analytics")

@@ -41,6 +41,7 @@ class RunTable:
     schema: T.StructType
     keys: Sequence[str]
     partitions: Callable[[], dict[str, Column]]
+    listed: bool = True  # whether commits list their files, for ``unread``
 
     def state(self) -> State:
         """The newest committed state; a commit holds all of it."""
@@ -57,7 +58,8 @@ class RunTable:
         run = self._number(state, token)
         name = f"{number:012d}"  # of its own, so a repeated step does not touch files that are being read
         self._written(rows, f"{self.path}/runs/{name}")
-        self._list_files(f"{self.path}/runs/{name}", number)
+        if self.listed:
+            self._list_files(f"{self.path}/runs/{name}", number)
         self._commit(State(number, state.versions, {**state.runs, number if run is None else run: [token, name]}))
 
     def read(self, places: Sequence[str] | None = None, before: str | None = None) -> DataFrame:
@@ -90,7 +92,8 @@ class RunTable:
         version = state.number + 1
         folder = f"{self.path}/base/{version:012d}"
         self._written(merged, folder)
-        self._list_files(folder, version)
+        if self.listed:
+            self._list_files(folder, version)
         self._commit(State(version, {**state.versions, **dict.fromkeys(touched, version)}, {k: v for k, v in state.runs.items() if k not in folded}))
 
     def expire(self) -> None:

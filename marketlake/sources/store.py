@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -31,11 +31,23 @@ from marketlake.schema import (
     STOCK_SCHEMA,
     with_optional,
 )
+from marketlake.sources.files import exists, remove
+from marketlake.sources.runs import rows_by_file
 
 MONTH_PARTITIONS = ["year", "month"]
 DAY_PARTITIONS = ["year", "month", "day"]
 BRONZE_PARTITIONS = ["data_type", *DAY_PARTITIONS]
 ENVELOPE_VERSION = "1.0"
+# Beside bronze rows, out of sight of readers of the folder: which symbols came with which landing.
+LEDGER = "_landings"
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("data_type", T.StringType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("ingest_ts", T.TimestampType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
 # Tables with one row per symbol lie in this many buckets of symbols, so that a merge rewrites few of them.
 SYMBOL_BUCKETS = 64
 # Spark's JSON writer keeps milliseconds only unless told otherwise
@@ -68,10 +80,22 @@ def _typed(schema: T.StructType, partitions: Sequence[str]) -> T.StructType:
 
 
 def land_bronze(raw: DataFrame, path: str, data_type: str = "prices", ingest_ts: datetime | None = None) -> None:
-    """Append a raw frame under its ingest date, columns untouched and rows where they are: no shuffle."""
-    stamp = F.lit(ingest_ts).cast("timestamp") if ingest_ts else F.current_timestamp()
+    """Append a raw frame under its ingest date, columns untouched and rows where they are: no shuffle.
+
+    Then the landing is entered in the ledger beside the rows, as its symbols with their row counts.
+    """
+    at = ingest_ts or datetime.now(timezone.utc)
+    stamp = F.lit(at).cast("timestamp")
     stamped = raw.withColumns({"ingest_ts": stamp, "data_type": F.lit(data_type)})
     stamped.withColumns(date_parts("ingest_ts")).write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(path)
+    if "symbol" in raw.columns:
+        spark = raw.sparkSession
+        landed = T.StructType([raw.schema["symbol"], LEDGER_SCHEMA["ingest_ts"]])
+        day = spark.range(1).select(*[v.alias(k) for k, v in date_parts(stamp).items()]).first()
+        here = reduce(lambda a, b: a & b, [F.col(k) == v for k, v in day.asDict().items()]) & (F.col("data_type") == data_type)
+        rows = spark.read.schema(_typed(landed, BRONZE_PARTITIONS)).parquet(path).where(here & (F.col("ingest_ts") == stamp))
+        counted = rows.groupBy("data_type", F.col("symbol").cast("string").alias("symbol"), "ingest_ts").agg(F.count("*").alias("rows"))
+        counted.select(*LEDGER_SCHEMA.names).coalesce(1).write.mode("append").parquet(f"{path}/{LEDGER}")
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -97,6 +121,24 @@ def latest_landing(bronze: DataFrame) -> DataFrame:
     return bronze.join(newest, ["symbol", "ingest_ts"])
 
 
+def newest_landing(spark: SparkSession, path: str, schema: T.StructType | None = None, data_type: str = "prices") -> DataFrame:
+    """``latest_landing`` of one type by the ledger: of bronze itself only the days of newest landings are read.
+
+    The days are collected; the calendar bounds their number. A bronze table without a ledger is searched itself.
+    """
+    bronze = read_bronze(spark, path, schema).where(F.col("data_type") == data_type)
+    if not exists(spark, f"{path}/{LEDGER}"):
+        return latest_landing(bronze)
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(f"{path}/{LEDGER}").where(F.col("data_type") == data_type)
+    newest = ledger.groupBy("symbol").agg(F.max("ingest_ts").alias("ingest_ts"))
+    days = newest.select(F.date_format("ingest_ts", "yyyy/MM/dd").alias("day")).distinct().toArrow()["day"].to_pylist()
+    # year, month and day each by themselves too, as these are what prunes folders
+    parts = zip(DAY_PARTITIONS, zip(*(d.split("/") for d in days)) if days else [[]] * 3)
+    for name, values in parts:
+        bronze = bronze.where(F.col(name).isin(sorted(set(values))))
+    return bronze.where(F.concat_ws("/", *DAY_PARTITIONS).isin(days)).join(newest, ["symbol", "ingest_ts"])
+
+
 def symbols_in(layer: DataFrame) -> DataFrame:
     return layer.select("symbol").distinct()
 
@@ -160,7 +202,7 @@ def merge_into(
     ``partitions`` are computed from the rows; which ones are touched is collected, so their number must be bounded
     (months by the calendar, buckets by ``SYMBOL_BUCKETS``). ``incoming`` is computed once, into a folder of this call's own
     under ``staging``, and so is the result: Spark cannot overwrite files it is reading, a lost executor recomputes from
-    files that still exist, and nothing that an earlier call staged is seen.
+    files that still exist, and nothing that an earlier call staged is seen. What the call staged goes when it is done.
     """
     own = f"{staging}/{uuid.uuid4().hex}"
     names = list(partitions)
@@ -170,10 +212,11 @@ def merge_into(
     place = F.concat_ws("/", *names)
     touched = incoming.select(place.alias("place")).distinct().toArrow()["place"].to_pylist()
     if not touched:
-        return
+        return remove(spark, own)
     stored = _stored(spark, path, typed, kind).where(place.isin(touched))
     merge_bars(stored, incoming, version, keys).select(*typed.names).write.parquet(f"{own}/merged")
     _write(spark.read.schema(typed).parquet(f"{own}/merged"), path, names, list(keys), "overwrite", kind)
+    remove(spark, own)
 
 
 def month_parts(timestamp: str = "timestamp") -> dict[str, Column]:
@@ -204,11 +247,25 @@ def read_readable(spark: SparkSession, paths: Sequence[str], schema: T.StructTyp
 
 
 def unread_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """(path, length) of the Parquet files below ``paths`` from which no row can be read. Reads names and row counts only."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(list(paths))
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    seen = read_readable(spark, paths, schema).select(F.col("_metadata.file_name").alias("name")).distinct()
-    return listed.select("path", "length", name.alias("name")).join(seen, "name", "left_anti").drop("name")
+    """(path, length, rows, read) of the Parquet files below ``paths`` from which not all rows can be read.
+
+    ``rows`` is what the file's footer says, NULL where that cannot be read. Files are told apart by their whole paths. All columns of all
+    files are read once, against the checksums of their pages; a table of ``RunTable`` also knows the files that are lost.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(list(paths))
+    listed = files.select(F.col("_metadata.file_path").alias("file"), "path", "length")
+    footers = read_readable(spark, paths, schema).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    seen = rows_by_file(spark, paths, schema).withColumnRenamed("rows", "read")
+    found = listed.join(footers, "file", "left").join(seen, "file", "left").fillna(0, ["read"])
+    found = found.where("rows IS NULL OR read < rows").select("path", "length", "rows", "read")
+    # A file without a row group is whole: its footer, the footer's length and two marks are all of it.
+    bare = [r["path"] for r in found.where("rows IS NULL").select("path").collect()]
+    if not bare:
+        return found
+    size = sum((F.conv(F.hex(F.substring("content", F.col("length").cast("int") - 7 + i, F.lit(1))), 16, 10).cast("long") * (1 << 8 * i) for i in range(4)), F.lit(0))
+    mark = F.substring("content", F.col("length").cast("int") - 3, F.lit(4)) == F.lit(b"PAR1")
+    empty = spark.read.format("binaryFile").load(bare).where(mark & (size + 12 == F.col("length"))).select("path")
+    return found.join(empty, "path", "left_anti")
 
 
 # --- quarantine -------------------------------------------------------------------------------------

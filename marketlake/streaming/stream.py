@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -85,17 +85,23 @@ class SilverRefresh:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> RunTable:
-        schemas = {
+        if name == "states":
+            given = (self._state_schema, ["symbol", "year_month"], store.symbol_bucket)
+        elif name == "statistics":
+            given = (self._statistics_schema, ["symbol"], store.symbol_bucket)
+        else:
+            given = self._plain_tables()[name]
+        return RunTable(self.spark, self.path(name), *given, listed=name in ("bars", "silver"))
+
+    def _plain_tables(self) -> dict[str, tuple]:
+        return {
             "bars": (BAR_SCHEMA, ["symbol", "timestamp"], store.month_parts),
             "silver": (SILVER_SCHEMA, ["symbol", "timestamp"], store.month_parts),
             "tail": (TAIL_SCHEMA, ["symbol", "age"], store.symbol_bucket),
             "counts": (COUNT_SCHEMA, ["symbol", "month"], store.symbol_bucket),
             "gold": (GOLD_SCHEMA, ["symbol", "year_month"], lambda: {"year": F.substring("year_month", 1, 4)}),
-            "states": (self._state_schema(), ["symbol", "year_month"], store.symbol_bucket),
-            "statistics": (self._statistics_schema(), ["symbol"], store.symbol_bucket),
             "documents": (PERIOD_SCHEMA if self._period() else DOCUMENT_SCHEMA, ["symbol", "period"] if self._period() else ["symbol"], store.symbol_bucket),
         }
-        return RunTable(self.spark, self.path(name), *schemas[name])
 
     def start(self, bronze: DataFrame, checkpoint: str) -> StreamingQuery:
         return (
@@ -174,9 +180,11 @@ class SilverRefresh:
     def _period(self) -> str | None:
         return default_period(self.grain)
 
+    @cached_property
     def _state_schema(self) -> T.StructType:
         return gold.month_states(self.spark.createDataFrame([], SILVER_SCHEMA), not is_sliced(self.grain)).schema
 
+    @cached_property
     def _statistics_schema(self) -> T.StructType:
         return gold.merged_statistics(gold.month_states(self.spark.createDataFrame([], SILVER_SCHEMA))).schema
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from datetime import datetime, timedelta
 
@@ -403,7 +404,7 @@ def test_bars_without_a_time_and_unreadable_files_are_set_aside(spark, tmp_path)
     (root / "silver" / "year=2020" / "month=01" / "broken.parquet").write_bytes(b"not parquet")
     log = lakes.run(spark, lake, steps="gold")
     kept = {r.kind: (r.error, r.n) for r in store.read_quarantine(spark, lake.path("quarantine")).groupBy("kind", "error").agg(F.count("*").alias("n")).collect()}
-    assert kept == {"bar": ("no symbol or no time", 1), "file": ("unreadable file", 1)}
+    assert kept == {"bar": ("no symbol or no time", 1), "file": ("unreadable file: 0 of unknown rows read", 1)}
     counted = {r.metric: r.value for r in log.metrics().where("metric IN ('records_rejected', 'files_skipped')").collect()}
     assert counted == {"records_rejected": 1.0, "files_skipped": 1.0}
     assert spark.read.parquet(f"{lake.path('gold')}/monthly").count() == 1
@@ -416,6 +417,50 @@ def test_newest_landing_reads_its_days_only(spark):
         store.land_bronze(raw, path, ingest_ts=day(f"2024-03-0{d}"))
     plan = formatted_plan(store.latest_landing(store.read_bronze(spark, path, raw.schema)))
     assert "20240306" in next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    by_ledger = store.newest_landing(spark, path, raw.schema)
+    filters = [line for line in formatted_plan(by_ledger).splitlines() if line.startswith("PartitionFilters")]
+    assert len(filters) == 1 and re.search(r"year#\d+ = 2024", filters[0]) and re.search(r"day#\d+ = 06", filters[0])
+    assert [r["ingest_ts"] for r in by_ledger.collect()] == [day("2024-03-06")]
+    assert store.read_bronze(spark, path, raw.schema).count() == 3
+    other = workspace(spark, "t")
+    raw.withColumns({"ingest_ts": F.lit(day("2024-03-04")), "data_type": F.lit("prices"), "year": F.lit("2024"), "month": F.lit("03"), "day": F.lit("04")}).write.partitionBy("data_type", "year", "month", "day").parquet(other)
+    assert store.newest_landing(spark, other, raw.schema).count() == 1
+
+
+def test_unreadable_files_are_told_apart_by_their_paths(spark):
+    """Months whose files share a name: a garbled one, one with a broken page, one without rows."""
+    from pathlib import Path
+
+    path = workspace(spark, "silver")
+    bars = to_spark(spark, make_bars({f"s{i}": walk(170, i) for i in range(40)})).coalesce(1)
+    store.write_bars(bars, path)
+    typed = spark.read.parquet(path).schema
+    assert store.unread_files(spark, [path], typed).collect() == []
+    bars.limit(0).drop("symbol").write.parquet(f"{path}/year=2021/month=01")
+    assert store.unread_files(spark, [path], typed).collect() == []
+    garbage, pages = (next(Path(path).glob(f"year=2020/month=0{m}/*.parquet")) for m in (2, 4))
+    garbage.write_bytes(b"not parquet")
+    data = bytearray(pages.read_bytes())
+    data[len(data) // 3 : len(data) // 3 + 200] = bytes(200)
+    pages.write_bytes(data)
+    for file in (garbage, pages):
+        file.with_name(f".{file.name}.crc").unlink()
+    found = {r["path"].removeprefix("file:"): (r["rows"], r["read"]) for r in store.unread_files(spark, [path], typed).collect()}
+    assert set(found) == {str(garbage), str(pages)}
+    assert found[str(garbage)] == (None, 0) and found[str(pages)][1] < found[str(pages)][0] == 30 * 40
+    assert not names_in(spark, "/tmp/no-such-folder")
+
+
+def test_upserts_leave_nothing_staged(spark):
+    path, staging = workspace(spark, "prices"), workspace(spark, "staging")
+    bars = to_spark(spark, make_bars({"a": walk(60, 1)}))
+    sizes = []
+    for _ in range(4):
+        store.upsert_bars(spark, path, bars, staging)
+        sizes.append(size_of(spark, path))
+    assert not names_in(spark, staging) and max(sizes) < 1.1 * min(sizes)
+    store.upsert_bars(spark, path, bars.limit(0), staging)
+    assert not names_in(spark, staging)
 
 
 def test_landing_moves_nothing(spark):
