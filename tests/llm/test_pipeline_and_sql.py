@@ -28,9 +28,9 @@ def test_query_gives_the_rows_of_its_sql(spark, folder, name):
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(answer.fetchall())
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(bool(re.match(f"op{n}_", q)) for q in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
 
@@ -121,3 +121,14 @@ def test_a_repeated_doc_id_keeps_its_other_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
     assert got == sorted([(1, copied), (2, own), (4, other), (4, prose(90, 24))])
+
+
+def test_stages_keep_columns_named_like_their_own(spark, planted):
+    names = ["score", "lang_pred", "predicted", "text_hash", "_text", "_letters", "spans", "base", "row", "held_out"]
+    docs = spark.read.parquet(f"{planted}/documents.parquet").where("doc_id < 30 OR doc_id >= 300")
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, planted), "test")
+        rows = docs.where("doc_id IS NOT NULL").collect()
+        assert rows and set(names) <= set(docs.columns), name
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names), name
