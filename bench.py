@@ -28,6 +28,7 @@ HEADLINE = [
     "hot_series",
     "indicators_wide_sliced",
     "macd_sliced",
+    "macd_scan",
     "silver_subset_rerun",
     "prices_upsert_twice",
     "stream_gold",
