@@ -4,15 +4,20 @@ Two bigram models, of a target part of the corpus and of the whole as background
 interpolation. A document's score is the mean over its tokens of the target model's loss less the background
 model's: the lower, the more the document reads like the target.
 
-All counts are over all documents, summed in map tasks before they are shuffled. The models keep every word and bigram that
-comes at least ``LEAST_COUNT`` times, as written tables that grow with the corpus. Rarer words are one unknown word, rarer
-bigrams back off to their second word. Losses are computed once per distinct bigram and joined with the documents' bigrams;
-words and bigrams with at least a fixed share of all tokens, of which there are few at any size, are broadcast instead.
+All counts are over all documents. The models keep every word and bigram that comes at least ``LEAST_COUNT`` times, so they
+grow with the corpus. Rarer words are one unknown word, rarer bigrams back off to their second word.
+
+Texts are written once as blocks of some megabytes: their distinct words and, per token, the number of its word. A block asks
+for the totals of its distinct words, bigrams and contexts in turn. It sends each bucket of keys one row of packed arrays, and the
+bucket answers with the totals in the same order, so that an entry costs about nine bytes on the way there and two on the way
+back. A block sends a key once, however often it holds it, and keys are hashes: no bucket is hot. The number of buckets follows
+from what is sent; a bucket fits a task at any size. With many more buckets than keys in a block, rows are as small as single entries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -21,182 +26,224 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.graph import written
-from marketlake.llm.text import LOWER, WordHash, mix, on_arrow, text_chunks, word_bounds
+from marketlake.llm.text import LOWER, WordHash, fresh_key, mix, on_arrow, text_chunks, word_bounds
 
 # Keep only words and bigrams that are at least one in so many of all tokens; None keeps all.
 WORDS: int | None = None
 BIGRAMS: int | None = None
 LEAST_COUNT = 2
 MIXED = 0.7
-# One in so many of all tokens is broadcast; it changes no result.
-HOT_WORDS = 1 << 17
-HOT_BIGRAMS = 1 << 20
 # In place of hashes: any word that is not kept, and what stands before a text.
 UNKNOWN, START = 0, 1
-_CHUNK = 4 << 20
+# Bytes of text in a block (a text is never cut), and of keys that one bucket is sent.
+BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 8 << 20
 _U = np.uint64
+_SENT = "chunk long, keys binary, n binary, t binary"
 
 
-def _words(column: pa.Array, hashing: WordHash) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, word hashes, row bounds) over runs of rows."""
-    for row, data, offsets in text_chunks(column, _CHUNK):
-        begin, end, firsts = word_bounds(data, offsets)
-        yield row, hashing.of(LOWER[data], begin, end), firsts
+def _packed(counts: np.ndarray) -> bytes:
+    """Whole numbers from 0: a byte each, and 8 more for those from 255 on."""
+    small = np.minimum(counts, 255).astype(np.uint8)
+    return len(small).to_bytes(8, "little") + small.tobytes() + counts[small == 255].astype("<i8").tobytes()
 
 
-def _bigrams(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of the bigram, first word) of all tokens."""
-    first = np.append(np.array([START], dtype=np.uint64), words)[:-1]
-    first[firsts[:-1][np.diff(firsts) > 0]] = START
-    return mix(first * _U(0x9E3779B97F4A7C15) + words), first
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    small = np.frombuffer(data, dtype=np.uint8, count=n, offset=8)
+    counts = small.astype(np.int64)
+    counts[small == 255] = np.frombuffer(data, dtype="<i8", offset=8 + n)
+    return counts
 
 
-def _tallied(values: np.ndarray, target: np.ndarray, more: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """(key, n, n_target) of the distinct values, with the columns ``more`` that depend on them."""
-    order = np.argsort(values, kind="stable")
-    values, target = values[order], target[order]
-    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, dtype=np.int64)
-    n = np.diff(np.append(first, len(values)))
-    sums = np.append(0, np.cumsum(target, dtype=np.int64))
-    n_target = sums[first + n] - sums[first]
-    columns = [values[first].astype(np.int64), n, n_target, *(x[order[first]].astype(np.int64) for x in more.values())]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "n", "n_target", *more])
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as compressed planes of bytes: the upper ones are mostly zero where frequent words have small numbers."""
+    data = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return pa.Codec("zstd").compress(data, asbytes=True)
 
 
-def _counter(bigrams: bool):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashing = WordHash()
-        for batch in batches:
-            target = batch.column(1).to_numpy(zero_copy_only=False)
-            for row, words, firsts in _words(batch.column(0), hashing):
-                good = np.repeat(target[row : row + len(firsts) - 1], np.diff(firsts))
-                if bigrams:
-                    keys, first = _bigrams(words, firsts)
-                    yield _tallied(keys, good, {"first": first, "second": words})
-                else:
-                    yield _tallied(words, good, {})
-
-    return count
-
+def _from_planes(data: bytes, n: int) -> np.ndarray:
+    raw = pa.Codec("zstd").decompress(data, 4 * n, asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, n).T).view("<u4").reshape(n).astype(np.int64)
 
-def _counted(rows: DataFrame, bigrams: bool) -> DataFrame:
-    """(key, n, n_target) of all words, or of all bigrams with their words ``first`` and ``second``."""
-    more = ["first", "second"] if bigrams else []
-    found = on_arrow(rows, _counter(bigrams), ", ".join(f"{c} long" for c in ["key", "n", "n_target", *more]))
-    return found.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), *[F.first(c).alias(c) for c in more])
 
+def _summed(place: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(place, weights=weights, minlength=size).astype(np.int64)
 
-def _looked_up(left: DataFrame, key: Column, table: DataFrame) -> DataFrame:
-    """``left`` (with distinct ``key``) and the columns of ``table`` (key, hot, ...), null where ``key`` is null or not found.
 
-    The ``hot`` rows of the table are few and broadcast. Rows of ``left`` that need no other are spread over the join with the rest.
-    """
-    names = [c for c in table.columns if c not in ("key", "hot")]
-    few = table.where("hot").select(F.col("key").alias("_few"), F.struct(*names).alias("_of_few"))
-    rest = table.where("NOT hot").select(F.col("key").alias("_rest"), F.struct(*names).alias("_of_rest"))
-    step = left.withColumn("_at", key).join(F.broadcast(few), F.col("_at") == F.col("_few"), "left")
-    step = step.withColumn("_open", F.col("_at").isNotNull() & F.col("_few").isNull())
-    step = step.withColumn("_at", F.when(F.col("_open"), F.col("_at")).otherwise(F.col("key")))
-    step = step.join(rest, (F.col("_at") == F.col("_rest")) & F.col("_open"), "left")
-    found = F.coalesce("_of_few", "_of_rest")
-    return step.select(*left.columns, *[found[c].alias(c) for c in names])
-
-
-def _kept(n: Column, share: int | None, total: int) -> Column:
+def _kept(n: np.ndarray, share: int | None, total: int) -> np.ndarray:
     return (n >= LEAST_COUNT) & (n * share >= total) if share else n >= LEAST_COUNT
 
 
-def learn(docs: DataFrame, is_target: Column) -> tuple[DataFrame, int]:
-    """(key, n, target, background) for every distinct bigram: its count and its losses in both models; and the number of tokens.
+def _encoder(key: int, most: int):
+    """Blocks of (doc_id, text, target): what a block sends about its words, and its tokens by the rank of their words."""
 
-    Both models are of all texts of ``docs``; rows where ``is_target`` holds are the target.
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashing, at = WordHash(key), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            given = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            target = batch.column(2).to_numpy(zero_copy_only=False)
+            for row, data, offsets in text_chunks(batch.column(1), most):
+                begin, end, firsts = word_bounds(data, offsets)
+                lengths = np.diff(firsts)
+                rows = slice(row, row + len(lengths))
+                good = target[rows]
+                words, place, n = np.unique(hashing.of(LOWER[data], begin, end), return_inverse=True, return_counts=True)
+                rank = np.empty(len(words), dtype=np.int64)
+                rank[np.argsort(-n, kind="stable")] = np.arange(len(words))
+                n_target = _summed(place, np.repeat(good, lengths), len(words))
+                ids = pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), batch.column(0).slice(row, len(lengths)))
+                values = {
+                    "chunk": at, "keys": words.tobytes(), "n": _packed(n), "t": _packed(n_target),
+                    "tokens": _planes(rank[place]), "lengths": _packed(lengths), "good": good.astype(np.uint8).tobytes(),
+                    "n_tokens": len(place), "n_target": int(n_target.sum()),
+                    "begun": int(given[rows].sum()), "begun_target": int((given[rows] & good).sum()),
+                }
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array([x]) for x in values.values()]], ["ids", *values])
+                at += 1
+
+    return encode
+
+
+def _totals(sent: DataFrame, name: str, kept: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """What every block gets back for what it ``sent`` (chunk, sorted distinct keys, n, t): (chunk, kind, bucket, n, t), totals in its order.
+
+    One row of each bucket also counts the bucket's ``kept`` keys (size) and sums their totals (known, known_target).
     """
-    rows = docs.where("text IS NOT NULL").select("text", F.coalesce(is_target, F.lit(False)).alias("target"))
-    counted = written(_counted(rows, bigrams=False), "words")
-    begun = rows.agg(F.count("*"), F.count_if("target")).first()
-    total, total_target = (x or 0 for x in counted.agg(F.sum("n"), F.sum("n_target")).first())
-    words = counted.where(_kept(F.col("n"), WORDS, total))
-    size, *known = (x or 0 for x in words.agg(F.count("*"), F.sum("n"), F.sum("n_target")).first())
-    unknown = (total - known[0], total_target - known[1])
-    others = docs.sparkSession.createDataFrame([(UNKNOWN, *unknown), (START, *begun)], words.schema)
-    words = words.unionByName(others).withColumn("hot", F.col("key").isin(UNKNOWN, START) | (F.col("n") * HOT_WORDS >= total))
-
-    # Every distinct bigram with its words, of which those that are not kept are the unknown one, and its second word's counts.
-    pairs = _looked_up(_counted(rows, bigrams=True), F.col("first"), words.select("key", "hot", F.lit(True).alias("known")))
-    pairs = pairs.withColumn("first", F.when(F.col("known"), F.col("first")).otherwise(UNKNOWN)).drop("known")
-    pairs = _looked_up(pairs, F.col("second"), words.select("key", "hot", F.col("n").alias("word"), F.col("n_target").alias("word_target")))
-    pairs = pairs.withColumn("second", F.when(F.col("word").isNotNull(), F.col("second")).otherwise(UNKNOWN))
-    pairs = written(pairs.fillna(dict(zip(["word", "word_target"], unknown, strict=True))), "bigrams")
-
-    # Bigrams of an unknown word are counted together, the others are counted already.
-    partly = (F.col("first") == UNKNOWN) | (F.col("second") == UNKNOWN)
-    unsure = pairs.where(partly).groupBy("first", "second").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    unsure = written(unsure.where(_kept(F.col("n"), BIGRAMS, total)), "unknown-bigrams")
-    sure = pairs.where(~partly & _kept(F.col("n"), BIGRAMS, total))
-    follow = sure.select("first", "n", "n_target").unionByName(unsure.select("first", "n", "n_target")).groupBy("first")
-    follow = follow.agg(F.sum("n").alias("pairs"), F.sum("n_target").alias("pairs_target"))
-    contexts = words.join(follow, F.col("key") == F.col("first")).drop("first")
-    contexts = written(contexts.select("key", "hot", *[F.col(c).alias(f"first_{c}") for c in ("n", "n_target")], "pairs", "pairs_target"), "contexts")
-
-    of = F.xxhash64("first", "second")
-    unsure = unsure.select(of.alias("key"), (F.col("n") * HOT_BIGRAMS >= total).alias("hot"), F.col("n").alias("m"), F.col("n_target").alias("m_target"))
-    pairs = _looked_up(_looked_up(pairs, F.col("first"), contexts), F.when(partly, of), unsure)
-    kept = F.when(partly, F.col("m").isNotNull()).otherwise(_kept(F.col("n"), BIGRAMS, total))
-
-    def loss(part: str, tokens: int) -> Column:
-        single = (F.col(f"word{part}") + 1) / (tokens + size + 2)
-        below = F.greatest(F.col(f"first_n{part}"), F.lit(1))
-        context = 1 - MIXED * F.least(F.coalesce(F.col(f"pairs{part}") / below, F.lit(0.0)), F.lit(1.0))
-        share = F.when(partly, F.col(f"m{part}")).otherwise(F.col(f"n{part}")) / below
-        return F.when(kept, -F.log(MIXED * share + context * single)).otherwise(-F.log(single) - F.log(context))
-
-    losses = pairs.select("key", "n", loss("_target", total_target).alias("target"), loss("", total).alias("background"))
-    return written(losses, "losses"), total
+    size = sent.agg(F.sum(F.length("keys"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.array([(b << 64) // buckets for b in range(1, buckets)], dtype=np.uint64)
+        for batch in batches:
+            for chunk, keys, n, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                keys, n, t = np.frombuffer(keys, dtype=np.uint64), _unpacked(n), _unpacked(t)
+                cuts = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
+                filled = np.flatnonzero(np.diff(cuts))
+                parts = [slice(cuts[b], cuts[b + 1]) for b in filled]
+                arrays = [
+                    pa.array(np.full(len(parts), chunk)),
+                    pa.array([keys[p].tobytes() for p in parts], pa.binary()),
+                    *[pa.array([_packed(x[p]) for p in parts], pa.binary()) for x in (n, t)],
+                    pa.array(filled),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, ["chunk", "keys", "n", "t", "bucket"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, dtype=np.uint64) for x in table["keys"].to_pylist()]
+        ends = np.cumsum([len(k) for k in keys])
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        n, t = (_summed(place, np.concatenate([_unpacked(x) for x in table[c].to_pylist()]), len(distinct)) for c in ("n", "t"))
+        known = kept(n)
+        first = [int(known.sum()), int(n[known].sum()), int(t[known].sum())]
+        parts = np.split(place, ends[:-1])
+        arrays = [
+            table["chunk"],
+            pa.array([name] * len(parts)),
+            table["bucket"],
+            *[pa.array([_packed(x[p]) for p in parts], pa.binary()) for x in (n, t)],
+            *[pa.array([x] + [0] * (len(parts) - 1), pa.int64()) for x in first],
+        ]
+        return pa.Table.from_arrays(arrays, ["chunk", "kind", "bucket", "n", "t", "size", "known", "known_target"])
+
+    dealt = on_arrow(sent.select("chunk", "keys", "n", "t"), deal, f"{_SENT}, bucket long")
+    schema = "chunk long, kind string, bucket long, n binary, t binary, size long, known long, known_target long"
+    return written(dealt.groupBy("bucket").applyInArrow(answer, schema), f"totals-{name}")
+
+
+def _block(left: pa.Table, right: pa.Table, is_known: Callable[[np.ndarray], np.ndarray]) -> SimpleNamespace:
+    """A block's rows, distinct words and bigrams, with ``totals`` of what it was answered, in the order of its keys."""
+    row = left.to_pylist()[0]
+    words, n = np.frombuffer(row["keys"], dtype=np.uint64), _unpacked(row["n"])
+    lengths = _unpacked(row["lengths"])
+    place = np.argsort(-n, kind="stable")[_from_planes(row["tokens"], row["n_tokens"])]
+    answers = sorted(right.to_pylist(), key=lambda r: r["bucket"])
+
+    def totals(kind: str) -> list[np.ndarray]:
+        mine = [r for r in answers if r["kind"] == kind]
+        return [np.concatenate([np.zeros(0, dtype=np.int64), *[_unpacked(r[c]) for r in mine]]) for c in ("n", "t")]
+
+    known = is_known(totals("words")[0])
+    second = np.where(known, words, _U(UNKNOWN))[place]
+    first = np.append(np.array([START], dtype=np.uint64), second)[:-1]
+    first[(np.cumsum(lengths) - lengths)[lengths > 0]] = START
+    keys, at, of, times = np.unique(mix(first * _U(0x9E3779B97F4A7C15) + second), return_index=True, return_inverse=True, return_counts=True)
+    good = np.repeat(np.frombuffer(row["good"], dtype=np.uint8), lengths)
+    contexts, context = np.unique(first[at], return_inverse=True)
+    return SimpleNamespace(
+        chunk=row["chunk"], ids=left["ids"].combine_chunks().flatten(), lengths=lengths, words=words, totals=totals,
+        keys=keys, of=of, n=times, t=_summed(of, good, len(keys)), second=second[at], contexts=contexts, context=context,
+    )
+
+
+def _sent(block: SimpleNamespace, keys: np.ndarray, n: np.ndarray, t: np.ndarray) -> pa.Table:
+    return pa.table({"chunk": [block.chunk], "keys": [keys.tobytes()], "n": [_packed(n)], "t": [_packed(t)]})
+
+
+def _each_block(blocks: DataFrame, answers: DataFrame, fn: Callable[[SimpleNamespace], pa.Table], schema: str, is_known: Callable) -> DataFrame:
+    answers = answers.select("chunk", "kind", "bucket", "n", "t").groupBy("chunk")
+    return blocks.groupBy("chunk").cogroup(answers).applyInArrow(lambda left, right: fn(_block(left, right, is_known)), schema)
 
 
 def scored(docs: DataFrame, is_target: Column) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, score) for every row of ``docs`` (doc_id, text, any further columns).
 
+    Both models are of all texts of ``docs``; rows where ``is_target`` holds are the target.
     Words are runs between ASCII white space, ASCII case folded. Losses are means over the words of the whole text;
     a null, empty or blank text has none, and null losses and score. Repeated rows and rows without a
     doc_id count and are scored like others; without target rows the target model is uniform; an empty table has no rows.
     """
-    losses, total = learn(docs, is_target)
-    hot = F.col("n") * HOT_BIGRAMS >= total
-    few = losses.where(hot).toArrow().sort_by("key")
-    keys, values = few["key"].to_numpy(), np.column_stack((few["target"].to_numpy(), few["background"].to_numpy()))
-    shared = docs.sparkSession.sparkContext.broadcast((keys, values))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["row", "doc_id", "n_words", "key", "target", "background"]
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document with the sums over its hot bigrams, and one for each of its other bigrams."""
-        keys, values = shared.value
-        hashing, at = WordHash(), TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for row, words, firsts in _words(batch.column(1), hashing):
-                n, found = np.diff(firsts), _bigrams(words, firsts)[0].astype(np.int64)
-                place = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
-                known = keys[place] == found if len(keys) else np.zeros(len(found), dtype=bool)
-                loss = np.zeros((len(found) + 1, 2))
-                loss[1:][known] = values[place[known]]
-                sums = np.cumsum(loss, axis=0)
-                sums = sums[firsts[1:]] - sums[firsts[:-1]]
-                rows = np.arange(at, at + len(n))
-                at += len(n)
-                ids = batch.column(0).slice(row, len(n))
-                heads = [pa.array(rows), ids, pa.array(n), pa.nulls(len(n), pa.int64()), pa.array(sums[:, 0]), pa.array(sums[:, 1])]
-                yield pa.RecordBatch.from_arrays(heads, names)
-                open_rows, open_keys = np.repeat(rows, n)[~known], found[~known]
-                m = len(open_keys)
-                yield pa.RecordBatch.from_arrays([pa.array(open_rows), pa.nulls(m, ids.type), pa.nulls(m, pa.int64()), pa.array(open_keys), *[pa.nulls(m, pa.float64())] * 2], names)
-
-    parts = on_arrow(docs.select("doc_id", "text"), score, f"row long, doc_id {kind}, n_words long, key long, target double, background double")
-    parts = written(parts, "document-bigrams")
-    rest = parts.where("key IS NOT NULL").select("row", "key").join(losses.where(~hot).drop("n"), "key")
-    rest = rest.groupBy("row").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-    heads = parts.where("key IS NULL").drop("key")
-    sums = heads.unionByName(rest, allowMissingColumns=True).groupBy("row")
-    found = sums.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("doc_id", "n_words")], *[F.sum(c).alias(c) for c in ("target", "background")])
+    rows = docs.select("doc_id", "text", F.coalesce(is_target, F.lit(False)).alias("target"))
+    more = "tokens binary, lengths binary, good binary, n_tokens long, n_target long, begun long, begun_target long"
+    blocks = written(on_arrow(rows, _encoder(fresh_key(), BLOCK_BYTES), f"ids array<{kind}>, {_SENT}, {more}"), "blocks")
+    of_all = blocks.agg(*[F.sum(c) for c in ("n_tokens", "n_target", "begun", "begun_target")]).first()
+    tokens, tokens_target, *begun = (x or 0 for x in of_all)
+
+    share_words, share_bigrams = WORDS, BIGRAMS  # as they are on the driver
+
+    def is_known(n: np.ndarray) -> np.ndarray:
+        return _kept(n, share_words, tokens)
+
+    words = _totals(blocks, "words", is_known)
+    size, *known = (x or 0 for x in words.agg(*[F.sum(c) for c in ("size", "known", "known_target")]).first())
+    unknown = (tokens - known[0], tokens_target - known[1])
+
+    def bigrams_of(block: SimpleNamespace) -> pa.Table:
+        return _sent(block, block.keys, block.n, block.t)
+
+    def contexts_of(block: SimpleNamespace) -> pa.Table:
+        """For each first word, how often the block has bigrams of it that are kept."""
+        kept = _kept(block.totals("bigrams")[0], share_bigrams, tokens)
+        return _sent(block, block.contexts, *[_summed(block.context, x * kept, len(block.contexts)) for x in (block.n, block.t)])
+
+    def losses_of(block: SimpleNamespace) -> pa.Table:
+        bigrams = block.totals("bigrams")
+        kept = _kept(bigrams[0], share_bigrams, tokens)
+        row = np.repeat(np.arange(len(block.lengths)), block.lengths)
+        sums = []
+        for part, all_tokens in enumerate((tokens, tokens_target)):
+            totals = np.append(block.totals("words")[part], 0)
+            special = {UNKNOWN: unknown[part], START: begun[part]}
+
+            def count(of: np.ndarray, totals: np.ndarray = totals, special: dict[int, int] = special) -> np.ndarray:
+                found = totals[np.searchsorted(block.words, of)]
+                for word, n in special.items():
+                    found = np.where(of == word, n, found)
+                return found
+
+            below = np.maximum(count(block.contexts), 1)
+            context = 1 - MIXED * np.minimum(block.totals("contexts")[part] / below, 1)
+            single = (count(block.second) + 1) / (all_tokens + size + 2)
+            share = np.where(kept, bigrams[part], 0) / below[block.context]
+            loss = -np.log(MIXED * share + context[block.context] * single)
+            sums.append(np.bincount(row, weights=loss[block.of], minlength=len(block.lengths)).astype(np.float64))
+        return pa.table({"doc_id": block.ids, "n_words": block.lengths, "target": sums[1], "background": sums[0]})
+
+    bigrams = written(_each_block(blocks, words, bigrams_of, _SENT, is_known), "bigrams")
+    answers = words.unionByName(_totals(bigrams, "bigrams", lambda n: n > 0))
+    contexts = written(_each_block(blocks, answers, contexts_of, _SENT, is_known), "contexts")
+    answers = answers.unionByName(_totals(contexts, "contexts", lambda n: n > 0))
+    found = _each_block(blocks, answers, losses_of, f"doc_id {kind}, n_words long, target double, background double", is_known)
     means = [F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words")).alias(f"{c}_loss") for c in ("target", "background")]
     return found.select("doc_id", "n_words", *means).withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -232,6 +232,14 @@ def test_losses_match_plain_models(spark, monkeypatch, words, bigrams):
         assert g[2:] == (None, None) if e[2] is None else np.allclose(g[2:], e[2:], atol=1e-9)
 
 
+def test_counts_and_planes_round_trip():
+    rng = np.random.default_rng(5)
+    for counts in (np.zeros(0, dtype=np.int64), np.array([0, 254, 255, 256, 1 << 40]), rng.integers(0, 400, 1000)):
+        assert cross_entropy._unpacked(cross_entropy._packed(counts)).tolist() == counts.tolist()
+    for numbers in (np.zeros(0, dtype=np.int64), np.array([0, 255, 256, 65536, (1 << 32) - 1])):
+        assert cross_entropy._from_planes(cross_entropy._planes(numbers), len(numbers)).tolist() == numbers.tolist()
+
+
 def test_target_like_texts_score_lower(spark):
     rows = [(i, tongue(list(SYLLABLES)[i % 3], 60, i), i % 3 == 0) for i in range(150)]
     df = spark.createDataFrame(rows, "doc_id long, text string, good boolean")
@@ -245,11 +253,11 @@ def test_no_target_and_no_documents(spark):
     assert cross_entropy.scored(df.limit(0), F.col("good")).collect() == []
 
 
-@pytest.mark.parametrize("hot", [1, 20, 1 << 20])
-def test_rare_words_and_bigrams_stay_at_any_size(spark, monkeypatch, hot):
-    """A bigram of two words that come twice among 400,000 tokens is in the models, whatever is broadcast."""
-    monkeypatch.setattr(cross_entropy, "HOT_WORDS", hot)
-    monkeypatch.setattr(cross_entropy, "HOT_BIGRAMS", hot)
+@pytest.mark.parametrize("block,bucket", [(1, 8), (1000, 64), (1 << 20, 1 << 20)])
+def test_rare_words_and_bigrams_stay_at_any_size(spark, monkeypatch, block, bucket):
+    """A bigram of two words that come twice among 400,000 tokens is in the models, however texts and keys are split."""
+    monkeypatch.setattr(cross_entropy, "BLOCK_BYTES", block)
+    monkeypatch.setattr(cross_entropy, "BUCKET_BYTES", bucket)
     common = " ".join(prose(100, 1).split()[:20])
     rows = [(1, "zebra yak zebra yak", True), (2, "zebra ox " + common, None), (3, "lone yak", None), (4, None, True)]
     big = spark.createDataFrame([*rows, (5, " ".join([common] * 20000), None)], "doc_id long, text string, good boolean").repartition(3)
