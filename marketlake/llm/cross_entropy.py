@@ -9,7 +9,7 @@ grow with the corpus. Rarer words are one unknown word, rarer bigrams back off t
 
 Texts are written once as blocks of some megabytes: their distinct words and, per token, the number of its word. A block asks
 for the totals of its distinct words, bigrams and contexts in turn. It sends each bucket of keys one row of packed arrays, and the
-bucket answers with the totals in the same order, so that an entry costs about nine bytes on the way there and two on the way
+bucket answers with the totals in the same order, so that an entry costs about six bytes on the way there and two on the way
 back. A block sends a key once, however often it holds it, and keys are hashes: no bucket is hot. The number of buckets follows
 from what is sent; a bucket fits a task at any size. With many more buckets than keys in a block, rows are as small as single entries.
 """
@@ -21,12 +21,13 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.graph import written
-from marketlake.llm.text import LOWER, WordHash, fresh_key, mix, on_arrow, text_chunks, word_bounds
+from marketlake.llm.text import LOWER, WordHash, free_memory, fresh_key, mix, on_arrow, text_chunks, word_bounds
 
 # Keep only words and bigrams that are at least one in so many of all tokens; None keeps all.
 WORDS: int | None = None
@@ -36,35 +37,35 @@ MIXED = 0.7
 # In place of hashes: any word that is not kept, and what stands before a text.
 UNKNOWN, START = 0, 1
 # Bytes of text in a block (a text is never cut), and of keys that one bucket is sent.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 _U = np.uint64
-_SENT = "chunk long, keys binary, n binary, t binary"
+_SENT = "chunk long, keys binary, n binary, t binary, bucket long"
+_SENT_NAMES = ["chunk", "keys", "n", "t", "bucket"]
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    """Whole numbers from 0: a byte each, and 8 more for those from 255 on."""
-    small = np.minimum(counts, 255).astype(np.uint8)
-    return len(small).to_bytes(8, "little") + small.tobytes() + counts[small == 255].astype("<i8").tobytes()
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 as compressed planes of bytes; upper ones are mostly zero where frequent words have small numbers."""
+    data = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(data.tobytes())
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:8], "little")
-    small = np.frombuffer(data, dtype=np.uint8, count=n, offset=8)
-    counts = small.astype(np.int64)
-    counts[small == 255] = np.frombuffer(data, dtype="<i8", offset=8 + n)
-    return counts
+def _from_planes(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<u8").reshape(-1)
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^32 as compressed planes of bytes: the upper ones are mostly zero where frequent words have small numbers."""
-    data = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-    return pa.Codec("zstd").compress(data, asbytes=True)
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return _planes(np.concatenate((keys[:1], keys[1:] - keys[:-1])))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(data), dtype=np.uint64)
 
 
-def _from_planes(data: bytes, n: int) -> np.ndarray:
-    raw = pa.Codec("zstd").decompress(data, 4 * n, asbytes=True) if n else b""
-    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, n).T).view("<u4").reshape(n).astype(np.int64)
+def _counts(data: bytes) -> np.ndarray:
+    return _from_planes(data).astype(np.int64)
 
 
 def _summed(place: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
@@ -94,9 +95,9 @@ def _encoder(key: int, most: int):
                 n_target = _summed(place, np.repeat(good, lengths), len(words))
                 ids = pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), batch.column(0).slice(row, len(lengths)))
                 values = {
-                    "chunk": at, "keys": words.tobytes(), "n": _packed(n), "t": _packed(n_target),
-                    "tokens": _planes(rank[place]), "lengths": _packed(lengths), "good": good.astype(np.uint8).tobytes(),
-                    "n_tokens": len(place), "n_target": int(n_target.sum()),
+                    "chunk": at, "keys": _packed(words), "n": _planes(n), "t": _planes(n_target),
+                    "tokens": _planes(rank[place]), "lengths": _planes(lengths), "good": good.astype(np.uint8).tobytes(),
+                    "n_words": len(words), "n_tokens": len(place), "n_target": int(n_target.sum()),
                     "begun": int(given[rows].sum()), "begun_target": int((given[rows] & good).sum()),
                 }
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array([x]) for x in values.values()]], ["ids", *values])
@@ -105,35 +106,40 @@ def _encoder(key: int, most: int):
     return encode
 
 
-def _totals(sent: DataFrame, name: str, kept: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """What every block gets back for what it ``sent`` (chunk, sorted distinct keys, n, t): (chunk, kind, bucket, n, t), totals in its order.
+def _buckets(entries: int) -> int:
+    return max(1, -(-8 * entries // BUCKET_BYTES))
+
+
+def _dealt(chunk: int, keys: np.ndarray, n: np.ndarray, t: np.ndarray, buckets: int) -> pa.Table:
+    """Sorted distinct keys of a block with their counts, a row for each bucket that has some."""
+    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], dtype=np.uint64)
+    cuts = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
+    filled = np.flatnonzero(np.diff(cuts))
+    parts = [slice(cuts[b], cuts[b + 1]) for b in filled]
+    packed = [[_packed(keys[p]) for p in parts], *[[_planes(x[p]) for p in parts] for x in (n, t)]]
+    return pa.Table.from_arrays([pa.array(np.full(len(parts), chunk)), *[pa.array(x, pa.binary()) for x in packed], pa.array(filled)], _SENT_NAMES)
 
-    One row of each bucket also counts the bucket's ``kept`` keys (size) and sums their totals (known, known_target).
-    """
-    size = sent.agg(F.sum(F.length("keys"))).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
 
+def _words_of(buckets: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = np.array([(b << 64) // buckets for b in range(1, buckets)], dtype=np.uint64)
         for batch in batches:
             for chunk, keys, n, t in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                keys, n, t = np.frombuffer(keys, dtype=np.uint64), _unpacked(n), _unpacked(t)
-                cuts = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
-                filled = np.flatnonzero(np.diff(cuts))
-                parts = [slice(cuts[b], cuts[b + 1]) for b in filled]
-                arrays = [
-                    pa.array(np.full(len(parts), chunk)),
-                    pa.array([keys[p].tobytes() for p in parts], pa.binary()),
-                    *[pa.array([_packed(x[p]) for p in parts], pa.binary()) for x in (n, t)],
-                    pa.array(filled),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, ["chunk", "keys", "n", "t", "bucket"])
+                yield from _dealt(chunk, _unpacked(keys), _counts(n), _counts(t), buckets).to_batches()
+
+    return deal
+
+
+def _totals(dealt: DataFrame, name: str, kept: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """What every block gets back for what it ``dealt`` (chunk, keys, n, t, bucket): (chunk, kind, bucket, n, t), totals in its order.
+
+    One row of each bucket also counts the bucket's ``kept`` keys (size) and sums their totals (known, known_target).
+    """
 
     def answer(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, dtype=np.uint64) for x in table["keys"].to_pylist()]
+        keys = [_unpacked(x) for x in table["keys"].to_pylist()]
         ends = np.cumsum([len(k) for k in keys])
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        n, t = (_summed(place, np.concatenate([_unpacked(x) for x in table[c].to_pylist()]), len(distinct)) for c in ("n", "t"))
+        n, t = (_summed(place, np.concatenate([_counts(x) for x in table[c].to_pylist()]), len(distinct)) for c in ("n", "t"))
         known = kept(n)
         first = [int(known.sum()), int(n[known].sum()), int(t[known].sum())]
         parts = np.split(place, ends[:-1])
@@ -141,12 +147,13 @@ def _totals(sent: DataFrame, name: str, kept: Callable[[np.ndarray], np.ndarray]
             table["chunk"],
             pa.array([name] * len(parts)),
             table["bucket"],
-            *[pa.array([_packed(x[p]) for p in parts], pa.binary()) for x in (n, t)],
+            *[pa.array([_planes(x[p]) for p in parts], pa.binary()) for x in (n, t)],
             *[pa.array([x] + [0] * (len(parts) - 1), pa.int64()) for x in first],
         ]
-        return pa.Table.from_arrays(arrays, ["chunk", "kind", "bucket", "n", "t", "size", "known", "known_target"])
+        names = ["chunk", "kind", "bucket", "n", "t", "size", "known", "known_target"]
+        free_memory()
+        return pa.Table.from_arrays(arrays, names)
 
-    dealt = on_arrow(sent.select("chunk", "keys", "n", "t"), deal, f"{_SENT}, bucket long")
     schema = "chunk long, kind string, bucket long, n binary, t binary, size long, known long, known_target long"
     return written(dealt.groupBy("bucket").applyInArrow(answer, schema), f"totals-{name}")
 
@@ -154,14 +161,14 @@ def _totals(sent: DataFrame, name: str, kept: Callable[[np.ndarray], np.ndarray]
 def _block(left: pa.Table, right: pa.Table, is_known: Callable[[np.ndarray], np.ndarray]) -> SimpleNamespace:
     """A block's rows, distinct words and bigrams, with ``totals`` of what it was answered, in the order of its keys."""
     row = left.to_pylist()[0]
-    words, n = np.frombuffer(row["keys"], dtype=np.uint64), _unpacked(row["n"])
-    lengths = _unpacked(row["lengths"])
-    place = np.argsort(-n, kind="stable")[_from_planes(row["tokens"], row["n_tokens"])]
+    words, n = _unpacked(row["keys"]), _counts(row["n"])
+    lengths = _counts(row["lengths"])
+    place = np.argsort(-n, kind="stable")[_counts(row["tokens"])]
     answers = sorted(right.to_pylist(), key=lambda r: r["bucket"])
 
     def totals(kind: str) -> list[np.ndarray]:
         mine = [r for r in answers if r["kind"] == kind]
-        return [np.concatenate([np.zeros(0, dtype=np.int64), *[_unpacked(r[c]) for r in mine]]) for c in ("n", "t")]
+        return [np.concatenate([np.zeros(0, dtype=np.int64), *[_counts(r[c]) for r in mine]]) for c in ("n", "t")]
 
     known = is_known(totals("words")[0])
     second = np.where(known, words, _U(UNKNOWN))[place]
@@ -176,13 +183,15 @@ def _block(left: pa.Table, right: pa.Table, is_known: Callable[[np.ndarray], np.
     )
 
 
-def _sent(block: SimpleNamespace, keys: np.ndarray, n: np.ndarray, t: np.ndarray) -> pa.Table:
-    return pa.table({"chunk": [block.chunk], "keys": [keys.tobytes()], "n": [_packed(n)], "t": [_packed(t)]})
-
-
 def _each_block(blocks: DataFrame, answers: DataFrame, fn: Callable[[SimpleNamespace], pa.Table], schema: str, is_known: Callable) -> DataFrame:
-    answers = answers.select("chunk", "kind", "bucket", "n", "t").groupBy("chunk")
-    return blocks.groupBy("chunk").cogroup(answers).applyInArrow(lambda left, right: fn(_block(left, right, is_known)), schema)
+    def of_block(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = fn(_block(left, right, is_known))
+        free_memory()
+        return found
+
+    blocks = blocks.select("chunk", "ids", "keys", "n", "tokens", "lengths", "good")
+    answers = answers.select("chunk", "kind", "bucket", "n", "t")
+    return blocks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(of_block, schema)
 
 
 def scored(docs: DataFrame, is_target: Column) -> DataFrame:
@@ -195,27 +204,31 @@ def scored(docs: DataFrame, is_target: Column) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.coalesce(is_target, F.lit(False)).alias("target"))
-    more = "tokens binary, lengths binary, good binary, n_tokens long, n_target long, begun long, begun_target long"
-    blocks = written(on_arrow(rows, _encoder(fresh_key(), BLOCK_BYTES), f"ids array<{kind}>, {_SENT}, {more}"), "blocks")
-    of_all = blocks.agg(*[F.sum(c) for c in ("n_tokens", "n_target", "begun", "begun_target")]).first()
-    tokens, tokens_target, *begun = (x or 0 for x in of_all)
+    more = "keys binary, n binary, t binary, tokens binary, lengths binary, good binary, n_words long, n_tokens long, n_target long, begun long, begun_target long"
+    blocks = written(on_arrow(rows, _encoder(fresh_key(), BLOCK_BYTES), f"ids array<{kind}>, chunk long, {more}"), "blocks")
+    of_all = blocks.agg(F.count("*"), *[F.sum(c) for c in ("n_words", "n_tokens", "n_target", "begun", "begun_target")]).first()
+    n_blocks, n_words, tokens, tokens_target, *begun = (x or 0 for x in of_all)
+    # No block has more bigrams than tokens, nor more contexts than words and two.
+    in_words, in_bigrams, in_contexts = (_buckets(x) for x in (n_words, tokens, n_words + 2 * n_blocks))
 
     share_words, share_bigrams = WORDS, BIGRAMS  # as they are on the driver
 
     def is_known(n: np.ndarray) -> np.ndarray:
         return _kept(n, share_words, tokens)
 
-    words = _totals(blocks, "words", is_known)
+    dealt = on_arrow(blocks.select("chunk", "keys", "n", "t"), _words_of(in_words), _SENT)
+    words = _totals(dealt, "words", is_known)
     size, *known = (x or 0 for x in words.agg(*[F.sum(c) for c in ("size", "known", "known_target")]).first())
     unknown = (tokens - known[0], tokens_target - known[1])
 
     def bigrams_of(block: SimpleNamespace) -> pa.Table:
-        return _sent(block, block.keys, block.n, block.t)
+        return _dealt(block.chunk, block.keys, block.n, block.t, in_bigrams)
 
     def contexts_of(block: SimpleNamespace) -> pa.Table:
         """For each first word, how often the block has bigrams of it that are kept."""
         kept = _kept(block.totals("bigrams")[0], share_bigrams, tokens)
-        return _sent(block, block.contexts, *[_summed(block.context, x * kept, len(block.contexts)) for x in (block.n, block.t)])
+        sums = [_summed(block.context, x * kept, len(block.contexts)) for x in (block.n, block.t)]
+        return _dealt(block.chunk, block.contexts, *sums, in_contexts)
 
     def losses_of(block: SimpleNamespace) -> pa.Table:
         bigrams = block.totals("bigrams")
@@ -240,9 +253,9 @@ def scored(docs: DataFrame, is_target: Column) -> DataFrame:
             sums.append(np.bincount(row, weights=loss[block.of], minlength=len(block.lengths)).astype(np.float64))
         return pa.table({"doc_id": block.ids, "n_words": block.lengths, "target": sums[1], "background": sums[0]})
 
-    bigrams = written(_each_block(blocks, words, bigrams_of, _SENT, is_known), "bigrams")
+    bigrams = _each_block(blocks, words, bigrams_of, _SENT, is_known)
     answers = words.unionByName(_totals(bigrams, "bigrams", lambda n: n > 0))
-    contexts = written(_each_block(blocks, answers, contexts_of, _SENT, is_known), "contexts")
+    contexts = _each_block(blocks, answers, contexts_of, _SENT, is_known)
     answers = answers.unionByName(_totals(contexts, "contexts", lambda n: n > 0))
     found = _each_block(blocks, answers, losses_of, f"doc_id {kind}, n_words long, target double, background double", is_known)
     means = [F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words")).alias(f"{c}_loss") for c in ("target", "background")]

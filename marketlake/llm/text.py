@@ -41,15 +41,20 @@ def workers_import_this(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
 
 
+def free_memory() -> None:
+    """Give back what Python no longer holds."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries give memory back by themselves
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def on_arrow(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package importable in the workers; memory that was freed is given back after a task."""
     workers_import_this(df.sparkSession)
 
     def freeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # other C libraries give memory back by themselves
-            ctypes.CDLL(None).malloc_trim(0)
+        free_memory()
 
     return df.mapInArrow(freeing, schema)
 

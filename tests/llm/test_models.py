@@ -232,12 +232,12 @@ def test_losses_match_plain_models(spark, monkeypatch, words, bigrams):
         assert g[2:] == (None, None) if e[2] is None else np.allclose(g[2:], e[2:], atol=1e-9)
 
 
-def test_counts_and_planes_round_trip():
+def test_packed_keys_and_counts_round_trip():
     rng = np.random.default_rng(5)
     for counts in (np.zeros(0, dtype=np.int64), np.array([0, 254, 255, 256, 1 << 40]), rng.integers(0, 400, 1000)):
-        assert cross_entropy._unpacked(cross_entropy._packed(counts)).tolist() == counts.tolist()
-    for numbers in (np.zeros(0, dtype=np.int64), np.array([0, 255, 256, 65536, (1 << 32) - 1])):
-        assert cross_entropy._from_planes(cross_entropy._planes(numbers), len(numbers)).tolist() == numbers.tolist()
+        assert cross_entropy._counts(cross_entropy._planes(counts)).tolist() == counts.tolist()
+    for keys in ([], [0], [0, 1, (1 << 63) + 5, (1 << 64) - 1], sorted(rng.integers(0, 1 << 63, 500).tolist())):
+        assert cross_entropy._unpacked(cross_entropy._packed(np.array(keys, dtype=np.uint64))).tolist() == keys
 
 
 def test_target_like_texts_score_lower(spark):
