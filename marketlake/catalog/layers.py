@@ -567,7 +567,7 @@ def envelope_range(spark, folder):
 # --- vendor payloads --------------------------------------------------------------------------------
 
 
-def payloads(spark, folder):
+def payloads(spark, folder, land=vendor.land_payloads):
     """Daily bars as vendor JSON, one response per symbol and month; every February is an error response."""
     bars = bars_daily(spark, folder)
     day = F.create_map(
@@ -582,7 +582,7 @@ def payloads(spark, folder):
     series = F.map_from_entries(F.collect_list(entry)).alias(vendor.SERIES_KEY)
     responses = bars.groupBy("symbol", month.alias("month")).agg(F.to_json(F.struct(series)).alias("body"))
     error = F.to_json(F.struct(F.concat(F.lit("no data for "), F.col("month")).alias(vendor.ERROR_KEY)))
-    return vendor.land_payloads(
+    return land(
         responses.withColumn("body", F.when(F.col("month").endswith("-02"), error).otherwise(F.col("body"))), F.lit(LANDED)
     )
 
@@ -604,6 +604,32 @@ def vendor_rejects(spark, folder):
     return vendor.split_payloads(payloads(spark, folder))[1].select("symbol", "error")
 
 
+def stored_variants(spark, folder):
+    """The same responses, parsed when they land."""
+    path = f"{workspace(spark, 'variants')}/payloads"
+    payloads(spark, folder, vendor.land_variants).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "vendor_variant_bars",
+    f"""WITH {DAILY} SELECT symbol, "timestamp", open, high, low, close, volume, close AS adjusted_close FROM bars
+WHERE month("timestamp") <> 2 AND "timestamp" BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'""",
+)
+def vendor_variant_bars(spark, folder):
+    return vendor.bars_from_payloads(stored_variants(spark, folder), START, END)
+
+
+@query(
+    "vendor_variant_rejects",
+    f"""WITH {DAILY} SELECT DISTINCT symbol, 'no data for ' || strftime("timestamp", '%Y-%m') AS error,
+       '{{"{vendor.ERROR_KEY}":"no data for ' || strftime("timestamp", '%Y-%m') || '"}}' AS body FROM bars WHERE month("timestamp") = 2""",
+)
+def vendor_variant_rejects(spark, folder):
+    """Rejected payloads as they are quarantined, in text."""
+    return vendor.split_payloads(stored_variants(spark, folder))[1].select("symbol", "error", "body")
+
+
 @query("vendor_frame_bars", f"""WITH {DAILY} SELECT *, close AS adjusted_close FROM bars""")
 def vendor_frame_bars(spark, folder):
     named = {c: c.capitalize() for c in ("open", "high", "low", "close", "volume")}
@@ -665,13 +691,15 @@ def batch_time_range(spark, folder):
     return report.time_range(bars_daily(spark, folder))
 
 
-def batch_run(spark, folder):
-    """A batch over all symbols and two unknown ones; one of these has an error response, its profile is no JSON."""
+def batch_run(spark, folder, land=vendor.land_payloads, times=1):
+    """A batch over all symbols and two unknown ones; one of these has an error response, its profile is no JSON. Repeated under one name."""
     stores = etl.Stores(workspace(spark, "etl"))
     bodies = spark.createDataFrame([("nobody", '{"Error Message": "rate limit reached"}')], "symbol string, body string")
-    landed = payloads(spark, folder).unionByName(vendor.land_payloads(bodies, F.lit(LANDED)))
+    landed = payloads(spark, folder, land).unionByName(land(bodies, F.lit(LANDED)))
     profiles = spark.createDataFrame([("nobody", "not json"), ("F", '{"Name": "F Inc"}'), ("F", '{"Name": "F Inc"}')], "symbol string, body string")
-    return stores, *etl.process_symbols(spark, stores, "F, O, P, nobody, nothing", landed, START, END, profiles, at=LANDED)
+    for _ in range(times):
+        found = etl.process_symbols(spark, stores, "F, O, P, nobody, nothing", landed, START, END, profiles, at=LANDED, run_id="batch")
+    return stores, *found
 
 
 RESULT = f"""{DAILY}, wanted AS (SELECT unnest(['F', 'O', 'P', 'nobody', 'nothing']) AS symbol),
@@ -724,6 +752,25 @@ def batch_metrics(spark, folder):
     return metrics.groupBy("metric", "symbol").agg(F.sum("value").alias("total"))
 
 
+@query(
+    "batch_replayed",
+    f"""WITH {RESULT}, lost AS (SELECT symbol, count(DISTINCT strftime("timestamp", '%Y-%m')) AS n FROM bars WHERE month("timestamp") = 2 GROUP BY 1)
+SELECT 'metric' AS part, 'records_extracted' AS name, symbol, CAST(n AS DOUBLE) AS total FROM found
+UNION ALL SELECT 'metric', 'indicators_calculated', symbol, {' + '.join(f'CAST(n >= {k} AS INTEGER)' for k in batch.MIN_BARS.values())} FROM found
+UNION ALL SELECT 'metric', 'records_rejected', symbol, n FROM lost UNION ALL SELECT 'metric', 'records_rejected', 'nobody', 2
+UNION ALL SELECT 'reject', 'payload', symbol, n FROM lost
+UNION ALL SELECT 'reject', unnest(['payload', 'profile']), 'nobody', 1""",
+)
+def batch_replayed(spark, folder):
+    """Rejects and metrics after a batch of parsed payloads that is run twice under one name: as after one run."""
+    stores, _, _, log = batch_run(spark, folder, vendor.land_variants, times=2)
+    metrics = log.metrics().where("symbol IS NOT NULL").groupBy(F.col("metric").alias("name"), "symbol").agg(F.sum("value").alias("total"))
+    rejects = store.read_quarantine(spark, stores.path("quarantine")).groupBy(F.col("kind").alias("name"), "symbol")
+    rejects = rejects.agg(F.count("*").cast("double").alias("total"))
+    parts = [f.select(F.lit(p).alias("part"), "name", "symbol", "total") for p, f in (("metric", metrics), ("reject", rejects))]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "run_metrics",
     f"""WITH {DAILY}, {HOURLY.replace('bars AS', 'hours AS')}, m AS (
@@ -734,8 +781,8 @@ SELECT 'records_extracted' AS metric, symbol, data_type, CAST(1 AS BIGINT) AS sa
 def run_metrics(spark, folder):
     """Metric rows appended to the metrics table by two loads, then reported."""
     log = report.RunLog(spark, workspace(spark, "log"))
-    log.append_metrics(report.records_extracted(bars_daily(spark, folder), "daily"))
-    log.append_metrics(report.records_extracted(bars_events(spark, folder), "hourly"))
+    log.append_metrics(report.records_extracted(bars_daily(spark, folder), "daily"), "daily")
+    log.append_metrics(report.records_extracted(bars_events(spark, folder), "hourly"), "hourly")
     return report.metric_report(log.metrics())
 
 

@@ -55,6 +55,7 @@ def run(
     as_of: datetime | None = None,
     days: int | None = None,
     skip_unread: bool = True,
+    run_id: str | None = None,
 ) -> report.RunLog:
     """Run the chosen layers; each reads what the layer before it wrote, and replaces only the keys it computes.
 
@@ -62,11 +63,11 @@ def run(
     ``as_of``; other stored bars stay, and stored bars that the new ones reach are computed anew. ``grain`` is
     the spacing of the bars, ``period`` what one document covers (see ``default_period``); neither depends on the data's size.
     Bars without a symbol or a time, and silver files that cannot be read whole, go to the quarantine table and are counted; without
-    ``skip_unread`` such files stop the gold step instead.
+    ``skip_unread`` such files stop the gold step instead. Repeated under its ``run_id``, a run replaces its rejects and metrics.
     """
     if steps not in STEPS:
         raise ValueError(f"steps is one of {', '.join(STEPS)}")
-    log = report.RunLog(spark, lake.path("log"))
+    log = report.RunLog(spark, lake.path("log"), run=run_id)
     chosen = STEPS[steps]
     if "bronze" in chosen:
         if raw is None:
@@ -94,7 +95,7 @@ def run(
             said = F.concat(F.lit("unreadable file: "), "read", F.lit(" of "), F.coalesce(F.col("rows").cast("string"), F.lit("unknown")), F.lit(" rows read"))
             unread = unread.select("path", "length", said.alias("error"))
             seen_files, skipped = report.observed(unread, "skipped_files")
-            store.quarantine(seen_files, lake.path("quarantine"), "file")
+            store.quarantine(seen_files, lake.path("quarantine"), "file", run=log.run)
             log.metric("files_skipped", skipped.get["records"], data_type="analytics")
             to_gold(lake, _only(read_silver(spark, lake), symbols), grain)
     log.flush()
@@ -116,7 +117,7 @@ def read_bronze(spark, lake: Lake, data_type: str = "prices") -> DataFrame:
 def set_aside(spark, lake: Lake, bars: DataFrame, log: report.RunLog, data_type: str) -> None:
     """Quarantine and count the bars that belong to no series."""
     lost, seen = report.observed(undated(bars), "undated_bars")
-    store.quarantine(lost.withColumn("error", F.lit("no symbol or no time")), lake.path("quarantine"), "bar")
+    store.quarantine(lost.withColumn("error", F.lit("no symbol or no time")), lake.path("quarantine"), "bar", run=log.run)
     log.metric("records_rejected", seen.get["records"], data_type=data_type)
 
 

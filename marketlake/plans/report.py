@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from marketlake.functions.scalars import split_symbols
 from marketlake.operators.batch import MIN_BARS, indicator_gates
+from marketlake.sources.files import run_name
 
 NO_DATA = "no data"
 FIRST_ERRORS = 5
@@ -170,10 +171,15 @@ def trace_report(events: DataFrame) -> DataFrame:
 
 
 class RunLog:
-    """Events and metrics of one driver run: a handful of rows per step, appended to two tables."""
+    """Events and metrics of one driver run: a handful of rows per step, in two tables by run and step.
 
-    def __init__(self, spark: SparkSession, path: str, service: str = "marketlake", environment: str = "development"):
+    A run that is repeated under its name replaces its metrics step by step, so they count once. Events are what
+    happened: those of every attempt stay.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, service: str = "marketlake", environment: str = "development", run: str | None = None):
         self.spark, self.path, self.service, self.environment = spark, path, service, environment
+        self.run, self._attempt, self._flushed = run_name(run), run_name(), 0
         self._events: list[tuple] = []
         self._metrics: list[tuple] = []
 
@@ -204,20 +210,32 @@ class RunLog:
         return len(self._events) + len(self._metrics)
 
     def flush(self) -> None:
-        for rows, schema, name in ((self._events, EVENT_SCHEMA, "events"), (self._metrics, METRIC_SCHEMA, "metrics")):
-            if rows:
-                self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
-                rows.clear()
-
-    def append_metrics(self, rows: DataFrame) -> None:
-        """Append metric rows that Spark computed."""
-        rows.select(*METRIC_SCHEMA.names).write.mode("append").parquet(f"{self.path}/metrics")
+        """Write what is held. The metrics of a run's n-th flush replace those of its n-th flush before."""
+        if self._events:
+            self._store(self.spark.createDataFrame(self._events, EVENT_SCHEMA).coalesce(1), "events", f"{self._attempt}-{self._flushed}")
+        if self._metrics:
+            self._store(self.spark.createDataFrame(self._metrics, METRIC_SCHEMA).coalesce(1), "metrics", f"flush-{self._flushed}")
+        self._flushed += 1
+        self._events.clear()
+        self._metrics.clear()
+
+    def append_metrics(self, rows: DataFrame, step: str) -> None:
+        """Store metric rows that Spark computed, as those of this run's ``step``."""
+        self._store(rows.select(*METRIC_SCHEMA.names), "metrics", step)
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENT_SCHEMA).parquet(f"{self.path}/events")
+        return self._read("events", EVENT_SCHEMA)
 
     def metrics(self) -> DataFrame:
-        return self.spark.read.schema(METRIC_SCHEMA).parquet(f"{self.path}/metrics")
+        return self._read("metrics", METRIC_SCHEMA)
+
+    def _store(self, rows: DataFrame, table: str, step: str) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{table}/run={self.run}/step={run_name(step)}")
+
+    def _read(self, table: str, schema: T.StructType) -> DataFrame:
+        """The rows of all runs."""
+        placed = T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField("step", T.StringType())])
+        return self.spark.read.schema(placed).parquet(f"{self.path}/{table}").select(*schema.names)
 
 
 class StreamLog(StreamingQueryListener):

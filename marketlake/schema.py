@@ -59,6 +59,7 @@ QUARANTINE_SCHEMA = T.StructType(
         T.StructField("body", T.StringType()),
         T.StructField("at", T.TimestampType()),
         T.StructField("kind", T.StringType()),
+        T.StructField("run", T.StringType()),
     ]
 )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -47,3 +50,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     if system.exists(where) or not system.rename(aside, where):
         system.delete(aside, False)
         raise FileExistsError(path)
+
+
+def run_name(run: str | None = None) -> str:
+    """The name of a run, as it is part of folder names; a new one if none is given."""
+    if run is None:
+        return uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError(f"a run is named by letters, digits and _ . - only, not {run!r}")
+    return run

@@ -31,7 +31,7 @@ from marketlake.schema import (
     STOCK_SCHEMA,
     with_optional,
 )
-from marketlake.sources.files import exists, remove
+from marketlake.sources.files import exists, remove, run_name
 from marketlake.sources.runs import rows_by_file
 
 MONTH_PARTITIONS = ["year", "month"]
@@ -271,16 +271,21 @@ def unread_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType
 # --- quarantine -------------------------------------------------------------------------------------
 
 
-def quarantine(rejected: DataFrame, path: str, kind: str, at: Column | None = None) -> None:
-    """Append what a step could not use, with the ``error``, as rows of (symbol, error, body, at) under its kind."""
+def quarantine(rejected: DataFrame, path: str, kind: str, at: Column | None = None, run: str | None = None) -> None:
+    """Store what a step could not use, with the ``error``, as rows of (symbol, error, body, at) under its kind and run.
+
+    A run that is repeated under its name replaces its own rows of the kind, and only these.
+    """
     body = F.col("body") if "body" in rejected.columns else F.to_json(F.struct(*[c for c in rejected.columns if c != "error"]), JSON_TIMES)
     symbol = F.col("symbol").cast("string") if "symbol" in rejected.columns else F.lit(None).cast("string")
-    rows = rejected.select(symbol.alias("symbol"), "error", body.alias("body"), (at if at is not None else F.current_timestamp()).alias("at"), F.lit(kind).alias("kind"))
-    rows.write.mode("append").partitionBy("kind").parquet(path)
+    rows = rejected.select(symbol.alias("symbol"), "error", body.alias("body"), (at if at is not None else F.current_timestamp()).alias("at"))
+    rows.write.mode("overwrite").parquet(f"{path}/kind={kind}/run={run_name(run)}")
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, path, QUARANTINE_SCHEMA)
+def read_quarantine(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """Stored rejects, of all runs or, reading only its folders, of one."""
+    rows = _stored(spark, path, QUARANTINE_SCHEMA)
+    return rows if run is None else rows.where(F.col("run") == run)
 
 
 # --- silver and gold --------------------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Vendor payloads, landed as tables ``(symbol, body, ingest_ts)``, parsed into bars and stock rows.
 
-A payload is one response. Responses that carry an error or no series go to a quarantine frame; nothing
+A payload is one response. ``land_variants`` parses it once, when it lands; later steps take typed values out of the
+stored VARIANT ``payload`` and read no JSON text. All readers take both kinds of tables. Responses that carry an error or no series go to a quarantine frame; nothing
 is raised inside a job.
 """
 
@@ -46,19 +47,35 @@ def land_payloads(responses: DataFrame, ingest_ts: Column | None = None) -> Data
     )
 
 
+def land_variants(responses: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
+    """Responses with their JSON as VARIANT ``payload``; ``body`` keeps only texts that are no JSON, whose payload is NULL."""
+    parsed = land_payloads(responses, ingest_ts).withColumn("payload", F.try_parse_json("body"))
+    return parsed.withColumn("body", F.when(F.col("payload").isNull(), F.col("body")))
+
+
+def _at(key: str) -> str:
+    """The path of a field; vendor names hold dots and blanks, and no quotes."""
+    return f"$['{key}']"
+
+
 def _parsed(payloads: DataFrame) -> DataFrame:
-    parsed = F.from_json("body", _PAYLOAD)
-    error = (
-        F.when(parsed[ERROR_KEY].isNotNull(), parsed[ERROR_KEY])
-        .when(parsed[SERIES_KEY].isNull(), F.lit(UNEXPECTED))
-    )
-    return payloads.withColumns({"parsed": parsed, "error": error})
+    """The payloads with ``series`` (fields by day) and the ``error`` of those that cannot be used."""
+    if "payload" in payloads.columns:
+        series = F.try_variant_get("payload", _at(SERIES_KEY), "map<string, variant>")
+        said = F.try_variant_get("payload", _at(ERROR_KEY), "string")
+    else:
+        parsed = F.from_json("body", _PAYLOAD)
+        series, said = parsed[SERIES_KEY], parsed[ERROR_KEY]
+    return payloads.withColumns({"series": series, "error": F.coalesce(said, F.when(series.isNull(), F.lit(UNEXPECTED)))})
 
 
 def split_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected with their ``error``)."""
-    checked = _parsed(payloads).drop("parsed")
-    return checked.where("error IS NULL").drop("error"), checked.where("error IS NOT NULL")
+    """(accepted, rejected with their ``error``); a rejected VARIANT is text again."""
+    checked = _parsed(payloads).drop("series")
+    rejected = checked.where("error IS NOT NULL")
+    if "payload" in payloads.columns:
+        rejected = rejected.withColumn("body", F.coalesce("body", F.to_json("payload"))).drop("payload")
+    return checked.where("error IS NULL").drop("error"), rejected
 
 
 def bars_from_payloads(payloads: DataFrame, start=None, end=None) -> DataFrame:
@@ -67,15 +84,17 @@ def bars_from_payloads(payloads: DataFrame, start=None, end=None) -> DataFrame:
     days = (
         _parsed(payloads)
         .where("error IS NULL")
-        .select(*kept, F.explode(F.col("parsed")[SERIES_KEY]).alias("day", "fields"))
+        .select(*kept, F.explode("series").alias("day", "fields"))
         .withColumn("timestamp", F.try_to_timestamp("day", F.lit("yyyy-MM-dd")))
     )
     if start is not None and end is not None:
         days = days.where(F.col("timestamp").between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
-    kinds = {f.name: f.dataType for f in BAR_SCHEMA.fields}
-    return days.select(
-        *kept, "timestamp", *[F.col("fields")[BAR_FIELDS[c]].try_cast(kinds[c]).alias(c) for c in kinds if c in BAR_FIELDS]
-    )
+    kinds = {f.name: f.dataType for f in BAR_SCHEMA.fields if f.name in BAR_FIELDS}
+    if "payload" in payloads.columns:
+        values = [F.try_variant_get("fields", _at(BAR_FIELDS[c]), kinds[c].simpleString()).alias(c) for c in kinds]
+    else:
+        values = [F.col("fields")[BAR_FIELDS[c]].try_cast(kinds[c]).alias(c) for c in kinds]
+    return days.select(*kept, "timestamp", *values)
 
 
 def bars_from_frame(frame: DataFrame) -> DataFrame:

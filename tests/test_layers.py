@@ -288,6 +288,50 @@ def test_envelope_range_crosses_month_ends_and_keeps_microseconds(spark):
     assert json.loads(got[0].data)["t"].startswith("2024-01-30T23:59:59.000001")
 
 
+def test_vendor_variants_match_texts(spark):
+    """Values of other types, malformed fields and bodies that are no objects come out of a VARIANT as out of text."""
+    fields = {"1. open": 1.5, "2. high": "2", "3. low": "bad", "4. close": None, "6. volume": "100"}
+    series = {"2024-01-02": fields, "not a day": fields, "2024-01-03": {}}
+    bodies = [
+        ("a", json.dumps({vendor.SERIES_KEY: series})), ("b", json.dumps({vendor.ERROR_KEY: "limit"})), ("c", "{}"), ("d", "not json"), ("e", None),
+        ("f", "[1]"), ("g", json.dumps({vendor.SERIES_KEY: "text"})), ("h", json.dumps({vendor.SERIES_KEY: {}})),
+    ]
+    responses = spark.createDataFrame(bodies, "symbol string, body string")
+    path = f"{workspace(spark, 't')}/payloads"
+    vendor.land_variants(responses).write.parquet(path)
+    texts, variants = vendor.land_payloads(responses), spark.read.parquet(path)
+    bars = [sorted(map(tuple, vendor.bars_from_payloads(p).collect()), key=str) for p in (texts, variants)]
+    assert bars[0] == bars[1] and len(bars[0]) == 3
+    rejects = [{r.symbol: (r.error, r.body) for r in vendor.split_payloads(p)[1].collect()} for p in (texts, variants)]
+    assert {s: e for s, (e, _) in rejects[0].items()} == {s: e for s, (e, _) in rejects[1].items()}
+    assert set(rejects[1]) == set("bcdefg") and rejects[1]["d"][1] == "not json" and json.loads(rejects[1]["b"][1]) == json.loads(bodies[1][1])
+    plan = vendor.bars_from_payloads(variants)._jdf.queryExecution().toString()
+    assert "from_json" not in plan and "parse_json" not in plan
+
+
+def test_repeated_runs_replace_their_rejects_and_metrics(spark):
+    path = workspace(spark, "t")
+    lost = spark.createDataFrame([("a", "bad"), ("b", "bad")], "symbol string, error string")
+    for rows, run in ((lost, "one"), (lost, "one"), (lost, "two"), (lost.where("symbol = 'a'"), "two"), (lost, None), (lost, None)):
+        store.quarantine(rows, f"{path}/quarantine", "bar", run=run)
+    store.quarantine(lost.limit(0), f"{path}/quarantine", "file", run="one")
+    assert store.read_quarantine(spark, f"{path}/quarantine", "one").count() == 2
+    assert store.read_quarantine(spark, f"{path}/quarantine", "two").count() == 1
+    assert store.read_quarantine(spark, f"{path}/quarantine").count() == 7
+    for _ in range(2):  # the second attempt replaces the first one's metrics; the events of both stay
+        log = report.RunLog(spark, f"{path}/log", run="007")
+        with log.trace("step"):
+            log.metric("rows", 3)
+        log.append_metrics(report.per_symbol(lost, "lost", F.lit(1), "x"), "lost")
+        log.flush()
+    assert {r.metric: r.samples for r in report.metric_report(log.metrics().drop("symbol").withColumn("symbol", F.lit("s"))).collect()} == {
+        "rows": 1, "lost": 2, "step_seconds": 1,
+    }
+    assert log.events().count() == 4
+    with pytest.raises(ValueError, match="named by"):
+        report.RunLog(spark, f"{path}/log", run="a/b")
+
+
 def test_vendor_payloads(spark):
     first_day = {"1. open": "1.5", "2. high": "2", "3. low": "1", "4. close": "1.7", "5. adjusted close": "1.6", "6. volume": "100"}
     good = json.dumps({vendor.SERIES_KEY: {"2024-01-02": first_day, "2024-02-02": {"1. open": "bad"}}})
