@@ -18,9 +18,9 @@ from marketlake.operators import batch, clean, gold
 from marketlake.operators.indicators import indicators
 from marketlake.plans import etl, report
 from marketlake.plans import lake as lakes
-from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, MissingColumns
+from marketlake.schema import BAR_SCHEMA, SILVER_SCHEMA, MissingColumns, conform_bars
 from marketlake.session import workspace
-from marketlake.sources import store, vendor
+from marketlake.sources import ranged, store, vendor
 from marketlake.sources.files import names_in, remove
 from marketlake.sources.runs import RunTable
 from marketlake.streaming.stream import read_records, refresh_from, write_enriched
@@ -288,6 +288,48 @@ def test_envelope_range_crosses_month_ends_and_keeps_microseconds(spark):
     assert json.loads(got[0].data)["t"].startswith("2024-01-30T23:59:59.000001")
 
 
+def test_point_reads_open_one_file_a_month(spark):
+    path = workspace(spark, "t")
+    bars = spark.range(200 * 59).select(
+        F.format_string("s%03d", F.col("id") % 200).alias("symbol"),
+        F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("id") / 200) * 86400).alias("timestamp"),
+        *[F.col("id").cast("double").alias(c) for c in ("open", "high", "low", "close")],
+        F.col("id").alias("volume"),
+    )  # 59 days: January and most of February
+    few = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name) for name in few}
+    try:
+        for name, value in few.items():
+            spark.conf.set(name, value)
+        ranged.write_ranged(conform_bars(bars), path)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    start, end = day("2024-01-10"), day("2024-02-10")
+    everything = ranged.files_of(spark, path, [f"s{i:03d}" for i in range(200)], start, end)
+    assert len(everything) >= 12
+    one = [ranged.files_of(spark, path, [f"s{i:03d}"], start, end) for i in range(0, 200, 20)]
+    assert sum(map(len, one)) <= 2 * len(one) + len(everything)  # more than two only where a range begins within the symbol
+    assert ranged.files_of(spark, path, ["zzz"], start, end) == [] and ranged.get_ranged(spark, path, "zzz", start, end).collect() == []
+    got = ranged.get_ranged(spark, path, "s007", start, end)
+    assert len(got.inputFiles()) <= 4
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, store.get_prices(spark, path, "s007", start, end).collect()))
+    assert got.count() == 32
+
+    # Files of other writers are read though no index lists them; indexed files that were replaced are passed over.
+    more = bars.where("symbol = 's007'").withColumn("timestamp", F.expr("timestamp + interval 1 hour"))
+    store.write_bars(conform_bars(more), path)
+    assert ranged.get_ranged(spark, path, "s007", start, end).count() == 63
+    store.write_bars(conform_bars(bars.where("symbol = 's009' AND timestamp < '2024-02-01'")), path, "overwrite")
+    assert ranged.get_ranged(spark, path, ["s007", "s009"], start, end).count() == 19 + 32
+    before = spark.read.parquet(f"{path}/{ranged.INDEX}").count()
+    ranged.index_files(spark, path)
+    ranged.index_files(spark, path)
+    assert spark.read.parquet(f"{path}/{ranged.INDEX}").count() > before
+    assert spark.read.parquet(f"{path}/{ranged.INDEX}").groupBy("file", "year", "month").count().where("count > 1").isEmpty()
+    assert ranged.get_ranged(spark, path, ["s007", "s009"], start, end).count() == 19 + 32
+
+
 def test_vendor_variants_match_texts(spark):
     """Values of other types, malformed fields and bodies that are no objects come out of a VARIANT as out of text."""
     fields = {"1. open": 1.5, "2. high": "2", "3. low": "bad", "4. close": None, "6. volume": "100"}
