@@ -52,8 +52,10 @@ HEADLINE = [
     "gold_price_stats_hourly",
     "gold_return_stats",
     "prices_range",
+    "prices_ranged",
     "prices_upsert",
     "vendor_json_bars",
+    "vendor_variant_bars",
     "mask_default",
     "mask_name",
     "batch_status",
